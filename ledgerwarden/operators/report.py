@@ -18,11 +18,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerwarden.operators.rules import (
-    rule_cities,
-    rule_guessing,
-    rules_passport_account,
-)
+from ledgerwarden.operators.rules import all_rules
 from ledgerwarden.schemas import SEED_REPORT_DATE
 
 REPORT_COLUMNS = ["event_dt", "passport", "fio", "phone", "event_type", "report_dt"]
@@ -61,23 +57,12 @@ def accumulate(candidates: DataFrame, prior: DataFrame | None = None, null_safe:
     return out.dropDuplicates() if distinct else out
 
 
-def fraud_candidates(tx: DataFrame, terminals: DataFrame, bridge: DataFrame,
-                     report_dt: dt.date = SEED_REPORT_DATE, cities_within="1 hour",
-                     guessing_within="20 minutes", rejects: int = 3,
-                     terminal_mode: str = "all") -> DataFrame:
-    """Candidates of all four rules, one union."""
-    r12 = rules_passport_account(tx, bridge, report_dt)
-    r3 = rule_cities(tx, terminals, bridge, cities_within, report_dt, terminal_mode)
-    r4 = rule_guessing(tx, bridge, guessing_within, rejects, report_dt)
-    return r12.unionByName(r3).unionByName(r4)
-
-
 def fraud_report(tx: DataFrame, terminals: DataFrame, bridge: DataFrame,
                  prior: DataFrame | None = None, report_dt: dt.date = SEED_REPORT_DATE,
                  cities_within="1 hour", guessing_within="20 minutes", rejects: int = 3,
                  terminal_mode: str = "all", null_safe: bool = False,
                  distinct: bool = False) -> DataFrame:
     """The rows a run appends to the report (columns of ``REPORT_COLUMNS``)."""
-    cand = fraud_candidates(tx, terminals, bridge, report_dt, cities_within, guessing_within,
-                            rejects, terminal_mode)
+    cand = all_rules(tx, terminals, bridge, report_dt, cities_within, guessing_within, rejects,
+                     terminal_mode)
     return accumulate(cand, prior, null_safe=null_safe, distinct=distinct)

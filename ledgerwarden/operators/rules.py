@@ -88,11 +88,11 @@ def rules_passport_account(tx: DataFrame, bridge: DataFrame,
     return _candidates(x, "trans_date", "trans_id", F.col("_rule"), report_dt)
 
 
-def rule_cities(tx: DataFrame, terminals: DataFrame, bridge: DataFrame, within="1 hour",
-                report_dt: dt.date = SEED_REPORT_DATE, terminal_mode: str = "all",
+def cities_hits(tx: DataFrame, terminals: DataFrame, within="1 hour", terminal_mode: str = "all",
                 band_factor: int = 6) -> DataFrame:
-    """The next transaction of the card (among those at a known terminal)
-    is in another city within ``within``; the event is the later transaction."""
+    """Rule 3 without owners: ``card_num, trans_date, trans_id`` of each later
+    transaction whose predecessor (among transactions at a known terminal) is
+    in another city at most ``within`` before."""
     term = resolve(terminals, terminal_mode).select(F.col("terminal_id").alias("terminal"),
                                                     "terminal_city")
     x = _tx(tx, "trans_id", "trans_date", "card_num", "terminal").join(
@@ -105,15 +105,16 @@ def rule_cities(tx: DataFrame, terminals: DataFrame, bridge: DataFrame, within="
                    F.lead("trans_id").over(w).alias("lead_id"))
     hits = y.where(~F.col(GHOST) & (F.col("terminal_city") != F.col("lead_city"))
                    & within_span("lead_time", "trans_date", within))
-    z = hits.select("card_num", "lead_time", "lead_id").join(bridge, "card_num")
-    return _candidates(z, "lead_time", "lead_id", EVENT_CITIES, report_dt)
+    return hits.select("card_num", F.col("lead_time").alias("trans_date"),
+                       F.col("lead_id").alias("trans_id"))
 
 
-def rule_guessing(tx: DataFrame, bridge: DataFrame, within="20 minutes", rejects: int = 3,
-                  report_dt: dt.date = SEED_REPORT_DATE, band_factor: int = 6) -> DataFrame:
-    """A SUCCESS right after ``rejects`` REJECTs with strictly falling
-    amounts, the first of them at most ``within`` before it. Only WITHDRAW and
-    PAYMENT count; other operations neither break nor join a chain."""
+def guessing_hits(tx: DataFrame, within="20 minutes", rejects: int = 3,
+                  band_factor: int = 6) -> DataFrame:
+    """Rule 4 without owners: ``card_num, trans_date, trans_id`` of each SUCCESS
+    right after ``rejects`` REJECTs with strictly falling amounts, the first of
+    them at most ``within`` before it. Only WITHDRAW and PAYMENT count; other
+    operations neither break nor join a chain."""
     x = (_tx(tx, "trans_id", "trans_date", "card_num", "oper_type", "amt", "oper_result")
          .where(F.col("oper_type").isin(OPER_WITHDRAW, OPER_PAYMENT)))
     aug = banded(x, "trans_date", within, "lag", band_factor)
@@ -129,6 +130,43 @@ def rule_guessing(tx: DataFrame, bridge: DataFrame, within="20 minutes", rejects
         conds.append(F.col(f"res_{k}") == F.lit(RESULT_REJECT))
         if k > 1:
             conds.append(F.col(f"amt_{k}") > F.col(f"amt_{k - 1}"))
-    hits = y.where(reduce(lambda a, b: a & b, conds))
-    z = hits.select("card_num", "trans_date", "trans_id").join(bridge, "card_num")
+    return y.where(reduce(lambda a, b: a & b, conds)).select("card_num", "trans_date", "trans_id")
+
+
+def rule_cities(tx: DataFrame, terminals: DataFrame, bridge: DataFrame, within="1 hour",
+                report_dt: dt.date = SEED_REPORT_DATE, terminal_mode: str = "all",
+                band_factor: int = 6) -> DataFrame:
+    """Different cities within ``within``; the event is the later transaction."""
+    z = cities_hits(tx, terminals, within, terminal_mode, band_factor).join(bridge, "card_num")
+    return _candidates(z, "trans_date", "trans_id", EVENT_CITIES, report_dt)
+
+
+def rule_guessing(tx: DataFrame, bridge: DataFrame, within="20 minutes", rejects: int = 3,
+                  report_dt: dt.date = SEED_REPORT_DATE, band_factor: int = 6) -> DataFrame:
+    """Amount guessing; the event is the successful transaction."""
+    z = guessing_hits(tx, within, rejects, band_factor).join(bridge, "card_num")
     return _candidates(z, "trans_date", "trans_id", EVENT_GUESSING, report_dt)
+
+
+def all_rules(tx: DataFrame, terminals: DataFrame, bridge: DataFrame,
+              report_dt: dt.date = SEED_REPORT_DATE, cities_within="1 hour",
+              guessing_within="20 minutes", rejects: int = 3, terminal_mode: str = "all",
+              band_factor: int = 6) -> DataFrame:
+    """Candidates of all four rules with one join to the owner bridge.
+
+    Every transaction (for rules 1-2) and the rule 3/4 hits (already tagged)
+    are unioned and joined to the bridge once; one ``explode`` then emits a
+    row per rule that holds.
+    """
+    base = _tx(tx, "trans_id", "trans_date", "card_num").withColumn("_tag", F.lit(None).cast("string"))
+    r3 = cities_hits(tx, terminals, cities_within, terminal_mode, band_factor).withColumn(
+        "_tag", F.lit(EVENT_CITIES))
+    r4 = guessing_hits(tx, guessing_within, rejects, band_factor).withColumn(
+        "_tag", F.lit(EVENT_GUESSING))
+    j = base.unionByName(r3).unionByName(r4).join(bridge, "card_num")
+    by_filter = F.filter(F.array(F.when(passport_condition(), F.lit(EVENT_PASSPORT)),
+                                 F.when(account_condition(), F.lit(EVENT_ACCOUNT))),
+                         lambda x: x.isNotNull())
+    rules = F.when(F.col("_tag").isNull(), by_filter).otherwise(F.array(F.col("_tag")))
+    x = j.withColumn("_rule", F.explode(rules))
+    return _candidates(x, "trans_date", "trans_id", F.col("_rule"), report_dt)

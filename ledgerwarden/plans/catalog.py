@@ -204,7 +204,7 @@ def q_live_keys(spark, d):
 
 
 def q_transactions_clean(spark, d):
-    lines = format_transaction_lines(fx.transactions(spark, d, padded=True))
+    lines = format_transaction_lines(fx.transactions(spark, d, True))
     return clean_transactions(parse_transaction_lines(lines))
 
 

@@ -15,9 +15,12 @@ from pyspark.sql import SparkSession
 
 DEFAULTS = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Small stages (dimensions, per-bucket summaries) still get several tasks.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A partition is skewed when it is 4x the median and above 256 MB; AQE then
     # splits it (and replicates the other side's matching partition).
@@ -48,6 +51,9 @@ def build_session(master: str | None = None, app: str = "ledgerwarden",
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
         conf.setdefault("spark.driver.memory", "16g")
+        # Local mode: shuffle partitions = cores already, so coalescing small
+        # shuffles could only take parallelism away. Clusters keep it on.
+        conf["spark.sql.adaptive.coalescePartitions.enabled"] = "false"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

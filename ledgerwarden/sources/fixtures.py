@@ -1,120 +1,140 @@
 """The reference's feeds mapped onto the driver tables (FIXTURES.md section 3).
 
-Each view is a DataFrame derived from the parquet tables, so its size grows
-with the scale factor. The same mapping is written in SQL for the oracle.
+Each view is Spark SQL over the parquet tables (one parse per view instead of
+one JVM call per column expression), so its size grows with the scale factor.
+The DuckDB oracle uses the same mapping. DataFrames are lazy and immutable;
+they are memoised per session and directory so a plan is analysed once.
 """
 
 from __future__ import annotations
 
-import datetime as dt
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ledgerwarden.functions.columns import time_bucket  # noqa: F401  (re-export convenience)
-
 
+# Read schemas of the driver tables this package uses: given up front, the
+# reader skips the footer-inference job each ``spark.read.parquet`` runs.
+TABLE_SCHEMAS = {
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
+              "props STRING",
+}
+
+_MEMO: dict[tuple, DataFrame] = {}
+
+
+def _memo(fn):
+    @wraps(fn)
+    def inner(spark: SparkSession, sf_dir: str, *args):
+        key = (spark.sparkContext.applicationId, id(spark), fn.__name__, sf_dir, args)
+        df = _MEMO.get(key)
+        if df is None:
+            df = _MEMO[key] = fn(spark, sf_dir, *args)
+        return df
+    return inner
+
+
+@_memo
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _s(c) -> F.Column:
-    return F.col(c).cast("string")
-
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
-def _day(base: dt.date, offset) -> F.Column:
-    return F.date_add(F.lit(base), offset.cast("int"))
 
-
-JAN1 = dt.date(2024, 1, 1)
+def _sql(spark: SparkSession, sf_dir: str, text: str, *names: str) -> DataFrame:
+    return spark.sql(text, **{n: table(spark, sf_dir, n) for n in names})
 
 
+@_memo
 def terminals(spark, sf_dir) -> DataFrame:
-    s = table(spark, sf_dir, "supplier")
-    n = table(spark, sf_dir, "nation")
-    return (s.join(n, s.s_nationkey == n.n_nationkey)
-             .select(F.concat(F.lit("T"), _s("s_suppkey")).alias("terminal_id"),
-                     F.when(F.col("s_suppkey") % 2 == 0, "ATM").otherwise("POS").alias("terminal_type"),
-                     F.col("n_name").alias("terminal_city"),
-                     F.col("s_name").alias("terminal_address")))
+    return _sql(spark, sf_dir, """
+        SELECT 'T' || CAST(s_suppkey AS STRING) AS terminal_id,
+               CASE WHEN s_suppkey % 2 = 0 THEN 'ATM' ELSE 'POS' END AS terminal_type,
+               n_name AS terminal_city, s_name AS terminal_address
+        FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey""", "supplier", "nation")
 
 
+@_memo
 def transactions(spark, sf_dir, padded: bool = False) -> DataFrame:
     """Events as card transactions; ``padded=True`` gives the raw card number
     with a trailing blank on even ids (for trim behaviour)."""
-    e = table(spark, sf_dir, "events")
-    n_terminals = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1)).alias("n"))
-    et = F.col("event_type")
-    card = F.concat(F.lit("C"), _s("user_id"))
-    if padded:
-        card = F.concat(card, F.when(F.col("event_id") % 2 == 0, " ").otherwise(""))
-    # count(supplier) is one row: a broadcast of a single value.
-    return (e.crossJoin(F.broadcast(n_terminals))
-             .select(_s("event_id").alias("trans_id"), F.col("ts").alias("trans_date"),
-                     card.alias("card_num"),
-                     F.when(et == "purchase", "PAYMENT").when(et == "click", "WITHDRAW")
-                      .when(et == "view", "PAYMENT").otherwise("DEPOSIT").alias("oper_type"),
-                     F.col("value").cast("decimal(18,2)").alias("amt"),
-                     F.when(et == "purchase", "SUCCESS").otherwise("REJECT").alias("oper_result"),
-                     F.concat(F.lit("T"), (F.col("event_id") % F.col("n")).cast("string")).alias("terminal")))
-
-
+    pad = "|| CASE WHEN event_id % 2 = 0 THEN ' ' ELSE '' END" if padded else ""
+    return _sql(spark, sf_dir, f"""
+        SELECT CAST(event_id AS STRING) AS trans_id, ts AS trans_date,
+               'C' || CAST(user_id AS STRING) {pad} AS card_num,
+               CASE event_type WHEN 'purchase' THEN 'PAYMENT' WHEN 'click' THEN 'WITHDRAW'
+                               WHEN 'view' THEN 'PAYMENT' ELSE 'DEPOSIT' END AS oper_type,
+               CAST(value AS DECIMAL(18,2)) AS amt,
+               CASE WHEN event_type = 'purchase' THEN 'SUCCESS' ELSE 'REJECT' END AS oper_result,
+               'T' || CAST(event_id % (SELECT count(*) FROM {{supplier}}) AS STRING) AS terminal
+        FROM {{events}}""", "events", "supplier")
+
+
+@_memo
 def cards(spark, sf_dir) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
-    return c.select(F.concat(F.lit("C"), _s("c_custkey"), F.lit(" ")).alias("card_num"),
-                    F.concat(F.lit("A"), _s("c_custkey")).alias("account_num"))
+    return _sql(spark, sf_dir, """
+        SELECT 'C' || CAST(c_custkey AS STRING) || ' ' AS card_num,
+               'A' || CAST(c_custkey AS STRING) AS account_num
+        FROM {customer}""", "customer")
 
 
+@_memo
 def accounts(spark, sf_dir) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
-    return c.select(F.concat(F.lit("A"), _s("c_custkey")).alias("account_num"),
-                    _day(JAN1, F.col("c_custkey") % 45).alias("valid_to"),
-                    _s("c_custkey").alias("client"))
+    return _sql(spark, sf_dir, """
+        SELECT 'A' || CAST(c_custkey AS STRING) AS account_num,
+               date_add(DATE'2024-01-01', CAST(c_custkey % 45 AS INT)) AS valid_to,
+               CAST(c_custkey AS STRING) AS client
+        FROM {customer}""", "customer")
 
 
+@_memo
 def clients(spark, sf_dir) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
-    n = table(spark, sf_dir, "nation")
-    k = F.col("c_custkey")
-    return (c.join(n, c.c_nationkey == n.n_nationkey)
-             .select(_s("c_custkey").alias("client_id"), F.col("c_name").alias("last_name"),
-                     F.col("c_mktsegment").alias("first_name"),
-                     F.when(k % 11 == 0, F.lit(None)).otherwise(F.col("n_name")).alias("patronymic"),
-                     F.lit(None).cast("date").alias("date_of_birth"),
-                     F.concat(F.lit("P"), _s("c_custkey")).alias("passport_num"),
-                     F.when(k % 7 == 0, F.lit(None).cast("date"))
-                      .otherwise(_day(JAN1, k % 60)).alias("passport_valid_to"),
-                     F.concat(F.lit("+7"), _s("c_custkey")).alias("phone")))
-
-
+    return _sql(spark, sf_dir, """
+        SELECT CAST(c_custkey AS STRING) AS client_id, c_name AS last_name, c_mktsegment AS first_name,
+               CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE n_name END AS patronymic,
+               CAST(NULL AS DATE) AS date_of_birth,
+               'P' || CAST(c_custkey AS STRING) AS passport_num,
+               CASE WHEN c_custkey % 7 = 0 THEN NULL
+                    ELSE date_add(DATE'2024-01-01', CAST(c_custkey % 60 AS INT)) END AS passport_valid_to,
+               '+7' || CAST(c_custkey AS STRING) AS phone
+        FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey""", "customer", "nation")
+
+
+@_memo
 def blacklist(spark, sf_dir) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
-    return (c.where(F.col("c_custkey") % 10 == 0)
-             .select(F.concat(F.lit("P"), _s("c_custkey")).alias("passport_num"),
-                     _day(JAN1, F.col("c_custkey") % 20).alias("entry_dt")))
+    return _sql(spark, sf_dir, """
+        SELECT 'P' || CAST(c_custkey AS STRING) AS passport_num,
+               date_add(DATE'2024-01-01', CAST(c_custkey % 20 AS INT)) AS entry_dt
+        FROM {customer} WHERE c_custkey % 10 = 0""", "customer")
 
 
+@_memo
 def snapshot_prev(spark, sf_dir) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
-    return (c.where(F.col("c_custkey") % 13 != 0)
-             .select(F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("a"),
-                     F.when(F.col("c_custkey") % 6 == 0, F.lit(None))
-                      .otherwise(F.col("c_mktsegment")).alias("b")))
+    return _sql(spark, sf_dir, """
+        SELECT c_custkey AS k, c_nationkey AS a,
+               CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE c_mktsegment END AS b
+        FROM {customer} WHERE c_custkey % 13 <> 0""", "customer")
 
 
+@_memo
 def snapshot_cur(spark, sf_dir) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
-    return (c.where(F.col("c_custkey") % 17 != 0)
-             .select(F.col("c_custkey").alias("k"),
-                     F.when(F.col("c_custkey") % 5 == 0, F.col("c_nationkey") + 1)
-                      .otherwise(F.col("c_nationkey")).alias("a"),
-                     F.when(F.col("c_custkey") % 9 == 0, F.lit(None))
-                      .otherwise(F.col("c_mktsegment")).alias("b")))
+    return _sql(spark, sf_dir, """
+        SELECT c_custkey AS k,
+               CASE WHEN c_custkey % 5 = 0 THEN c_nationkey + 1 ELSE c_nationkey END AS a,
+               CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_mktsegment END AS b
+        FROM {customer} WHERE c_custkey % 17 <> 0""", "customer")
 
 
+@_memo
 def feed(spark, sf_dir) -> DataFrame:
     """Orders as a source table with audit columns."""
-    o = table(spark, sf_dir, "orders")
-    return o.select("o_orderkey", "o_custkey", F.col("o_orderdate").alias("create_dt"),
-                    F.when(F.col("o_orderkey") % 3 == 0, F.lit(None).cast("timestamp_ntz"))
-                     .otherwise(F.col("o_orderdate") + F.expr("INTERVAL '1' DAY")).alias("update_dt"))
+    return _sql(spark, sf_dir, """
+        SELECT o_orderkey, o_custkey, o_orderdate AS create_dt,
+               CASE WHEN o_orderkey % 3 = 0 THEN CAST(NULL AS TIMESTAMP_NTZ)
+                    ELSE o_orderdate + INTERVAL '1' DAY END AS update_dt
+        FROM {orders}""", "orders")
