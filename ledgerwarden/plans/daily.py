@@ -62,7 +62,7 @@ def _dim_rows(name: str, src: DataFrame) -> DataFrame:
     out = src
     for a, b in spec["rename"].items():
         out = out.withColumnRenamed(a, b)
-    if name == "clients":
+    if "phone" in out.columns:
         out = out.withColumn("phone", F.rtrim("phone"))   # char(16) -> varchar
     return out
 

@@ -34,9 +34,10 @@ def parse_transaction_lines(lines: DataFrame, col: str = "value", sep: str = TX_
     return lines.select(parsed.alias("r")).select("r.*")
 
 
-def clean_transactions(raw: DataFrame) -> DataFrame:
+def clean_transactions(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Raw string columns -> fact schema: ids and card numbers trimmed, time
-    typed, amount's decimal comma turned into a point (bad amounts -> NULL)."""
+    typed, amount's decimal comma turned into a point (bad amounts -> NULL).
+    ``keep`` columns pass through unchanged after the fact columns."""
     return raw.select(
         F.trim("transaction_id").alias("trans_id"),
         F.to_timestamp_ntz(F.trim("transaction_date")).alias("trans_date"),
@@ -44,7 +45,8 @@ def clean_transactions(raw: DataFrame) -> DataFrame:
         F.trim("oper_type").alias("oper_type"),
         clean_amount(F.trim("amount")).alias("amt"),
         F.trim("oper_result").alias("oper_result"),
-        F.trim("terminal").alias("terminal"))
+        F.trim("terminal").alias("terminal"),
+        *(keep or []))
 
 
 def format_transaction_lines(tx: DataFrame, sep: str = TX_SEP) -> DataFrame:
