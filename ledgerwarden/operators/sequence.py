@@ -22,6 +22,8 @@ task, and AQE does not split window partitions. Two exact alternatives:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,11 +70,21 @@ def neighbors(df: DataFrame, keys: list[str], order: list[str], payload: list[st
     """Add ``_prev`` / ``_next``: struct(order..., payload...) of the adjacent row per key.
 
     ``bucket`` must be monotone in ``order`` (e.g. a coarse time bucket of the
-    first order column). Also keeps the ``_bk`` column so that a second call
-    with the same bucket on a filtered result reuses the partitioning.
+    first order column). The rows are shuffled once by ``(key, bucket)``; the
+    per-bucket summary and the final window both read that one exchange. If
+    ``df`` already has ``_bk`` (a previous call's output, filtered), its
+    partitioning is reused and only the small summary moves.
     """
     rec = F.struct(*[F.col(c) for c in order + payload])
-    d = df if BUCKET in df.columns else df.withColumn(BUCKET, bucket)
+    if BUCKET in df.columns:
+        d = df
+    else:
+        # NULL keys/buckets are filtered here, before the exchange, so that
+        # the join's inferred not-null filters leave both readers of the
+        # exchange identical (one shuffle, reused).
+        d = (df.withColumn(BUCKET, bucket)
+               .where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, BUCKET]]))
+               .repartition(*keys, BUCKET))
     aggs = []
     if prev:
         aggs.append(F.max(rec).alias("_last"))
@@ -120,7 +132,9 @@ def asof_carry(events: DataFrame, versions: DataFrame, keys: list[str], t: str,
     e = events.select(*keys, F.col(t).alias("_t"), F.lit(1).alias("_side"),
                       time_bucket(t, tdt, bucket_seconds).alias(BUCKET),
                       F.lit(None).cast(vtype).alias("_v"), F.struct(*[F.col(c) for c in ev_cols]).alias("_e"))
-    u = v.unionByName(e)
+    u = (v.unionByName(e)
+          .where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, BUCKET]]))
+          .repartition(*keys, BUCKET))   # the one big shuffle, read by summary and join
     summ = u.groupBy(*keys, BUCKET).agg(F.max("_v").alias("_last"))
     ws = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     summ = summ.select(*keys, BUCKET, F.last("_last", ignorenulls=True).over(ws).alias("_carry"))
