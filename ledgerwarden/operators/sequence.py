@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerwarden.functions.columns import epoch_micros, interval_seconds, time_bucket
+from ledgerwarden.functions.columns import epoch_micros, interval_seconds, time_bucket  # noqa: F401
 
 BAND = "_band"
 GHOST = "_ghost"
@@ -46,10 +46,11 @@ def banded(df: DataFrame, ts: str, span, direction: str, factor: int = 6) -> Dat
         raise ValueError("direction must be 'lag' or 'lead'")
     span_us = int(round(interval_seconds(span) * 1_000_000))
     width_us = span_us * max(int(factor), 1)
-    dtype = df.schema[ts].dataType
-    us = epoch_micros(ts, dtype)
-    band = time_bucket(ts, dtype, width_us / 1_000_000)
-    offset = us - band * F.lit(width_us)
+    # epoch micros computed once per row (a column, so it is not re-inlined)
+    d = df.withColumn("_us", epoch_micros(ts, df.schema[ts].dataType))
+    us, w = F.col("_us"), F.lit(width_us)
+    offset = F.pmod(us, w)
+    band = ((us - offset) / w).cast("long")
     if direction == "lag":
         ghost_band = F.when(offset >= F.lit(width_us - span_us), band + 1)
     else:
@@ -59,10 +60,8 @@ def banded(df: DataFrame, ts: str, span, direction: str, factor: int = 6) -> Dat
         F.array(F.struct(band.alias("b"), F.lit(False).alias("g")),
                 F.struct(ghost_band.alias("b"), F.lit(True).alias("g"))),
         lambda x: x["b"].isNotNull())
-    return (df.withColumn("_bg", F.explode(pair))
-              .withColumn(BAND, F.col("_bg.b"))
-              .withColumn(GHOST, F.col("_bg.g"))
-              .drop("_bg"))
+    out = d.withColumn("_bg", F.explode(pair))
+    return out.select(*[c for c in df.columns], F.col("_bg.b").alias(BAND), F.col("_bg.g").alias(GHOST))
 
 
 def neighbors(df: DataFrame, keys: list[str], order: list[str], payload: list[str],

@@ -1,17 +1,21 @@
 """Broadcast only behind a size check.
 
-``F.broadcast`` forces a broadcast whatever the size; here the optimizer's
-estimate of the plan is checked first and the hint is added only under a
-bound. Above it the join stays a shuffle join (and AQE may still broadcast
-from measured sizes, or split skewed partitions).
+``F.broadcast`` forces a broadcast whatever the size; here a side is hinted
+only when its size is bounded: first by Catalyst's estimate, and when that is
+inconclusive (join estimates multiply sizes) by measuring it -- one small
+aggregate gives the row count and the longest value of every variable-width
+column, i.e. an upper bound of the broadcast size. Above the bound the join
+stays a shuffle join (AQE may still convert it, and splits skewed partitions).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+_ROW_OVERHEAD = 24
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -23,9 +27,22 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast when the estimate is known and below ``max_bytes``."""
+def measured_bytes(df: DataFrame) -> int:
+    """Upper bound of ``df``'s in-memory size from one aggregate job."""
+    var = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    fixed = sum(f.dataType.defaultSize() for f in df.schema.fields if f.name not in var)
+    row = df.agg(F.count(F.lit(1)).alias("n"),
+                 *[F.max(F.length(c)).alias(f"m{i}") for i, c in enumerate(var)]).first()
+    widest = sum((row[f"m{i}"] or 0) for i in range(len(var)))
+    return int(row["n"]) * (fixed + widest + _ROW_OVERHEAD)
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+                       measure: bool = True) -> DataFrame:
+    """Hint a broadcast when the size is known to be at most ``max_bytes``."""
     size = estimated_bytes(df)
     if size is not None and size <= max_bytes:
         return F.broadcast(df)
+    if measure and measured_bytes(df) <= max_bytes:
+        return F.broadcast(df)
     return df
