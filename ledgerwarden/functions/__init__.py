@@ -9,11 +9,14 @@ from ledgerwarden.functions.columns import (
     interval_seconds,
     is_open,
     mod_time,
+    date_lit,
+    ntz_lit,
     time_bucket,
+    typed_lit,
     within,
 )
 
 __all__ = [
     "changed", "clean_amount", "epoch_micros", "far_future", "full_name", "interval_seconds",
-    "is_open", "mod_time", "time_bucket", "within",
+    "is_open", "mod_time", "time_bucket", "within", "ntz_lit", "date_lit", "typed_lit",
 ]

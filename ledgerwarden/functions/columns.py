@@ -42,9 +42,35 @@ def within(later: str | Column, earlier: str | Column, span) -> Column:
         F.lit(0), F.lit(0), F.lit(0), F.lit(micros / 1_000_000).cast("decimal(18,6)"))
 
 
+def ntz_lit(value: dt.datetime | dt.date | str) -> Column:
+    """A zone-free ``timestamp_ntz`` literal (a Python datetime literal would
+    pass through the Python process's and the session's time zones)."""
+    if isinstance(value, dt.datetime):
+        value = value.isoformat(sep=" ")
+    elif isinstance(value, dt.date):
+        value = f"{value.isoformat()} 00:00:00"
+    return F.expr(f"TIMESTAMP_NTZ'{value}'")
+
+
+def date_lit(value: dt.date | str) -> Column:
+    """A ``date`` literal."""
+    if isinstance(value, dt.datetime):
+        value = value.date()
+    return F.expr(f"DATE'{value.isoformat() if isinstance(value, dt.date) else value}'")
+
+
+def typed_lit(value, dtype: T.DataType) -> Column:
+    """``value`` as a literal of ``dtype`` (zone-free for timestamps and dates)."""
+    if isinstance(dtype, T.TimestampNTZType) and isinstance(value, (dt.datetime, dt.date, str)):
+        return ntz_lit(value)
+    if isinstance(dtype, T.DateType) and isinstance(value, (dt.date, str)):
+        return date_lit(value)
+    return F.lit(value).cast(dtype)
+
+
 def far_future() -> Column:
     """The open end of a version, ``9999-12-31 00:00:00``."""
-    return F.lit(FAR_FUTURE).cast(T.TimestampNTZType())
+    return ntz_lit(FAR_FUTURE)
 
 
 def is_open(effective_to: str = "effective_to") -> Column:
@@ -87,8 +113,7 @@ def epoch_micros(c: str | Column, dtype: T.DataType) -> Column:
     zone; ``timestamp`` uses the instant.
     """
     if isinstance(dtype, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.lit(dt.datetime(1970, 1, 1)).cast(T.TimestampNTZType()),
-                               _col(c))
+        return F.timestamp_diff("MICROSECOND", ntz_lit("1970-01-01 00:00:00"), _col(c))
     return F.unix_micros(_col(c).cast(T.TimestampType()))
 
 

@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerwarden.functions.columns import date_lit
 from ledgerwarden.functions.columns import within as within_span
 from ledgerwarden.operators.sequence import BAND, GHOST, banded
 from ledgerwarden.operators.sizing import broadcast_if_small
@@ -45,7 +46,7 @@ def _candidates(df: DataFrame, event_dt: str, trans_id: str, event_type: Column
                 report_dt: dt.date) -> DataFrame:
     et = F.lit(event_type) if isinstance(event_type, str) else event_type
     return df.select(F.col(event_dt).alias("event_dt"), "passport", "fio", "phone",
-                     et.alias("event_type"), F.lit(report_dt).cast("date").alias("report_dt"),
+                     et.alias("event_type"), date_lit(report_dt).alias("report_dt"),
                      F.col(trans_id).alias("_trans_id"))
 
 
@@ -98,11 +99,10 @@ def cities_hits(tx: DataFrame, terminals: DataFrame, within="1 hour", terminal_m
     x = _tx(tx, "trans_id", "trans_date", "card_num", "terminal").join(
         broadcast_if_small(term), "terminal")
     aug = banded(x, "trans_date", within, "lead", band_factor)
-    w = Window.partitionBy("card_num", BAND).orderBy("trans_date", "trans_id", "terminal_city")
-    y = aug.select("card_num", "trans_date", "terminal_city", GHOST,
-                   F.lead("terminal_city").over(w).alias("lead_city"),
-                   F.lead("trans_date").over(w).alias("lead_time"),
-                   F.lead("trans_id").over(w).alias("lead_id"))
+    w = f"OVER (PARTITION BY card_num, {BAND} ORDER BY trans_date, trans_id, terminal_city)"
+    y = aug.selectExpr("card_num", "trans_date", "terminal_city", GHOST,
+                       f"lead(terminal_city) {w} AS lead_city", f"lead(trans_date) {w} AS lead_time",
+                       f"lead(trans_id) {w} AS lead_id")
     hits = y.where(~F.col(GHOST) & (F.col("terminal_city") != F.col("lead_city"))
                    & within_span("lead_time", "trans_date", within))
     return hits.select("card_num", F.col("lead_time").alias("trans_date"),
@@ -118,19 +118,17 @@ def guessing_hits(tx: DataFrame, within="20 minutes", rejects: int = 3,
     x = (_tx(tx, "trans_id", "trans_date", "card_num", "oper_type", "amt", "oper_result")
          .where(F.col("oper_type").isin(OPER_WITHDRAW, OPER_PAYMENT)))
     aug = banded(x, "trans_date", within, "lag", band_factor)
-    w = Window.partitionBy("card_num", BAND).orderBy("trans_date", "trans_id")
-    lags = [F.lag("trans_date", rejects).over(w).alias("first_time")]
+    w = f"OVER (PARTITION BY card_num, {BAND} ORDER BY trans_date, trans_id)"
+    lags = [f"lag(trans_date, {rejects}) {w} AS first_time"]
+    conds = [f"NOT {GHOST}", f"oper_result = '{RESULT_SUCCESS}'", "amt_1 > amt"]
     for k in range(1, rejects + 1):
-        lags += [F.lag("amt", k).over(w).alias(f"amt_{k}"),
-                 F.lag("oper_result", k).over(w).alias(f"res_{k}")]
-    y = aug.select("card_num", "trans_id", "trans_date", "amt", "oper_result", GHOST, *lags)
-    conds = [~F.col(GHOST), F.col("oper_result") == F.lit(RESULT_SUCCESS),
-             F.col("amt_1") > F.col("amt"), within_span("trans_date", "first_time", within)]
-    for k in range(1, rejects + 1):
-        conds.append(F.col(f"res_{k}") == F.lit(RESULT_REJECT))
+        lags += [f"lag(amt, {k}) {w} AS amt_{k}", f"lag(oper_result, {k}) {w} AS res_{k}"]
+        conds.append(f"res_{k} = '{RESULT_REJECT}'")
         if k > 1:
-            conds.append(F.col(f"amt_{k}") > F.col(f"amt_{k - 1}"))
-    return y.where(reduce(lambda a, b: a & b, conds)).select("card_num", "trans_date", "trans_id")
+            conds.append(f"amt_{k} > amt_{k - 1}")
+    y = aug.selectExpr("card_num", "trans_id", "trans_date", "amt", "oper_result", GHOST, *lags)
+    hits = y.where(" AND ".join(conds)).where(within_span("trans_date", "first_time", within))
+    return hits.select("card_num", "trans_date", "trans_id")
 
 
 def rule_cities(tx: DataFrame, terminals: DataFrame, bridge: DataFrame, within="1 hour",

@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerwarden.functions.columns import far_future, interval_seconds, is_open, time_bucket
+from ledgerwarden.functions.columns import far_future, interval_seconds, is_open, ntz_lit, time_bucket
 from ledgerwarden.operators.sequence import BUCKET, asof_carry, neighbors
 from ledgerwarden.operators.sizing import broadcast_if_small
 from ledgerwarden.schemas import FLAG_DELETED, FLAG_LIVE
@@ -43,7 +43,7 @@ def _span(unit) -> Column:
 def _ts(value) -> Column:
     if isinstance(value, Column):
         return value.cast("timestamp_ntz")
-    return F.lit(value).cast("timestamp_ntz")
+    return ntz_lit(value)
 
 
 def _not_null(keys: list[str]) -> Column:

@@ -27,13 +27,32 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def _fixed_width(t: T.DataType) -> int:
+    if isinstance(t, (T.BooleanType, T.ByteType)):
+        return 1
+    if isinstance(t, (T.ShortType,)):
+        return 2
+    if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(t, T.DecimalType):
+        return 8 if t.precision <= 18 else 16
+    return 8   # long, double, timestamps, intervals
+
+
 def measured_bytes(df: DataFrame) -> int:
-    """Upper bound of ``df``'s in-memory size from one aggregate job."""
-    var = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    fixed = sum(f.dataType.defaultSize() for f in df.schema.fields if f.name not in var)
+    """Upper bound of ``df``'s in-memory size from one aggregate job.
+
+    Variable-width columns (strings, binary) count with their longest value;
+    nested columns are measured through their JSON text.
+    """
+    fields = df.schema.fields
+    var = [f.name for f in fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    nested = [f.name for f in fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+    fixed = sum(_fixed_width(f.dataType) for f in fields if f.name not in var and f.name not in nested)
+    var_len = [F.length(c) for c in var] + [F.length(F.to_json(c)) for c in nested]
     row = df.agg(F.count(F.lit(1)).alias("n"),
-                 *[F.max(F.length(c)).alias(f"m{i}") for i, c in enumerate(var)]).first()
-    widest = sum((row[f"m{i}"] or 0) for i in range(len(var)))
+                 *[F.max(e).alias(f"m{i}") for i, e in enumerate(var_len)]).first()
+    widest = sum((row[f"m{i}"] or 0) for i in range(len(var_len)))
     return int(row["n"]) * (fixed + widest + _ROW_OVERHEAD)
 
 

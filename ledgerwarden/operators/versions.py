@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwarden.functions.columns import is_current, is_open
+from ledgerwarden.functions.columns import is_current, is_open, ntz_lit
 from ledgerwarden.schemas import FLAG_LIVE
 
 MODES = ("all", "current", "live", "as_of")
@@ -33,7 +33,7 @@ def resolve(hist: DataFrame, mode: str = "all", at: dt.datetime | None = None) -
         return hist.where(F.col("delete_flg") == F.lit(FLAG_LIVE))
     if at is None:
         raise ValueError("as_of needs a time")
-    ts = F.lit(at).cast("timestamp_ntz")
+    ts = ntz_lit(at)
     return hist.where((F.col("effective_from") <= ts)
                       & ((F.col("effective_to") >= ts) | is_open())
                       & (F.col("delete_flg") == F.lit(FLAG_LIVE)))

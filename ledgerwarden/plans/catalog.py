@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwarden.functions.columns import is_open
+from ledgerwarden.functions.columns import date_lit, is_open, ntz_lit
 from ledgerwarden.operators import scd2
 from ledgerwarden.operators.facts import append_new
 from ledgerwarden.operators.keys import keys_absent
@@ -92,7 +92,7 @@ def q_fraud_report(spark, d):
 def q_report_next_day(spark, d):
     tx = fx.transactions(spark, d)
     term, br = fx.terminals(spark, d), _bridge(spark, d)
-    cut = F.lit(REPORT_CUT).cast("timestamp_ntz")
+    cut = ntz_lit(REPORT_CUT)
     prior = fraud_report(tx.where(F.col("trans_date") < cut), term, br, report_dt=REPORT_DT,
                          guessing_within="3 days")
     return fraud_report(tx, term, br, prior=prior, report_dt=REPORT_DT + dt.timedelta(days=1),
@@ -130,7 +130,7 @@ def q_scd2_merge_cdc(spark, d):
     hist = scd2.initial_history(c.where(k % 13 != 0), ["c_custkey"], ["c_nationkey"], T0)
     changes = c.where((k % 3 == 0) & (k % 17 != 0)).select(
         "c_custkey", (F.col("c_nationkey") + k % 2).alias("c_nationkey"),
-        F.lit(CDC_CHANGE_TS).cast("timestamp_ntz").alias("mod_dt"))
+        ntz_lit(CDC_CHANGE_TS).alias("mod_dt"))
     live = c.where(k % 17 != 0).select("c_custkey")
     h = scd2.scd2_merge(hist, changes, ["c_custkey"], ["c_nationkey"], "mod_dt", live, CDC_RUN_TS)
     return shown(h)
@@ -222,7 +222,7 @@ def q_feed_pick(spark, d):
 
 def q_blacklist_append(spark, d):
     bl = fx.blacklist(spark, d)
-    fact = bl.where(F.col("entry_dt") < F.lit(BLACKLIST_KNOWN_BEFORE))
+    fact = bl.where(F.col("entry_dt") < date_lit(BLACKLIST_KNOWN_BEFORE))
     return append_new(fact, bl, "passport_num", "entry_dt")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwarden.functions.columns import mod_time
+from ledgerwarden.functions.columns import mod_time, typed_lit
 
 
 def extract_increment(src: DataFrame, watermark, columns: list[str], update_dt: str = "update_dt",
@@ -16,7 +16,7 @@ def extract_increment(src: DataFrame, watermark, columns: list[str], update_dt:
     that it reaches the scan: Parquet and JDBC both get ``PushedFilters``.
     Rows with both audit times NULL are never taken.
     """
-    wm = F.lit(watermark).cast(src.schema[create_dt].dataType)
+    wm = typed_lit(watermark, src.schema[create_dt].dataType)
     pred = ((F.col(update_dt).isNull() & (F.col(create_dt) > wm))
             | (F.col(update_dt).isNotNull() & (F.col(update_dt) > wm)))
     out = src.where(pred).select(*columns, mod_time(update_dt, create_dt).alias("mod_dt"))
@@ -35,5 +35,5 @@ def live_keys(src: DataFrame, keys: list[str], rename: dict[str, str] | None = N
 
 def watermark_advance(stage: DataFrame, old, col: str = "mod_dt") -> DataFrame:
     """``coalesce(max(stage.mod_dt), old)`` as one row ``max_update_dt``."""
-    return stage.agg(F.coalesce(F.max(col), F.lit(old).cast(stage.schema[col].dataType))
+    return stage.agg(F.coalesce(F.max(col), typed_lit(old, stage.schema[col].dataType))
                      .alias("max_update_dt"))
