@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerwarden.operators.facts import append_new, append_unique
@@ -24,7 +24,7 @@ from ledgerwarden.schemas import (
     REPORT,
     TRANSACTIONS_FACT,
 )
-from ledgerwarden.sources.extract import extract_increment, live_keys, watermark_advance
+from ledgerwarden.sources.extract import extract_increment, live_keys
 
 CDC_SOURCES = {
     "cards": ["card_num", "account"],
@@ -87,12 +87,15 @@ def run_day(wh: Warehouse, feeds: DayFeeds, run_ts: dt.datetime,
             continue
         spec = DIMENSIONS[name]
         wm = dt.datetime.fromisoformat(prev.watermarks[name])
-        changes = _dim_rows(name, extract_increment(src, wm, cols))
+        # D6 without an extra job: max(mod_dt) is observed while the merge is written.
+        seen = Observation(f"watermark_{name}")
+        changes = _dim_rows(name, extract_increment(src, wm, cols)).observe(
+            seen, F.max("mod_dt").alias("max_mod_dt"))
         keys = _dim_rows(name, live_keys(src, [cols[0]]))
         opened = wh.open_rows(prev, name, spec["hist"])
         delta = scd2_cdc_delta(opened, changes, spec["key"], spec["tracked"], "mod_dt", keys, run_ts)
         wh.write_history_delta(m, name, delta)
-        new_wm = watermark_advance(changes, wm).first()[0]
+        new_wm = seen.get.get("max_mod_dt") or wm
         m.watermarks[name] = new_wm.isoformat(sep=" ")
 
     if feeds.terminals is not None:

@@ -41,6 +41,8 @@ def test_two_days(spark, scratch):
     m2 = run_day(wh, feeds(spark, tx.where(F.col("trans_date") >= F.lit(CUT)), ["transactions_30012024.txt"]),
                  RUN2, opt)
     assert (m1.run_id, m2.run_id) == (1, 2)
+    assert m1.watermarks["cards"] == "2023-12-01 00:00:00"      # max modification time seen
+    assert m2.watermarks["cards"] == "2023-12-01 00:00:00"      # nothing new: unchanged
     assert m2.report_date == "2021-03-03"
     # Unchanged dimensions: no new versions on day 2.
     assert wh.history(m2, "cards", __import__("ledgerwarden.schemas", fromlist=["x"]).CARDS_HIST).count() == \
