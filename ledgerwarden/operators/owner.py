@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwarden.functions.columns import full_name
-from ledgerwarden.operators.versions import resolve
+from ledgerwarden.operators.sequence import asof_carry
+from ledgerwarden.operators.versions import resolve, validity
 
 BRIDGE_COLUMNS = ["card_num", "account_num", "valid_to", "client_id", "passport",
                   "passport_valid_to", "fio", "phone", "blacklisted_from"]
@@ -30,8 +31,11 @@ def owner_bridge(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
     """One row per (card version, account version, client version) chain.
 
     ``mode`` is passed to ``resolve`` for each history: ``all`` reproduces the
-    reference (every version joins, Q6), ``current`` gives one owner per card.
+    reference (every version joins, Q6), ``current`` gives one owner per card,
+    ``as_of`` returns an ``OwnerAsOf`` that resolves owners at transaction time.
     """
+    if mode == "as_of":
+        return OwnerAsOf(cards, accounts, clients, blacklist)
     c = resolve(cards, mode).select(F.trim("card_num").alias("card_num"), "account_num")
     a = resolve(accounts, mode).select("account_num", "valid_to", "client")
     cl = resolve(clients, mode).select(
@@ -47,3 +51,54 @@ def owner_bridge(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
     else:
         bridge = bridge.withColumn("blacklisted_from", F.lit(None).cast("date"))
     return bridge.select(*BRIDGE_COLUMNS)
+
+
+def _lookup(events: DataFrame, versions: DataFrame, key: str, t: str, payload: list[str],
+            bucket_seconds: float) -> DataFrame:
+    """Events joined to the version of ``key`` valid at ``events[t]`` (inner)."""
+    got = asof_carry(events, versions, [key], t, "_valid_from", ["_valid_until"], payload, bucket_seconds)
+    ok = F.col("_ver").isNotNull() & (F.col(t) < F.col("_ver._valid_until"))
+    return got.where(ok).select(*events.columns, *[F.col(f"_ver.{c}").alias(c) for c in payload])
+
+
+class OwnerAsOf:
+    """Owner chain resolved at each transaction's time (``mode='as_of'``).
+
+    Three linear as-of lookups -- card version, then its account's version,
+    then the client's version valid at ``trans_date`` -- each one shuffle of
+    the transactions by (key, day bucket); versions of one key are never
+    paired with each other, and a hot card or account is spread over buckets.
+    """
+
+    def __init__(self, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
+                 blacklist: DataFrame | None = None, unit="1 second", extend_first: bool = False,
+                 bucket_seconds: float = 86400.0):
+        self.cards = validity(cards.withColumn("card_num", F.trim("card_num")), ["card_num"], unit,
+                              extend_first).select("card_num", "_valid_from", "_valid_until", "account_num")
+        self.accounts = validity(accounts, ["account_num"], unit, extend_first).select(
+            "account_num", "_valid_from", "_valid_until", "valid_to", F.col("client").alias("client_id"))
+        self.clients = validity(clients, ["client_id"], unit, extend_first).select(
+            "client_id", "_valid_from", "_valid_until", F.col("passport_num").alias("passport"),
+            "passport_valid_to", full_name("last_name", "first_name", "patronymic").alias("fio"), "phone")
+        self.blacklist = blacklist_first_entry(blacklist) if blacklist is not None else None
+        self.bucket = bucket_seconds
+
+    def attach(self, events: DataFrame, t: str = "trans_date") -> DataFrame:
+        """``events`` (with ``card_num`` and ``t``) plus the owner columns of BRIDGE_COLUMNS."""
+        x = _lookup(events, self.cards, "card_num", t, ["account_num"], self.bucket)
+        x = _lookup(x, self.accounts, "account_num", t, ["valid_to", "client_id"], self.bucket)
+        x = _lookup(x, self.clients, "client_id", t,
+                    ["passport", "passport_valid_to", "fio", "phone"], self.bucket)
+        if self.blacklist is not None:
+            x = x.join(self.blacklist, F.col("passport") == F.col("passport_num"), "left").drop("passport_num")
+        else:
+            x = x.withColumn("blacklisted_from", F.lit(None).cast("date"))
+        return x
+
+
+def attach_owner(events: DataFrame, bridge, t: str = "trans_date") -> DataFrame:
+    """Join events to owners: an equi-join on the card for a bridge DataFrame
+    (modes all/current), an as-of lookup for ``OwnerAsOf``."""
+    if isinstance(bridge, OwnerAsOf):
+        return bridge.attach(events, t)
+    return events.join(bridge, "card_num")

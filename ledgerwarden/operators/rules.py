@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 
 from ledgerwarden.functions.columns import date_lit
 from ledgerwarden.functions.columns import within as within_span
-from ledgerwarden.operators.sequence import BAND, GHOST, banded
+from ledgerwarden.operators.owner import attach_owner
+from ledgerwarden.operators.sequence import BAND, GHOST, asof_carry, banded
 from ledgerwarden.operators.sizing import broadcast_if_small
-from ledgerwarden.operators.versions import resolve
+from ledgerwarden.operators.versions import resolve, validity
 from ledgerwarden.schemas import (
     EVENT_ACCOUNT,
     EVENT_CITIES,
@@ -64,7 +65,7 @@ def account_condition() -> Column:
 def with_owner(tx: DataFrame, bridge: DataFrame) -> DataFrame:
     """Transactions joined to the bridge on the trimmed card (inner, all matches)."""
     t = _tx(tx, "trans_id", "trans_date", "card_num")
-    return t.join(bridge, "card_num")
+    return attach_owner(t, bridge)
 
 
 def rule_passport(tx: DataFrame, bridge: DataFrame, report_dt: dt.date = SEED_REPORT_DATE) -> DataFrame:
@@ -94,10 +95,19 @@ def cities_hits(tx: DataFrame, terminals: DataFrame, within="1 hour", terminal_m
     """Rule 3 without owners: ``card_num, trans_date, trans_id`` of each later
     transaction whose predecessor (among transactions at a known terminal) is
     in another city at most ``within`` before."""
-    term = resolve(terminals, terminal_mode).select(F.col("terminal_id").alias("terminal"),
-                                                    "terminal_city")
-    x = _tx(tx, "trans_id", "trans_date", "card_num", "terminal").join(
-        broadcast_if_small(term), "terminal")
+    t = _tx(tx, "trans_id", "trans_date", "card_num", "terminal")
+    if terminal_mode == "as_of":
+        # the terminal's city at the transaction time; first version reaches back
+        v = validity(terminals, ["terminal_id"], extend_first=True).select(
+            F.col("terminal_id").alias("terminal"), "_valid_from", "_valid_until", "terminal_city")
+        got = asof_carry(t, v, ["terminal"], "trans_date", "_valid_from", ["_valid_until"],
+                         ["terminal_city"], 86400.0)
+        x = got.where(F.col("_ver").isNotNull() & (F.col("trans_date") < F.col("_ver._valid_until"))) \
+               .select(*t.columns, F.col("_ver.terminal_city").alias("terminal_city"))
+    else:
+        term = resolve(terminals, terminal_mode).select(F.col("terminal_id").alias("terminal"),
+                                                        "terminal_city")
+        x = t.join(broadcast_if_small(term), "terminal")
     aug = banded(x, "trans_date", within, "lead", band_factor)
     w = f"OVER (PARTITION BY card_num, {BAND} ORDER BY trans_date, trans_id, terminal_city)"
     y = aug.selectExpr("card_num", "trans_date", "terminal_city", GHOST,
@@ -135,14 +145,14 @@ def rule_cities(tx: DataFrame, terminals: DataFrame, bridge: DataFrame, within="
                 report_dt: dt.date = SEED_REPORT_DATE, terminal_mode: str = "all",
                 band_factor: int = 6) -> DataFrame:
     """Different cities within ``within``; the event is the later transaction."""
-    z = cities_hits(tx, terminals, within, terminal_mode, band_factor).join(bridge, "card_num")
+    z = attach_owner(cities_hits(tx, terminals, within, terminal_mode, band_factor), bridge)
     return _candidates(z, "trans_date", "trans_id", EVENT_CITIES, report_dt)
 
 
 def rule_guessing(tx: DataFrame, bridge: DataFrame, within="20 minutes", rejects: int = 3,
                   report_dt: dt.date = SEED_REPORT_DATE, band_factor: int = 6) -> DataFrame:
     """Amount guessing; the event is the successful transaction."""
-    z = guessing_hits(tx, within, rejects, band_factor).join(bridge, "card_num")
+    z = attach_owner(guessing_hits(tx, within, rejects, band_factor), bridge)
     return _candidates(z, "trans_date", "trans_id", EVENT_GUESSING, report_dt)
 
 
@@ -161,7 +171,7 @@ def all_rules(tx: DataFrame, terminals: DataFrame, bridge: DataFrame,
         "_tag", F.lit(EVENT_CITIES))
     r4 = guessing_hits(tx, guessing_within, rejects, band_factor).withColumn(
         "_tag", F.lit(EVENT_GUESSING))
-    j = base.unionByName(r3).unionByName(r4).join(bridge, "card_num")
+    j = attach_owner(base.unionByName(r3).unionByName(r4), bridge)
     by_filter = F.filter(F.array(F.when(passport_condition(), F.lit(EVENT_PASSPORT)),
                                  F.when(account_condition(), F.lit(EVENT_ACCOUNT))),
                          lambda x: x.isNotNull())

@@ -40,6 +40,8 @@ EXTRACT_WATERMARK = dt.datetime(2000, 1, 1)
 BLACKLIST_KNOWN_BEFORE = dt.date(2024, 1, 11)
 REPORT_CUT = dt.datetime(2024, 1, 16)
 AS_OF_LAG_DAYS = 90
+PHONE_CHANGE = dt.datetime(2024, 1, 15)          # a quarter of the clients change phone
+TERMINALS_LOADED = dt.datetime(2024, 1, 15)      # terminals first loaded mid-month
 FEED_WORDS = ["transactions", "terminals", "blacklist"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +101,27 @@ def q_report_next_day(spark, d):
                         guessing_within="3 days")
 
 
+def _client_history(spark, d):
+    """Clients with two versions where ``c_custkey % 4 = 0``: the phone changes."""
+    cl = fx.clients(spark, d)
+    tracked = [c for c in cl.columns if c != "client_id"]
+    changes = (cl.where(F.col("client_id").cast("long") % 4 == 0)
+                 .withColumn("phone", F.concat(F.lit("+8"), F.col("client_id")))
+                 .withColumn("mod_dt", ntz_lit(PHONE_CHANGE)))
+    hist = scd2.initial_history(cl, ["client_id"], tracked, T0)
+    return scd2.scd2_merge(hist, changes, ["client_id"], tracked, "mod_dt")
+
+
+def q_fraud_report_as_of(spark, d):
+    cards = scd2.initial_history(fx.cards(spark, d), ["card_num"], ["account_num"], T0)
+    accounts = scd2.initial_history(fx.accounts(spark, d), ["account_num"], ["valid_to", "client"], T0)
+    terms = scd2.initial_history(fx.terminals(spark, d), ["terminal_id"],
+                                 ["terminal_type", "terminal_city", "terminal_address"], TERMINALS_LOADED)
+    owners = owner_bridge(cards, accounts, _client_history(spark, d), fx.blacklist(spark, d), mode="as_of")
+    return fraud_report(fx.transactions(spark, d), terms, owners, report_dt=REPORT_DT,
+                        guessing_within="3 days", terminal_mode="as_of")
+
+
 # ----------------------------------------------------------------------------- SCD2
 
 def _prev_hist(spark, d):
@@ -229,6 +252,7 @@ def q_blacklist_append(spark, d):
 QUERIES: dict[str, Query] = {
     "fraud_report": q_fraud_report,
     "report_next_day": q_report_next_day,
+    "fraud_report_as_of": q_fraud_report_as_of,
     "rule_passport": q_rule_passport,
     "rule_account": q_rule_account,
     "rule_cities": q_rule_cities,

@@ -45,22 +45,30 @@ owner AS (SELECT trim(c.card_num) card_num, a.account_num, a.valid_to, cl.client
 """
 
 
-def _rules(tx: str, suffix: str, guess_within: str, report_dt: str) -> str:
-    """CTEs r1..r4 (reference rule SQL) over transaction CTE ``tx``."""
+def _rules(tx: str, suffix: str, guess_within: str, report_dt: str, owner: str = "owner",
+           asof: bool = False) -> str:
+    """CTEs r1..r4 (reference rule SQL) over transaction CTE ``tx``.
+
+    ``asof``: ``owner`` has versions ``[vf, vu)``; the one valid at the event
+    time is joined."""
     s = suffix
+
+    def at(t: str) -> str:
+        return f" AND o.vf <= {t} AND {t} < o.vu" if asof else ""
     return f"""
 r1{s} AS (SELECT t.trans_date event_dt, o.passport, o.fio, o.phone, '1' event_type, {report_dt} report_dt
-       FROM {tx} t JOIN owner o ON trim(t.card_num)=o.card_num
+       FROM {tx} t JOIN {owner} o ON trim(t.card_num)=o.card_num{at("t.trans_date")}
        WHERE t.trans_date >= o.passport_valid_to
           OR o.passport IN (SELECT passport_num FROM fx_blacklist b WHERE t.trans_date >= b.entry_dt)),
 r2{s} AS (SELECT t.trans_date event_dt, o.passport, o.fio, o.phone, '2' event_type, {report_dt} report_dt
-       FROM {tx} t JOIN owner o ON trim(t.card_num)=o.card_num WHERE t.trans_date > o.valid_to),
+       FROM {tx} t JOIN {owner} o ON trim(t.card_num)=o.card_num{at("t.trans_date")}
+       WHERE t.trans_date > o.valid_to),
 r3{s} AS (SELECT x.lead_time event_dt, o.passport, o.fio, o.phone, '3' event_type, {report_dt} report_dt
        FROM (SELECT t.card_num, tr.terminal_city city, t.trans_date,
                     lead(tr.terminal_city) OVER w lead_city, lead(t.trans_date) OVER w lead_time
              FROM {tx} t JOIN fx_terminals tr ON t.terminal=tr.terminal_id
              WINDOW w AS (PARTITION BY t.card_num ORDER BY t.trans_date, t.trans_id)) x
-       JOIN owner o ON trim(x.card_num)=o.card_num
+       JOIN {owner} o ON trim(x.card_num)=o.card_num{at("x.lead_time")}
        WHERE x.city <> x.lead_city AND x.lead_time - x.trans_date <= INTERVAL '1 hour'),
 r4x{s} AS (SELECT card_num, trans_date, amt, oper_result,
                lag(trans_date,3) OVER w lag3_time, lag(amt,1) OVER w lag1_amt, lag(amt,2) OVER w lag2_amt,
@@ -69,7 +77,7 @@ r4x{s} AS (SELECT card_num, trans_date, amt, oper_result,
         FROM {tx} WHERE oper_type = 'WITHDRAW' OR oper_type = 'PAYMENT'
         WINDOW w AS (PARTITION BY card_num ORDER BY trans_date, trans_id)),
 r4{s} AS (SELECT x.trans_date event_dt, o.passport, o.fio, o.phone, '4' event_type, {report_dt} report_dt
-       FROM r4x{s} x JOIN owner o ON trim(x.card_num)=o.card_num
+       FROM r4x{s} x JOIN {owner} o ON trim(x.card_num)=o.card_num{at("x.trans_date")}
        WHERE oper_result='SUCCESS' AND lag1_res='REJECT' AND lag2_res='REJECT' AND lag3_res='REJECT'
          AND lag1_amt > amt AND lag2_amt > lag1_amt AND lag3_amt > lag2_amt
          AND trans_date - lag3_time <= INTERVAL '{guess_within}')"""
@@ -112,6 +120,23 @@ REPORT_NEXT_DAY = (
     f"{_rules('fx_tx_all', '', '3 days', "DATE '2021-03-02'")}, {_sequential_report('', 'report_p')} "
     f"SELECT {COLS} FROM report")
 
+OWNER_AS_OF = """
+owner_v AS (SELECT trim(c.card_num) card_num, a.valid_to, cl.passport_num passport, cl.passport_valid_to,
+                   cl.last_name||' '||cl.first_name||' '||cl.patronymic fio, v.phone, v.vf, v.vu
+            FROM fx_cards c JOIN fx_accounts a ON c.account_num=a.account_num
+            JOIN fx_clients cl ON a.client=cl.client_id
+            JOIN (SELECT client_id, phone, TIMESTAMP '2024-01-01 00:00:00' vf,
+                         CASE WHEN CAST(client_id AS BIGINT)%4=0 THEN TIMESTAMP '2024-01-15 00:00:00'
+                              ELSE TIMESTAMP '9999-12-31 00:00:00' END vu FROM fx_clients
+                  UNION ALL
+                  SELECT client_id, '+8'||client_id, TIMESTAMP '2024-01-15 00:00:00',
+                         TIMESTAMP '9999-12-31 00:00:00' FROM fx_clients
+                  WHERE CAST(client_id AS BIGINT)%4=0) v ON v.client_id = cl.client_id)"""
+
+FRAUD_REPORT_AS_OF = (f"WITH {FIXTURES}, {OWNER_AS_OF}, "
+                      f"{_rules('fx_tx_all', '', '3 days', REPORT_DT, 'owner_v', True)}, "
+                      f"{_sequential_report('', None)} SELECT {COLS} FROM report")
+
 OWNER_BRIDGE = f"""WITH {FIXTURES},
 bl AS (SELECT passport_num, min(entry_dt) blacklisted_from FROM fx_blacklist GROUP BY passport_num)
 SELECT o.card_num, o.account_num, o.valid_to, o.client_id, o.passport, o.passport_valid_to, o.fio, o.phone,
@@ -222,6 +247,7 @@ FROM files JOIN words ON contains(file_name, feed) GROUP BY feed"""
 ORACLE_SQL: dict[str, str] = {
     "fraud_report": FRAUD_REPORT,
     "report_next_day": REPORT_NEXT_DAY,
+    "fraud_report_as_of": FRAUD_REPORT_AS_OF,
     "rule_passport": _rule_query("r1"),
     "rule_account": _rule_query("r2"),
     "rule_cities": _rule_query("r3"),

@@ -166,3 +166,29 @@ def test_report_null_passport_parity_and_null_safe(spark):
     assert accumulate(cand, prior).count() == 2
     assert accumulate(cand, None, null_safe=True).count() == 1
     assert accumulate(cand, prior, null_safe=True).count() == 0
+
+
+def test_owner_as_of_transaction_time(spark):
+    x = T(2024, 1, 10, 12)
+    cards = spark.createDataFrame([("C1 ", "A1", T0, x - dt.timedelta(seconds=1), "N"),
+                                   ("C1 ", "A2", x, FF, "N")], CARDS_HIST)
+    accounts = hist(spark, ACCOUNTS_HIST, [("A1", D(2024, 1, 1), "K1"), ("A2", D(2030, 1, 1), "K1")])
+    clients = hist(spark, CLIENTS_HIST, [("K1", "L", "F", "P", None, "P1", D(2030, 1, 1), "+7")])
+    t = tx(spark, [("1", x - dt.timedelta(hours=1), "PAYMENT", "1", "SUCCESS", "T1"),
+                   ("2", x + dt.timedelta(hours=1), "PAYMENT", "1", "SUCCESS", "T1")])
+    every = owner_bridge(cards, accounts, clients, mode="all")
+    at_time = owner_bridge(cards, accounts, clients, mode="as_of")
+    assert events(rule_account(t, every)) == [(x - dt.timedelta(hours=1), "2"), (x + dt.timedelta(hours=1), "2")]
+    assert events(rule_account(t, at_time)) == [(x - dt.timedelta(hours=1), "2")]
+
+
+def test_terminal_as_of_moves_city(spark):
+    b = owners(spark)
+    x = T(2024, 1, 10, 12)
+    term = spark.createDataFrame([("T1", "POS", "A", "x", T(2024, 1, 10), x - dt.timedelta(seconds=1), "N"),
+                                  ("T1", "POS", "B", "x", x, FF, "N")], TERMINALS_HIST)
+    t = tx(spark, [("0", T(2024, 1, 9, 23, 50), "PAYMENT", "1", "SUCCESS", "T1"),   # before first load
+                   ("1", x - dt.timedelta(minutes=10), "PAYMENT", "1", "SUCCESS", "T1"),
+                   ("2", x + dt.timedelta(minutes=10), "PAYMENT", "1", "SUCCESS", "T1")])
+    assert events(rule_cities(t, term, b, terminal_mode="as_of")) == [(x + dt.timedelta(minutes=10), "3")]
+    assert rule_cities(t, term, b, terminal_mode="current").count() == 0
