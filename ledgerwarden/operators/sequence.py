@@ -131,10 +131,14 @@ def asof_carry(events: DataFrame, versions: DataFrame, keys: list[str], t: str,
     e = events.select(*keys, F.col(t).alias("_t"), F.lit(1).alias("_side"),
                       time_bucket(t, tdt, bucket_seconds).alias(BUCKET),
                       F.lit(None).cast(vtype).alias("_v"), F.struct(*[F.col(c) for c in ev_cols]).alias("_e"))
-    u = (v.unionByName(e)
-          .where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, BUCKET]]))
-          .repartition(*keys, BUCKET))   # the one big shuffle, read by summary and join
-    summ = u.groupBy(*keys, BUCKET).agg(F.max("_v").alias("_last"))
+    not_null = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, BUCKET]])
+    v, e = v.where(not_null), e.where(not_null)
+    u = v.unionByName(e).repartition(*keys, BUCKET)   # the one big shuffle, read once
+    # Bucket summary from the inputs, partially aggregated before its (small)
+    # shuffle: the latest version per bucket, and every bucket holding events.
+    summ = (v.groupBy(*keys, BUCKET).agg(F.max("_v").alias("_last"))
+             .unionByName(e.select(*keys, BUCKET).distinct().withColumn("_last", F.lit(None).cast(vtype)))
+             .groupBy(*keys, BUCKET).agg(F.max("_last").alias("_last")))
     ws = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     summ = summ.select(*keys, BUCKET, F.last("_last", ignorenulls=True).over(ws).alias("_carry"))
     j = u.join(summ, on=[*keys, BUCKET], how="inner")
