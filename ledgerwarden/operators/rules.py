@@ -11,9 +11,7 @@ with a huge share of all transactions is split by time band, exactly.
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwarden.functions.columns import date_lit

@@ -21,7 +21,6 @@ Q17 a deleted key that comes back stays deleted unless ``reopen=True``.
 
 from __future__ import annotations
 
-import datetime as dt
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
