@@ -1,12 +1,14 @@
 """Run state on plain Parquet: immutable run directories + one manifest per run.
 
 Parquet has no UPDATE/MERGE, so a history is split into
-``<table>/run=<id>/_part=closed`` (append-only closed versions) and
-``<table>/run=<id>/_part=current`` (the open rows, rewritten by each run that
-touches the table). Facts and the report append one directory per run. A run
-writes all of its directories first and its manifest ``_runs/<id>.json``
-last; readers follow the newest manifest, so an unfinished run is invisible
-and a retried run simply writes a new id. Nothing is read and overwritten in
+``<table>/run=<id>-<attempt>/_part=closed`` (append-only closed versions) and
+``<table>/run=<id>-<attempt>/_part=current`` (the open rows, rewritten by each
+run that touches the table). Facts and the report append one directory per
+run. A run writes all of its directories first and its manifest
+``_runs/<id>.json`` last; readers follow the newest manifest and read only the
+folders it lists, so an unfinished attempt is invisible and its retry (a new
+attempt token) writes beside it. Two attempts racing for one run id cannot
+both publish: the manifest is created without overwrite. Nothing is read and overwritten in
 the same job. All paths go through the Hadoop file system of the root, so a
 shared folder (HDFS, object store) works the same as a local one.
 """
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +44,11 @@ class Manifest:
     watermarks: dict[str, str]
     consumed_files: list[str] = field(default_factory=list)
     tables: dict[str, dict] = field(default_factory=dict)
+    attempt: str = ""
+
+    def folder(self) -> str:
+        """This attempt's folder name: a retried run never meets a crashed one's files."""
+        return f"run={self.run_id:09d}-{self.attempt}"
 
     @staticmethod
     def seed() -> "Manifest":
@@ -115,7 +123,7 @@ class Warehouse:
 
     def write_history_delta(self, m: Manifest, name: str, delta: DataFrame) -> None:
         """One job writes the closed and the open rows of a merge into the run's folder."""
-        path = f"{self.root}/{name}/run={m.run_id:09d}"
+        path = f"{self.root}/{name}/{m.folder()}"
         part = F.when(is_open(), F.lit("current")).otherwise(F.lit("closed"))
         delta.withColumn(PART, part).write.mode("errorifexists").partitionBy(PART).parquet(path)
         t = m.tables.setdefault(name, {"closed": [], "current": None})
@@ -125,7 +133,7 @@ class Warehouse:
         t["current"] = current if self._fs.exists(self._Path(current)) else None
 
     def append_fact(self, m: Manifest, name: str, rows: DataFrame) -> None:
-        path = f"{self.root}/{name}/run={m.run_id:09d}"
+        path = f"{self.root}/{name}/{m.folder()}"
         rows.write.mode("errorifexists").parquet(path)
         t = m.tables.setdefault(name, {"parts": []})
         t["parts"] = t.get("parts", []) + [path]
@@ -135,4 +143,4 @@ def next_manifest(prev: Manifest, run_ts: dt.datetime) -> Manifest:
     return Manifest(run_id=prev.run_id + 1, parent=prev.run_id, run_ts=run_ts.isoformat(sep=" "),
                     report_date=prev.report_date, watermarks=dict(prev.watermarks),
                     consumed_files=list(prev.consumed_files),
-                    tables=json.loads(json.dumps(prev.tables)))
+                    tables=json.loads(json.dumps(prev.tables)), attempt=uuid.uuid4().hex[:12])

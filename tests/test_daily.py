@@ -72,3 +72,26 @@ def test_deleted_card_next_day(spark, scratch):
     h = wh.history(m, "cards", CARDS_HIST).where(F.col("card_num") == "C1 ").orderBy("effective_from").collect()
     assert [r.delete_flg for r in h] == ["N", "Y"]
     assert h[0].effective_to == RUN2 - dt.timedelta(seconds=1)
+
+
+def test_retry_after_crash_before_publish(spark, scratch):
+    """A run that wrote its folders but died before its manifest is invisible; the retry succeeds."""
+    wh = Warehouse(spark, scratch)
+    cards = with_audit(fx.cards(spark, SF_SMALL).withColumnRenamed("account_num", "account"))
+
+    class Crash(Exception):
+        pass
+
+    real = wh.publish
+
+    def crash(m):
+        raise Crash()
+    wh.publish = crash
+    with pytest.raises(Crash):
+        run_day(wh, DayFeeds(cards=cards), RUN1)
+    wh.publish = real
+    assert wh.latest().run_id == 0
+    m = run_day(wh, DayFeeds(cards=cards), RUN1)
+    from ledgerwarden.schemas import CARDS_HIST
+    assert m.run_id == 1
+    assert wh.history(m, "cards", CARDS_HIST).count() == cards.count()
