@@ -52,7 +52,9 @@ def shown(hist: DataFrame) -> DataFrame:
     return hist.withColumn("effective_to", F.when(is_open(), F.lit(None)).otherwise(F.col("effective_to")))
 
 
+@fx.memoised
 def _bridge(spark, d, mode="all") -> DataFrame:
+    """The owner bridge over the fixtures (a lazy view, analysed once per session)."""
     return owner_bridge(fx.cards(spark, d), fx.accounts(spark, d), fx.clients(spark, d),
                         fx.blacklist(spark, d), mode=mode)
 
@@ -64,7 +66,7 @@ def _visible(df: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------------------- rules and report
 
 def q_owner_bridge(spark, d):
-    return _bridge(spark, d)
+    return _bridge(spark, d).select("*")   # a fresh Dataset each call
 
 
 def q_rule_passport(spark, d):

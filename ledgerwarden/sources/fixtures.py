@@ -38,6 +38,9 @@ def _memo(fn):
     return inner
 
 
+memoised = _memo   # for views derived from the fixtures elsewhere
+
+
 @_memo
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read
