@@ -1,5 +1,5 @@
 """Structured Streaming ingest of landed feed files."""
 
-from ledgerwarden.streaming.ingest import ingest_transactions
+from ledgerwarden.streaming.ingest import ingest_transactions, run_on_arrival
 
-__all__ = ["ingest_transactions"]
+__all__ = ["ingest_transactions", "run_on_arrival"]

@@ -45,3 +45,52 @@ def ingest_transactions(spark: SparkSession, source_dir: str, target_dir: str,
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
+
+
+def run_on_arrival(spark: SparkSession, source_dir: str, wh, feeds_for=None,
+                   checkpoint: str | None = None, run_time=None, options=None,
+                   pattern: str = "*transactions*", max_files_per_trigger: int = 100):
+    """Daily runs driven by arriving transaction files (``foreachBatch``).
+
+    Each micro-batch is split by the business date in the file names and one
+    ``plans.daily.run_day`` runs per date, in date order (the file source
+    takes files by modification time, not by name). ``feeds_for(date)`` may
+    supply that day's dimension feeds. A replayed micro-batch after a restart
+    changes nothing: ``run_day`` refuses files a published run consumed.
+    Returns the finished ``StreamingQuery``.
+    """
+    import datetime as dt
+
+    from ledgerwarden.plans.daily import DayFeeds, run_day
+    from ledgerwarden.schemas import TRANSACTIONS_FACT
+
+    at = run_time or dt.time(2, 38)
+    ckpt = checkpoint or scratch_path(spark, "streams", "daily_runs")
+
+    def each(batch, epoch_id):
+        batch = batch.persist()
+        try:
+            done = set(wh.latest().consumed_files)
+            # one row per file of this micro-batch (bounded by maxFilesPerTrigger)
+            files = [(r.source_file, r.business_date) for r in
+                     batch.select("source_file", "business_date").distinct().collect()]
+            days = sorted({d for f, d in files if f not in done and d is not None})
+            for day in days:
+                names = sorted(f for f, d in files if d == day)
+                feeds = feeds_for(day) if feeds_for else DayFeeds()
+                feeds.transactions = batch.where(F.col("business_date") == F.lit(day)).select(
+                    *TRANSACTIONS_FACT.fieldNames())
+                feeds.files = names
+                run_day(wh, feeds, dt.datetime.combine(day + dt.timedelta(days=1), at), options)
+        finally:
+            batch.unpersist()
+
+    reader = (spark.readStream.schema(TRANSACTIONS_RAW).option("header", True).option("sep", TX_SEP)
+              .option("pathGlobFilter", pattern).option("maxFilesPerTrigger", max_files_per_trigger))
+    raw = reader.csv(source_dir).withColumn("source_file", F.col("_metadata.file_name"))
+    typed = clean_transactions(raw, keep=["source_file"]).withColumn(
+        "business_date", business_date("source_file"))
+    q = (typed.writeStream.foreachBatch(each).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q

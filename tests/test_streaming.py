@@ -2,7 +2,10 @@
 
 import os
 
-from ledgerwarden.streaming import ingest_transactions
+from ledgerwarden.plans.daily import RunOptions
+from ledgerwarden.plans.state import Warehouse
+from ledgerwarden.schemas import TRANSACTIONS_FACT
+from ledgerwarden.streaming import ingest_transactions, run_on_arrival
 
 HEADER = "transaction_id;transaction_date;amount;card_num;oper_type;oper_result;terminal\n"
 
@@ -24,3 +27,21 @@ def test_files_loaded_once(spark, scratch):
     ingest_transactions(spark, src, out, ck)
     rows = sorted((r.trans_id, str(r.amt), str(r.business_date)) for r in spark.read.parquet(out).collect())
     assert rows == [("1", "10.50", "2021-03-01"), ("2", "7.25", "2021-03-02"), ("3", "1.00", "2021-03-03")]
+
+
+def test_daily_runs_on_arrival(spark, scratch):
+    src, ck = scratch + "/in", scratch + "/ckpt"
+    wh = Warehouse(spark, scratch + "/wh")
+    opt = RunOptions()
+    land(src, "transactions_02032021.txt", ["2;2021-03-02 10:00:00;7,25;C2;PAYMENT;REJECT;T1\n"])
+    land(src, "transactions_01032021.txt", ["1;2021-03-01 10:00:00;10,5;C1;PAYMENT;SUCCESS;T1\n"])
+    run_on_arrival(spark, src, wh, checkpoint=ck, options=opt)
+    m = wh.latest()
+    assert m.run_id == 2 and m.consumed_files == ["transactions_01032021.txt", "transactions_02032021.txt"]
+    run_on_arrival(spark, src, wh, checkpoint=ck, options=opt)      # nothing new
+    assert wh.latest().run_id == 2
+    land(src, "transactions_03032021.txt", ["3;2021-03-03 10:00:00;1,00;C3;WITHDRAW;SUCCESS;T2\n"])
+    run_on_arrival(spark, src, wh, checkpoint=ck, options=opt)
+    m = wh.latest()
+    assert m.run_id == 3 and m.run_ts == "2021-03-04 02:38:00"
+    assert sorted(r.trans_id for r in wh.fact(m, "transactions", TRANSACTIONS_FACT).collect()) == ["1", "2", "3"]
