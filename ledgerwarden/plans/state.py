@@ -144,3 +144,24 @@ def next_manifest(prev: Manifest, run_ts: dt.datetime) -> Manifest:
                     report_date=prev.report_date, watermarks=dict(prev.watermarks),
                     consumed_files=list(prev.consumed_files),
                     tables=json.loads(json.dumps(prev.tables)), attempt=uuid.uuid4().hex[:12])
+
+
+def compact(wh: Warehouse, name: str, schema: T.StructType, target_files: int | None = None) -> Manifest:
+    """Rewrite a history's closed folders (one per run) into one, as a new run.
+
+    Readers of older manifests keep their folders; readers of the new one see
+    the same rows in fewer files. Nothing is overwritten, so a crash leaves
+    the previous state in force.
+    """
+    prev = wh.latest()
+    m = next_manifest(prev, dt.datetime.fromisoformat(prev.run_ts) if prev.run_ts else dt.datetime(1970, 1, 1))
+    closed = prev.tables.get(name, {}).get("closed", [])
+    if len(closed) > 1:
+        rows = wh._read(closed, schema)
+        if target_files:
+            rows = rows.repartition(target_files)
+        path = f"{wh.root}/{name}/{m.folder()}/{PART}=closed"
+        rows.write.mode("errorifexists").parquet(path)
+        m.tables[name]["closed"] = [path]
+    wh.publish(m)
+    return m

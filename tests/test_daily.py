@@ -95,3 +95,19 @@ def test_retry_after_crash_before_publish(spark, scratch):
     from ledgerwarden.schemas import CARDS_HIST
     assert m.run_id == 1
     assert wh.history(m, "cards", CARDS_HIST).count() == cards.count()
+
+
+def test_compact_closed_history(spark, scratch):
+    from ledgerwarden.plans.state import compact
+    from ledgerwarden.schemas import CARDS_HIST
+    wh = Warehouse(spark, scratch)
+    cards = with_audit(fx.cards(spark, SF_SMALL).withColumnRenamed("account_num", "account"))
+    run_day(wh, DayFeeds(cards=cards), RUN1)
+    run_day(wh, DayFeeds(cards=cards.where(F.col("card_num") != "C1 ")), RUN2)
+    run_day(wh, DayFeeds(cards=cards.where(~F.col("card_num").isin("C1 ", "C2 "))), RUN2 + dt.timedelta(days=1))
+    before = wh.latest()
+    rows = sorted(tuple(r) for r in wh.history(before, "cards", CARDS_HIST).collect())
+    assert len(before.tables["cards"]["closed"]) == 2
+    after = compact(wh, "cards", CARDS_HIST)
+    assert len(after.tables["cards"]["closed"]) == 1 and after.run_id == before.run_id + 1
+    assert sorted(tuple(r) for r in wh.history(after, "cards", CARDS_HIST).collect()) == rows
