@@ -29,11 +29,12 @@ _MEMO: dict[tuple, DataFrame] = {}
 
 def _memo(fn):
     @wraps(fn)
-    def inner(spark: SparkSession, sf_dir: str, *args):
-        key = (spark.sparkContext.applicationId, id(spark), fn.__name__, sf_dir, args)
+    def inner(spark: SparkSession, sf_dir: str, *args, **kwargs):
+        key = (spark.sparkContext.applicationId, id(spark), fn.__module__, fn.__name__, sf_dir, args,
+               tuple(sorted(kwargs.items())))
         df = _MEMO.get(key)
         if df is None:
-            df = _MEMO[key] = fn(spark, sf_dir, *args)
+            df = _MEMO[key] = fn(spark, sf_dir, *args, **kwargs)
         return df
     return inner
 
