@@ -21,15 +21,17 @@ Q17 a deleted key that comes back stays deleted unless ``reopen=True``.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerwarden.functions.columns import far_future, interval_seconds, is_open, ntz_lit, time_bucket
 from ledgerwarden.operators.sequence import BUCKET, asof_carry, neighbors
 from ledgerwarden.operators.sizing import broadcast_if_small
-from ledgerwarden.schemas import FLAG_DELETED, FLAG_LIVE
+from ledgerwarden.schemas import FAR_FUTURE, FLAG_DELETED, FLAG_LIVE
 
 SCD2 = ["effective_from", "effective_to", "delete_flg"]
 
@@ -49,29 +51,6 @@ def _not_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
-def _diff(a: str, b: str, tracked: list[str]) -> Column:
-    """NULL-safe 'any tracked column differs' between two struct columns."""
-    if not tracked:
-        return F.lit(False)
-    return reduce(lambda x, y: x | y,
-                  [~F.col(a)[c].eqNullSafe(F.col(b)[c]) for c in tracked])
-
-
-def _row(keys, tracked, src: str, eff_from: Column, eff_to: Column, flag: Column) -> Column:
-    return F.struct(*[F.col(k).alias(k) for k in keys],
-                    *[F.col(src)[c].alias(c) for c in tracked],
-                    eff_from.alias("effective_from"), eff_to.alias("effective_to"),
-                    flag.alias("delete_flg"))
-
-
-def _emit(g: DataFrame, rows: list[Column]) -> DataFrame:
-    return g.select(F.inline(F.filter(F.array(*rows), lambda x: x.isNotNull())))
-
-
-def _struct_type(df: DataFrame, cols: list[Column]):
-    return df.select(F.struct(*cols).alias("s")).schema["s"].dataType
-
-
 def split_history(hist: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(closed rows, open rows)."""
     return hist.where(~is_open()), hist.where(is_open())
@@ -84,6 +63,56 @@ def initial_history(rows: DataFrame, keys: list[str], tracked: list[str], effect
         far_future().alias("effective_to"), F.lit(FLAG_LIVE).alias("delete_flg"))
 
 
+# --------------------------------------------------------------------------- SQL text helpers
+# The merges build their per-key expansion as SQL expressions: one parse on
+# the JVM side instead of a JVM call per column reference.
+
+def _ts_sql(value) -> str:
+    if isinstance(value, dt.datetime):
+        return f"TIMESTAMP_NTZ'{value.isoformat(sep=' ')}'"
+    if isinstance(value, dt.date):
+        return f"TIMESTAMP_NTZ'{value.isoformat()} 00:00:00'"
+    return f"CAST('{value}' AS TIMESTAMP_NTZ)"
+
+
+FF_SQL = _ts_sql(FAR_FUTURE)
+
+
+def _span_sql(unit) -> str:
+    return f"INTERVAL '{interval_seconds(unit)}' SECOND"
+
+
+def _ddl(fields: list[tuple[str, T.DataType]]) -> str:
+    return "struct<" + ",".join(f"`{n}`:{t.simpleString()}" for n, t in fields) + ">"
+
+
+def _struct_sql(fields: list[tuple[str, str]]) -> str:
+    return "named_struct(" + ", ".join(f"'{n}', {e}" for n, e in fields) + ")"
+
+
+def _diff_sql(a: str, b: str, tracked: list[str]) -> str:
+    if not tracked:
+        return "false"
+    return "(" + " OR ".join(f"NOT ({a}.`{c}` <=> {b}.`{c}`)" for c in tracked) + ")"
+
+
+def _row_sql(keys, tracked, src: str, eff_from: str, eff_to: str, flag: str) -> str:
+    return _struct_sql([(k, f"`{k}`") for k in keys] + [(c, f"{src}.`{c}`") for c in tracked]
+                       + [("effective_from", eff_from), ("effective_to", eff_to), ("delete_flg", flag)])
+
+
+def _emit_sql(g: DataFrame, rows: list[str]) -> DataFrame:
+    return g.selectExpr(f"inline(filter(array({', '.join(rows)}), x -> x IS NOT NULL))")
+
+
+def _key_cols(hist: DataFrame, keys: list[str]) -> list[str]:
+    return [f"CAST(`{k}` AS {hist.schema[k].dataType.simpleString()}) AS `{k}`" for k in keys]
+
+
+def _not_null_sql(keys: list[str]) -> str:
+    return " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
+
+
 # --------------------------------------------------------------------------- snapshot merge (O2)
 
 def cogroup_snapshot(hist: DataFrame, snapshot: DataFrame, keys: list[str],
@@ -93,42 +122,44 @@ def cogroup_snapshot(hist: DataFrame, snapshot: DataFrame, keys: list[str],
     Actions: new, changed, deleted, same, stays_deleted, returned.
     """
     _, opened = split_history(hist)
-    types = {c: hist.schema[c].dataType for c in tracked}
-    o_cols = [F.col(c) for c in tracked] + [F.col("effective_from"), F.col("delete_flg")]
-    s_cols = [F.col(c).cast(types[c]).alias(c) for c in tracked]
-    o_type = _struct_type(opened, o_cols)
-    s_type = _struct_type(snapshot, s_cols)
-    o = opened.select(*keys, F.struct(*o_cols).alias("o"), F.lit(None).cast(s_type).alias("s"))
-    s = snapshot.where(_not_null(keys)).select(
-        *[F.col(k).cast(hist.schema[k].dataType).alias(k) for k in keys],
-        F.lit(None).cast(o_type).alias("o"), F.struct(*s_cols).alias("s"))
-    g = o.unionByName(s).groupBy(*keys).agg(F.max("o").alias("o"), F.max("s").alias("s"))
-    has_o, has_s = F.col("o").isNotNull(), F.col("s").isNotNull()
-    live = has_o & (F.col("o.delete_flg") == F.lit(FLAG_LIVE))
-    action = (F.when(~has_o & has_s, "new")
-               .when(live & has_s & _diff("o", "s", tracked), "changed")
-               .when(live & has_s, "same")
-               .when(live & ~has_s, "deleted")
-               .when(has_o & has_s, "returned")
-               .otherwise("stays_deleted"))
-    return g.withColumn("action", action)
+    sch = {f.name: f.dataType for f in hist.schema.fields}
+    o_fields = tracked + ["effective_from", "delete_flg"]
+    o_ddl = _ddl([(c, sch[c]) for c in o_fields])
+    s_ddl = _ddl([(c, sch[c]) for c in tracked])
+    o = opened.selectExpr(*[f"`{k}`" for k in keys], _struct_sql([(c, f"`{c}`") for c in o_fields]) + " AS o",
+                          f"CAST(NULL AS {s_ddl}) AS s")
+    snap = snapshot.where(_not_null_sql(keys)).selectExpr(
+        *_key_cols(hist, keys), f"CAST(NULL AS {o_ddl}) AS o",
+        _struct_sql([(c, f"CAST(`{c}` AS {sch[c].simpleString()})") for c in tracked]) + " AS s")
+    g = o.unionByName(snap).groupBy(*keys).agg(F.max("o").alias("o"), F.max("s").alias("s"))
+    live = f"(o IS NOT NULL AND o.delete_flg = '{FLAG_LIVE}')"
+    action = (f"CASE WHEN o IS NULL AND s IS NOT NULL THEN 'new' "
+              f"WHEN {live} AND s IS NOT NULL AND {_diff_sql('o', 's', tracked)} THEN 'changed' "
+              f"WHEN {live} AND s IS NOT NULL THEN 'same' "
+              f"WHEN {live} THEN 'deleted' "
+              f"WHEN o IS NOT NULL AND s IS NOT NULL THEN 'returned' "
+              f"ELSE 'stays_deleted' END AS action")
+    return g.selectExpr("*", action)
 
 
 def scd2_snapshot_delta(hist: DataFrame, snapshot: DataFrame, keys: list[str], tracked: list[str],
                         run_ts, unit="1 second", reopen: bool = False) -> DataFrame:
     """The new open part plus the versions this run closes (the rows to write)."""
     g = cogroup_snapshot(hist, snapshot, keys, tracked)
-    run, ff, a = _ts(run_ts), far_future(), F.col("action")
-    closed_at = run - _span(unit)
-    n, y = F.lit(FLAG_LIVE), F.lit(FLAG_DELETED)
-    revive = F.lit(reopen) & (a == "returned")
-    first = (F.when(a == "new", _row(keys, tracked, "s", run, ff, n))
-              .when(a.isin("changed", "deleted"), _row(keys, tracked, "o", F.col("o.effective_from"), closed_at, n))
-              .when(revive, _row(keys, tracked, "o", F.col("o.effective_from"), closed_at, y))
-              .otherwise(_row(keys, tracked, "o", F.col("o.effective_from"), ff, F.col("o.delete_flg"))))
-    second = (F.when((a == "changed") | revive, _row(keys, tracked, "s", run, ff, n))
-               .when(a == "deleted", _row(keys, tracked, "o", run, ff, y)))
-    return _emit(g, [first, second])
+    run = _ts_sql(run_ts)
+    closed_at = f"({run} - {_span_sql(unit)})"
+    n, y = f"'{FLAG_LIVE}'", f"'{FLAG_DELETED}'"
+    revive = "(action = 'returned')" if reopen else "false"
+
+    def row(src, frm, to, flag):
+        return _row_sql(keys, tracked, src, frm, to, flag)
+    first = (f"CASE WHEN action = 'new' THEN {row('s', run, FF_SQL, n)} "
+             f"WHEN action IN ('changed', 'deleted') THEN {row('o', 'o.effective_from', closed_at, n)} "
+             f"WHEN {revive} THEN {row('o', 'o.effective_from', closed_at, y)} "
+             f"ELSE {row('o', 'o.effective_from', FF_SQL, 'o.delete_flg')} END")
+    second = (f"CASE WHEN action = 'changed' OR {revive} THEN {row('s', run, FF_SQL, n)} "
+              f"WHEN action = 'deleted' THEN {row('o', run, FF_SQL, y)} END")
+    return _emit_sql(g, [first, second])
 
 
 def scd2_merge_snapshot(hist: DataFrame, snapshot: DataFrame, keys: list[str], tracked: list[str],
@@ -154,49 +185,56 @@ def scd2_cdc_delta(hist: DataFrame, changes: DataFrame, keys: list[str], tracked
     if live_keys is not None and run_ts is None:
         raise ValueError("deletes need run_ts")
     _, opened = split_history(hist)
-    types = {c: hist.schema[c].dataType for c in tracked}
-    o_cols = [F.col(c) for c in tracked] + [F.col("effective_from"), F.col("delete_flg")]
-    c_cols = [F.col(change_ts).cast("timestamp_ntz").alias("ts")] + \
-             [F.col(c).cast(types[c]).alias(c) for c in tracked]
-    o_type, c_type = _struct_type(opened, o_cols), _struct_type(changes, c_cols)
-    kcast = [F.col(k).cast(hist.schema[k].dataType).alias(k) for k in keys]
+    sch = {f.name: f.dataType for f in hist.schema.fields}
+    o_fields = tracked + ["effective_from", "delete_flg"]
+    o_ddl = _ddl([(c, sch[c]) for c in o_fields])
+    c_ddl = _ddl([("ts", T.TimestampNTZType())] + [(c, sch[c]) for c in tracked])
+    c_struct = _struct_sql([("ts", f"CAST(`{change_ts}` AS TIMESTAMP_NTZ)")]
+                           + [(c, f"CAST(`{c}` AS {sch[c].simpleString()})") for c in tracked])
     parts = [
-        opened.select(*keys, F.struct(*o_cols).alias("o"), F.lit(None).cast(c_type).alias("c"),
-                      F.lit(None).cast("boolean").alias("live")),
-        changes.where(_not_null(keys) & F.col(change_ts).isNotNull()).select(
-            *kcast, F.lit(None).cast(o_type).alias("o"), F.struct(*c_cols).alias("c"),
-            F.lit(None).cast("boolean").alias("live")),
+        opened.selectExpr(*[f"`{k}`" for k in keys], _struct_sql([(c, f"`{c}`") for c in o_fields]) + " AS o",
+                          f"CAST(NULL AS {c_ddl}) AS c", "CAST(NULL AS BOOLEAN) AS live"),
+        changes.where(f"{_not_null_sql(keys)} AND `{change_ts}` IS NOT NULL").selectExpr(
+            *_key_cols(hist, keys), f"CAST(NULL AS {o_ddl}) AS o", c_struct + " AS c",
+            "CAST(NULL AS BOOLEAN) AS live"),
     ]
     if live_keys is not None:
-        parts.append(live_keys.where(_not_null(keys)).select(
-            *kcast, F.lit(None).cast(o_type).alias("o"), F.lit(None).cast(c_type).alias("c"),
-            F.lit(True).alias("live")))
+        parts.append(live_keys.where(_not_null_sql(keys)).selectExpr(
+            *_key_cols(hist, keys), f"CAST(NULL AS {o_ddl}) AS o", f"CAST(NULL AS {c_ddl}) AS c",
+            "true AS live"))
     u = reduce(DataFrame.unionByName, parts)
     g = u.groupBy(*keys).agg(F.max("o").alias("o"), F.max("c").alias("c"), F.max("live").alias("live"))
-    has_o = F.col("o").isNotNull()
-    o_live = has_o & (F.col("o.delete_flg") == F.lit(FLAG_LIVE))
-    o_del = has_o & (F.col("o.delete_flg") == F.lit(FLAG_DELETED))
-    has_c = F.col("c").isNotNull() & (~has_o | (F.col("c.ts") > F.col("o.effective_from")))
-    new = ~has_o & has_c
-    chg = o_live & has_c & _diff("o", "c", tracked)
-    revive = F.lit(reopen) & o_del & has_c
-    takes_c = new | chg | revive
-    flag = F.when(takes_c, F.lit(FLAG_LIVE)).otherwise(F.col("o.delete_flg"))
-    live = F.lit(True) if live_keys is None else F.coalesce(F.col("live"), F.lit(False))
-    delete = (~live) & (has_o | new) & (flag == F.lit(FLAG_LIVE))
-    ff, n, y = far_future(), F.lit(FLAG_LIVE), F.lit(FLAG_DELETED)
-    run = _ts(run_ts) if run_ts is not None else F.lit(None).cast("timestamp_ntz")
-    c_ts = F.col("c.ts")
-    end = F.when(delete, run - _span(unit)).otherwise(ff)
-    closed_old = (F.when(chg, _row(keys, tracked, "o", F.col("o.effective_from"), c_ts - _span(unit), n))
-                   .when(revive, _row(keys, tracked, "o", F.col("o.effective_from"), c_ts - _span(unit), y)))
-    current = (F.when(takes_c, _row(keys, tracked, "c", c_ts, end, n))
-                .when(has_o, _row(keys, tracked, "o", F.col("o.effective_from"), end, F.col("o.delete_flg"))))
-    src = F.when(takes_c, F.lit(True)).otherwise(F.lit(False))
-    marker_c = _row(keys, tracked, "c", run, ff, y)
-    marker_o = _row(keys, tracked, "o", run, ff, y)
-    marker = F.when(delete & src, marker_c).when(delete, marker_o)
-    return _emit(g, [closed_old, current, marker])
+    # per-key state, then the rows it expands to
+    g = g.selectExpr(
+        "*",
+        "(o IS NOT NULL) AS has_o",
+        f"(o IS NOT NULL AND o.delete_flg = '{FLAG_LIVE}') AS o_live",
+        f"(o IS NOT NULL AND o.delete_flg = '{FLAG_DELETED}') AS o_del",
+        "(c IS NOT NULL AND (o IS NULL OR c.ts > o.effective_from)) AS has_c")
+    g = g.selectExpr(
+        "*", "(NOT has_o AND has_c) AS is_new",
+        f"(o_live AND has_c AND {_diff_sql('o', 'c', tracked)}) AS chg",
+        f"({'true' if reopen else 'false'} AND o_del AND has_c) AS revive")
+    live = "true" if live_keys is None else "coalesce(live, false)"
+    g = g.selectExpr(
+        "*", "(is_new OR chg OR revive) AS takes_c",
+        f"(NOT {live} AND (has_o OR is_new) AND "
+        f"(CASE WHEN is_new OR chg OR revive THEN '{FLAG_LIVE}' ELSE o.delete_flg END) = '{FLAG_LIVE}')"
+        " AS del")
+    run = _ts_sql(run_ts) if run_ts is not None else "CAST(NULL AS TIMESTAMP_NTZ)"
+    step = _span_sql(unit)
+    n, y = f"'{FLAG_LIVE}'", f"'{FLAG_DELETED}'"
+    end = f"(CASE WHEN del THEN {run} - {step} ELSE {FF_SQL} END)"
+
+    def row(src, frm, to, flag):
+        return _row_sql(keys, tracked, src, frm, to, flag)
+    closed_old = (f"CASE WHEN chg THEN {row('o', 'o.effective_from', f'c.ts - {step}', n)} "
+                  f"WHEN revive THEN {row('o', 'o.effective_from', f'c.ts - {step}', y)} END")
+    current = (f"CASE WHEN takes_c THEN {row('c', 'c.ts', end, n)} "
+               f"WHEN has_o THEN {row('o', 'o.effective_from', end, 'o.delete_flg')} END")
+    marker = (f"CASE WHEN del AND takes_c THEN {row('c', run, FF_SQL, y)} "
+              f"WHEN del THEN {row('o', run, FF_SQL, y)} END")
+    return _emit_sql(g, [closed_old, current, marker])
 
 
 def scd2_merge(hist: DataFrame, changes: DataFrame, keys: list[str], tracked: list[str],
