@@ -26,8 +26,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerwarden.functions.columns import epoch_micros, interval_seconds, time_bucket
+from ledgerwarden.functions.columns import interval_seconds, time_bucket
 
 BAND = "_band"
 GHOST = "_ghost"
@@ -46,22 +47,23 @@ def banded(df: DataFrame, ts: str, span, direction: str, factor: int = 6) -> Dat
         raise ValueError("direction must be 'lag' or 'lead'")
     span_us = int(round(interval_seconds(span) * 1_000_000))
     width_us = span_us * max(int(factor), 1)
-    # epoch micros computed once per row (a column, so it is not re-inlined)
-    d = df.withColumn("_us", epoch_micros(ts, df.schema[ts].dataType))
-    us, w = F.col("_us"), F.lit(width_us)
-    offset = F.pmod(us, w)
-    band = ((us - offset) / w).cast("long")
+    dtype = df.schema[ts].dataType
+    if isinstance(dtype, T.TimestampNTZType):
+        us = f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)"
+    else:
+        us = f"unix_micros(CAST(`{ts}` AS TIMESTAMP))"
     if direction == "lag":
-        ghost_band = F.when(offset >= F.lit(width_us - span_us), band + 1)
+        ghost = f"CASE WHEN _off >= {width_us - span_us} THEN _b + 1 END"
     else:
-        ghost_band = F.when(offset <= F.lit(span_us), band - 1)
-    # One scan: each row becomes itself plus at most one ghost (Generate, no union).
-    pair = F.filter(
-        F.array(F.struct(band.alias("b"), F.lit(False).alias("g")),
-                F.struct(ghost_band.alias("b"), F.lit(True).alias("g"))),
-        lambda x: x["b"].isNotNull())
-    out = d.withColumn("_bg", F.explode(pair))
-    return out.select(*[c for c in df.columns], F.col("_bg.b").alias(BAND), F.col("_bg.g").alias(GHOST))
+        ghost = f"CASE WHEN _off <= {span_us} THEN _b - 1 END"
+    cols = [f"`{c}`" for c in df.columns]
+    # epoch micros once per row; then band, offset, and one Generate for self + ghost
+    d = df.selectExpr(*cols, f"{us} AS _us")
+    d = d.selectExpr(*cols, f"CAST((_us - pmod(_us, {width_us})) / {width_us} AS BIGINT) AS _b",
+                     f"pmod(_us, {width_us}) AS _off")
+    pair = (f"explode(filter(array(named_struct('b', _b, 'g', false), named_struct('b', {ghost}, 'g', true)),"
+            f" x -> x.b IS NOT NULL)) AS _bg")
+    return d.selectExpr(*cols, pair).selectExpr(*cols, f"_bg.b AS {BAND}", f"_bg.g AS {GHOST}")
 
 
 def neighbors(df: DataFrame, keys: list[str], order: list[str], payload: list[str],
