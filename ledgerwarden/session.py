@@ -58,10 +58,29 @@ def build_session(master: str | None = None, app: str = "ledgerwarden",
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    if not (master and master.startswith("local")) and not shuffle_partitions:
+        size_shuffles(spark)
     checkpoint_dir(spark)
     return spark
 
 
+def size_shuffles(spark: SparkSession, per_core: int = 3) -> int:
+    """Cluster default: start shuffles at ``per_core`` partitions per core.
+
+    AQE can merge small shuffle partitions but cannot split ordinary ones, so
+    the initial count must be large enough for the biggest stage (200, the
+    Spark default, is ~500 GB per partition at 100 TB); small stages are then
+    coalesced toward ``advisoryPartitionSizeInBytes``. A value the user set
+    (anything but the default 200) is kept.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    if current != 200:
+        return current
+    target = max(current, per_core * spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", str(target))
+    return target
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and run outputs.
 
