@@ -100,7 +100,8 @@ def neighbors(df: DataFrame, keys: list[str], order: list[str], payload: list[st
         cols.append(F.lead("_first").over(ws).alias("_next_first"))
     summ = summ.select(*cols)
     j = d.join(summ, on=[*keys, BUCKET], how="inner")
-    w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    # same total order as the summary's max/min of (order..., payload...): ties are deterministic
+    w = Window.partitionBy(*keys, BUCKET).orderBy(*order, *payload)
     if prev:
         j = j.withColumn("_prev", F.coalesce(F.lag(rec).over(w), F.col("_prev_last")))
     if nxt:
