@@ -19,11 +19,12 @@ from ledgerwarden.schemas import BLACKLIST_FEED, TERMINALS_FEED, TRANSACTIONS_RA
 TX_SEP = ";"
 
 
-def read_transactions(spark: SparkSession, paths, sep: str = TX_SEP) -> DataFrame:
+def read_transactions(spark: SparkSession, paths, sep: str = TX_SEP,
+                      ts_format: str | None = None) -> DataFrame:
     """S6 + S7: typed transactions from delimited text with a header row."""
     raw = (spark.read.schema(TRANSACTIONS_RAW).option("header", True).option("sep", sep)
            .option("mode", "PERMISSIVE").csv(paths))
-    return clean_transactions(raw)
+    return clean_transactions(raw, ts_format=ts_format)
 
 
 def parse_transaction_lines(lines: DataFrame, col: str = "value", sep: str = TX_SEP) -> DataFrame:
@@ -34,13 +35,27 @@ def parse_transaction_lines(lines: DataFrame, col: str = "value", sep: str = TX_
     return lines.select(parsed.alias("r")).select("r.*")
 
 
-def clean_transactions(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
+def wall_clock(text: F.Column, fmt: str | None = None) -> F.Column:
+    """Text -> ``timestamp_ntz`` without passing through any time zone (a
+    session zone would move times inside a daylight-saving gap); NULL when
+    unparsable. ISO text is cast; a pattern is parsed as a UTC instant and
+    turned into wall-clock time by microsecond arithmetic."""
+    if not fmt:
+        return text.try_cast("timestamp_ntz")
+    instant = F.try_to_timestamp(F.concat(text, F.lit(" +0000")), F.lit(f"{fmt} Z"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant),
+                           F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+
+
+def clean_transactions(raw: DataFrame, keep: list[str] | None = None,
+                       ts_format: str | None = None) -> DataFrame:
     """Raw string columns -> fact schema: ids and card numbers trimmed, time
-    typed, amount's decimal comma turned into a point (bad amounts -> NULL).
+    typed (ISO, or ``ts_format`` such as ``dd.MM.yyyy HH:mm:ss``; unparsable
+    -> NULL), amount's decimal comma turned into a point (bad amounts -> NULL).
     ``keep`` columns pass through unchanged after the fact columns."""
     return raw.select(
         F.trim("transaction_id").alias("trans_id"),
-        F.to_timestamp_ntz(F.trim("transaction_date")).alias("trans_date"),
+        wall_clock(F.trim("transaction_date"), ts_format).alias("trans_date"),
         F.trim("card_num").alias("card_num"),
         F.trim("oper_type").alias("oper_type"),
         clean_amount(F.trim("amount")).alias("amt"),

@@ -86,3 +86,24 @@ def test_transactions_unique_append(spark):
     fact = spark.createDataFrame([("1",)], "trans_id string")
     batch = spark.createDataFrame([("1",), ("2",)], "trans_id string")
     assert [r.trans_id for r in append_unique(fact, batch).collect()] == ["2"]
+
+
+def test_transactions_local_time_format(spark, scratch):
+    _write(scratch, "transactions_01032021.txt",
+           "transaction_id;transaction_date;amount;card_num;oper_type;oper_result;terminal\n"
+           "7;01.03.2021 10:15:30;5,00;C1;PAYMENT;SUCCESS;T1\n"
+           "8;not a time;5,00;C1;PAYMENT;SUCCESS;T1\n")
+    rows = read_transactions(spark, scratch, ts_format="dd.MM.yyyy HH:mm:ss").orderBy("trans_id").collect()
+    assert rows[0].trans_date == T(2021, 3, 1, 10, 15, 30) and rows[1].trans_date is None
+
+
+def test_wall_clock_ignores_session_zone(spark):
+    from ledgerwarden.sources.feeds import wall_clock
+    df = spark.createDataFrame([("10.03.2024 02:30:00", "2024-03-10 02:30:00.5")], "a string, b string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")   # 02:30 does not exist there
+        r = df.select(wall_clock(F.col("a"), "dd.MM.yyyy HH:mm:ss").alias("a"), wall_clock(F.col("b")).alias("b")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert r.a == T(2024, 3, 10, 2, 30) and r.b == T(2024, 3, 10, 2, 30, 0, 500000)
