@@ -50,8 +50,11 @@ def jdbc_source(spark, url: str, table: str, properties: dict[str, str] | None =
     range's ``WHERE`` by the JDBC source, and the column list into its
     ``SELECT``. Needs the database's JDBC driver on the classpath.
     """
+    # preferTimestampNTZ: database timestamps without zone arrive as timestamp_ntz,
+    # like every time column of this package (no session-zone shifts).
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table) \
-        .option("fetchsize", str(fetch_size)).option("pushDownPredicate", "true")
+        .option("fetchsize", str(fetch_size)).option("pushDownPredicate", "true") \
+        .option("preferTimestampNTZ", "true")
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)
     if partition_column:
