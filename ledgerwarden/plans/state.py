@@ -147,21 +147,25 @@ def next_manifest(prev: Manifest, run_ts: dt.datetime) -> Manifest:
 
 
 def compact(wh: Warehouse, name: str, schema: T.StructType, target_files: int | None = None) -> Manifest:
-    """Rewrite a history's closed folders (one per run) into one, as a new run.
+    """Rewrite a table's per-run folders into one, published as a new run.
 
-    Readers of older manifests keep their folders; readers of the new one see
-    the same rows in fewer files. Nothing is overwritten, so a crash leaves
-    the previous state in force.
+    For a history: its closed folders (the open part is already one folder).
+    For a fact or the report: all of its parts. Readers of older manifests
+    keep their folders; readers of the new one see the same rows in fewer
+    files. Nothing is overwritten, so a crash leaves the previous state.
     """
     prev = wh.latest()
     m = next_manifest(prev, dt.datetime.fromisoformat(prev.run_ts) if prev.run_ts else dt.datetime(1970, 1, 1))
-    closed = prev.tables.get(name, {}).get("closed", [])
-    if len(closed) > 1:
-        rows = wh._read(closed, schema)
+    t = m.tables.get(name, {})
+    field_name = "closed" if "closed" in t else "parts"
+    folders = t.get(field_name, [])
+    if len(folders) > 1:
+        rows = wh._read(folders, schema)
         if target_files:
             rows = rows.repartition(target_files)
-        path = f"{wh.root}/{name}/{m.folder()}/{PART}=closed"
+        suffix = f"/{PART}=closed" if field_name == "closed" else ""
+        path = f"{wh.root}/{name}/{m.folder()}{suffix}"
         rows.write.mode("errorifexists").parquet(path)
-        m.tables[name]["closed"] = [path]
+        t[field_name] = [path]
     wh.publish(m)
     return m

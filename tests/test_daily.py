@@ -113,6 +113,19 @@ def test_compact_closed_history(spark, scratch):
     assert sorted(tuple(r) for r in wh.history(after, "cards", CARDS_HIST).collect()) == rows
 
 
+def test_compact_fact_parts(spark, scratch):
+    from ledgerwarden.plans.state import compact
+    from ledgerwarden.schemas import TRANSACTIONS_FACT
+    wh = Warehouse(spark, scratch)
+    tx = fx.transactions(spark, SF_SMALL)
+    run_day(wh, DayFeeds(transactions=tx.where(F.col("trans_date") < F.lit(CUT))), RUN1)
+    m = run_day(wh, DayFeeds(transactions=tx.where(F.col("trans_date") >= F.lit(CUT))), RUN2)
+    assert len(m.tables["transactions"]["parts"]) == 2
+    after = compact(wh, "transactions", TRANSACTIONS_FACT)
+    assert len(after.tables["transactions"]["parts"]) == 1
+    assert wh.fact(after, "transactions", TRANSACTIONS_FACT).count() == tx.count()
+
+
 def test_as_of_modes_in_a_daily_run(spark, scratch):
     """Single-version dimensions: as-of resolution gives the same report as all versions
     (terminals are loaded after the transactions they serve: the first version reaches back)."""
