@@ -2,15 +2,18 @@
 ``event_dt, passport, fio, phone, event_type, report_dt`` plus ``_trans_id``
 (the flagged transaction, used to keep NULL-key rows apart in ``report``).
 
-Rules 1 and 2 are filters over transactions joined to the owner bridge and
-share one pass in ``rules_passport_account``. Rules 3 and 4 look at a card's
-adjacent transactions; they use ``sequence.banded`` windows so that a card
-with a huge share of all transactions is split by time band, exactly.
+Rules 1 and 2 are filters over transactions joined to the owner bridge.
+Rules 3 and 4 look at a card's adjacent transactions; they use
+``sequence.banded`` windows so that a card with a huge share of all
+transactions is split by time band, exactly. ``all_rules`` computes all four
+with a single owner join (the report's path). ``bridge`` is a DataFrame from
+``owner.owner_bridge`` (modes all/current) or an ``owner.OwnerAsOf``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
