@@ -108,7 +108,8 @@ def cities_hits(tx: DataFrame, terminals: DataFrame, within="1 hour", terminal_m
     else:
         term = resolve(terminals, terminal_mode).select(F.col("terminal_id").alias("terminal"),
                                                         "terminal_city")
-        x = t.join(broadcast_if_small(term), "terminal")
+        # the projection of ``terminals`` is no larger than it: prove (and cache) on the input
+        x = t.join(broadcast_if_small(term, bounded_by=terminals), "terminal")
     aug = banded(x, "trans_date", within, "lead", band_factor)
     w = f"OVER (PARTITION BY card_num, {BAND} ORDER BY trans_date, trans_id, terminal_city)"
     y = aug.selectExpr("card_num", "trans_date", "terminal_city", GHOST,

@@ -43,8 +43,13 @@ def measured_bytes(df: DataFrame) -> int:
     """Upper bound of ``df``'s in-memory size from one aggregate job.
 
     Variable-width columns (strings, binary) count with their longest value;
-    nested columns are measured through their JSON text.
+    nested columns are measured through their JSON text. The bound is kept on
+    the DataFrame object: its input files were listed when it was created, so
+    a second measurement of the same object would read the same data.
     """
+    known = getattr(df, "_lw_measured_bytes", None)
+    if known is not None:
+        return known
     fields = df.schema.fields
     var = [f.name for f in fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     nested = [f.name for f in fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
@@ -53,15 +58,28 @@ def measured_bytes(df: DataFrame) -> int:
     row = df.agg(F.count(F.lit(1)).alias("n"),
                  *[F.max(e).alias(f"m{i}") for i, e in enumerate(var_len)]).first()
     widest = sum((row[f"m{i}"] or 0) for i in range(len(var_len)))
-    return int(row["n"]) * (fixed + widest + _ROW_OVERHEAD)
+    bound = int(row["n"]) * (fixed + widest + _ROW_OVERHEAD)
+    try:
+        df._lw_measured_bytes = bound
+    except AttributeError:  # pragma: no cover - objects without a __dict__
+        pass
+    return bound
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-                       measure: bool = True) -> DataFrame:
-    """Hint a broadcast when the size is known to be at most ``max_bytes``."""
+def is_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, measure: bool = True) -> bool:
+    """True when ``df`` is known to take at most ``max_bytes`` (estimate, else measurement)."""
     size = estimated_bytes(df)
     if size is not None and size <= max_bytes:
-        return F.broadcast(df)
-    if measure and measured_bytes(df) <= max_bytes:
-        return F.broadcast(df)
-    return df
+        return True
+    return bool(measure) and measured_bytes(df) <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+                       measure: bool = True, bounded_by: DataFrame | None = None) -> DataFrame:
+    """Hint a broadcast when the size is known to be at most ``max_bytes``.
+
+    ``bounded_by``: a DataFrame that ``df`` is a projection/filter of; its
+    (cached) bound is used instead of measuring ``df`` itself.
+    """
+    return F.broadcast(df) if is_small(bounded_by if bounded_by is not None else df,
+                                       max_bytes, measure) else df
