@@ -54,7 +54,8 @@ class RunOptions:
     owner_mode: str = "all"          # reference parity; "current" = one owner per card
     terminal_mode: str = "all"
     unique_transactions: bool = False
-    null_safe_report: bool = False
+    null_safe_report: bool = False   # Q8: a NULL passport is a key value
+    distinct_report: bool = False    # Q7: drop exact duplicate candidates within a run
 
 
 def _dim_rows(name: str, src: DataFrame) -> DataFrame:
@@ -123,7 +124,7 @@ def run_day(wh: Warehouse, feeds: DayFeeds, run_ts: dt.datetime,
                         prior=wh.fact(prev, "report", REPORT), report_dt=report_dt,
                         cities_within=opt.cities_within, guessing_within=opt.guessing_within,
                         rejects=opt.rejects, terminal_mode=opt.terminal_mode,
-                        null_safe=opt.null_safe_report)
+                        null_safe=opt.null_safe_report, distinct=opt.distinct_report)
     wh.append_fact(m, "report", rows)
     m.report_date = (report_dt + dt.timedelta(days=1)).isoformat()
     m.consumed_files = m.consumed_files + list(feeds.files)
