@@ -34,3 +34,13 @@ def test_report_joins_bridge_once(spark):
     p = plan(spark, "fraud_report")
     # cards, accounts, clients, blacklist: each customer-derived scan appears once
     assert len(re.findall(r"FileScan parquet \[c_custkey", p)) <= 4
+
+
+def test_sequence_windows_are_split_by_time(spark):
+    """Skew safety reaches the physical plan: windows never partition by the card / key alone."""
+    for name in ("rule_cities", "rule_guessing_3d"):
+        p = plan(spark, name)
+        assert re.search(r"Exchange hashpartitioning\(card_num#\d+, _band#\d+L?", p)
+        assert not re.search(r"Window \[[^\n]*windowspecdefinition\(card_num#\d+, [a-z_]+#\d+ ASC", p)
+    p = plan(spark, "scd2_from_log")
+    assert re.search(r"hashpartitioning\(o_custkey#\d+L?, _bk#\d+L?", p)
