@@ -138,3 +138,14 @@ def test_as_of_modes_in_a_daily_run(spark, scratch):
         m = run_day(wh, feeds(spark, tx, ["transactions_30012024.txt"]), RUN2, opt)
         out[mode] = sorted(tuple(r) for r in wh.fact(m, "report", REPORT).collect())
     assert out["all"] == out["as_of"] and len(out["all"]) > 0
+
+
+def test_unique_transactions_option(spark, scratch):
+    """Q10: the same rows landed again under another file name add nothing when asked."""
+    from ledgerwarden.schemas import TRANSACTIONS_FACT
+    wh = Warehouse(spark, scratch)
+    tx = fx.transactions(spark, SF_SMALL)
+    opt = RunOptions(unique_transactions=True)
+    run_day(wh, DayFeeds(transactions=tx, files=["transactions_15012024.txt"]), RUN1, opt)
+    m = run_day(wh, DayFeeds(transactions=tx, files=["transactions_15012024_copy.txt"]), RUN2, opt)
+    assert wh.fact(m, "transactions", TRANSACTIONS_FACT).count() == tx.count()
