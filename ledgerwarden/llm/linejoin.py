@@ -12,7 +12,8 @@ sets is at least ``NUM / DEN``. A line is removed if an earlier line, by
 2. A second pass orders each class's set by rarity (sketch count, then hash)
    and sends its prefix, the n - ceil(t n) + 1 rarest, to shards by shingle; in
    each shard the length and positional filters leave the classes that can
-   have a partner. A task sends a class once, so frequent lines cost little.
+   have a partner; of groups with the same members the rarest shingle's stays.
+   A task sends a class once, so frequent lines cost little.
 3. The sets of those classes only are read again and met by shared prefix
    shingle; the overlaps are counted exactly (products of 0/1 matrices over the
    shared shingles), a pair being counted at its first common shingle only.
@@ -233,8 +234,8 @@ def _partners(t: np.ndarray, h: np.ndarray, n: np.ndarray, p: np.ndarray) -> np.
     return active
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate rows (t, h) of the shards of a partition, which come one after the other."""
+def _meet(sketch):
+    """Candidate rows (t, its count, h) of the shards of a partition, which come one after the other."""
     def work(blobs: list):
         parts = [np.frombuffer(b, np.uint8) for b in blobs]
         cols = [[], [], [], []]
@@ -249,18 +250,38 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new[1:] = (t[1:] != t[:-1]) | (h[1:] != h[:-1])
         t, h, n, p = t[new], h[new], n[new], p[new]
         active = _partners(t, h, n, p)
-        return pa.RecordBatch.from_arrays([pa.array(t[active].view(np.int64)), pa.array(h[active].view(np.int64))], ["t", "h"])
+        t, h = t[active], h[active]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(t.view(np.int64)), pa.array(sketch.value[bucket(t)].astype(np.int64)), pa.array(h.view(np.int64))],
+            ["t", "r", "h"])
 
-    now, held = None, []
-    for batch in batches:
-        for s, b in zip(batch.column("shard").to_pylist(), batch.column("rows")):
-            if s != now and held:
-                yield work(held)
-                held = []
-            now = s
-            held.append(b.as_buffer().to_pybytes())
-    if held:
-        yield work(held)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            for s, b in zip(batch.column("shard").to_pylist(), batch.column("rows")):
+                if s != now and held:
+                    yield work(held)
+                    held = []
+                now = s
+                held.append(b.as_buffer().to_pybytes())
+        if held:
+            yield work(held)
+
+    return run
+
+
+def _distinct_groups(candidates: DataFrame) -> DataFrame:
+    """The candidate groups (t, h) without those that have the members of a rarer shingle's group.
+
+    A pair is verified and counted in the group of its first common shingle. That group
+    stays: a group of the same members under a rarer shingle would hold a common
+    shingle before the first. Members are compared by count and 128 bits of hashes.
+    """
+    groups = candidates.groupBy("t").agg(
+        F.first("r").alias("r"), F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(h, 1))").alias("s1"),
+        F.expr("bit_xor(xxhash64(h, 2))").alias("s2")).where("n > 1")
+    first = groups.groupBy("n", "s1", "s2").agg(F.min(F.struct("r", F.expr("t < 0").alias("high"), "t")).alias("m"))
+    return candidates.select("t", "h").join(first.selectExpr("m.t t"), "t", "left_semi")
 
 
 # --- sets of candidates and exact overlaps ------------------------------------
@@ -364,8 +385,9 @@ def judge_lines(docs: DataFrame, group_rows: int = GROUP_ROWS, hot: int = HOT_SH
 
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sent = texts.mapInArrow(_prefixes(sketch, 2 * width, hot), "shard int, rows binary")
-    candidates = stage(sent.repartition(width, "shard").sortWithinPartitions("shard")
-                       .mapInArrow(_meet, "t long, h long"), "candidates")
+    found = stage(sent.repartition(width, "shard").sortWithinPartitions("shard")
+                  .mapInArrow(_meet(sketch), "t long, r long, h long"), "shared")
+    candidates = stage(_distinct_groups(found), "candidates")
 
     wanted = stage(candidates.select("h").distinct().join(classes, "h")
                    .groupBy(F.col("first.doc").alias("doc")).agg(F.collect_list("h").alias("wanted")), "wanted")
