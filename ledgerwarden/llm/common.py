@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import scratch_path
 
 #: Bytes of text handled at once inside a task; a longer text is a slice of its own.
-SLICE_BYTES = 1_500_000
+SLICE_BYTES = 1_000_000
 
 _SHIPPED: set[str] = set()
 

@@ -22,7 +22,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
 #: Pieces kept per worker (about 40 bytes each); beyond it the cache starts anew.
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 700_000
 LETTER, DIGIT, BLANK, OTHER = 1, 2, 3, 4
 
 
