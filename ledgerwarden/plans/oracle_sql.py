@@ -47,7 +47,7 @@ owner AS (SELECT trim(c.card_num) card_num, a.account_num, a.valid_to, cl.client
 
 def _rules(tx: str, suffix: str, guess_within: str, report_dt: str, owner: str = "owner",
            asof: bool = False) -> str:
-    """CTEs r1..r4 (reference rule SQL) over transaction CTE ``tx``.
+    """CTEs r1..r4 over transaction CTE ``tx``; rules 3 and 4 as joins of numbered rows.
 
     ``asof``: ``owner`` has versions ``[vf, vu)``; the one valid at the event
     time is joined."""
@@ -63,24 +63,25 @@ r1{s} AS (SELECT t.trans_date event_dt, o.passport, o.fio, o.phone, '1' event_ty
 r2{s} AS (SELECT t.trans_date event_dt, o.passport, o.fio, o.phone, '2' event_type, {report_dt} report_dt
        FROM {tx} t JOIN {owner} o ON trim(t.card_num)=o.card_num{at("t.trans_date")}
        WHERE t.trans_date > o.valid_to),
-r3{s} AS (SELECT x.lead_time event_dt, o.passport, o.fio, o.phone, '3' event_type, {report_dt} report_dt
-       FROM (SELECT t.card_num, tr.terminal_city city, t.trans_date,
-                    lead(tr.terminal_city) OVER w lead_city, lead(t.trans_date) OVER w lead_time
-             FROM {tx} t JOIN fx_terminals tr ON t.terminal=tr.terminal_id
-             WINDOW w AS (PARTITION BY t.card_num ORDER BY t.trans_date, t.trans_id)) x
-       JOIN {owner} o ON trim(x.card_num)=o.card_num{at("x.lead_time")}
-       WHERE x.city <> x.lead_city AND x.lead_time - x.trans_date <= INTERVAL '1 hour'),
-r4x{s} AS (SELECT card_num, trans_date, amt, oper_result,
-               lag(trans_date,3) OVER w lag3_time, lag(amt,1) OVER w lag1_amt, lag(amt,2) OVER w lag2_amt,
-               lag(amt,3) OVER w lag3_amt, lag(oper_result,1) OVER w lag1_res,
-               lag(oper_result,2) OVER w lag2_res, lag(oper_result,3) OVER w lag3_res
-        FROM {tx} WHERE oper_type = 'WITHDRAW' OR oper_type = 'PAYMENT'
-        WINDOW w AS (PARTITION BY card_num ORDER BY trans_date, trans_id)),
-r4{s} AS (SELECT x.trans_date event_dt, o.passport, o.fio, o.phone, '4' event_type, {report_dt} report_dt
-       FROM r4x{s} x JOIN {owner} o ON trim(x.card_num)=o.card_num{at("x.trans_date")}
-       WHERE oper_result='SUCCESS' AND lag1_res='REJECT' AND lag2_res='REJECT' AND lag3_res='REJECT'
-         AND lag1_amt > amt AND lag2_amt > lag1_amt AND lag3_amt > lag2_amt
-         AND trans_date - lag3_time <= INTERVAL '{guess_within}')"""
+seen{s} AS (SELECT t.card_num, tr.terminal_city city, t.trans_date happened,
+               row_number() OVER (PARTITION BY t.card_num ORDER BY t.trans_date, t.trans_id) k
+        FROM {tx} t JOIN fx_terminals tr ON tr.terminal_id = t.terminal),
+r3{s} AS (SELECT b.happened event_dt, o.passport, o.fio, o.phone, '3' event_type, {report_dt} report_dt
+       FROM seen{s} a JOIN seen{s} b ON b.card_num = a.card_num AND b.k = a.k + 1
+       JOIN {owner} o ON o.card_num = trim(b.card_num){at("b.happened")}
+       WHERE b.city <> a.city AND b.happened <= a.happened + INTERVAL '1 hour'),
+ops{s} AS (SELECT card_num, amt, oper_result, trans_date happened,
+              row_number() OVER (PARTITION BY card_num ORDER BY trans_date, trans_id) k
+       FROM {tx} WHERE oper_type IN ('PAYMENT', 'WITHDRAW')),
+chains{s} AS (SELECT hit.card_num, hit.k, hit.happened
+       FROM ops{s} hit JOIN ops{s} p ON p.card_num = hit.card_num AND p.k BETWEEN hit.k - 3 AND hit.k - 1
+       JOIN ops{s} following ON following.card_num = p.card_num AND following.k = p.k + 1
+       WHERE hit.oper_result = 'SUCCESS'
+       GROUP BY hit.card_num, hit.k, hit.happened
+       HAVING count(*) = 3 AND bool_and(coalesce(p.oper_result = 'REJECT' AND following.amt < p.amt, false))
+          AND hit.happened <= min(p.happened) + INTERVAL '{guess_within}'),
+r4{s} AS (SELECT c.happened event_dt, o.passport, o.fio, o.phone, '4' event_type, {report_dt} report_dt
+       FROM chains{s} c JOIN {owner} o ON o.card_num = trim(c.card_num){at("c.happened")})"""
 
 
 def _sequential_report(s: str, prior: str | None) -> str:
