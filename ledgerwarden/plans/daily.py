@@ -69,9 +69,11 @@ def _dim_rows(name: str, src: DataFrame) -> DataFrame:
 
 
 def run_day(wh: Warehouse, feeds: DayFeeds, run_ts: dt.datetime,
-            options: RunOptions | None = None) -> Manifest:
+            options: RunOptions | None = None, advance: bool = True) -> Manifest:
     """Load one day and append its report rows; returns the published manifest.
 
+    ``advance=False`` (late files of a day that has been run) leaves the report date where it is.
+
     Files already listed as consumed by an earlier run are refused (a file is
     loaded once even if the run before crashed after loading it).
     """
@@ -126,7 +128,8 @@ def run_day(wh: Warehouse, feeds: DayFeeds, run_ts: dt.datetime,
                         rejects=opt.rejects, terminal_mode=opt.terminal_mode,
                         null_safe=opt.null_safe_report, distinct=opt.distinct_report)
     wh.append_fact(m, "report", rows)
-    m.report_date = (report_dt + dt.timedelta(days=1)).isoformat()
+    if advance:
+        m.report_date = (report_dt + dt.timedelta(days=1)).isoformat()
     m.consumed_files = m.consumed_files + list(feeds.files)
     wh.publish(m)
     return m

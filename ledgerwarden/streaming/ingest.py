@@ -49,48 +49,72 @@ def ingest_transactions(spark: SparkSession, source_dir: str, target_dir: str,
 
 def run_on_arrival(spark: SparkSession, source_dir: str, wh, feeds_for=None,
                    checkpoint: str | None = None, run_time=None, options=None,
-                   pattern: str = "*transactions*", max_files_per_trigger: int = 100):
-    """Daily runs driven by arriving transaction files (``foreachBatch``).
-
-    Each micro-batch is split by the business date in the file names and one
-    ``plans.daily.run_day`` runs per date, in date order (the file source
-    takes files by modification time, not by name). ``feeds_for(date)`` may
-    supply that day's dimension feeds. A replayed micro-batch after a restart
-    changes nothing: ``run_day`` refuses files a published run consumed.
+                   pattern: str = "*transactions*", max_files_per_trigger: int | None = None):
+    """Land what has arrived, then one ``plans.daily.run_day`` per business date.
+
+    A stream lands the files (of all sub-folders) once each, with their full
+    path, in a folder beside its checkpoint; ``max_files_per_trigger`` only
+    throttles that landing. A replayed micro-batch writes its own folder again.
+    After that the landed files that no run has consumed are grouped by the
+    date in their names, whatever triggers they came in, and run in date
+    order; ``feeds_for(date)`` may supply a day's other feeds. Files of a date
+    that has been run before are late: they are loaded and reported without
+    other feeds and without moving the report date.
+
+    A landed file without a date in its name raises ``ValueError`` after all
+    dated days have run; its rows stay landed and unconsumed.
     Returns the finished ``StreamingQuery``.
     """
     import datetime as dt
 
+    from pyspark.sql import types as T
+
     from ledgerwarden.plans.daily import DayFeeds, run_day
     from ledgerwarden.schemas import TRANSACTIONS_FACT
 
     at = run_time or dt.time(2, 38)
     ckpt = checkpoint or scratch_path(spark, "streams", "daily_runs")
-
-    def each(batch, epoch_id):
-        batch = batch.persist()
-        try:
-            done = set(wh.latest().consumed_files)
-            # one row per file of this micro-batch (bounded by maxFilesPerTrigger)
-            files = [(r.source_file, r.business_date) for r in
-                     batch.select("source_file", "business_date").distinct().collect()]
-            days = sorted({d for f, d in files if f not in done and d is not None})
-            for day in days:
-                names = sorted(f for f, d in files if d == day)
-                feeds = feeds_for(day) if feeds_for else DayFeeds()
-                feeds.transactions = batch.where(F.col("business_date") == F.lit(day)).select(
-                    *TRANSACTIONS_FACT.fieldNames())
-                feeds.files = names
-                run_day(wh, feeds, dt.datetime.combine(day + dt.timedelta(days=1), at), options)
-        finally:
-            batch.unpersist()
+    landing = f"{ckpt}/landing"
 
     reader = (spark.readStream.schema(TRANSACTIONS_RAW).option("header", True).option("sep", TX_SEP)
-              .option("pathGlobFilter", pattern).option("maxFilesPerTrigger", max_files_per_trigger))
-    raw = reader.csv(source_dir).withColumn("source_file", F.col("_metadata.file_name"))
-    typed = clean_transactions(raw, keep=["source_file"]).withColumn(
-        "business_date", business_date("source_file"))
-    q = (typed.writeStream.foreachBatch(each).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start())
+              .option("pathGlobFilter", pattern).option("recursiveFileLookup", True))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    raw = reader.csv(source_dir).withColumn("source_file", F.col("_metadata.file_path"))
+    typed = clean_transactions(raw, keep=["source_file"])
+
+    def land(batch, epoch_id):
+        batch.write.mode("overwrite").parquet(f"{landing}/epoch={epoch_id}")
+
+    q = typed.writeStream.foreachBatch(land).option("checkpointLocation", f"{ckpt}/stream").trigger(availableNow=True).start()
     q.awaitTermination()
+
+    schema = T.StructType([*TRANSACTIONS_FACT.fields, T.StructField("source_file", T.StringType())])
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(landing)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return q                                   # nothing has ever arrived
+    landed = spark.read.schema(schema).parquet(landing).withColumn(
+        "business_date", business_date(F.element_at(F.split("source_file", "/"), -1)))
+    prev = wh.latest()
+    done = set(prev.consumed_files)
+    files = [(r.source_file, r.business_date) for r in landed.select("source_file", "business_date").distinct().collect()]
+    ran = {d for f, d in files if f in done}
+    fresh = [(f, d) for f, d in files if f not in done]
+    for day in sorted({d for _, d in fresh if d is not None}):
+        names = sorted(f for f, d in fresh if d == day)
+        late = day in ran
+        feeds = feeds_for(day) if feeds_for and not late else DayFeeds()
+        rows = landed.where(F.col("business_date") == F.lit(day))
+        if late:
+            rows = rows.where(F.col("source_file").isin(names))
+        feeds.transactions = rows.select(*TRANSACTIONS_FACT.fieldNames())
+        feeds.files = names
+        last = wh.latest().run_ts
+        when = dt.datetime.combine(day + dt.timedelta(days=1), at)
+        if late and last:
+            when = max(when, dt.datetime.fromisoformat(last))
+        run_day(wh, feeds, when, options, advance=not late)
+    undated = sorted(f for f, d in fresh if d is None)
+    if undated:
+        raise ValueError(f"{len(undated)} landed files have no business date in their names, e.g. {undated[:3]}")
     return q
