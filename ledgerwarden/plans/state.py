@@ -85,22 +85,48 @@ class Warehouse:
             return Manifest.seed()
         ids = [int(s.getPath().getName()[:-5]) for s in self._fs.listStatus(d)
                if s.getPath().getName().endswith(".json")]
-        if not ids:
-            return Manifest.seed()
-        stream = self._fs.open(self._Path(f"{self.root}/_runs/{max(ids):09d}.json"))
+        found = (self._parsed(i) for i in sorted(ids, reverse=True))
+        return next((m for m in found if m is not None), None) or Manifest.seed()
+
+    def _manifest_path(self, run_id: int):
+        return self._Path(f"{self.root}/_runs/{run_id:09d}.json")
+
+    def _parsed(self, run_id: int) -> Manifest | None:
+        """The manifest of a run; None where the file is empty or broken."""
+        stream = self._fs.open(self._manifest_path(run_id))
         try:
             text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return Manifest.from_json(text)
+        try:
+            return Manifest.from_json(text)
+        except (ValueError, TypeError):
+            return None
 
     def publish(self, m: Manifest) -> None:
-        """Write the manifest; fails if the id exists (two writers of one run)."""
-        out = self._fs.create(self._Path(f"{self.root}/_runs/{m.run_id:09d}.json"), False)
+        """Make the manifest visible as a whole; fails if the run id is published (two writers of one run).
+
+        It is written under ``_runs/_tmp`` and renamed without overwriting. The
+        rename is atomic on HDFS and local file systems; on object stores it
+        is a copy, so there one writer at a time has to be ensured outside. A
+        broken file of the id (which readers skip) is replaced.
+        """
+        jvm = self.spark.sparkContext._jvm
+        target = self._manifest_path(m.run_id)
+        tmp = self._Path(f"{self.root}/_runs/_tmp/{uuid.uuid4().hex}")
+        out = self._fs.create(tmp, False)
         try:
             out.write(bytearray(m.to_json().encode("utf-8")))
         finally:
             out.close()
+        broken = self._fs.exists(target) and self._parsed(m.run_id) is None
+        how = jvm.org.apache.hadoop.fs.Options.Rename
+        flags = self.spark.sparkContext._gateway.new_array(how, 1)
+        flags[0] = how.OVERWRITE if broken else how.NONE
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            tmp.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).getUri(),
+            self.spark.sparkContext._jsc.hadoopConfiguration())
+        context.rename(self._fs.makeQualified(tmp), self._fs.makeQualified(target), flags)
 
     # -- tables --------------------------------------------------------------------------------
     def _read(self, dirs: list[str], schema: T.StructType) -> DataFrame:

@@ -59,3 +59,36 @@ def test_null_city_never_differs(spark):
                                 ("2", T(2024, 1, 5, 10, 30), "C1", "PAYMENT", Decimal(1), "SUCCESS", "T2")],
                                TRANSACTIONS_FACT)
     assert rule_cities(tx, term, b).count() == 0
+
+
+def test_not_in_without_broadcast(spark):
+    from ledgerwarden.operators.keys import keys_absent
+    left = spark.createDataFrame([(1,), (2,), (None,)], "k long")
+    some, with_null = (spark.createDataFrame(x, "r long") for x in ([(2,), (3,)], [(2,), (None,)]))
+    got = lambda right: sorted((r.k is not None, r.k) for r in keys_absent(left, right, "k", "r", null_aware=True).collect())
+    assert got(some) == [(True, 1)]
+    assert got(with_null) == []
+    assert got(some.limit(0)) == [(False, None), (True, 1), (True, 2)]
+    plan = keys_absent(left, some, "k", "r", null_aware=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "isnull" not in plan.split("LeftAnti")[1].split("\n")[0]
+
+
+def test_publish_is_whole_or_absent(spark, scratch):
+    import datetime as dt
+    import os
+
+    import pytest
+
+    from ledgerwarden.plans.state import Warehouse, next_manifest
+    wh = Warehouse(spark, f"{scratch}/wh")
+    first = next_manifest(wh.latest(), dt.datetime(2021, 3, 1))
+    wh.publish(first)
+    with pytest.raises(Exception, match="exist"):
+        wh.publish(next_manifest(wh.latest().__class__.seed(), dt.datetime(2021, 3, 1)))     # a second publisher of run 1
+    runs = wh.root.removeprefix("file:") + "/_runs"
+    for broken in ("", '{"run_id": 2, "par'):
+        with open(os.path.join(runs, "000000002.json"), "w") as f:
+            f.write(broken)
+        assert wh.latest().run_id == 1
+    wh.publish(next_manifest(wh.latest(), dt.datetime(2021, 3, 2)))
+    assert wh.latest().run_id == 2
