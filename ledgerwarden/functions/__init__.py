@@ -1,7 +1,6 @@
 """Column expressions shared by the operators (all JVM-side, codegen'd)."""
 
 from ledgerwarden.functions.columns import (
-    changed,
     clean_amount,
     epoch_micros,
     far_future,
@@ -17,6 +16,6 @@ from ledgerwarden.functions.columns import (
 )
 
 __all__ = [
-    "changed", "clean_amount", "epoch_micros", "far_future", "full_name", "interval_seconds",
+    "clean_amount", "epoch_micros", "far_future", "full_name", "interval_seconds",
     "is_open", "mod_time", "time_bucket", "within", "ntz_lit", "date_lit", "typed_lit",
 ]

@@ -7,7 +7,6 @@ expression stays inside whole-stage codegen.
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -88,14 +87,6 @@ def mod_time(update_dt: str = "update_dt", create_dt: str = "create_dt") -> Colu
     return F.coalesce(_col(update_dt), _col(create_dt))
 
 
-def changed(left: str, right: str, cols: list[str]) -> Column:
-    """True when any tracked column differs, NULL-safe (NULL vs. value is a change)."""
-    if not cols:
-        return F.lit(False)
-    return reduce(lambda a, b: a | b,
-                  [~F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in cols])
-
-
 def full_name(last: str | Column, first: str | Column, patronymic: str | Column) -> Column:
     """``last || ' ' || first || ' ' || patronymic``: NULL if any part is NULL."""
     return F.concat(_col(last), F.lit(" "), _col(first), F.lit(" "), _col(patronymic))

@@ -81,16 +81,6 @@ def rule_account(tx: DataFrame, bridge: DataFrame, report_dt: dt.date = SEED_REP
     return _candidates(x, "trans_date", "trans_id", EVENT_ACCOUNT, report_dt)
 
 
-def rules_passport_account(tx: DataFrame, bridge: DataFrame,
-                           report_dt: dt.date = SEED_REPORT_DATE) -> DataFrame:
-    """Rules 1 and 2 in one scan and one join: a row per rule that holds."""
-    hits = F.filter(F.array(F.when(passport_condition(), F.lit(EVENT_PASSPORT)),
-                            F.when(account_condition(), F.lit(EVENT_ACCOUNT))),
-                    lambda x: x.isNotNull())
-    x = with_owner(tx, bridge).withColumn("_rule", F.explode(hits))
-    return _candidates(x, "trans_date", "trans_id", F.col("_rule"), report_dt)
-
-
 def cities_hits(tx: DataFrame, terminals: DataFrame, within="1 hour", terminal_mode: str = "all",
                 band_factor: int = 6) -> DataFrame:
     """Rule 3 without owners: ``card_num, trans_date, trans_id`` of each later

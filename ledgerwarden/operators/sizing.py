@@ -1,9 +1,9 @@
 """Broadcast only behind a size check.
 
 ``F.broadcast`` forces a broadcast whatever the size; here a side is hinted
-only when its size is bounded: first by Catalyst's estimate, and when that is
-inconclusive (join estimates multiply sizes) by measuring it -- one small
-aggregate gives the row count and the longest value of every variable-width
+only when its size is bounded by measuring it (file and join estimates say
+little about the size in memory): one small aggregate job, run while the plan
+is built, gives the row count and the longest value of every variable-width
 column, i.e. an upper bound of the broadcast size. Above the bound the join
 stays a shuffle join (AQE may still convert it, and splits skewed partitions).
 """
@@ -18,15 +18,6 @@ DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_OVERHEAD = 24
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df``'s optimized plan, or None if unknown."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
-    except Exception:  # pragma: no cover - e.g. Spark Connect has no _jdf
-        return None
-
-
 def _fixed_width(t: T.DataType) -> int:
     if isinstance(t, (T.BooleanType, T.ByteType)):
         return 1
@@ -66,20 +57,16 @@ def measured_bytes(df: DataFrame) -> int:
     return bound
 
 
-def is_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, measure: bool = True) -> bool:
-    """True when ``df`` is known to take at most ``max_bytes`` (estimate, else measurement)."""
-    size = estimated_bytes(df)
-    if size is not None and size <= max_bytes:
-        return True
-    return bool(measure) and measured_bytes(df) <= max_bytes
+def is_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    """True when ``df`` is measured to take at most ``max_bytes``."""
+    return measured_bytes(df) <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-                       measure: bool = True, bounded_by: DataFrame | None = None) -> DataFrame:
+                       bounded_by: DataFrame | None = None) -> DataFrame:
     """Hint a broadcast when the size is known to be at most ``max_bytes``.
 
     ``bounded_by``: a DataFrame that ``df`` is a projection/filter of; its
     (cached) bound is used instead of measuring ``df`` itself.
     """
-    return F.broadcast(df) if is_small(bounded_by if bounded_by is not None else df,
-                                       max_bytes, measure) else df
+    return F.broadcast(df) if is_small(bounded_by if bounded_by is not None else df, max_bytes) else df

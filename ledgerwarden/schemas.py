@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 
 # Fixed values that must equal the reference's for equal results.
 FAR_FUTURE = dt.datetime(9999, 12, 31)          # open end of a version
-FAR_FUTURE_DATE = dt.date(9999, 12, 31)
 FLAG_LIVE = "N"                                  # delete_flg of a live version
 FLAG_DELETED = "Y"                               # delete_flg of a deletion marker
 OPER_WITHDRAW = "WITHDRAW"
@@ -81,8 +80,3 @@ DIMENSIONS = {
                   "tracked": ["terminal_type", "terminal_city", "terminal_address"],
                   "rename": {}, "hist": TERMINALS_HIST},
 }
-
-
-def empty(spark, schema: T.StructType):
-    """An empty DataFrame of ``schema`` (a table before its first load)."""
-    return spark.createDataFrame([], schema)

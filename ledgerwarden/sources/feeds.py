@@ -8,7 +8,6 @@ every comma of the whole file), S8 picks feed files.
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,7 +117,3 @@ def pick_feed(files: DataFrame, words: list[str], name_col: str = "file_name") -
         F.min(F.struct(F.col("business_date").isNull().alias("undated"), "business_date",
                        name_col))[name_col].alias("first_by_date"),
         F.min("business_date").alias("business_date"))
-
-
-def consumed_name(path: str) -> str:
-    return os.path.basename(path.rstrip("/"))

@@ -40,5 +40,5 @@ def test_broadcast_bound(spark):
     df = spark.createDataFrame([("x" * 10, 1), ("y" * 30, 2)], "s string, n long")
     assert measured_bytes(df) == 2 * (8 + 30 + 24)
     hinted = broadcast_if_small(df, max_bytes=1 << 20)._jdf.queryExecution().logical().toString()
-    plain = broadcast_if_small(df, max_bytes=10, measure=True)._jdf.queryExecution().logical().toString()
+    plain = broadcast_if_small(df, max_bytes=10)._jdf.queryExecution().logical().toString()
     assert "broadcast" in hinted.lower() and "broadcast" not in plain.lower()
