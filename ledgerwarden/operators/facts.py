@@ -20,5 +20,7 @@ def append_new(fact: DataFrame, batch: DataFrame, key: str = "passport_num",
 
 def append_unique(fact: DataFrame, batch: DataFrame, key: str = "trans_id") -> DataFrame:
     """O6 with dedup: batch rows whose ``key`` the fact does not hold yet
-    (a reloaded file adds nothing, Q10). Without it, append the batch as is."""
-    return batch.join(fact.select(key), key, "left_anti")
+    (a reloaded file adds nothing, Q10), one row per key; rows with a NULL key
+    are all kept. Without it, append the batch as is."""
+    fresh = batch.join(fact.select(key), key, "left_anti").select(*batch.columns)
+    return fresh.where(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(fresh.where(F.col(key).isNull()))

@@ -92,3 +92,12 @@ def test_publish_is_whole_or_absent(spark, scratch):
         assert wh.latest().run_id == 1
     wh.publish(next_manifest(wh.latest(), dt.datetime(2021, 3, 2)))
     assert wh.latest().run_id == 2
+
+
+def test_append_unique_within_the_batch(spark):
+    from ledgerwarden.operators.facts import append_unique
+    fact = spark.createDataFrame([("1",)], "trans_id string")
+    batch = spark.createDataFrame([("1", 1), ("2", 2), ("2", 2), (None, 3), (None, 3)], "trans_id string, n int")
+    got = append_unique(fact, batch)
+    assert got.columns == batch.columns
+    assert sorted((r.trans_id or "", r.n) for r in got.collect()) == [("", 3), ("", 3), ("2", 2)]
