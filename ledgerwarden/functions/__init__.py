@@ -1,6 +1,7 @@
 """Column expressions shared by the operators (all JVM-side, codegen'd)."""
 
 from ledgerwarden.functions.columns import (
+    amount_rounded,
     clean_amount,
     epoch_micros,
     far_future,
@@ -16,6 +17,6 @@ from ledgerwarden.functions.columns import (
 )
 
 __all__ = [
-    "clean_amount", "epoch_micros", "far_future", "full_name", "interval_seconds",
+    "amount_rounded", "clean_amount", "epoch_micros", "far_future", "full_name", "interval_seconds",
     "is_open", "mod_time", "time_bucket", "within", "ntz_lit", "date_lit", "typed_lit",
 ]

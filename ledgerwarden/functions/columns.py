@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerwarden.schemas import FAR_FUTURE, FLAG_LIVE
+from ledgerwarden.schemas import AMOUNT, FAR_FUTURE, FLAG_LIVE
 
 _UNITS = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600, "hours": 3600,
           "day": 86400, "days": 86400}
@@ -92,9 +92,16 @@ def full_name(last: str | Column, first: str | Column, patronymic: str | Column)
     return F.concat(_col(last), F.lit(" "), _col(first), F.lit(" "), _col(patronymic))
 
 
-def clean_amount(c: str | Column, scale: int = 2) -> Column:
-    """Decimal comma to decimal point, typed; unparsable text gives NULL."""
-    return F.regexp_replace(_col(c), ",", ".").try_cast(T.DecimalType(18, scale))
+def clean_amount(c: str | Column, dtype: T.DecimalType = AMOUNT) -> Column:
+    """Decimal comma to decimal point, typed; NULL where the text is no number or too large for ``dtype``.
+
+    Digits behind ``dtype.scale`` places are rounded half up; ``amount_rounded`` tells where."""
+    return F.regexp_replace(_col(c), ",", ".").try_cast(dtype)
+
+
+def amount_rounded(c: str | Column, dtype: T.DecimalType = AMOUNT) -> Column:
+    """True where ``clean_amount`` loses digits behind the point that are not zero."""
+    return F.regexp_extract(_col(c), r"[.,]([0-9]*)$", 1).rlike(f"^[0-9]{{{dtype.scale}}}[0-9]*[1-9]")
 
 
 def epoch_micros(c: str | Column, dtype: T.DataType) -> Column:

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwarden.functions.columns import full_name
-from ledgerwarden.operators.sequence import asof_carry
 from ledgerwarden.operators.versions import resolve, validity
 
 BRIDGE_COLUMNS = ["card_num", "account_num", "valid_to", "client_id", "passport",
@@ -53,26 +52,36 @@ def owner_bridge(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
     return bridge.select(*BRIDGE_COLUMNS)
 
 
-def _lookup(events: DataFrame, versions: DataFrame, key: str, t: str, payload: list[str],
-            bucket_seconds: float) -> DataFrame:
-    """Events joined to the version of ``key`` valid at ``events[t]`` (inner)."""
-    got = asof_carry(events, versions, [key], t, "_valid_from", ["_valid_until"], payload, bucket_seconds)
-    ok = F.col("_ver").isNotNull() & (F.col(t) < F.col("_ver._valid_until"))
-    return got.where(ok).select(*events.columns, *[F.col(f"_ver.{c}").alias(c) for c in payload])
+def version_at(events: DataFrame, versions: DataFrame, key: str, t: str, payload: list[str]) -> DataFrame:
+    """Events joined to the version of ``key`` valid at ``events[t]`` (inner).
+
+    An equi-join on the key with the validity test as its residual condition.
+    A key's versions do not overlap, so an event meets one at most and no
+    pairs come out; the events move once, and a hot key's are split by AQE's
+    skew join. Meant for dimensions, whose keys have few versions each: every
+    event is tested against the versions of its key. Use ``scd2_as_of`` where
+    a key may have very many.
+    """
+    v = versions.select(F.col(key).alias("_vk"), "_valid_from", "_valid_until",
+                        *[F.col(c).alias(f"_v_{c}") for c in payload])
+    hit = ((events[key] == F.col("_vk")) & (F.col("_valid_from") <= events[t])
+           & (events[t] < F.col("_valid_until")))
+    return events.join(v, hit).select(*[events[c] for c in events.columns],
+                                      *[F.col(f"_v_{c}").alias(c) for c in payload])
 
 
 class OwnerAsOf:
     """Owner chain resolved at each transaction's time (``mode='as_of'``).
 
-    Three linear as-of lookups -- card version, then its account's version,
+    Three lookups (``version_at``) -- card version, then its account's version,
     then the client's version valid at ``trans_date`` -- each one shuffle of
-    the transactions by (key, day bucket); versions of one key are never
-    paired with each other, and a hot card or account is spread over buckets.
+    the transactions by the key, or none where the dimension is small enough
+    for Catalyst or AQE to broadcast it; versions of one key are never paired
+    with each other.
     """
 
     def __init__(self, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
-                 blacklist: DataFrame | None = None, unit="1 second", extend_first: bool = False,
-                 bucket_seconds: float = 86400.0):
+                 blacklist: DataFrame | None = None, unit="1 second", extend_first: bool = False):
         self.cards = validity(cards.withColumn("card_num", F.trim("card_num")), ["card_num"], unit,
                               extend_first).select("card_num", "_valid_from", "_valid_until", "account_num")
         self.accounts = validity(accounts, ["account_num"], unit, extend_first).select(
@@ -81,14 +90,12 @@ class OwnerAsOf:
             "client_id", "_valid_from", "_valid_until", F.col("passport_num").alias("passport"),
             "passport_valid_to", full_name("last_name", "first_name", "patronymic").alias("fio"), "phone")
         self.blacklist = blacklist_first_entry(blacklist) if blacklist is not None else None
-        self.bucket = bucket_seconds
 
     def attach(self, events: DataFrame, t: str = "trans_date") -> DataFrame:
         """``events`` (with ``card_num`` and ``t``) plus the owner columns of BRIDGE_COLUMNS."""
-        x = _lookup(events, self.cards, "card_num", t, ["account_num"], self.bucket)
-        x = _lookup(x, self.accounts, "account_num", t, ["valid_to", "client_id"], self.bucket)
-        x = _lookup(x, self.clients, "client_id", t,
-                    ["passport", "passport_valid_to", "fio", "phone"], self.bucket)
+        x = version_at(events, self.cards, "card_num", t, ["account_num"])
+        x = version_at(x, self.accounts, "account_num", t, ["valid_to", "client_id"])
+        x = version_at(x, self.clients, "client_id", t, ["passport", "passport_valid_to", "fio", "phone"])
         if self.blacklist is not None:
             x = x.join(self.blacklist, F.col("passport") == F.col("passport_num"), "left").drop("passport_num")
         else:

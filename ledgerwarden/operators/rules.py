@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from ledgerwarden.functions.columns import date_lit
 from ledgerwarden.functions.columns import within as within_span
-from ledgerwarden.operators.owner import attach_owner
-from ledgerwarden.operators.sequence import BAND, GHOST, asof_carry, banded
+from ledgerwarden.operators.owner import attach_owner, version_at
+from ledgerwarden.operators.sequence import BAND, GHOST, banded
 from ledgerwarden.operators.sizing import broadcast_if_small
 from ledgerwarden.operators.versions import resolve, validity
 from ledgerwarden.schemas import (
@@ -91,10 +91,7 @@ def cities_hits(tx: DataFrame, terminals: DataFrame, within="1 hour", terminal_m
         # the terminal's city at the transaction time; first version reaches back
         v = validity(terminals, ["terminal_id"], extend_first=True).select(
             F.col("terminal_id").alias("terminal"), "_valid_from", "_valid_until", "terminal_city")
-        got = asof_carry(t, v, ["terminal"], "trans_date", "_valid_from", ["_valid_until"],
-                         ["terminal_city"], 86400.0)
-        x = got.where(F.col("_ver").isNotNull() & (F.col("trans_date") < F.col("_ver._valid_until"))) \
-               .select(*t.columns, F.col("_ver.terminal_city").alias("terminal_city"))
+        x = version_at(t, v, "terminal", "trans_date", ["terminal_city"])
     else:
         term = resolve(terminals, terminal_mode).select(F.col("terminal_id").alias("terminal"),
                                                         "terminal_city")

@@ -246,6 +246,59 @@ def scd2_merge(hist: DataFrame, changes: DataFrame, keys: list[str], tracked: li
     return closed.unionByName(delta)
 
 
+def scd2_merge_log(hist: DataFrame, changes: DataFrame, keys: list[str], tracked: list[str],
+                   change_ts: str = "mod_dt", live_keys: DataFrame | None = None, run_ts=None,
+                   unit="1 second", bucket="365 days") -> DataFrame:
+    """O1 for real change feeds: every change of the batch becomes a version, not only a key's latest.
+
+    The open live rows and the changes form one log for ``scd2_from_log``, so
+    a key with very many changes is spread over time buckets. Changes not
+    newer than the key's open version are ignored (replays are no-ops), as
+    are those of deleted keys, and rows with a NULL key or time
+    (``dropped_changes`` counts them). Of changes of one key at one time the
+    largest tracked values stay. Keys missing from ``live_keys`` are closed
+    at ``run_ts - unit`` and get a ``Y`` marker from ``run_ts``.
+    """
+    if live_keys is not None and run_ts is None:
+        raise ValueError("deletes need run_ts")
+    closed, opened = split_history(hist)
+    types = {f.name: f.dataType for f in hist.schema.fields}
+    at = F.col(change_ts).cast("timestamp_ntz")
+    batch = changes.where(_not_null(keys) & at.isNotNull()).select(
+        *[F.col(k).cast(types[k]).alias(k) for k in keys], at.alias("effective_from"),
+        F.struct(*[F.col(c).cast(types[c]).alias(c) for c in tracked]).alias("_a"))
+    batch = batch.groupBy(*keys, "effective_from").agg(F.max("_a").alias("_a"))
+    state = opened.select(*keys, F.col("effective_from").alias("_since"), F.col("delete_flg").alias("_flg"))
+    fresh = F.col("_since").isNull() | ((F.col("_flg") == FLAG_LIVE) & (F.col("effective_from") > F.col("_since")))
+    batch = batch.join(state, keys, "left").where(fresh).select(*keys, "_a.*", "effective_from")
+    live_now = opened.where(F.col("delete_flg") == FLAG_LIVE)
+    log = live_now.select(*keys, *tracked, "effective_from").unionByName(batch)
+    versions = scd2_from_log(log, keys, tracked, "effective_from", unit=unit, bucket=bucket)
+    out = closed.unionByName(opened.where(F.col("delete_flg") == FLAG_DELETED)).select(*versions.columns)
+    if live_keys is None:
+        return out.unionByName(versions)
+    known = live_keys.where(_not_null(keys)).select(
+        *[F.col(k).cast(types[k]).alias(k) for k in keys], F.lit(True).alias("_live")).distinct()
+    v = versions.join(known, keys, "left")
+    ends = is_open() & F.col("_live").isNull()
+    row = F.struct(*[F.col(c) for c in [*keys, *tracked]], "effective_from",
+                   F.when(ends, _ts(run_ts) - _span(unit)).otherwise(F.col("effective_to")).alias("effective_to"),
+                   "delete_flg")
+    marker = F.when(ends, F.struct(*[F.col(c) for c in [*keys, *tracked]], _ts(run_ts).alias("effective_from"),
+                                   far_future().alias("effective_to"), F.lit(FLAG_DELETED).alias("delete_flg")))
+    rows = v.select(F.explode(F.filter(F.array(row, marker), lambda r: r.isNotNull())).alias("r")).select("r.*")
+    return out.unionByName(rows)
+
+
+def dropped_changes(changes: DataFrame, keys: list[str], change_ts: str = "mod_dt") -> DataFrame:
+    """How many rows of a batch a merge leaves out, one row: ``n_rows``, ``n_null_key``, ``n_null_time``
+    (with a key). A run that must not lose rows silently checks it before merging."""
+    keyed = _not_null(keys)
+    return changes.select(keyed.alias("k"), F.col(change_ts).isNotNull().alias("t")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.col("k")).alias("n_null_key"),
+        F.count_if(F.col("k") & ~F.col("t")).alias("n_null_time"))
+
+
 # --------------------------------------------------------------------------- whole backlog (O3)
 
 def scd2_from_log(log: DataFrame, keys: list[str], tracked: list[str], ts: str,
@@ -320,7 +373,8 @@ def scd2_as_of(events: DataFrame, hist: DataFrame, keys: list[str], at: str, pay
     """Attach to each event the version of its key in force at ``events[at]``.
 
     In force: ``effective_from <= at`` and ``at < effective_to + unit`` (the
-    reference closes a version at the next start minus ``unit``). Linear in
+    reference closes a version at the next start minus ``unit``). With
+    ``how="left"`` events without a version, key or time stay. Linear in
     events + versions; no key's rows are paired with each other.
     """
     v = hist.where(_not_null(keys)).select(*keys, "effective_from", "effective_to", "delete_flg",
@@ -336,8 +390,9 @@ def scd2_as_of(events: DataFrame, hist: DataFrame, keys: list[str], at: str, pay
                      F.when(ok, ver["effective_to"]).alias("effective_to"),
                      F.when(ok, ver["delete_flg"]).alias("delete_flg"))
     if how == "inner":
-        out = out.where(F.col("effective_from").isNotNull())
-    return out
+        return out.where(F.col("effective_from").isNotNull())
+    lost = events.where(~(_not_null(keys) & F.col(at).isNotNull()))   # no version, but the event stays
+    return out.unionByName(lost, allowMissingColumns=True)
 
 
 def scd2_check(hist: DataFrame, keys: list[str]) -> DataFrame:

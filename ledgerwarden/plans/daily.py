@@ -112,7 +112,7 @@ def run_day(wh: Warehouse, feeds: DayFeeds, run_ts: dt.datetime,
         wh.append_fact(m, "blacklist", append_new(known, feeds.blacklist).select(*BLACKLIST_FACT.fieldNames()))
 
     if feeds.transactions is not None:
-        tx = feeds.transactions.select(*TRANSACTIONS_FACT.fieldNames())
+        tx = feeds.transactions.select(*[F.col(f.name).cast(f.dataType) for f in TRANSACTIONS_FACT.fields])
         if opt.unique_transactions:
             tx = append_unique(wh.fact(prev, "transactions", TRANSACTIONS_FACT), tx)
         wh.append_fact(m, "transactions", tx)

@@ -46,7 +46,7 @@ owner AS (SELECT trim(c.card_num) card_num, a.account_num, a.valid_to, cl.client
 
 
 def _rules(tx: str, suffix: str, guess_within: str, report_dt: str, owner: str = "owner",
-           asof: bool = False) -> str:
+           asof: bool = False, terminals: str = "fx_terminals", blacklist: str = "fx_blacklist") -> str:
     """CTEs r1..r4 over transaction CTE ``tx``; rules 3 and 4 as joins of numbered rows.
 
     ``asof``: ``owner`` has versions ``[vf, vu)``; the one valid at the event
@@ -59,13 +59,13 @@ def _rules(tx: str, suffix: str, guess_within: str, report_dt: str, owner: str =
 r1{s} AS (SELECT t.trans_date event_dt, o.passport, o.fio, o.phone, '1' event_type, {report_dt} report_dt
        FROM {tx} t JOIN {owner} o ON trim(t.card_num)=o.card_num{at("t.trans_date")}
        WHERE t.trans_date >= o.passport_valid_to
-          OR o.passport IN (SELECT passport_num FROM fx_blacklist b WHERE t.trans_date >= b.entry_dt)),
+          OR o.passport IN (SELECT passport_num FROM {blacklist} b WHERE t.trans_date >= b.entry_dt)),
 r2{s} AS (SELECT t.trans_date event_dt, o.passport, o.fio, o.phone, '2' event_type, {report_dt} report_dt
        FROM {tx} t JOIN {owner} o ON trim(t.card_num)=o.card_num{at("t.trans_date")}
        WHERE t.trans_date > o.valid_to),
 seen{s} AS (SELECT t.card_num, tr.terminal_city city, t.trans_date happened,
                row_number() OVER (PARTITION BY t.card_num ORDER BY t.trans_date, t.trans_id) k
-        FROM {tx} t JOIN fx_terminals tr ON tr.terminal_id = t.terminal),
+        FROM {tx} t JOIN {terminals} tr ON tr.terminal_id = t.terminal),
 r3{s} AS (SELECT b.happened event_dt, o.passport, o.fio, o.phone, '3' event_type, {report_dt} report_dt
        FROM seen{s} a JOIN seen{s} b ON b.card_num = a.card_num AND b.k = a.k + 1
        JOIN {owner} o ON o.card_num = trim(b.card_num){at("b.happened")}
@@ -245,6 +245,66 @@ words(feed) AS (VALUES ('transactions'), ('terminals'), ('blacklist'))
 SELECT feed, min(file_name) first_by_name, arg_min(file_name, d) first_by_date, min(d) business_date
 FROM files JOIN words ON contains(file_name, feed) GROUP BY feed"""
 
+LONG_AMOUNTS = """raw AS (SELECT event_id,
+    CASE WHEN event_id%97=0 THEN 'n/a' WHEN event_id%89=0 THEN '1'||repeat('0', 30)||',5'
+         WHEN event_id%83=0 THEN NULL
+         WHEN event_id%79=0 THEN '7,00000000005'||lpad(CAST(event_id%1000 AS VARCHAR), 3, '0')||'1'
+         ELSE CAST(event_id*1000003 AS VARCHAR)||',00'||lpad(CAST(event_id%1000 AS VARCHAR), 3, '0') END amount
+    FROM events)"""
+
+DENSE_TX = """fx_tx_dense AS (SELECT trans_id, card_num, oper_type, amt, oper_result, terminal,
+    TIMESTAMP '2024-01-01 00:00:00' + to_microseconds(
+      (epoch_us(trans_date) - epoch_us(TIMESTAMP '2024-01-01 00:00:00')) // 216) trans_date FROM fx_tx_all)"""
+
+# Versions numbered by the changes before them; deletes by the live list.
+SCD2_MERGE_LOG = """WITH
+e AS (SELECT c_custkey k, '3-MEDIUM' p, TIMESTAMP '1990-01-01 00:00:00' t FROM customer WHERE c_custkey%13<>0
+      UNION ALL
+      SELECT o_custkey, max(o_orderpriority), o_orderdate FROM orders
+      WHERE o_custkey IS NOT NULL AND o_orderdate > TIMESTAMP '1990-01-01 00:00:00' GROUP BY o_custkey, o_orderdate),
+s AS (SELECT k, p, t, row_number() OVER (PARTITION BY k ORDER BY t) i FROM e),
+v AS (SELECT s.k, s.p, s.t, row_number() OVER (PARTITION BY s.k ORDER BY s.t) i
+      FROM s LEFT JOIN s b ON b.k = s.k AND b.i = s.i - 1 WHERE b.k IS NULL OR b.p <> s.p),
+w AS (SELECT v.k, v.p, v.t, n.t nt, v.k NOT IN (SELECT c_custkey FROM customer WHERE c_custkey%17<>0) gone
+      FROM v LEFT JOIN v n ON n.k = v.k AND n.i = v.i + 1)
+SELECT k o_custkey, p o_orderpriority, t effective_from,
+       coalesce(nt, CASE WHEN gone THEN TIMESTAMP '2024-01-03 02:38:00' END) - INTERVAL 1 SECOND effective_to,
+       'N' delete_flg FROM w
+UNION ALL
+SELECT k, p, TIMESTAMP '2024-01-03 02:38:00', NULL, 'Y' FROM w WHERE nt IS NULL AND gone"""
+
+# Day 1: the fixtures, transactions and blacklist before their cuts. Day 2: everything, with a fifth of the cards
+# at the next account, every 17th card deleted, a quarter of the phones and a third of the terminals changed.
+DAY2 = """
+fx_tx_cut AS (SELECT * FROM fx_tx_all WHERE trans_date < TIMESTAMP '2024-01-16 00:00:00'),
+bl_cut AS (SELECT * FROM fx_blacklist WHERE entry_dt < DATE '2024-01-11'),
+term2 AS (SELECT terminal_id, CASE WHEN CAST(substr(terminal_id, 2) AS BIGINT)%3=0 THEN 'Elsewhere'
+                                   ELSE terminal_city END terminal_city FROM fx_terminals),
+owner2 AS (SELECT 'C'||CAST(k.c_custkey AS VARCHAR) card_num, a.valid_to, cl.passport_num passport,
+                  cl.passport_valid_to, cl.last_name||' '||cl.first_name||' '||cl.patronymic fio,
+                  CASE WHEN CAST(cl.client_id AS BIGINT)%4=0 THEN '+8'||cl.client_id ELSE cl.phone END phone
+           FROM customer k
+           JOIN fx_accounts a ON a.account_num = 'A'||CAST(k.c_custkey + CAST(k.c_custkey%5=0 AS INT) AS VARCHAR)
+           JOIN fx_clients cl ON a.client = cl.client_id WHERE k.c_custkey%17<>0)"""
+
+DAILY_RUN = (
+    f"WITH {FIXTURES}, {DAY2}, "
+    f"{_rules('fx_tx_cut', '_p', '3 days', REPORT_DT, blacklist='bl_cut')}, {_sequential_report('_p', None)}, "
+    f"{_rules('fx_tx_all', '', '3 days', "DATE '2021-03-02'", 'owner2', terminals='term2')}, "
+    f"{_sequential_report('', 'report_p')} "
+    f"SELECT {COLS} FROM report_p UNION ALL SELECT {COLS} FROM report")
+
+DAILY_RUN_CARDS = """WITH
+c AS (SELECT c_custkey k, 'C'||CAST(c_custkey AS VARCHAR)||' ' card_num, c_custkey%17=0 gone,
+             c_custkey%5=0 AND c_custkey%17<>0 moved FROM customer)
+SELECT card_num, 'A'||CAST(k AS VARCHAR) account_num, TIMESTAMP '2024-01-01 00:00:00' effective_from,
+       CASE WHEN moved THEN TIMESTAMP '2024-01-16 09:59:59' WHEN gone THEN TIMESTAMP '2024-01-31 02:37:59' END
+         effective_to, 'N' delete_flg FROM c
+UNION ALL
+SELECT card_num, 'A'||CAST(k + 1 AS VARCHAR), TIMESTAMP '2024-01-16 10:00:00', NULL, 'N' FROM c WHERE moved
+UNION ALL
+SELECT card_num, 'A'||CAST(k AS VARCHAR), TIMESTAMP '2024-01-31 02:38:00', NULL, 'Y' FROM c WHERE gone"""
+
 ORACLE_SQL: dict[str, str] = {
     "fraud_report": FRAUD_REPORT,
     "report_next_day": REPORT_NEXT_DAY,
@@ -277,7 +337,23 @@ ORACLE_SQL: dict[str, str] = {
         SELECT coalesce(max(mod_dt), TIMESTAMP '2000-01-01 00:00:00') max_update_dt FROM ex""",
     "live_keys": "SELECT o_orderkey FROM orders",
     "transactions_clean": f"""WITH {FIXTURES}
-        SELECT trans_id, trans_date, card_num, oper_type, amt, oper_result, terminal FROM fx_tx_all""",
+        SELECT trans_id, trans_date, card_num, oper_type, CAST(amt AS DECIMAL(38,10)) amt, oper_result, terminal
+        FROM fx_tx_all""",
+    "amounts_exact": f"""WITH {LONG_AMOUNTS}
+        SELECT CAST(event_id AS VARCHAR) trans_id,
+               CAST(TRY_CAST(replace(amount, ',', '.') AS DECIMAL(38,10)) AS VARCHAR) amt FROM raw""",
+    "amounts_audit": f"""WITH {LONG_AMOUNTS}
+        SELECT count(*) n_rows, count(*) FILTER (amount IS NULL) n_missing,
+               count(*) FILTER (amount IS NOT NULL AND TRY_CAST(replace(amount, ',', '.') AS DECIMAL(38,10)) IS NULL)
+                 n_unreadable,
+               count(*) FILTER (length(rtrim(split_part(amount, ',', 2), '0')) > 10) n_rounded FROM raw""",
+    "rule_guessing_dense": f"""WITH {FIXTURES}, {DENSE_TX},
+        {_rules('fx_tx_dense', '', '20 minutes', REPORT_DT)} SELECT {COLS} FROM r4""",
+    "not_in_left_nulls": """WITH l AS (SELECT c_custkey, CASE WHEN c_custkey%3<>0 THEN c_custkey END k FROM customer)
+        SELECT c_custkey, k FROM l WHERE k NOT IN (SELECT c_custkey FROM customer WHERE c_custkey%2=0)""",
+    "scd2_merge_log": SCD2_MERGE_LOG,
+    "daily_run": DAILY_RUN,
+    "daily_run_cards": DAILY_RUN_CARDS,
     "feed_pick": FEED_PICK,
     "blacklist_append": f"""WITH {FIXTURES}
         SELECT passport_num, min(entry_dt) entry_dt FROM fx_blacklist b

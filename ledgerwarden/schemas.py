@@ -31,7 +31,7 @@ SEED_REPORT_DATE = dt.date(2021, 3, 1)
 S = T.StringType()
 TS = T.TimestampNTZType()
 D = T.DateType()
-AMOUNT = T.DecimalType(18, 2)
+AMOUNT = T.DecimalType(38, 10)   # 28 digits before the point, 10 behind; `feeds.amount_audit` counts what does not fit
 
 
 def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwarden.functions.columns import clean_amount
+from ledgerwarden.functions.columns import amount_rounded, clean_amount
 from ledgerwarden.schemas import BLACKLIST_FEED, TERMINALS_FEED, TRANSACTIONS_RAW
 
 TX_SEP = ";"
@@ -63,6 +63,18 @@ def clean_transactions(raw: DataFrame, keep: list[str] | None = None,
         *(keep or []))
 
 
+def amount_audit(raw: DataFrame) -> DataFrame:
+    """What the amount column of a raw feed loses by typing, one row: ``n_rows``,
+    ``n_missing`` (NULL or blank), ``n_unreadable`` (no number, or too large: typed
+    as NULL) and ``n_rounded`` (more digits behind the point than are kept)."""
+    text = F.trim("amount")
+    missing = F.coalesce(text, F.lit("")) == ""
+    return raw.select(missing.alias("m"), (~missing & clean_amount(text).isNull()).alias("u"),
+                      F.coalesce(amount_rounded(text), F.lit(False)).alias("r")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("m").alias("n_missing"),
+        F.count_if("u").alias("n_unreadable"), F.count_if("r").alias("n_rounded"))
+
+
 def format_transaction_lines(tx: DataFrame, sep: str = TX_SEP) -> DataFrame:
     """Fact rows -> feed text lines with a decimal comma (the landed format)."""
     amount = F.regexp_replace(F.col("amt").cast("string"), r"\.", ",")
