@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerwarden.functions.columns import far_future, interval_seconds, is_open, ntz_lit, time_bucket
-from ledgerwarden.operators.sequence import BUCKET, asof_carry, neighbors
+from ledgerwarden.operators.sequence import BUCKET, asof_carry
 from ledgerwarden.operators.sizing import broadcast_if_small
 from ledgerwarden.schemas import FAR_FUTURE, FLAG_DELETED, FLAG_LIVE
 
@@ -308,22 +308,49 @@ def scd2_from_log(log: DataFrame, keys: list[str], tracked: list[str], ts: str,
 
     A row opens a version when it is a key's first row or any tracked value
     differs from the key's previous row (by ``ts``, then ``tiebreak``).
-    ``effective_to`` is the next version's start minus ``unit``. Neighbours
-    come from ``sequence.neighbors`` over ``bucket``-wide time buckets, so a
-    key with a huge log is spread over many tasks.
+    ``effective_to`` is the next version's start minus ``unit``.
+
+    The rows are shuffled once, by key and ``bucket``-wide time bucket, so a
+    key with a huge log is spread over many tasks. Inside a bucket only two
+    versions depend on other buckets: the one its first row may open and its
+    last one's end. They come from a summary of one row per key and bucket
+    (built where the rows are, then windowed per key); all other versions are
+    complete within their bucket.
     """
     order = [ts] + list(tiebreak or [])
-    d = log.where(_not_null(keys) & F.col(ts).isNotNull()).select(*keys, *tracked, *order)
-    bk = time_bucket(ts, d.schema[ts].dataType, interval_seconds(bucket))
-    first = neighbors(d, keys, order, tracked, bk, prev=True)
-    opens = F.col("_prev").isNull() | reduce(
-        lambda a, b: a | b, [~F.col("_prev")[c].eqNullSafe(F.col(c)) for c in tracked] or [F.lit(False)])
-    starts = first.where(opens)
-    starts = starts.select(*keys, *tracked, *order, BUCKET)
-    nxt = neighbors(starts, keys, order, [], bk, prev=False, nxt=True)
-    end = F.when(F.col("_next").isNull(), far_future()).otherwise(F.col("_next")[ts] - _span(unit))
-    return nxt.select(*keys, *tracked, F.col(ts).cast("timestamp_ntz").alias("effective_from"),
-                      end.alias("effective_to"), F.lit(FLAG_LIVE).alias("delete_flg"))
+    bk = time_bucket(ts, log.schema[ts].dataType, interval_seconds(bucket))
+    d = (log.where(_not_null(keys) & F.col(ts).isNotNull())
+         .select(*keys, *tracked, *order, bk.alias(BUCKET)).repartition(*keys, BUCKET))
+    rec = F.struct(*[F.col(c) for c in order + tracked])
+
+    def differs(a: str, b: str) -> Column:
+        return reduce(lambda x, y: x | y, [~F.col(a)[c].eqNullSafe(F.col(b)[c]) for c in tracked] or [F.lit(False)])
+    w = Window.partitionBy(*keys, BUCKET).orderBy(*order, *tracked)
+    d = d.select(*keys, BUCKET, rec.alias("_r"), F.lag(rec).over(w).alias("_p"))
+    d = d.select(*keys, BUCKET, "_r", (F.col("_p").isNotNull() & differs("_r", "_p")).alias("_chg"))
+    inner = d.where("_chg").select(
+        *keys, "_r", F.lead("_r").over(Window.partitionBy(*keys, BUCKET).orderBy("_r"))[ts].alias("_end"))
+    inner = inner.where(F.col("_end").isNotNull())
+    change = F.when(F.col("_chg"), F.col("_r"))
+    summ = d.groupBy(*keys, BUCKET).agg(F.min("_r").alias("_first"), F.max("_r").alias("_last"),
+                                        F.min(change).alias("_c1"), F.max(change).alias("_cn"))
+    wk = Window.partitionBy(*keys).orderBy(BUCKET)
+    summ = summ.select("*", F.lag("_last").over(wk).alias("_before"))
+    summ = summ.select("*", (F.col("_before").isNull() | differs("_first", "_before")).alias("_opens"))
+    start = F.when(F.col("_opens"), F.col("_first")[ts]).otherwise(F.col("_c1")[ts])
+    summ = summ.withColumn("_start", start)
+    summ = summ.withColumn("_after", F.first("_start", ignorenulls=True).over(
+        wk.rowsBetween(1, Window.unboundedFollowing)))
+    edges = F.array(
+        F.when(F.col("_opens"), F.struct(F.col("_first").alias("_r"),
+                                         F.coalesce(F.col("_c1")[ts], F.col("_after")).alias("_end"))),
+        F.when(F.col("_cn").isNotNull(), F.struct(F.col("_cn").alias("_r"), F.col("_after").alias("_end"))))
+    outer = summ.select(*keys, F.explode(F.filter(edges, lambda e: e.isNotNull())).alias("_e")).select(*keys, "_e.*")
+    v = inner.unionByName(outer)
+    end = F.when(F.col("_end").isNull(), far_future()).otherwise(F.col("_end") - _span(unit))
+    return v.select(*keys, *[F.col("_r")[c].alias(c) for c in tracked],
+                    F.col("_r")[ts].cast("timestamp_ntz").alias("effective_from"),
+                    end.cast("timestamp_ntz").alias("effective_to"), F.lit(FLAG_LIVE).alias("delete_flg"))
 
 
 def scd2_from_snapshots(snapshots: DataFrame, keys: list[str], tracked: list[str], snap_ts: str,

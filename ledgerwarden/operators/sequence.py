@@ -137,10 +137,11 @@ def asof_carry(events: DataFrame, versions: DataFrame, keys: list[str], t: str,
     not_null = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, BUCKET]])
     v, e = v.where(not_null), e.where(not_null)
     u = v.unionByName(e).repartition(*keys, BUCKET)   # the one big shuffle, read once
-    # Bucket summary from the same shuffle: the latest version of each bucket. Counting the events keeps
-    # their column in this branch too, so both read one exchange and the inputs are computed once.
-    summ = u.groupBy(*keys, BUCKET).agg(F.max("_v").alias("_last"), F.count("_e").alias("_n"))
-    summ = summ.where((F.col("_n") > 0) | F.col("_last").isNotNull())
+    # Bucket summary from the same shuffle: the latest version of each bucket. It uses every column of the
+    # shuffled rows, so that pruning leaves both readers alike: one exchange, its inputs computed once.
+    latest = F.max(F.when(F.col("_side") == 0, F.struct("_t", "_v")))
+    summ = u.groupBy(*keys, BUCKET).agg(latest.alias("_l"), F.count("_e").alias("_n"))
+    summ = summ.where((F.col("_n") > 0) | F.col("_l").isNotNull()).select(*keys, BUCKET, F.col("_l._v").alias("_last"))
     ws = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     summ = summ.select(*keys, BUCKET, F.last("_last", ignorenulls=True).over(ws).alias("_carry"))
     j = u.join(summ, on=[*keys, BUCKET], how="inner")

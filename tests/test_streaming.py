@@ -1,5 +1,7 @@
 """availableNow ingest: each landed file is loaded once, across restarts."""
 
+from decimal import Decimal
+
 import os
 
 import pytest
@@ -27,8 +29,9 @@ def test_files_loaded_once(spark, scratch):
     land(src, "transactions_03032021.txt", ["3;2021-03-03 10:00:00;1,00;C3;WITHDRAW;SUCCESS;T2\n"])
     land(src, "terminals_03032021.txt", ["x;y;z;w\n"])  # other feed: ignored
     ingest_transactions(spark, src, out, ck)
-    rows = sorted((r.trans_id, str(r.amt), str(r.business_date)) for r in spark.read.parquet(out).collect())
-    assert rows == [("1", "10.50", "2021-03-01"), ("2", "7.25", "2021-03-02"), ("3", "1.00", "2021-03-03")]
+    rows = sorted((r.trans_id, r.amt, str(r.business_date)) for r in spark.read.parquet(out).collect())
+    assert rows == [("1", Decimal("10.5"), "2021-03-01"), ("2", Decimal("7.25"), "2021-03-02"),
+                    ("3", Decimal(1), "2021-03-03")]
 
 
 def test_daily_runs_on_arrival(spark, scratch):
