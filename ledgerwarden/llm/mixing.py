@@ -23,6 +23,7 @@ pass through ``mix_documents`` untouched.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -80,10 +81,15 @@ def sainte_lague(shares: np.ndarray, seats: int) -> np.ndarray:
         if mid in (low, high):
             break
         low, high = (mid, high) if count(mid).sum() >= seats else (low, mid)
-    got, more = count(high), count(low)
-    while (left := seats - int(got.sum())) > 0:      # the quotients equal to the last one
-        behind = np.flatnonzero(got < more)[:left]
-        got[behind if len(behind) else np.argsort(-share / (2 * got + 1), kind="stable")[:1]] += 1
+    # rounding may count a quotient that equals the level for one share and not for another: step back
+    # one seat each and give the rest by the quotients themselves
+    got = np.maximum(count(high) - 1, 0)
+    heap = [(-share[i] / (2 * got[i] + 1), i) for i in range(len(share))]
+    heapq.heapify(heap)
+    for _ in range(seats - int(got.sum())):
+        i = heap[0][1]
+        got[i] += 1
+        heapq.heapreplace(heap, (-share[i] / (2 * got[i] + 1), i))
     return got
 
 
