@@ -294,6 +294,11 @@ DAILY_RUN = (
     f"{_sequential_report('', 'report_p')} "
     f"SELECT {COLS} FROM report_p UNION ALL SELECT {COLS} FROM report")
 
+# The full rescan of both days, every 11th transaction of the first days coming on the second.
+REPORT_INCREMENTAL = DAILY_RUN.replace(
+    "WHERE trans_date < TIMESTAMP '2024-01-16 00:00:00')",
+    "WHERE trans_date < TIMESTAMP '2024-01-16 00:00:00' AND CAST(trans_id AS BIGINT)%11<>0)")
+
 DAILY_RUN_CARDS = """WITH
 c AS (SELECT c_custkey k, 'C'||CAST(c_custkey AS VARCHAR)||' ' card_num, c_custkey%17=0 gone,
              c_custkey%5=0 AND c_custkey%17<>0 moved FROM customer)
@@ -353,6 +358,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT c_custkey, k FROM l WHERE k NOT IN (SELECT c_custkey FROM customer WHERE c_custkey%2=0)""",
     "scd2_merge_log": SCD2_MERGE_LOG,
     "daily_run": DAILY_RUN,
+    "report_incremental": REPORT_INCREMENTAL,
     "daily_run_cards": DAILY_RUN_CARDS,
     "feed_pick": FEED_PICK,
     "blacklist_append": f"""WITH {FIXTURES}

@@ -4,7 +4,7 @@ Parquet has no UPDATE/MERGE, so a history is split into
 ``<table>/run=<id>-<attempt>/_part=closed`` (append-only closed versions) and
 ``<table>/run=<id>-<attempt>/_part=current`` (the open rows, rewritten by each
 run that touches the table). Facts and the report append one directory per
-run. A run writes all of its directories first and its manifest
+run; transactions are partitioned by day (``day=<date of the event>``) inside it. A run writes all of its directories first and its manifest
 ``_runs/<id>.json`` last; readers follow the newest manifest and read only the
 folders it lists, so an unfinished attempt is invisible and its retry (a new
 attempt token) writes beside it. Two attempts racing for one run id cannot
@@ -20,7 +20,7 @@ import json
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,8 @@ from ledgerwarden.schemas import (
 )
 
 PART = "_part"
+DAY = "day"
+DAILY = {"transactions": "trans_date"}   # facts written by day, and the time that gives the day
 
 
 @dataclass
@@ -45,6 +47,7 @@ class Manifest:
     consumed_files: list[str] = field(default_factory=list)
     tables: dict[str, dict] = field(default_factory=dict)
     attempt: str = ""
+    report_basis: str = ""      # the options the report was built with; other options need a full rescan
 
     def folder(self) -> str:
         """This attempt's folder name: a retried run never meets a crashed one's files."""
@@ -144,8 +147,32 @@ class Warehouse:
         t = m.tables.get(name, {})
         return self._read([t["current"]] if t.get("current") else [], schema)
 
-    def fact(self, m: Manifest, name: str, schema: T.StructType) -> DataFrame:
-        return self._read(m.tables.get(name, {}).get("parts", []), schema)
+    def fact(self, m: Manifest, name: str, schema: T.StructType, where: Column | None = None) -> DataFrame:
+        """A fact's rows; ``where`` (on ``day``) keeps the partitions of some days of a fact written by day."""
+        return self._parts(m.tables.get(name, {}).get("parts", []), name, schema, where)
+
+    def _parts(self, parts: list[str], name: str, schema: T.StructType, where: Column | None = None) -> DataFrame:
+        if name not in DAILY or not parts:
+            return self._read(parts, schema)
+        by_day = T.StructType([*schema.fields, T.StructField("run", T.StringType()), T.StructField(DAY, T.DateType())])
+        rows = self.spark.read.schema(by_day).option("basePath", f"{self.root}/{name}").parquet(*parts)
+        return (rows if where is None else rows.where(where)).select(*schema.fieldNames())
+
+    def added(self, prev: Manifest, m: Manifest, name: str, schema: T.StructType) -> DataFrame | None:
+        """The rows a fact gained since ``prev``; None where it has no new folder."""
+        new = self._new_parts(prev, m, name)
+        return self._parts(new, name, schema) if new else None
+
+    def _new_parts(self, prev: Manifest, m: Manifest, name: str) -> list[str]:
+        before = set(prev.tables.get(name, {}).get("parts", []))
+        return [p for p in m.tables.get(name, {}).get("parts", []) if p not in before]
+
+    def added_days(self, prev: Manifest, m: Manifest, name: str) -> list[dt.date]:
+        """Days of the rows a fact written by day gained since ``prev``, from its folder names."""
+        names = [s.getPath().getName() for p in self._new_parts(prev, m, name)
+                 for s in self._fs.listStatus(self._Path(p))]
+        days = [n[len(DAY) + 1:] for n in names if n.startswith(f"{DAY}=")]
+        return [dt.date.fromisoformat(d) for d in days if not d.startswith("__")]   # rows without a time: no rule holds
 
     def write_history_delta(self, m: Manifest, name: str, delta: DataFrame) -> None:
         """One job writes the closed and the open rows of a merge into the run's folder."""
@@ -160,16 +187,23 @@ class Warehouse:
 
     def append_fact(self, m: Manifest, name: str, rows: DataFrame) -> None:
         path = f"{self.root}/{name}/{m.folder()}"
-        rows.write.mode("errorifexists").parquet(path)
+        self._write(rows, name, path)
         t = m.tables.setdefault(name, {"parts": []})
         t["parts"] = t.get("parts", []) + [path]
 
+    def _write(self, rows: DataFrame, name: str, path: str) -> None:
+        out = rows.write.mode("errorifexists")
+        if name in DAILY:
+            out = rows.withColumn(DAY, F.to_date(DAILY[name])).write.mode("errorifexists").partitionBy(DAY)
+        out.parquet(path)
+
 
 def next_manifest(prev: Manifest, run_ts: dt.datetime) -> Manifest:
     return Manifest(run_id=prev.run_id + 1, parent=prev.run_id, run_ts=run_ts.isoformat(sep=" "),
                     report_date=prev.report_date, watermarks=dict(prev.watermarks),
                     consumed_files=list(prev.consumed_files),
-                    tables=json.loads(json.dumps(prev.tables)), attempt=uuid.uuid4().hex[:12])
+                    tables=json.loads(json.dumps(prev.tables)), attempt=uuid.uuid4().hex[:12],
+                    report_basis=prev.report_basis)
 
 
 def compact(wh: Warehouse, name: str, schema: T.StructType, target_files: int | None = None) -> Manifest:
@@ -186,12 +220,12 @@ def compact(wh: Warehouse, name: str, schema: T.StructType, target_files: int |
     field_name = "closed" if "closed" in t else "parts"
     folders = t.get(field_name, [])
     if len(folders) > 1:
-        rows = wh._read(folders, schema)
+        rows = wh._read(folders, schema) if field_name == "closed" else wh.fact(prev, name, schema)
         if target_files:
             rows = rows.repartition(target_files)
         suffix = f"/{PART}=closed" if field_name == "closed" else ""
         path = f"{wh.root}/{name}/{m.folder()}{suffix}"
-        rows.write.mode("errorifexists").parquet(path)
+        wh._write(rows, "" if suffix else name, path)
         t[field_name] = [path]
     wh.publish(m)
     return m
