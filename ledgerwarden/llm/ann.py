@@ -37,7 +37,7 @@ from .common import ship, stage
 
 BITS, TREES = 64, 24
 SHARD_ROWS, BLOCK_QUERIES = 8192, 1024
-CANDIDATES = 0.5
+CANDIDATES = 0.6
 MIN_CANDIDATES = 1024
 SEED = 5
 

@@ -4,8 +4,11 @@ import base64
 import gzip
 import hashlib
 import json
+import os
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -60,6 +63,35 @@ def test_recall_of_a_larger_forest():
     assert hits / 600 >= 0.9 and seen / 30 < 0.95 * 6000
 
 
+def lengthened(spark, folder, n, sigma=0.0):
+    """n random directions of log-normal lengths (sigma 0: unit vectors), as arrays and as a table."""
+    rng = np.random.default_rng(n)
+    x = rng.standard_normal((n, 64))
+    x *= (np.exp(sigma * rng.standard_normal(n)) / np.linalg.norm(x, axis=1))[:, None]
+    rows = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, 64), pa.int32()), pa.array(x.ravel()))
+    os.makedirs(path := f"{folder}/embeddings-{n}-{sigma}")
+    pq.write_table(pa.table({"vec_id": np.arange(n), "embedding": rows}), f"{path}/part-0.parquet")
+    return x, spark.read.parquet(path)
+
+
+def hits_by_query(df, x, queries):
+    """Of the 20 nearest of each of the first ``queries`` rows, how many nearest() finds."""
+    found = {}
+    for r in ann.nearest(df, f"id < {queries}").collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    scores = x[:queries] @ x.T
+    scores[np.arange(queries), np.arange(queries)] = -np.inf
+    return np.array([len(found[q] & set(np.argsort(-scores[q])[:20].tolist())) for q in range(queries)])
+
+
+@pytest.mark.parametrize("n", [2100, 4000, 20_000])
+def test_recall_with_defaults_by_table_size(spark, scratch, n):
+    x, df = lengthened(spark, scratch, n)
+    hits = hits_by_query(df, x, 300)
+    print(f"recall at {n}: {hits.mean() / 20:.4f}, under 16 of 20: {(hits < 16).mean():.4f}")
+    assert hits.mean() / 20 >= 0.95 and (hits < 16).mean() <= 0.02
+
+
 def test_ann_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [nan, 1.0]),
