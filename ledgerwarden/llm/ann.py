@@ -8,13 +8,18 @@ together, one bit at a time, until the rows that share that many bits in some
 tree are enough. Those candidates are ranked by exact inner product in double
 precision.
 
-Vectors are dealt by hash into shards of about ``SHARD_ROWS``; a shard has its
-own forest, and queries come to every shard in blocks. Enough means the share
-``CANDIDATES`` of the shard (and MIN_CANDIDATES rows): neighbours of nearly
-random vectors, as here, share few bits, so the share needed for recall 0.9 is
-large; set it lower for data with real clusters. For inner product, rows get
-one more coordinate that makes all norms equal, which leaves the order of
-inner products as that of angles.
+Vectors are dealt by hash into shards of about ``SHARD_ROWS``, and queries come
+to every shard in blocks. For inner product, rows get one more coordinate that
+makes all norms equal, which leaves the order of inner products as that of
+angles. Where lengths differ much that coordinate would decide the bits, so a
+shard's rows are cut by length into bands, none with a row shorter than
+``BAND`` times its longest, each with a forest of its own. Bands are searched
+from the longest down; one is left out for a query only where no row of it can
+reach the k-th score found so far (|q| times the band's longest row).
+Enough means the share ``CANDIDATES`` of the band (and MIN_CANDIDATES rows, so
+smaller bands are ranked wholly): neighbours of nearly random vectors, as here,
+share few bits, so the share needed for recall 0.9 is large; set it lower for
+data with real clusters.
 
 Rows and ties. Vectors that are null, empty, zero, or hold null or non-finite
 components take no part; nor do those whose length is not the most frequent
@@ -26,6 +31,7 @@ are all returned. Empty tables give empty results. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +45,12 @@ BITS, TREES = 64, 24
 SHARD_ROWS, BLOCK_QUERIES = 8192, 1024
 CANDIDATES = 0.6
 MIN_CANDIDATES = 1024
+#: The shortest row of a band is at least this share of its longest.
+BAND = 0.8
 SEED = 5
 
 
+@lru_cache(maxsize=1)
 def planes(dim: int, trees: int = TREES, seed: int = SEED) -> np.ndarray:
     """(trees, BITS, dim) directions; within a tree as many as possible are orthogonal."""
     rng = np.random.default_rng(seed)
@@ -62,7 +71,7 @@ def strings(x: np.ndarray, p: np.ndarray) -> np.ndarray:
 
 
 class PrefixForest:
-    """The forest of one shard: rows (n, dim) and their ids."""
+    """The forest of one band: rows (n, dim), their ids and the length of the longest."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray, top_norm: float, trees: int = TREES, seed: int = SEED):
         self.ids, self.rows = ids, np.ascontiguousarray(rows)
@@ -117,14 +126,50 @@ class PrefixForest:
         return self.ids[at][best], s[best]
 
 
+class BandedForest:
+    """A shard's rows in bands by length, longest first, each with its forest."""
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, trees: int = TREES, seed: int = SEED):
+        norms = np.sqrt(np.einsum("ij,ij->i", rows, rows))
+        order = np.argsort(-norms, kind="stable")
+        falling = -norms[order]
+        self.bands: list[tuple[float, PrefixForest]] = []
+        start = 0
+        while start < len(order):
+            top = float(-falling[start])
+            end = int(np.searchsorted(falling, -BAND * top, "right"))
+            at = order[start:end]
+            self.bands.append((top, PrefixForest(ids[at], rows[at], top, trees, seed)))
+            start = end
+
+    def search(self, ids: np.ndarray, queries: np.ndarray, k: int, share: float) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(ids, scores) of the k best found for each query."""
+        marks = self.bands[0][1].hash(queries)                # the same in all bands
+        lengths = np.sqrt(np.einsum("ij,ij->i", queries, queries))
+        found = [(np.zeros(0, np.int64), np.zeros(0))] * len(ids)
+        edge = np.full(len(ids), -np.inf)                     # k-th score so far
+        for top, forest in self.bands:
+            open_ = np.flatnonzero(~(lengths * top * (1 + 1e-9) < edge))     # an equal score may have a smaller id
+            if not len(open_):
+                break
+            least = max(MIN_CANDIDATES, 8 * k, int(np.ceil(share * len(forest.ids))))
+            ranges = forest.ranges(marks[:, open_], least) if least < len(forest.ids) else []
+            for i, j in enumerate(open_.tolist()):
+                new, s = forest.nearest(int(ids[j]), queries[j], forest.candidates(ranges, i, least), k)
+                new, s = np.concatenate([found[j][0], new]), np.concatenate([found[j][1], s])
+                best = np.lexsort((new, -s))[:k]
+                found[j] = new[best], s[best]
+                if len(best) == k:
+                    edge[j] = s[best[-1]]
+        return found
+
+
 def usable(vectors: DataFrame, id_column: str = "vec_id", column: str = "embedding") -> DataFrame:
-    """(id, v: array<double>, norm) of the vectors that take part, one row for each id."""
+    """(id, v: array<double>) of the vectors that take part, one row for each id."""
     v = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(column).cast("array<double>").alias("v"))
     whole = ("id IS NOT NULL AND v IS NOT NULL AND NOT exists(v, x -> x IS NULL OR isnan(x) OR abs(x) = double('infinity')) "
              "AND exists(v, x -> x <> 0)")
-    v = v.where(whole).groupBy("id").agg(F.min("v").alias("v")).withColumn(
-        "norm", F.expr("sqrt(aggregate(v, 0D, (a, x) -> a + x * x))"))
-    return v
+    return v.where(whole).groupBy("id").agg(F.min("v").alias("v"))
 
 
 def _unpack(column: pa.Array) -> np.ndarray:
@@ -132,7 +177,7 @@ def _unpack(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1)
 
 
-def _search(k: int, share: float, top_norm: float, trees: int, seed: int):
+def _search(k: int, share: float, trees: int, seed: int):
     names = ["query_id", "vec_id", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,14 +188,10 @@ def _search(k: int, share: float, top_norm: float, trees: int, seed: int):
                 shard = part.column("shard")[0].as_py()
                 if of != shard:
                     rows = part.column("rows").flatten()
-                    forest, of = PrefixForest(rows.field("id").to_numpy(), _unpack(rows.field("v")), top_norm, trees, seed), shard
+                    forest, of = BandedForest(rows.field("id").to_numpy(), _unpack(rows.field("v")), trees, seed), shard
                 asked = part.column("queries").flatten()
                 ids, vectors = asked.field("id").to_numpy(), _unpack(asked.field("v"))
-                marks = forest.hash(vectors)
-                least = max(MIN_CANDIDATES, 8 * k, int(np.ceil(share * len(forest.ids))))
-                ranges = forest.ranges(marks, least)
-                out = [forest.nearest(int(q), x, forest.candidates(ranges, j, least), k)
-                       for j, (q, x) in enumerate(zip(ids, vectors))]
+                out = forest.search(ids, vectors, k, share)
                 sizes = [len(o[0]) for o in out]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(ids, sizes)), pa.array(np.concatenate([o[0] for o in out])),
@@ -166,7 +207,7 @@ def nearest(vectors: DataFrame, is_query: str, k: int = 20, share: float = CANDI
     spark = vectors.sparkSession
     ship(spark)
     v = stage(usable(vectors, id_column, column), "vectors")
-    sizes = v.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("m")).collect()
+    sizes = v.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()
     if not sizes:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     top = min(sizes, key=lambda r: (-r.n, r.d))
@@ -182,7 +223,7 @@ def nearest(vectors: DataFrame, is_query: str, k: int = 20, share: float = CANDI
     asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     met = asked.join(rows.hint("shuffle_merge"), "shard").repartition(shards * blocks, "shard", "b")
     found = met.select("shard", "rows", "queries").mapInArrow(
-        _search(k, share, float(top.m), trees, seed), "query_id long, vec_id long, score double")
+        _search(k, share, trees, seed), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

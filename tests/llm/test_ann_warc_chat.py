@@ -92,6 +92,28 @@ def test_recall_with_defaults_by_table_size(spark, scratch, n):
     assert hits.mean() / 20 >= 0.95 and (hits < 16).mean() <= 0.02
 
 
+@pytest.mark.parametrize("sigma", [0.1, 0.25, 0.5])
+def test_recall_with_lengths_that_differ(spark, scratch, sigma):
+    x, df = lengthened(spark, scratch, 8192, sigma)
+    hits = hits_by_query(df, x, 300)
+    print(f"recall at sigma {sigma}: {hits.mean() / 20:.4f}, under 16 of 20: {(hits < 16).mean():.4f}")
+    assert hits.mean() / 20 >= 0.95 and (hits < 16).mean() <= 0.02
+
+
+def test_bands_left_out_hold_none_of_the_nearest():
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((5000, 16)) * np.exp(rng.standard_normal(5000))[:, None]
+    forest = ann.BandedForest(np.arange(5000), x)
+    for q, (got, scores) in enumerate(forest.search(np.arange(40), x[:40], 20, 1.0)):
+        s = x @ x[q]
+        s[q] = -np.inf
+        assert got.tolist() == np.argsort(-s)[:20].tolist() and np.allclose(scores, s[got])
+    rows = np.array([[1.0, 5.0]] * 3 + [[1.0, 0.0]] * 2 + [[0.5, 0.0]])       # equal scores in two bands: the smaller id
+    forest = ann.BandedForest(np.array([7, 8, 9, 1, 0, 2]), rows)
+    got, scores = forest.search(np.array([0]), np.array([[1.0, 0.0]]), 2, 0.6)[0]
+    assert len(forest.bands) == 3 and got.tolist() == [1, 7] and scores.tolist() == [1.0, 1.0]
+
+
 def test_ann_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [nan, 1.0]),
