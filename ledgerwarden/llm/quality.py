@@ -2,17 +2,30 @@
 
 Each rule rejects a document whose score reaches the rule's cutoff for the
 document's stratum (its ``lang``; a null lang is a stratum of its own). The
-cutoffs are learnt from labelled documents: for a stratum and a rule, the
-cutoffs of a fixed grid are tested from the most lenient on. Testing cutoff c
-means testing "more than alpha / rules of the good documents reach c" with the
-exact binomial tail P(Bin(n, alpha / rules) <= k), where k of the n good
-holdouts reach c. The sequence stops at the first cutoff that is not certified
-at delta / (strata * rules). Fixed-sequence testing inside a rule and the
-Bonferroni division over strata and rules keep the chance that any stratum
-loses more than ``alpha`` of its good documents below ``delta``. Among the
-certified cutoffs the one with the best balance of labelled bad documents
-caught against good ones lost is used (ties: the lenient one); where none is
-certified or none catches anything, the rule stays off in that stratum.
+cutoffs are learnt from labelled documents, in two families of fixed sequences:
+
+* Rule by rule: the cutoffs of a rule's fixed grid from the most lenient on,
+  each tested against the share alpha / rules.
+* Jointly: sets of cutoffs for all rules, each set stricter than the last, tested
+  against the whole alpha. There is a sequence for each rule, which takes that
+  rule's cutoffs first and then, one at a time, the cutoff that catches the most
+  labelled bad documents not caught yet. Its order comes from the bad documents
+  alone, so it is fixed as far as the good holdouts are concerned.
+
+Testing at share a means testing "more than a of the good documents are
+rejected" with the exact binomial tail P(Bin(n, a) <= k), where k of the n good
+holdouts are. A sequence stops at the first test that is not certified at
+delta / (2 * strata * rules). Fixed-sequence testing inside a sequence and the
+Bonferroni division over strata, families and rules keep the chance that any
+stratum loses more than ``alpha`` of its good documents below ``delta``. Of what
+is certified the best balance of labelled bad documents caught against good
+ones lost is used (ties: rule by rule, the lenient one); where nothing is
+certified or catches anything, the rules stay off in that stratum.
+
+Least count. With no good holdout rejected, a stratum needs 134 of them (that
+pass the base test) before any rule can switch on where there are 4 strata, 107
+with one stratum, 150 with nine (``least_holdouts``). Smaller strata keep every
+bad document that passes the base test.
 
 Rows and ties. A null text has no words and fails the base test. A document
 with several labels is good only if all its non-null labels are 1; labels of
@@ -177,12 +190,56 @@ def certified(reach: list[int], n: int, alpha: float, level: float) -> int:
     return len(reach)
 
 
+def least_holdouts(strata: int, alpha: float = ALPHA, delta: float = DELTA) -> int:
+    """Good holdouts, none of them rejected, from which a stratum can have a rule."""
+    return math.ceil(math.log(delta / (2 * strata * len(RULES))) / math.log1p(-alpha))
+
+
+class Places:
+    """Labelled documents of a stratum: rows of grid places reached, one column for each rule, and their counts."""
+
+    def __init__(self, rows: list[tuple[list[int], int]]):
+        self.at = np.array([r[0] for r in rows], np.int64).reshape(len(rows), len(RULES))
+        self.n = np.array([r[1] for r in rows], np.int64)
+        self.total = int(self.n.sum())
+
+    def hit(self, need: list[int]) -> np.ndarray:
+        """Rows that reach the place ``need`` of some rule."""
+        return (self.at >= np.array(need)).any(axis=1)
+
+    def caught(self, need: list[int]) -> int:
+        return int(self.n[self.hit(need)].sum())
+
+
+def joint_sequence(bad: Places, lead: int) -> list[list[int]]:
+    """Places needed of each rule, stricter from step to step; every step catches further bad documents.
+
+    The rule ``lead`` takes its steps first; then the rule whose next such
+    place catches the most (ties: the earlier rule).
+    """
+    need = [len(grid) + 1 for _, _, grid in RULES.values()]      # more places than there are: off
+    steps = []
+    while True:
+        left = ~bad.hit(need)
+        options = []
+        for r in range(len(RULES)):
+            reached = bad.at[left, r]
+            if reached.any():
+                place = int(reached.max())
+                options.append((r != lead, -int(bad.n[left][reached == place].sum()), r, place))
+        if not options:
+            return steps
+        _, _, r, place = min(options)
+        need = [place if i == r else x for i, x in enumerate(need)]
+        steps.append(need)
+
+
 def fit_cutoffs(counts: DataFrame, labels: DataFrame, alpha: float = ALPHA,
                 delta: float = DELTA) -> dict[str | None, dict[str, float]]:
     """Cutoffs by stratum and rule from ``counts`` (doc_id, lang, COUNTS) and ``labels`` (doc_id, quality).
 
     Joins the counts only (no text). What comes to the driver has a row for each
-    stratum, rule, place on the grid and label.
+    stratum, label and combination of grid places that a labelled document has.
     """
     verdicts = (labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id")
                 .agg(F.min("quality").alias("__lw_good")))
@@ -190,30 +247,40 @@ def fit_cutoffs(counts: DataFrame, labels: DataFrame, alpha: float = ALPHA,
     places = []
     for rule, (_, _, grid) in RULES.items():
         reached = " + ".join(f"CAST(s >= {c}D AS INT)" for c in grid)
-        places.append(f"named_struct('rule', '{rule}', 'place', {reached.replace('s >=', _score(rule) + ' >=')})")
+        places.append(reached.replace("s >=", _score(rule) + " >="))
     rows = (known.select(F.col("lang").alias("stratum"), (F.col("__lw_good") >= 1).alias("good"),
-                         F.explode(F.expr(f"array({', '.join(places)})")).alias("p"))
-            .groupBy("stratum", "good", "p.rule", "p.place").count().collect())
+                         F.expr(f"array({', '.join(places)})").alias("places"))
+            .groupBy("stratum", "good", "places").count().collect())
     strata = sorted({r.stratum for r in rows}, key=lambda s: (s is not None, s or ""))
-    level = delta / max(1, len(strata) * len(RULES))
+    level = delta / max(1, 2 * len(strata) * len(RULES))
+    grids = [grid for _, _, grid in RULES.values()]
+    off = [len(grid) + 1 for grid in grids]
     found: dict[str | None, dict[str, float]] = {}
     for s in strata:
-        for rule, (_, _, grid) in RULES.items():
-            at = {True: [0] * (len(grid) + 1), False: [0] * (len(grid) + 1)}
-            for r in rows:
-                if r.stratum == s and r.rule == rule:
-                    at[bool(r.good)][r.place] += r["count"]
-            # a score that reaches a cutoff reaches every stricter one after it
-            reach = {g: [sum(x[len(grid) - i:]) for i in range(len(grid))] for g, x in at.items()}
-            good, bad = sum(at[True]), sum(at[False])
-            usable = certified(reach[True], good, alpha / len(RULES), level)
-            best, cutoff = 0.0, None
-            for i in range(usable):
-                gain = reach[False][i] / max(1, bad) - LOSS_WEIGHT * reach[True][i] / max(1, good)
-                if gain > best + 1e-12:
-                    best, cutoff = gain, grid[i]
-            if cutoff is not None:
-                found.setdefault(s, {})[rule] = cutoff
+        good, bad = (Places([(r.places, r["count"]) for r in rows if r.stratum == s and bool(r.good) == g])
+                     for g in (True, False))
+
+        def gain(need: list[int]) -> float:
+            return bad.caught(need) / max(1, bad.total) - LOSS_WEIGHT * good.caught(need) / max(1, good.total)
+
+        chosen = list(off)
+        for r, grid in enumerate(grids):
+            # place n - i of n: a score that reaches cutoff i reaches every stricter one after it
+            steps = [[len(grid) - i if x == r else y for x, y in enumerate(off)] for i in range(len(grid))]
+            usable = certified([good.caught(x) for x in steps], good.total, alpha / len(RULES), level)
+            best = 0.0
+            for x in steps[:usable]:
+                if gain(x) > best + 1e-12:
+                    best, chosen[r] = gain(x), x[r]
+        best = gain(chosen)
+        for lead in range(len(RULES)):
+            steps = joint_sequence(bad, lead)
+            for x in steps[:certified([good.caught(x) for x in steps], good.total, alpha, level)]:
+                if gain(x) > best + 1e-12:
+                    best, chosen = gain(x), x
+        cutoffs = {rule: grid[len(grid) - p] for rule, grid, p in zip(RULES, grids, chosen) if p <= len(grid)}
+        if cutoffs:
+            found[s] = cutoffs
     return found
 
 

@@ -85,6 +85,26 @@ def test_certified_rule_catches_junk_and_keeps_good(spark):
     assert quality.filter_documents(docs, few).count() == 1260
 
 
+def test_small_strata_get_rules(spark):
+    docs, labels = _junk_table(spark, 140, 12)
+    kept = {r.doc_id for r in quality.filter_documents(docs, labels).select("doc_id").collect()}
+    assert kept == set(range(140))                                 # one rule alone would need 573 good holdouts
+    assert [quality.least_holdouts(n) for n in (1, 4, 9)] == [107, 134, 150]
+    level = quality.DELTA / (2 * 4 * len(quality.RULES))
+    assert quality.certified([0], 133, quality.ALPHA, level) == 0 and quality.certified([0], 134, quality.ALPHA, level) == 1
+
+
+def test_joint_sequence_is_nested_and_catches_more_at_each_step():
+    bad = quality.Places([([3, 0, 0, 0, 0, 0], 5), ([7, 0, 0, 0, 2, 0], 1), ([0, 0, 0, 0, 4, 0], 9), ([0] * 6, 4)])
+    for lead in range(6):
+        steps = quality.joint_sequence(bad, lead)
+        caught = [bad.caught(x) for x in steps]
+        assert caught == sorted(set(caught)) and caught[-1] == 15
+        assert all(b <= a for x, y in zip(steps, steps[1:]) for a, b in zip(x, y))
+    assert quality.joint_sequence(bad, 0)[0][0] == 7 and quality.joint_sequence(bad, 4)[0][4] == 4
+    assert quality.joint_sequence(quality.Places([]), 0) == []
+
+
 def test_loss_stays_below_alpha_where_classes_overlap(spark):
     docs, labels = _junk_table(spark, 1200, 60)
     flipped = labels.selectExpr("doc_id", "IF(doc_id < 10060 AND doc_id >= 10000, 1, quality) quality")   # junk called good
