@@ -23,8 +23,10 @@ Any order of shingles gives the same result; rarity keeps the groups small.
 Shingles and lines are told apart by 64-bit hashes.
 
 Rows and ties. A null text has no lines. Rows of one doc_id count as one
-document: equal lines at the same place are kept or removed alike. A null
-doc_id comes after all others. Blank lines stay. A document whose lines all go
+document: equal lines at the same place are kept or removed alike (as in the
+operator's SQL). A null doc_id comes after all others, and rows without an id
+are one document too; lists of lines are kept by id and hash of the text, so
+they hold one text's lines however many rows share an id. Blank lines stay. A document whose lines all go
 keeps its row with an empty text. Empty tables give empty results. Other
 columns pass through ``dedup_documents``; n_chars, if present, is the new length.
 """
@@ -119,27 +121,27 @@ def similar(overlap, n, m):
 
 # --- pass 1: lines and sketch --------------------------------------------------
 
-OCCURRENCES = "h long, doc long, line int, chunk int, counts binary"
+OCCURRENCES = "h long, doc long, key long, line int, chunk int, counts binary"
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
-    names = ["h", "doc", "line", "chunk", "counts"]
+    names = ["h", "doc", "key", "line", "chunk", "counts"]
     for batch in batches:
         for part, raw, offs in text_slices(batch):
             found = Lines(raw, offs)
             _, keys = found.shingles(np.arange(len(found)))
             sketch += np.bincount(bucket(keys), minlength=1 << SKETCH_BITS).astype(np.uint32)
-            docs = part.column("doc").to_numpy()[found.doc]
+            docs, texts = (part.column(c).to_numpy()[found.doc] for c in ("doc", "key"))
             n = len(found)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found.hash.view(np.int64)), pa.array(docs), pa.array(found.number.astype(np.int32)),
+                [pa.array(found.hash.view(np.int64)), pa.array(docs), pa.array(texts), pa.array(found.number.astype(np.int32)),
                  pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
     if sketch.any():
         parts = sketch.reshape(-1, SKETCH_CHUNK)
         n = len(parts)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()),
+            [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()),
              pa.array(np.arange(n, dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())], names)
 
 
@@ -366,6 +368,17 @@ def _overlaps(sketch):
 
 # --- the operator ----------------------------------------------------------------
 
+def _keyed(docs: DataFrame, *names: str) -> DataFrame:
+    """``names`` with doc (a null doc_id is LAST) and key, a hash of the text that tells rows of one doc apart."""
+    return docs.select(*names, F.expr(f"coalesce(CAST(doc_id AS LONG), {LAST})").alias("doc"), F.xxhash64("text").alias("key"))
+
+
+def _wanted(candidates: DataFrame, classes: DataFrame) -> DataFrame:
+    """(doc, key, wanted): the candidate lines to read from a text, bounded by its lines."""
+    return (candidates.select("h").distinct().join(classes, "h")
+            .groupBy(F.col("first.doc").alias("doc"), "key").agg(F.collect_list("h").alias("wanted")))
+
+
 def judge_lines(docs: DataFrame, group_rows: int = GROUP_ROWS, hot: int = HOT_SHINGLE,
                 wanted_rows: int = 200_000) -> DataFrame:
     """A row for each line that holds a word.
@@ -375,13 +388,19 @@ def judge_lines(docs: DataFrame, group_rows: int = GROUP_ROWS, hot: int = HOT_SH
     it), matched_doc and matched_line (the earliest line it repeats, if it is
     removed) and removed.
     """
+    return _judged(docs, group_rows, hot, wanted_rows).drop("key")
+
+
+def _judged(docs: DataFrame, group_rows: int = GROUP_ROWS, hot: int = HOT_SHINGLE, wanted_rows: int = 200_000) -> DataFrame:
+    """The rows of ``judge_lines`` with the key of their text."""
     spark = docs.sparkSession
     ship(spark)
-    texts = docs.select(F.expr(f"coalesce(CAST(doc_id AS LONG), {LAST})").alias("doc"), "text")
+    texts = _keyed(docs, "text")
     told = stage(texts.mapInArrow(_occurrences, OCCURRENCES), "lines")
     sketch = spark.sparkContext.broadcast(_sketch(told))          # 2**SKETCH_BITS counters
-    lines = told.where("chunk IS NULL").select("h", "doc", "line")
-    classes = stage(lines.groupBy("h").agg(F.min(F.struct("doc", "line")).alias("first")), "line-classes")
+    lines = told.where("chunk IS NULL").select("h", "doc", "key", "line")
+    classes = stage(lines.groupBy("h").agg(F.min(F.struct("doc", "line", "key")).alias("m"))
+                    .selectExpr("h", "named_struct('doc', m.doc, 'line', m.line) first", "m.key key"), "line-classes")
 
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sent = texts.mapInArrow(_prefixes(sketch, 2 * width, hot), "shard int, rows binary")
@@ -389,9 +408,8 @@ def judge_lines(docs: DataFrame, group_rows: int = GROUP_ROWS, hot: int = HOT_SH
                   .mapInArrow(_meet(sketch), "t long, r long, h long"), "shared")
     candidates = stage(_distinct_groups(found), "candidates")
 
-    wanted = stage(candidates.select("h").distinct().join(classes, "h")
-                   .groupBy(F.col("first.doc").alias("doc")).agg(F.collect_list("h").alias("wanted")), "wanted")
-    sets = (join_counted(texts, wanted, ["doc"], max(0, wanted.count() - wanted_rows), "inner")
+    wanted = stage(_wanted(candidates, classes), "wanted")
+    sets = (join_counted(texts, wanted, ["doc", "key"], max(0, wanted.count() - wanted_rows), "inner")
             .mapInArrow(_sets, "h long, keys binary").groupBy("h").agg(F.first("keys").alias("keys")))
     sets = stage(sets.join(classes, "h").select("h", "keys", "first.doc", "first.line"), "line-sets")
     met = split_cells(candidates, ["t"], "h", group_rows).join(sets, "h")
@@ -400,13 +418,13 @@ def judge_lines(docs: DataFrame, group_rows: int = GROUP_ROWS, hot: int = HOT_SH
             .sortWithinPartitions(*key).mapInArrow(over_runs(key, _overlaps(sketch), 50_000),
                                                    "h long, links long, doc long, line int"))
     links = near.groupBy("h").agg(F.sum("links").alias("links"), F.min(F.struct("doc", "line")).alias("best"))
-    judged = stage(classes.join(links, "h", "left"), "line-verdicts")
+    judged = stage(classes.drop("key").join(links, "h", "left"), "line-verdicts")
     place = "named_struct('doc', doc, 'line', line)"
     early = "least(IF(first < place, first, NULL), IF(best < place, best, NULL))"
     return (lines.join(judged, "h").withColumn("place", F.expr(place)).withColumn("early", F.expr(early))
             .selectExpr(f"nullif(doc, {LAST}) doc_id", "line line_no", "h", f"nullif(first.doc, {LAST}) class_doc",
                         "first.line class_line", "coalesce(links, 0L) n_links", f"nullif(early.doc, {LAST}) matched_doc",
-                        "early.line matched_line", "early IS NOT NULL removed"))
+                        "early.line matched_line", "early IS NOT NULL removed", "key"))
 
 
 def _without(names: list[str]):
@@ -434,11 +452,15 @@ def _without(names: list[str]):
     return run
 
 
+def _gone(docs: DataFrame) -> DataFrame:
+    """(doc, key, __lw_gone): the lines removed from a text."""
+    return (_judged(docs).where("removed").groupBy(F.expr(f"coalesce(doc_id, {LAST})").alias("doc"), "key")
+            .agg(F.collect_set(F.struct("line_no", "h")).alias("__lw_gone")))
+
+
 def dedup_documents(docs: DataFrame) -> DataFrame:
     """``docs`` without the removed lines; all rows and columns stay."""
-    verdicts = judge_lines(docs).where("removed")
-    gone = (verdicts.groupBy(F.expr(f"coalesce(doc_id, {LAST})").alias("__lw_doc"))
-            .agg(F.collect_set(F.struct("line_no", "h")).alias("__lw_gone")))
     names = docs.columns
-    met = docs.withColumn("__lw_doc", F.expr(f"coalesce(CAST(doc_id AS LONG), {LAST})")).join(gone, "__lw_doc", "left")
-    return met.select(*names, "__lw_gone").mapInArrow(_without(names), docs.schema)
+    places = _keyed(docs, F.struct(*names).alias("__lw_row"))
+    met = places.join(_gone(docs), ["doc", "key"], "left")
+    return met.select("__lw_row.*", "__lw_gone").mapInArrow(_without(names), docs.schema)

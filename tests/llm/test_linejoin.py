@@ -87,6 +87,21 @@ def test_dedup_documents(spark):
     assert out[2].n_chars == len(out[2].text) and out[2].h == "x"
 
 
+def test_lists_of_rows_without_an_id_hold_one_text(spark):
+    said = [f"line {i} is said by the first document of all" for i in range(200)]
+    copies = [(None, "\n".join([f"own words of copy {c}", *said[4 * c:4 * c + 4]])) for c in range(30)]
+    twice = [(9, "\n".join([f"own words of nine {c}", *said[100 + 4 * c:104 + 4 * c]])) for c in range(20)]
+    rows = [(1, "\n".join(said)), *copies, *twice]
+    docs = make_docs(spark, rows)
+    assert told(linejoin.judge_lines(docs)) == brute(rows)
+    lists = linejoin._gone(docs).collect()
+    assert len(lists) == 50 and all(len(r["__lw_gone"]) == 4 for r in lists)
+    texts = sorted(r.text for r in linejoin.dedup_documents(docs).where("doc_id IS NULL OR doc_id = 9").collect())
+    assert texts == sorted(t.split("\n")[0] for _, t in copies + twice)
+    classes = spark.createDataFrame([(h, (LAST, h), h % 5) for h in range(20)], "h long, first struct<doc: long, line: int>, key long")
+    assert [len(r.wanted) for r in linejoin._wanted(classes, classes).collect()] == [4] * 5
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
     assert told(linejoin.judge_lines(odd_docs)) == brute(rows)
