@@ -38,6 +38,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +71,21 @@ SYMBOL = np.zeros(256, bool)
 SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 
 
+@lru_cache(maxsize=1)
+def _letters() -> tuple[np.ndarray, np.ndarray]:
+    """For each code point, whether it is a letter and whether it is a capital one (Unicode, all scripts)."""
+    letter = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
+    upper = np.fromiter((chr(i).isupper() for i in range(0x110000)), bool, 0x110000)
+    return letter, letter & upper
+
+
+def _code_points(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of the texts and their offsets into them (bytes that are no UTF-8 count as U+FFFD)."""
+    texts = [raw[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+    flat = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    return flat, np.cumsum([0, *map(len, texts)])
+
+
 def _sums(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     upto = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
     return np.diff(upto[offsets])
@@ -112,15 +128,9 @@ def count_text(raw: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
            "word_chars": _sums(lead & ~SPACE[raw], offsets),
            "n_symbols": _sums(SYMBOL[raw], offsets),
            "n_bangs": _sums(raw == ord("!"), offsets)}
-    low = raw | 0x20
-    ascii_letter = (low >= 97) & (low <= 122) & (raw < 128)
-    upper = (raw >= 65) & (raw <= 90)
-    if len(raw):   # Latin-1 letters: the byte after 0xC3
-        after = np.concatenate([[False], raw[:-1] == 0xC3])
-        wide = after & (raw != 0x97) & (raw != 0xB7)
-        ascii_letter = ascii_letter | wide
-        upper = upper | (wide & (raw < 0x9F))
-    out["n_letters"], out["n_upper"] = _sums(ascii_letter, offsets), _sums(upper, offsets)
+    points, at = _code_points(raw, offsets)
+    letter, upper = _letters()
+    out["n_letters"], out["n_upper"] = _sums(letter[points], at), _sums(upper[points], at)
     repeat = np.zeros(len(hashes), bool)
     if len(hashes) > 1:
         repeat[1:] = (hashes[1:] == hashes[:-1]) & (doc[1:] == doc[:-1])

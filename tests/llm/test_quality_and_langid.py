@@ -4,6 +4,7 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -46,6 +47,14 @@ def test_repeats_within_one_text_only():
     assert got["n_repeat_words"].tolist() == [0, 0, 18, 10]
 
 
+def test_letters_and_capitals_of_all_scripts():
+    texts = ["ВСЕ БУКВЫ", "все Буквы", "ΟΛΑ ΚΕΦΑΛΑΙΑ", "ŻÓŁĆ ŘEŽ", "straße É×÷", "中文 12", "", "A\U00010400b"]
+    got = count(texts)
+    assert got["n_letters"].tolist() == [sum(c.isalpha() for c in t) for t in texts]
+    assert got["n_upper"].tolist() == [8, 1, 12 - 1, 7, 1, 0, 0, 2]
+    assert quality.count_text(np.frombuffer(b"AB\xffC", np.uint8), np.array([0, 4]))["n_upper"].tolist() == [3]
+
+
 def test_op5_whole_table(spark):
     rows = {r.doc_id: r for r in queries.op5_risk_controlled_quality(spark, SF_MID).collect()}
     docs = table(spark, SF_MID, "documents").collect()
