@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, large, mix64, multipliers, run_hashes, ship, stage, text_slices, words_of
-from .groups import join_counted, over_runs, split_cells
+from .groups import over_runs, split_cells
 
 SHINGLE, NUM, DEN = 5, 4, 5
 SKETCH_BITS = 20
@@ -49,6 +49,8 @@ SKETCH_CHUNK = 1 << 14
 GROUP_ROWS = 1024
 #: A shingle counted more often than this (beyond the sketch's usual noise) is dealt by line as well.
 HOT_SHINGLE = 1 << 20
+#: Candidate lines (8 bytes each, in lists by text) up to which the lists are broadcast.
+WANTED_LINES = 1_000_000
 #: Line classes that a task remembers as sent.
 SEEN = 500_000
 LAST = (1 << 63) - 1
@@ -379,8 +381,14 @@ def _wanted(candidates: DataFrame, classes: DataFrame) -> DataFrame:
             .groupBy(F.col("first.doc").alias("doc"), "key").agg(F.collect_list("h").alias("wanted")))
 
 
+def _texts_wanted(texts: DataFrame, wanted: DataFrame, limit: int) -> DataFrame:
+    """Texts with their wanted lines; the lists are broadcast only if they hold ``limit`` lines at most in all."""
+    total = wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0
+    return texts.join(F.broadcast(wanted) if total <= limit else wanted, ["doc", "key"])
+
+
 def judge_lines(docs: DataFrame, group_rows: int = GROUP_ROWS, hot: int = HOT_SHINGLE,
-                wanted_rows: int = 200_000) -> DataFrame:
+                wanted_lines: int = WANTED_LINES) -> DataFrame:
     """A row for each line that holds a word.
 
     doc_id, line_no (from 0), h (hash of its words), class_doc and class_line
@@ -388,10 +396,10 @@ def judge_lines(docs: DataFrame, group_rows: int = GROUP_ROWS, hot: int = HOT_SH
     it), matched_doc and matched_line (the earliest line it repeats, if it is
     removed) and removed.
     """
-    return _judged(docs, group_rows, hot, wanted_rows).drop("key")
+    return _judged(docs, group_rows, hot, wanted_lines).drop("key")
 
 
-def _judged(docs: DataFrame, group_rows: int = GROUP_ROWS, hot: int = HOT_SHINGLE, wanted_rows: int = 200_000) -> DataFrame:
+def _judged(docs: DataFrame, group_rows: int = GROUP_ROWS, hot: int = HOT_SHINGLE, wanted_lines: int = WANTED_LINES) -> DataFrame:
     """The rows of ``judge_lines`` with the key of their text."""
     spark = docs.sparkSession
     ship(spark)
@@ -409,7 +417,7 @@ def _judged(docs: DataFrame, group_rows: int = GROUP_ROWS, hot: int = HOT_SHINGL
     candidates = stage(_distinct_groups(found), "candidates")
 
     wanted = stage(_wanted(candidates, classes), "wanted")
-    sets = (join_counted(texts, wanted, ["doc", "key"], max(0, wanted.count() - wanted_rows), "inner")
+    sets = (_texts_wanted(texts, wanted, wanted_lines)
             .mapInArrow(_sets, "h long, keys binary").groupBy("h").agg(F.first("keys").alias("keys")))
     sets = stage(sets.join(classes, "h").select("h", "keys", "first.doc", "first.line"), "line-sets")
     met = split_cells(candidates, ["t"], "h", group_rows).join(sets, "h")

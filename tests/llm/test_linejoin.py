@@ -102,6 +102,17 @@ def test_lists_of_rows_without_an_id_hold_one_text(spark):
     assert [len(r.wanted) for r in linejoin._wanted(classes, classes).collect()] == [4] * 5
 
 
+def test_wanted_lists_are_broadcast_by_their_lines(spark):
+    texts = spark.createDataFrame([(i, i, "x") for i in range(10)], "doc long, key long, text string")
+    wanted = spark.createDataFrame([(i, i, list(range(100))) for i in range(10)], "doc long, key long, wanted array<long>")
+    for limit, hinted in ((1000, True), (999, False)):
+        met = linejoin._texts_wanted(texts, wanted, limit)
+        assert ("strategy=broadcast" in met._jdf.queryExecution().analyzed().toString()) == hinted
+        assert met.count() == 10
+    rows = variants(20)
+    assert told(linejoin.judge_lines(make_docs(spark, rows), wanted_lines=0)) == brute(rows)
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
     assert told(linejoin.judge_lines(odd_docs)) == brute(rows)
