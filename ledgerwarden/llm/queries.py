@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, langid, linejoin, mixing, packing, quality, simhash, token_store, warcindex
+from . import (ann, chat, collocations, langid, linejoin, mixing, ngram_quality, packing, prefix_trie, quality, simhash,
+               token_store, warcindex)
 from .common import stage, table
 
 
@@ -105,7 +106,23 @@ def op10_schema_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(prefix_trie.with_openings(table(spark, sf_dir, "conversations")))
+
+
+def op12_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.expr("coalesce(crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 = 0, false)")
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held)
+    labels = table(spark, sf_dir, "labels").where(~held)
+    return ngram_quality.score(docs, ngram_quality.fit(docs.where("NOT held_out"), labels), ["doc_id", "held_out"])
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_elias_fano_tokens, op2_hash_prefix_forest, op3_line_similarity_join, op4_sainte_lague_mix,
     op5_risk_controlled_quality, op6_hierarchical_language_id, op7_differencing_pack, op8_simhash_vp_dedup,
-    op9_two_level_warc_index, op10_schema_chat_format)}
+    op9_two_level_warc_index, op10_schema_chat_format, op11_prefix_trie, op12_ngram_quality,
+    op13_phrase_collocations)}
