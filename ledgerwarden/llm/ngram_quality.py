@@ -146,7 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
         return Model(np.zeros(1 << BITS, np.float32), 0.0)
     fits = int(np.searchsorted(np.cumsum(sizes["n"].to_numpy()), max_grams, side="right"))
     last = sizes.slice(fits - 1, 1).to_pylist()[0]
-    sample = rows.where(F.struct("h", "doc_id") <= F.struct(F.lit(last["h"]), F.lit(last["doc_id"])))
+    sample = rows.where((F.col("h") < last["h"]) | (F.col("h") == last["h"]) & (F.col("doc_id") <= last["doc_id"]))
     got = sample.select("h", "doc_id", "label", "places", "share").toArrow().sort_by([("h", "ascending"), ("doc_id", "ascending")])
     return train([(np.frombuffer(p, "<u4").astype(np.int64), np.frombuffer(v, "<f4").astype(np.float64))
                   for p, v in zip(got["places"].to_pylist(), got["share"].to_pylist())], got["label"].to_numpy())

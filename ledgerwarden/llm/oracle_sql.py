@@ -66,8 +66,70 @@ SELECT conv_id, n_turns, sha256(every) AS turns_sha256, length(loss) AS loss_cha
 FROM c
 """
 
+# Every first-turns list of every rebuilt conversation, grouped; crc32 bit by bit.
+_OP11 = r"""
+WITH own AS (
+  SELECT conv_id AS c, list(struct_pack(r := coalesce(role, ''), x := coalesce(text, ''))
+                            ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS l
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+sums AS (
+  SELECT c, l, list_reduce(
+      list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(c AS VARCHAR), ''), lambda b: CAST(ascii(b) AS BIGINT))),
+      lambda s, b: list_reduce(list_prepend(xor(s, b), range(8)),
+                               lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)) AS crc
+  FROM own),
+rebuilt AS (
+  SELECT a.c, list_concat(coalesce(o.l, a.l[1:0])[1:xor(a.crc, 4294967295) % 4], a.l[xor(a.crc, 4294967295) % 4 + 1:]) AS k
+  FROM sums a LEFT JOIN own o ON o.c = a.c - a.c % 20),
+firsts AS (SELECT c, k[1:d] AS p, len(k) = d AS ends FROM (SELECT c, k, unnest(range(len(k) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT p, min(c) AS low, count(*) AS n, string_agg(CASE WHEN ends THEN CAST(c AS VARCHAR) END, ',' ORDER BY c) AS ends
+  FROM firsts GROUP BY p),
+kids AS (SELECT p[1:len(p) - 1] AS p, count(*) AS n FROM nodes WHERE len(p) > 0 GROUP BY 1),
+told AS (
+  SELECT m.*, coalesce(k.n, 0) AS kids,
+         CASE WHEN len(m.p) > 0 THEN (m.n - 1) * len(regexp_extract_all(m.p[len(m.p)].x, '[^\x20\x09-\x0D]+')) ELSE 0 END AS saved
+  FROM nodes m LEFT JOIN kids k ON k.p = m.p),
+trees AS (
+  SELECT p[1:d] AS p, sum(CAST(kids = 0 AS INTEGER)) AS leaves, sum(saved) AS saved
+  FROM (SELECT p, kids, saved, unnest(range(len(p) + 1)) AS d FROM told) GROUP BY 1)
+SELECT m.low AS conv_id, CAST(len(m.p) AS BIGINT) AS depth, u.low AS parent_conv_id, m.n AS n_convs, CAST(m.kids AS BIGINT) AS n_children,
+       CAST(t.leaves AS BIGINT) AS n_leaves, CAST(t.saved AS BIGINT) AS saved_tokens, sha256(coalesce(m.ends, '')) AS ends_sha256
+FROM told m JOIN trees t ON t.p = m.p LEFT JOIN nodes u ON len(m.p) > 0 AND u.p = m.p[1:len(m.p) - 1]
+"""
+
+# Every phrase of 1 to 3 words counted; no tries, no candidates.
+_OP13 = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM lists),
+grams AS (SELECT lang, w[i:i + k - 1] AS p FROM starts, range(1, 4) AS r(k) WHERE i + k - 1 <= len(w)),
+counts AS (SELECT lang, p, count(*) AS f FROM grams GROUP BY lang, p),
+totals AS (SELECT lang, sum(f) AS n FROM counts WHERE len(p) = 1 GROUP BY lang),
+often AS (SELECT lang, p, f FROM counts WHERE len(p) >= 2 AND f >= 10),
+cuts AS (
+  SELECT o.lang, o.p, o.f, j, l.f AS l, r.f AS r, (CAST(1000000 AS HUGEINT) * o.f * o.f) // (CAST(l.f AS HUGEINT) * r.f) AS score
+  FROM (SELECT *, unnest(range(1, len(p))) AS j FROM often) o
+  JOIN counts l ON l.lang = o.lang AND l.p = o.p[1:j] JOIN counts r ON r.lang = o.lang AND r.p = o.p[j + 1:]),
+weakest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, j) AS place FROM cuts) WHERE place = 1),
+longer AS (SELECT lang, unnest([p[1:2], p[2:3]]) AS p, f FROM often WHERE len(p) = 3),
+most AS (SELECT lang, p, max(f) AS f FROM longer GROUP BY lang, p),
+kept AS (
+  SELECT w.lang, array_to_string(w.p, ' ') AS phrase, w.f AS a, w.l, w.r, w.score
+  FROM weakest w LEFT JOIN most m ON m.lang = w.lang AND m.p = w.p WHERE m.f IS NULL OR 100 * m.f < 50 * w.f),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT k.lang, k.rank, k.phrase, k.a, k.l, k.r, CAST(t.n AS BIGINT) AS n, CAST(k.score AS BIGINT) AS score
+FROM ranked k JOIN totals t ON t.lang = k.lang WHERE k.rank <= 2000
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_line_similarity_join": _OP3,
     "op9_two_level_warc_index": _OP9,
     "op10_schema_chat_format": _OP10,
+    "op11_prefix_trie": _OP11,
+    "op13_phrase_collocations": _OP13,
 }
