@@ -25,7 +25,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,8 @@ from .common import mix64, ship, slices
 
 DIM = 4096
 MAX_ROWS = 2400
+#: Most languages learned, those of the most rows: bounds the model, which has a machine for each pair.
+MAX_LANGUAGES = 64
 EPOCHS, COST = 12, 4.0
 UNDETERMINED = "und"
 
@@ -190,34 +192,44 @@ def _text_parts(batch: pa.RecordBatch, column: str = "text"):
             yield piece, piece.column(column).to_pylist()
 
 
-def fit(rows: DataFrame, max_rows: int = MAX_ROWS, seed: int = 17) -> Model:
+def fit(rows: DataFrame, max_rows: int = MAX_ROWS, seed: int = 17, max_languages: int = MAX_LANGUAGES) -> Model:
     """A model from labelled ``rows`` (doc_id, text, lang); rows without a lang are ignored.
 
-    A language has about max_rows / languages rows in the sample: those of a
-    hash below its share, so no language's rows meet in one task.
+    The ``max_languages`` languages of the most rows are learned (ties: the
+    smaller name). A language has at most max_rows / languages rows in the
+    sample: those of the smallest hashes of doc_id and text, so many rows of
+    one doc_id (or of none) are sampled like others, and equal rows are one.
+    A hash threshold leaves some twice as many before they are ordered.
     """
     ship(rows.sparkSession)
-    rows = rows.where("lang IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
-    totals = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    h = F.xxhash64(F.col("doc_id").cast("long"), "text", F.lit(seed))
+    rows = rows.where("lang IS NOT NULL").select(h.alias("h"), F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
+    counted = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("h").alias("apart"))
+    totals = {r.lang: r.apart for r in counted.orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
     if not totals:
         return Model(np.zeros((0, DIM), np.float32), [])
     share = max(1, max_rows // len(totals))
-    place = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)).cast("long")
     wanted = F.lit(False)
     for lang, n in totals.items():
-        limit = (1 << 30) if n <= share else int((1 << 30) * share / n)
-        wanted = wanted | ((F.col("lang") == F.lit(lang)) & (place < limit))
-    got = rows.where(wanted).mapInArrow(_vector_rows, "doc_id long, lang string, v binary").where("v IS NOT NULL").collect()
+        limit = (1 << 30) if n <= 2 * share else int((1 << 30) * 2 * share / n)
+        wanted = wanted | ((F.col("lang") == F.lit(lang)) & (F.pmod("h", F.lit(1 << 30)) < limit))
+    near = rows.where(wanted).groupBy("lang", "h").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"))
+    chosen = (near.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+              .where(F.col("rank") <= share))
+    got = chosen.mapInArrow(_vector_rows, "doc_id long, lang string, v binary").where("v IS NOT NULL").collect()
     got = sorted(got, key=lambda r: (r.lang, zlib.crc32(r.v), r.doc_id if r.doc_id is not None else -1))
     x = np.stack([np.frombuffer(r.v, np.float32) for r in got]) if got else np.zeros((0, DIM), np.float32)
     return Model(x, [r.lang for r in got])
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of every row, lang_pred and score; no shuffle."""
+    """The columns ``keep`` of every row, lang_pred and score; no shuffle. Columns to keep of these names are refused."""
+    clash = {"lang_pred", "score"} & {k.lower() for k in keep}
+    if clash:
+        raise ValueError(f"columns to keep are named like results: {sorted(clash)}")
     spark = docs.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast(model)     # fixed size: DIM numbers for each pair of languages
+    shared = spark.sparkContext.broadcast(model)     # DIM numbers a pair of families or relatives, MAX_LANGUAGES at most
     src = docs.select(*keep, F.col("text").alias("__lw_text"))
     fields = [f for f in src.schema.fields if f.name != "__lw_text"]
 

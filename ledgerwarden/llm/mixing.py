@@ -9,15 +9,16 @@ blocks are given to its shards (documents by a seeded hash) in the same way by
 shard size. The result of giving blocks one by one is found by bisection on
 the last quotient. Selection: the words of a shard, its documents in seeded
 order, form a row of blocks; the quota takes every block as often as it goes
-and picks the rest of the blocks evenly from a seeded start.
+and picks the rest of the blocks evenly from a seeded start. A shard's last block
+may be a short one, so that every word is in some block.
 
 All is DataFrame work on (source, size, order) except the apportionment, which
 is on the driver over one row for each source and each shard; shards number
 at most ``MAX_SHARDS`` plus one for each source.
 
 Rows and ties. Size: words of the text (null: 0). Rows without words are never
-taken (0 words). Documents of equal seeded place are ordered by doc_id, size
-and text. An empty table, or one without words, gives targets 0. Other columns
+taken (0 words). The seeded place is a hash of doc_id and text; documents of
+equal place are ordered by doc_id, size and text. An empty table, or one without words, gives targets 0. Other columns
 pass through ``mix_documents`` untouched.
 """
 
@@ -110,9 +111,10 @@ class Quotas:
 
 def _sharded(rows: DataFrame, sources: list[tuple]) -> DataFrame:
     head = rows.sparkSession.createDataFrame(
-        sources, "src string, __lw_source_size long, __lw_target double, __lw_shards int")
-    place = F.xxhash64("__lw_id", F.lit(SEED))
-    return (rows.join(F.broadcast(head), F.col("__lw_source").eqNullSafe(F.col("src"))).drop("src")  # a row for each source
+        sources, "__lw_src string, __lw_source_size long, __lw_target double, __lw_shards int")
+    place = F.xxhash64("__lw_id", "__lw_tie", F.lit(SEED))        # rows without an id are dealt out by their texts
+    head = F.broadcast(head) if len(sources) <= 2 * MAX_SHARDS else head
+    return (rows.join(head, F.col("__lw_source").eqNullSafe(F.col("__lw_src"))).drop("__lw_src")  # a row for each source
             .withColumn("__lw_place", place)
             .withColumn("__lw_shard", F.expr("CAST(pmod(__lw_place >> 7, __lw_shards) AS INT)")))
 
@@ -140,13 +142,23 @@ def quotas(rows: DataFrame, weights: tuple = WEIGHTS, max_repeat: int = MAX_REPE
         own = sorted(per_shard.get(source, []))
         for (shard, w), q in zip(own, sainte_lague(np.array([w for _, w in own]), n).tolist()):
             passes = min(max_repeat, q * block // w) if w else 0
-            blocks = w // block
-            m = min(blocks, round((q * block - passes * w) / block)) if passes < max_repeat else 0
+            blocks = -(-w // block)                             # the last may be a short one
             start = (shard * 2654435761 + SEED * 40503) % max(1, blocks)
+            m = _nearest(q * block - passes * w, w, block, blocks, start) if passes < max_repeat else 0
             shards.append((source, shard, passes, blocks, m, start))
     return Quotas(sources, shards, block)
 
 
+def _nearest(want: int, w: int, block: int, blocks: int, start: int) -> int:
+    """How many blocks to pick so that their words come nearest to ``want``, the last block having what is left of ``w``."""
+    def words(m):
+        last = blocks and (blocks * m + start) // blocks > ((blocks - 1) * m + start) // blocks
+        return m * block - (blocks * block - w if last else 0)
+
+    least = min(max(want // block, 0), blocks)
+    return min((m for m in (least, least + 1) if m <= blocks), key=lambda m: (abs(words(m) - want), m))
+
+
 def placed(rows: DataFrame, q: Quotas) -> DataFrame:
     """``rows`` (see ``sized``) with __lw_source_size, __lw_target, __lw_passes, __lw_taken and the place in the shard.
 
@@ -154,10 +166,10 @@ def placed(rows: DataFrame, q: Quotas) -> DataFrame:
     """
     spark = rows.sparkSession
     given = spark.createDataFrame(
-        q.shards, "src string, shard int, __lw_passes int, __lw_blocks long, __lw_m long, __lw_s long")
+        q.shards, "__lw_src string, __lw_given int, __lw_passes int, __lw_blocks long, __lw_m long, __lw_s long")
     given = F.broadcast(given) if len(q.shards) <= 2 * MAX_SHARDS else given
     known = _sharded(rows, q.sources).join(
-        given, F.col("__lw_source").eqNullSafe(F.col("src")) & (F.col("__lw_shard") == F.col("shard"))).drop("src", "shard")
+        given, F.col("__lw_source").eqNullSafe(F.col("__lw_src")) & (F.col("__lw_shard") == F.col("__lw_given"))).drop("__lw_src", "__lw_given")
     upto = ("sum(__lw_size) OVER (PARTITION BY __lw_source, __lw_shard "
             "ORDER BY __lw_place, __lw_id, __lw_size, __lw_tie ROWS UNBOUNDED PRECEDING)")
     out = (known.withColumn("__lw_b", F.lit(q.block).cast("long")).withColumn("__lw_at", F.expr(f"{upto} - __lw_size"))

@@ -248,7 +248,8 @@ def fit_cutoffs(counts: DataFrame, labels: DataFrame, alpha: float = ALPHA,
                 delta: float = DELTA) -> dict[str | None, dict[str, float]]:
     """Cutoffs by stratum and rule from ``counts`` (doc_id, lang, COUNTS) and ``labels`` (doc_id, quality).
 
-    Joins the counts only (no text). What comes to the driver has a row for each
+    Joins the counts only (no text). A labelled doc_id is one holdout, however many rows repeat it: that of the
+    greatest stratum (null least) and places. What comes to the driver has a row for each
     stratum, label and combination of grid places that a labelled document has.
     """
     verdicts = (labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id")
@@ -258,9 +259,10 @@ def fit_cutoffs(counts: DataFrame, labels: DataFrame, alpha: float = ALPHA,
     for rule, (_, _, grid) in RULES.items():
         reached = " + ".join(f"CAST(s >= {c}D AS INT)" for c in grid)
         places.append(reached.replace("s >=", _score(rule) + " >="))
-    rows = (known.select(F.col("lang").alias("stratum"), (F.col("__lw_good") >= 1).alias("good"),
-                         F.expr(f"array({', '.join(places)})").alias("places"))
-            .groupBy("stratum", "good", "places").count().collect())
+    once = (known.select("doc_id", (F.col("__lw_good") >= 1).alias("good"),
+                         F.struct(F.col("lang").alias("stratum"), F.expr(f"array({', '.join(places)})").alias("places")).alias("at"))
+            .groupBy("doc_id", "good").agg(F.max("at").alias("at")))         # rows repeating an id are one holdout
+    rows = once.groupBy("at.stratum", "good", "at.places").count().collect()
     strata = sorted({r.stratum for r in rows}, key=lambda s: (s is not None, s or ""))
     level = delta / max(1, 2 * len(strata) * len(RULES))
     grids = [grid for _, _, grid in RULES.values()]
