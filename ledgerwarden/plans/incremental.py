@@ -8,8 +8,14 @@ run: a loaded transaction, or a changed version. ``report_scope`` returns
 
 * every transaction of the days within the rules' span of a loaded one (late
   transactions included), read by partition, and
-* of the other days, the transactions of cards whose owner chain or terminals
-  changed; those days are only scanned when there is such a card.
+* of cards whose owner chain changed, the days on which they have
+  transactions; of cards with transactions at a changed terminal, the days
+  within the rules' span of those.
+
+Which days these are is looked up in the day index, a table of
+(terminal, card, day) and (card, day) rows that every load appends to,
+partitioned by kind and a hash bucket of the looked-up key. So both the index
+and the transactions are read by partition.
 
 The rules over this scope find every candidate of the full rescan that is not
 in the report. Gaps between its days are longer than the span, so rows
@@ -75,11 +81,47 @@ def _together(parts: list[DataFrame | None]) -> DataFrame | None:
     return reduce(DataFrame.unionAll, known) if known else None
 
 
-def affected_cards(wh: Warehouse, prev: Manifest, m: Manifest) -> DataFrame | None:
-    """``card_num`` (trimmed) of cards whose owner chain, blacklist entry or terminals this run changed.
+INDEX, INDEX_BUCKETS = "card_days", 16
+_INDEX_SCHEMA = "key string, card_num string, day date, run string, kind string, bucket int"
+
+
+def _bucket(key) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(INDEX_BUCKETS)).cast("int")
+
+
+def index_rows(tx: DataFrame) -> DataFrame:
+    """Rows of the day index for transactions: kind ``terminal`` and ``card``, the key looked up, the card, the day."""
+    card = F.trim("card_num")
+    told = tx.select(card.alias("card_num"), F.to_date("trans_date").alias("day"), F.explode(F.array(
+        F.struct(F.lit("card").alias("kind"), card.alias("key")),
+        F.struct(F.lit("terminal").alias("kind"), F.col("terminal").alias("key")))).alias("x"))
+    return (told.select("x.key", "card_num", "day", "x.kind").where("key IS NOT NULL AND card_num IS NOT NULL AND day IS NOT NULL")
+            .distinct().withColumn("bucket", _bucket("key")))
+
+
+def append_index(wh: Warehouse, m: Manifest, tx: DataFrame) -> None:
+    path = f"{wh.root}/{INDEX}/{m.folder()}"
+    index_rows(tx).hint("rebalance", "kind", "bucket").write.partitionBy("kind", "bucket").parquet(path)
+    t = m.tables.setdefault(INDEX, {"parts": []})
+    t["parts"] = t.get("parts", []) + [path]
+
+
+def indexed_days(wh: Warehouse, m: Manifest, kind: str, keys: DataFrame) -> DataFrame:
+    """(card_num, day) of the index for ``keys`` (a column key); reads the buckets of these keys only."""
+    parts = m.tables.get(INDEX, {}).get("parts", [])
+    if not parts:
+        return wh.spark.createDataFrame([], "card_num string, day date")
+    buckets = [r.b for r in keys.select(_bucket("key").alias("b")).distinct().collect()]        # INDEX_BUCKETS at most
+    rows = wh.spark.read.schema(_INDEX_SCHEMA).option("basePath", f"{wh.root}/{INDEX}").parquet(*parts)
+    rows = rows.where((F.col("kind") == kind) & F.col("bucket").isin(buckets))
+    return rows.join(keys.select("key"), "key", "left_semi").select("card_num", "day")
+
+
+def owner_cards(wh: Warehouse, prev: Manifest, m: Manifest) -> DataFrame | None:
+    """``key``: card numbers (trimmed) whose owner chain or blacklist entry this run changed.
 
     The chain goes through all versions, so it covers every owner mode. None
-    where the run changed no dimension and no blacklist entry.
+    where the run changed no owner dimension and no blacklist entry.
     """
     cards, accounts, clients = (wh.history(m, n, DIMENSIONS[n]["hist"]) for n in ("cards", "accounts", "clients"))
     c = changed_keys(wh, prev, m, "clients")
@@ -93,20 +135,26 @@ def affected_cards(wh: Warehouse, prev: Manifest, m: Manifest) -> DataFrame | No
     k = changed_keys(wh, prev, m, "cards")
     if a is not None:
         k = _together([k, cards.join(a, "account_num", "left_semi").select("card_num")])
-    t = changed_keys(wh, prev, m, "terminals")
-    if t is not None:
-        tx = wh.fact(m, "transactions", TRANSACTIONS_FACT).select("card_num", "terminal")
-        k = _together([k, tx.join(t, F.col("terminal") == t["terminal_id"], "left_semi").select("card_num")])
-    return None if k is None else k.select(F.trim("card_num").alias("card_num")).where("card_num IS NOT NULL").distinct()
+    return None if k is None else k.select(F.trim("card_num").alias("key")).where("key IS NOT NULL").distinct()
 
 
-def report_scope(wh: Warehouse, prev: Manifest, m: Manifest, spans: list[str]) -> tuple[DataFrame, Days | None]:
-    """(transactions to run the rules over, the days they are confined to or None where cards changed)."""
-    ranges = day_ranges(wh.added_days(prev, m, "transactions"), reach_days(*spans))
+def report_scope(wh: Warehouse, prev: Manifest, m: Manifest, spans: list[str]) -> tuple[DataFrame, Days]:
+    """(transactions to run the rules over, the ranges of days they lie in)."""
+    reach = reach_days(*spans)
+    loaded = wh.added_days(prev, m, "transactions")
+    ranges = day_ranges(loaded, reach)
     near = wh.fact(m, "transactions", TRANSACTIONS_FACT, where=in_days(DAY, ranges))
-    cards = affected_cards(wh, prev, m)
-    if cards is None or cards.isEmpty():
+    owners, found = owner_cards(wh, prev, m), []
+    if owners is not None:
+        found.append(indexed_days(wh, m, "card", owners))
+    places = changed_keys(wh, prev, m, "terminals")
+    if places is not None:
+        found.append(indexed_days(wh, m, "terminal", places.select(F.col("terminal_id").alias("key"))))
+    pairs = _together(found)
+    days = [] if pairs is None else [r.day for r in pairs.select("day").distinct().collect()]      # days of the calendar
+    if not days:
         return near, ranges
-    far = wh.fact(m, "transactions", TRANSACTIONS_FACT, where=~in_days(DAY, ranges))
-    far = far.join(cards.withColumnRenamed("card_num", "_card"), F.trim("card_num") == F.col("_card"), "left_semi")
-    return near.unionByName(far), None
+    every = day_ranges([*loaded, *days], reach)
+    far = wh.fact(m, "transactions", TRANSACTIONS_FACT, where=in_days(DAY, every) & ~in_days(DAY, ranges))
+    cards = pairs.select(F.col("card_num").alias("_card")).distinct()
+    return near.unionByName(far.join(cards, F.trim("card_num") == F.col("_card"), "left_semi")), every

@@ -1,16 +1,23 @@
-"""Run state on plain Parquet: immutable run directories + one manifest per run.
+"""Run state on plain Parquet: immutable run directories + a log of runs.
 
 Parquet has no UPDATE/MERGE, so a history is split into
 ``<table>/run=<id>-<attempt>/_part=closed`` (append-only closed versions) and
 ``<table>/run=<id>-<attempt>/_part=current`` (the open rows, rewritten by each
 run that touches the table). Facts and the report append one directory per
-run; transactions are partitioned by day (``day=<date of the event>``) inside it. A run writes all of its directories first and its manifest
-``_runs/<id>.json`` last; readers follow the newest manifest and read only the
-folders it lists, so an unfinished attempt is invisible and its retry (a new
+run; transactions and the report are partitioned by day (``day=<date of the event>``)
+inside it. A run writes all of its directories first and its record
+``_runs/<id>.json`` last; readers follow the newest record and read only the
+folders it leads to, so an unfinished attempt is invisible and its retry (a new
 attempt token) writes beside it. Two attempts racing for one run id cannot
-both publish: the manifest is created without overwrite. Nothing is read and overwritten in
+both publish: the record is created without overwrite. Nothing is read and overwritten in
 the same job. All paths go through the Hadoop file system of the root, so a
 shared folder (HDFS, object store) works the same as a local one.
+
+A record holds what its run changed (folders added and dropped), so its size
+does not grow with the number of runs. Every ``CHECKPOINT_EVERY`` runs the whole
+state is written beside it; a reader starts from the last whole state and
+applies the records after it. The files that runs have consumed are rows of a
+ledger, the table ``files``; what runs refused are the rows of ``rejected``.
 """
 
 from __future__ import annotations
@@ -20,7 +27,7 @@ import json
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,20 +41,35 @@ from ledgerwarden.schemas import (
 
 PART = "_part"
 DAY = "day"
-DAILY = {"transactions": "trans_date"}   # facts written by day, and the time that gives the day
+DAILY = {"transactions": "trans_date", "report": "event_dt"}   # facts written by day, and the time that gives the day
+
+
+#: Why a row is refused (or, for ``rounded_amount``, loaded with a loss and kept as it came, too).
+REASONS = ("null_key", "null_time", "unreadable_time", "unreadable_amount", "rounded_amount", "undated_file")
+#: Runs between two whole states.
+CHECKPOINT_EVERY = 16
+LOADED, LEDGER, REJECTED = "loaded", "files", "rejected"
+FILES = T.StructType([T.StructField("path", T.StringType()), T.StructField("business_date", T.DateType()),
+                      T.StructField("run_id", T.LongType()), T.StructField("place", T.IntegerType()),
+                      T.StructField("status", T.StringType())])
 
 
 @dataclass
 class Manifest:
+    """The state after a run. ``base`` is the state it was made from, ``ledger`` reads its consumed files."""
     run_id: int
     parent: int | None
     run_ts: str
     report_date: str
     watermarks: dict[str, str]
-    consumed_files: list[str] = field(default_factory=list)
     tables: dict[str, dict] = field(default_factory=dict)
     attempt: str = ""
     report_basis: str = ""      # the options the report was built with; other options need a full rescan
+    counts: dict[str, dict] = field(default_factory=dict)      # per feed of this run: rows loaded and refused, by reason
+    indexed: bool = False       # every transaction is in the day index (``plans.incremental``)
+    old_files: list[str] = field(default_factory=list)         # consumed before there was a ledger
+    base: dict | None = field(default=None, repr=False, compare=False)
+    ledger: object = field(default=None, repr=False, compare=False)
 
     def folder(self) -> str:
         """This attempt's folder name: a retried run never meets a crashed one's files."""
@@ -58,14 +80,55 @@ class Manifest:
         return Manifest(run_id=0, parent=None, run_ts="", report_date=SEED_REPORT_DATE.isoformat(),
                         watermarks={"cards": SEED_WATERMARK_CARDS.isoformat(sep=" "),
                                     "accounts": SEED_WATERMARK_ACCOUNTS.isoformat(sep=" "),
-                                    "clients": SEED_WATERMARK_CLIENTS.isoformat(sep=" ")})
+                                    "clients": SEED_WATERMARK_CLIENTS.isoformat(sep=" ")}, indexed=True)
+
+    @property
+    def consumed_files(self) -> list[str]:
+        """Every consumed file, for inspection; runs ask the ledger for their own files only."""
+        return self.old_files + (self.ledger.consumed(self) if self.ledger else [])
+
+    def _small(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("tables", "base", "ledger", "old_files")}
 
     def to_json(self) -> str:
-        return json.dumps(self.__dict__, indent=1, sort_keys=True)
+        """The whole state."""
+        return json.dumps({**self._small(), "tables": self.tables, "old_files": self.old_files}, indent=1, sort_keys=True)
+
+    def record(self) -> str:
+        """What the run changed: per table and list of folders, those added and dropped; single values as they are."""
+        changes: dict[str, dict] = {}
+        before = self.base or {}
+        for name, now in self.tables.items():
+            old = before.get(name, {})
+            for key, value in now.items():
+                if isinstance(value, list):
+                    was, has = set(old.get(key, [])), set(value)
+                    step = {"add": [p for p in value if p not in was], "drop": sorted(was - has)}
+                    if step["add"] or step["drop"] or key not in old:
+                        changes.setdefault(name, {})[key] = step
+                elif old.get(key) != value or key not in old:
+                    changes.setdefault(name, {})[key] = {"set": value}
+        return json.dumps({**self._small(), "changes": changes}, indent=1, sort_keys=True)
+
+    def after(self, rec: dict) -> "Manifest":
+        """The state after the record ``rec``, whose parent this is."""
+        tables = json.loads(json.dumps(self.tables))
+        for name, keys in rec["changes"].items():
+            t = tables.setdefault(name, {})
+            for key, step in keys.items():
+                if "set" in step:
+                    t[key] = step["set"]
+                else:
+                    drop = set(step["drop"])
+                    t[key] = [p for p in t.get(key, []) if p not in drop] + step["add"]
+        return Manifest(**{k: v for k, v in rec.items() if k != "changes"}, tables=tables, old_files=list(self.old_files))
 
     @staticmethod
     def from_json(text: str) -> "Manifest":
-        return Manifest(**json.loads(text))
+        """A whole state; one written before there was a ledger lists its files itself."""
+        told = json.loads(text)
+        return Manifest(**{k: v for k, v in told.items() if k != "consumed_files"},
+                        **({"old_files": told["consumed_files"]} if "consumed_files" in told else {}))
 
 
 class Warehouse:
@@ -74,6 +137,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._seen: list[tuple] = []            # observations of writes not yet settled
         jvm = spark.sparkContext._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -83,54 +147,125 @@ class Warehouse:
         return self._Path(f"{self.root}/_runs")
 
     def latest(self) -> Manifest:
+        """The state of the newest run that can be read back to a whole state; broken records at the end are skipped."""
         d = self._runs_dir()
         if not self._fs.exists(d):
             return Manifest.seed()
         ids = [int(s.getPath().getName()[:-5]) for s in self._fs.listStatus(d)
                if s.getPath().getName().endswith(".json")]
-        found = (self._parsed(i) for i in sorted(ids, reverse=True))
+        found = (self.state(i) for i in sorted(ids, reverse=True))
         return next((m for m in found if m is not None), None) or Manifest.seed()
 
+    def state(self, run_id: int, checkpoints: bool = True) -> Manifest | None:
+        """The state after a run, from the last whole state and the records since; None where one is broken."""
+        chain: list[dict] = []
+        while True:
+            if run_id == 0:
+                m = Manifest.seed()
+                break
+            told = self._parsed(run_id)
+            if told is None:
+                return None
+            if "tables" in told:                            # a run's file from before records is a whole state
+                m = Manifest.from_json(json.dumps(told))
+                break
+            whole = self._checkpoint(told) if checkpoints else None
+            if whole is not None:
+                m = whole
+                break
+            chain.append(told)
+            run_id = told["parent"] or 0
+        for told in reversed(chain):
+            m = m.after(told)
+        m.ledger = self
+        return m
+
     def _manifest_path(self, run_id: int):
         return self._Path(f"{self.root}/_runs/{run_id:09d}.json")
 
-    def _parsed(self, run_id: int) -> Manifest | None:
-        """The manifest of a run; None where the file is empty or broken."""
-        stream = self._fs.open(self._manifest_path(run_id))
+    def _checkpoint_path(self, run_id: int):
+        return self._Path(f"{self.root}/_runs/_whole/{run_id:09d}.json")
+
+    def _checkpoint(self, record: dict) -> Manifest | None:
+        """The whole state beside a record; None where there is none, it is broken or of another attempt."""
+        if record["run_id"] % CHECKPOINT_EVERY:
+            return None
+        told = self._json(self._checkpoint_path(record["run_id"]))
+        return Manifest.from_json(json.dumps(told)) if told and told.get("attempt") == record["attempt"] else None
+
+    def _parsed(self, run_id: int) -> dict | None:
+        """The record of a run; None where the file is empty or broken."""
+        told = self._json(self._manifest_path(run_id))
+        return told if told and told.get("run_id") == run_id and ("tables" in told or "changes" in told) else None
+
+    def _json(self, path) -> dict | None:
+        if not self._fs.exists(path):
+            return None
+        stream = self._fs.open(path)
         try:
             text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
         try:
-            return Manifest.from_json(text)
-        except (ValueError, TypeError):
+            told = json.loads(text)
+        except ValueError:
             return None
+        return told if isinstance(told, dict) else None
 
     def publish(self, m: Manifest) -> None:
-        """Make the manifest visible as a whole; fails if the run id is published (two writers of one run).
+        """Make the run's record visible as a whole; fails if the run id is published (two writers of one run).
 
         It is written under ``_runs/_tmp`` and renamed without overwriting. The
         rename is atomic on HDFS and local file systems; on object stores it
         is a copy, so there one writer at a time has to be ensured outside. A
-        broken file of the id (which readers skip) is replaced.
+        broken file of the id (which readers skip) is replaced. A whole state, where
+        one is due, follows; without it (a crash between) readers go further back.
         """
-        jvm = self.spark.sparkContext._jvm
         target = self._manifest_path(m.run_id)
+        self._put(target, m.record(), self._fs.exists(target) and self._parsed(m.run_id) is None)
+        m.ledger = self
+        if m.run_id % CHECKPOINT_EVERY == 0:
+            self._fs.mkdirs(self._checkpoint_path(m.run_id).getParent())
+            self._put(self._checkpoint_path(m.run_id), m.to_json(), True)
+
+    def _put(self, target, text: str, overwrite: bool) -> None:
+        jvm = self.spark.sparkContext._jvm
         tmp = self._Path(f"{self.root}/_runs/_tmp/{uuid.uuid4().hex}")
         out = self._fs.create(tmp, False)
         try:
-            out.write(bytearray(m.to_json().encode("utf-8")))
+            out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
-        broken = self._fs.exists(target) and self._parsed(m.run_id) is None
         how = jvm.org.apache.hadoop.fs.Options.Rename
         flags = self.spark.sparkContext._gateway.new_array(how, 1)
-        flags[0] = how.OVERWRITE if broken else how.NONE
+        flags[0] = how.OVERWRITE if overwrite else how.NONE
         context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
             tmp.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).getUri(),
             self.spark.sparkContext._jsc.hadoopConfiguration())
         context.rename(self._fs.makeQualified(tmp), self._fs.makeQualified(target), flags)
 
+    # -- consumed files ----------------------------------------------------------------------
+    def ledger_rows(self, m: Manifest) -> DataFrame:
+        """The ledger: path, business_date, run_id, place, status of every file that a run has settled."""
+        return self.fact(m, LEDGER, FILES)
+
+    def consumed(self, m: Manifest) -> list[str]:
+        return [r.path for r in self.ledger_rows(m).where(F.col("status") == LOADED).orderBy("run_id", "place").select("path").collect()]
+
+    def known_files(self, m: Manifest, files: DataFrame) -> DataFrame:
+        """Those of ``files`` (a column path) that a run has settled."""
+        known = files.join(self.ledger_rows(m).select("path"), "path", "left_semi")
+        if m.old_files:
+            old = self.spark.createDataFrame([(p,) for p in m.old_files], "path string")
+            known = known.unionByName(files.join(old, "path", "left_semi"))
+        return known
+
+    def settle_files(self, m: Manifest, files: list[tuple], status: str = LOADED) -> None:
+        """Append (path, business_date) rows to the ledger in this run's folder."""
+        if files:
+            rows = [(p, d, m.run_id, i, status) for i, (p, d) in enumerate(files)]
+            self.append_fact(m, LEDGER, self.spark.createDataFrame(rows, FILES).coalesce(1))
+
     # -- tables --------------------------------------------------------------------------------
     def _read(self, dirs: list[str], schema: T.StructType) -> DataFrame:
         if not dirs:
@@ -154,9 +289,18 @@ class Warehouse:
     def _parts(self, parts: list[str], name: str, schema: T.StructType, where: Column | None = None) -> DataFrame:
         if name not in DAILY or not parts:
             return self._read(parts, schema)
-        by_day = T.StructType([*schema.fields, T.StructField("run", T.StringType()), T.StructField(DAY, T.DateType())])
-        rows = self.spark.read.schema(by_day).option("basePath", f"{self.root}/{name}").parquet(*parts)
-        return (rows if where is None else rows.where(where)).select(*schema.fieldNames())
+        found = None
+        for inner in (False, True):         # folders written with and without refused rows beside the loaded ones
+            own = [p for p in parts if p.endswith(f"/{PART}={LOADED}") == inner]
+            if not own:
+                continue
+            levels = ["run", PART] if inner else ["run"]
+            by_day = T.StructType([*schema.fields, *[T.StructField(x, T.StringType()) for x in levels],
+                                   T.StructField(DAY, T.DateType())])
+            rows = self.spark.read.schema(by_day).option("basePath", f"{self.root}/{name}").parquet(*own)
+            rows = (rows if where is None else rows.where(where)).select(*schema.fieldNames())
+            found = rows if found is None else found.unionAll(rows)
+        return found
 
     def added(self, prev: Manifest, m: Manifest, name: str, schema: T.StructType) -> DataFrame | None:
         """The rows a fact gained since ``prev``; None where it has no new folder."""
@@ -174,36 +318,91 @@ class Warehouse:
         days = [n[len(DAY) + 1:] for n in names if n.startswith(f"{DAY}=")]
         return [dt.date.fromisoformat(d) for d in days if not d.startswith("__")]   # rows without a time: no rule holds
 
-    def write_history_delta(self, m: Manifest, name: str, delta: DataFrame) -> None:
-        """One job writes the closed and the open rows of a merge into the run's folder."""
+    def write_history_delta(self, m: Manifest, name: str, delta: DataFrame, refused: DataFrame | None = None) -> None:
+        """One job writes the closed and the open rows of a merge, and the rows refused, into the run's folder."""
         path = f"{self.root}/{name}/{m.folder()}"
         part = F.when(is_open(), F.lit("current")).otherwise(F.lit("closed"))
-        delta.withColumn(PART, part).write.mode("errorifexists").partitionBy(PART).parquet(path)
+        rows = delta.withColumn(PART, part)
+        if refused is not None:
+            rows = rows.unionByName(refused, allowMissingColumns=True)
+        self._observed(m, name, rows).write.mode("errorifexists").partitionBy(PART).parquet(path)
         t = m.tables.setdefault(name, {"closed": [], "current": None})
-        if self._fs.exists(self._Path(f"{path}/{PART}=closed")):
+        found = self._part_names(path)
+        if "closed" in found:
             t["closed"] = t.get("closed", []) + [f"{path}/{PART}=closed"]
-        current = f"{path}/{PART}=current"
-        t["current"] = current if self._fs.exists(self._Path(current)) else None
+        t["current"] = f"{path}/{PART}=current" if "current" in found else None
+        self._note_refused(m, path, found - {"closed", "current"})
 
-    def append_fact(self, m: Manifest, name: str, rows: DataFrame) -> None:
+    def append_fact(self, m: Manifest, name: str, rows: DataFrame, refused: DataFrame | None = None) -> None:
+        """Append rows in the run's folder; with ``refused`` (``_part`` its reason, ``_source``, ``_row``) beside them.
+
+        ``rows`` may carry the refused ones itself, marked by ``_part``.
+        """
         path = f"{self.root}/{name}/{m.folder()}"
-        self._write(rows, name, path)
+        if refused is None and PART not in rows.columns:
+            self._write(rows, name, path)
+        else:
+            if PART not in rows.columns:
+                rows = rows.withColumn(PART, F.lit(LOADED))
+            if refused is not None:
+                rows = rows.unionByName(refused, allowMissingColumns=True)
+            self._write(self._observed(m, name, rows), name, path, [PART])
+            found = self._part_names(path)
+            self._note_refused(m, path, found - {LOADED})
+            if LOADED not in found:
+                return
+            path = f"{path}/{PART}={LOADED}"
         t = m.tables.setdefault(name, {"parts": []})
         t["parts"] = t.get("parts", []) + [path]
 
-    def _write(self, rows: DataFrame, name: str, path: str) -> None:
-        out = rows.write.mode("errorifexists")
+    def _write(self, rows: DataFrame, name: str, path: str, levels: list[str] | None = None) -> None:
+        levels = list(levels or [])
         if name in DAILY:
-            out = rows.withColumn(DAY, F.to_date(DAILY[name])).write.mode("errorifexists").partitionBy(DAY)
-        out.parquet(path)
+            rows, levels = rows.withColumn(DAY, F.to_date(DAILY[name])), [*levels, DAY]
+            rows = rows.hint("rebalance", *levels)          # a day's rows in few files; large days are split again
+        rows.write.mode("errorifexists").partitionBy(*levels).parquet(path)
+
+    # -- refused rows --------------------------------------------------------------------------
+    def _observed(self, m: Manifest, name: str, rows: DataFrame) -> DataFrame:
+        """``rows`` whose refused ones are counted by reason while they are written (``settled_counts`` collects)."""
+        seen = Observation(f"refused_{name}_{m.attempt}")
+        self._seen.append((m.attempt, name, seen))
+        return rows.observe(seen, *[F.count_if(F.col(PART) == r).alias(r) for r in REASONS])
+
+    def settle_counts(self, m: Manifest) -> None:
+        """Put the counts of this attempt's writes into the manifest."""
+        for attempt, name, seen in self._seen:
+            if attempt == m.attempt:
+                m.counts[name] = {k: v for k, v in seen.get.items() if v}
+        self._seen = [x for x in self._seen if x[0] != m.attempt]
+
+    def _part_names(self, path: str) -> set[str]:
+        names = [s.getPath().getName() for s in self._fs.listStatus(self._Path(path))]
+        return {n[len(PART) + 1:] for n in names if n.startswith(f"{PART}=")}
+
+    def _note_refused(self, m: Manifest, path: str, reasons: set[str]) -> None:
+        if reasons:
+            t = m.tables.setdefault(REJECTED, {"parts": []})
+            t["parts"] = t.get("parts", []) + [f"{path}/{PART}={r}" for r in sorted(reasons)]
+
+    def rejected(self, m: Manifest) -> DataFrame:
+        """Every refused row: source (the feed), reason, row (the row as it came, JSON)."""
+        schema = T.StructType([T.StructField("_source", T.StringType()), T.StructField("_row", T.StringType())])
+        out = self.spark.createDataFrame([], "source string, reason string, row string")
+        parts = m.tables.get(REJECTED, {}).get("parts", [])
+        for reason in sorted({p.rsplit("=", 1)[1] for p in parts}):
+            own = [p for p in parts if p.endswith(f"{PART}={reason}")]
+            rows = self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*own)
+            out = out.unionAll(rows.select("_source", F.lit(reason), "_row"))
+        return out
 
 
 def next_manifest(prev: Manifest, run_ts: dt.datetime) -> Manifest:
     return Manifest(run_id=prev.run_id + 1, parent=prev.run_id, run_ts=run_ts.isoformat(sep=" "),
                     report_date=prev.report_date, watermarks=dict(prev.watermarks),
-                    consumed_files=list(prev.consumed_files),
                     tables=json.loads(json.dumps(prev.tables)), attempt=uuid.uuid4().hex[:12],
-                    report_basis=prev.report_basis)
+                    report_basis=prev.report_basis, indexed=prev.indexed, old_files=list(prev.old_files),
+                    base=prev.tables, ledger=prev.ledger)
 
 
 def compact(wh: Warehouse, name: str, schema: T.StructType, target_files: int | None = None) -> Manifest:
