@@ -32,8 +32,11 @@ def refused_changes(src: DataFrame, keys: list[str], watermark, source: str, upd
 
 def refused_keys(rows: DataFrame, keys: list[str], source: str) -> DataFrame:
     """Rows of a snapshot or fact feed without a key."""
-    return rows.where(~_all_set(keys)).select(F.lit("null_key").alias(PART), F.lit(source).alias("_source"),
-                                              _as_it_came(rows).alias("_row"))
+    return refused_rows(rows.where(~_all_set(keys)), "null_key", source)
+
+
+def refused_rows(rows: DataFrame, reason: str, source: str) -> DataFrame:
+    return rows.select(F.lit(reason).alias(PART), F.lit(source).alias("_source"), _as_it_came(rows).alias("_row"))
 
 
 def _all_set(keys: list[str]):

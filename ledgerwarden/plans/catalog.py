@@ -32,8 +32,10 @@ from ledgerwarden.sources.feeds import (
     format_transaction_lines,
     parse_transaction_lines,
     pick_feed,
+    read_blacklist,
+    read_terminals,
 )
-from ledgerwarden.schemas import CARDS_HIST, REPORT, SEED_REPORT_DATE
+from ledgerwarden.schemas import CARDS_HIST, REPORT, SEED_REPORT_DATE, TRANSACTIONS_FACT
 
 # Parameters of the catalog (shared with the oracle SQL).
 REPORT_DT = SEED_REPORT_DATE
@@ -369,6 +371,98 @@ def q_daily_run_cards(spark, d):
     return shown(wh.history(m, "cards", CARDS_HIST))
 
 
+def q_daily_run_changes(spark, d):
+    """A run whose card source is a change log: every change of the batch becomes a version."""
+    log = fx.table(spark, d, "orders").where(F.col("o_custkey") % 3 != 0).select(
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("card_num"),
+        F.concat(F.lit("A"), F.substring("o_orderpriority", 1, 1)).alias("account"),
+        ntz_lit(T0).alias("create_dt"), F.col("o_orderdate").alias("update_dt"))
+    wh = Warehouse(spark, scratch_path(spark, "daily-run", uuid.uuid4().hex))
+    cards = log.withColumn("update_dt", F.lit(None).cast("timestamp_ntz")).withColumn("account", F.lit("A0")) \
+        .withColumn("create_dt", ntz_lit(LOG_OPENED)).distinct()
+    run_day(wh, DayFeeds(cards=cards), DAY1_RUN_TS, RunOptions(every_change=True))
+    stay = log.where(F.substring("card_num", 2, 20).cast("long") % 17 != 0)
+    m = run_day(wh, DayFeeds(cards=stay), DAY2_RUN_TS, RunOptions(every_change=True))
+    return shown(wh.history(m, "cards", CARDS_HIST))
+
+
+# ----------------------------------------------------------------------------- refused rows, unique appends, sheets
+
+def _rough_feed(spark, d):
+    """The feed of ``_long_amounts`` with some ids and times missing or unreadable."""
+    n = F.col("transaction_id").cast("long")
+    return (_long_amounts(spark, d)
+            .withColumn("transaction_date", F.when(n % 73 == 0, F.lit("31.02.2024")).when(n % 71 == 0, F.lit(" "))
+                        .otherwise(F.col("transaction_date")))
+            .withColumn("transaction_id", F.when(n % 67 == 0, F.lit(None)).otherwise(F.col("transaction_id"))))
+
+
+def q_quarantine_rows(spark, d):
+    """What a run refuses of a rough feed, a source with NULL keys and a blacklist without passports, as it came."""
+    cards = fx.cards(spark, d).select(
+        F.when(F.substring("card_num", 2, 20).cast("long") % 19 != 0, F.col("card_num")).alias("card_num"),
+        F.col("account_num").alias("account"), ntz_lit(T0).alias("create_dt"),
+        F.lit(None).cast("timestamp_ntz").alias("update_dt"))
+    bl = fx.blacklist(spark, d).withColumn("passport_num", F.when(F.dayofmonth("entry_dt") % 4 != 0, F.col("passport_num")))
+    wh = Warehouse(spark, scratch_path(spark, "quarantine", uuid.uuid4().hex))
+    m = run_day(wh, DayFeeds(cards=cards, blacklist=bl, transactions_raw=_rough_feed(spark, d)), DAY1_RUN_TS)
+    told = wh.rejected(m)
+
+    def of(field):
+        return F.get_json_object("row", f"$.{field}").alias(field)
+    return told.select("source", "reason", of("transaction_id"), of("transaction_date"), of("amount"), of("account"), of("entry_dt"))
+
+
+def q_append_unique(spark, d):
+    """Two runs with unique transactions, the second with a reload of old rows and with twins."""
+    tx = fx.transactions(spark, d)
+    old = F.col("trans_date") < ntz_lit(REPORT_CUT)
+    again = tx.where(old & (F.col("trans_id").cast("long") % 3 == 0))
+    twins = tx.where(~old & (F.col("trans_id").cast("long") % 5 == 0))
+    opt = RunOptions(unique_transactions=True)
+    wh = Warehouse(spark, scratch_path(spark, "unique", uuid.uuid4().hex))
+    run_day(wh, DayFeeds(transactions=tx.where(old)), DAY1_RUN_TS, opt)
+    m = run_day(wh, DayFeeds(transactions=tx.where(~old).unionAll(again).unionAll(twins)), DAY2_RUN_TS, opt)
+    return wh.fact(m, "transactions", TRANSACTIONS_FACT)
+
+
+def _sheet(df, *columns):
+    """A sheet with a header row, landed as text; the columns count by position."""
+    path = scratch_path(df.sparkSession, "sheets", uuid.uuid4().hex)
+    df.select(*columns).write.option("header", True).csv(path)
+    return path
+
+
+def q_terminals_sheet(spark, d):
+    columns = ["terminal_id", "terminal_type", "terminal_city", "terminal_address"]
+    return read_terminals(spark, _sheet(fx.terminals(spark, d).toDF(*"wxyz"), *"wxyz")).select(*columns)
+
+
+def q_blacklist_sheet(spark, d):
+    return read_blacklist(spark, _sheet(fx.blacklist(spark, d), F.col("entry_dt").alias("date"), F.col("passport_num").alias("passport")))
+
+
+def q_transactions_pattern(spark, d):
+    """Times written day first, read with a pattern."""
+    raw = parse_transaction_lines(format_transaction_lines(fx.transactions(spark, d))).withColumn(
+        "transaction_date", F.regexp_replace("transaction_date", r"(\d+)-(\d+)-(\d+) (\d+:\d+:\d+).*", "$3.$2.$1 $4"))
+    return clean_transactions(raw, ts_format="dd.MM.yyyy HH:mm:ss")
+
+
+def q_report_distinct(spark, d):
+    """The report without equal rows of one run, over transactions that come twice."""
+    tx = fx.transactions(spark, d)
+    return fraud_report(tx.unionAll(tx), fx.terminals(spark, d), _bridge(spark, d), report_dt=REPORT_DT,
+                        guessing_within="3 days", distinct=True)
+
+
+def q_scd2_reopen(spark, d):
+    """A key that was deleted and comes back opens again: the previous snapshot after the current one."""
+    args = (["k"], ["a", "b"])
+    gone = scd2.scd2_merge_snapshot(_prev_hist(spark, d), fx.snapshot_cur(spark, d), *args, RUN_TS)
+    return shown(scd2.scd2_merge_snapshot(gone, fx.snapshot_prev(spark, d), *args, DAY2_RUN_TS, reopen=True))
+
+
 QUERIES: dict[str, Query] = {
     "fraud_report": q_fraud_report,
     "report_next_day": q_report_next_day,
@@ -407,4 +501,12 @@ QUERIES: dict[str, Query] = {
     "daily_run": q_daily_run,
     "report_incremental": q_report_incremental,
     "daily_run_cards": q_daily_run_cards,
+    "daily_run_changes": q_daily_run_changes,
+    "quarantine_rows": q_quarantine_rows,
+    "append_unique": q_append_unique,
+    "terminals_sheet": q_terminals_sheet,
+    "blacklist_sheet": q_blacklist_sheet,
+    "transactions_pattern": q_transactions_pattern,
+    "report_distinct": q_report_distinct,
+    "scd2_reopen": q_scd2_reopen,
 }

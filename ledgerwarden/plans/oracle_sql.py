@@ -310,6 +310,53 @@ SELECT card_num, 'A'||CAST(k + 1 AS VARCHAR), TIMESTAMP '2024-01-16 10:00:00', N
 UNION ALL
 SELECT card_num, 'A'||CAST(k AS VARCHAR), TIMESTAMP '2024-01-31 02:38:00', NULL, 'Y' FROM c WHERE gone"""
 
+DAILY_RUN_CHANGES = """WITH
+e AS (SELECT DISTINCT o_custkey k, 'A0' p, TIMESTAMP '1990-01-01 00:00:00' t FROM orders WHERE o_custkey%3<>0
+      UNION ALL
+      SELECT o_custkey, max('A'||substr(o_orderpriority, 1, 1)), o_orderdate FROM orders
+      WHERE o_custkey%3<>0 AND o_custkey%17<>0 AND o_orderdate > TIMESTAMP '1990-01-01 00:00:00' GROUP BY o_custkey, o_orderdate),
+s AS (SELECT k, p, t, row_number() OVER (PARTITION BY k ORDER BY t) i FROM e),
+v AS (SELECT s.k, s.p, s.t, row_number() OVER (PARTITION BY s.k ORDER BY s.t) i
+      FROM s LEFT JOIN s b ON b.k = s.k AND b.i = s.i - 1 WHERE b.k IS NULL OR b.p <> s.p),
+w AS (SELECT v.k, v.p, v.t, n.t nt FROM v LEFT JOIN v n ON n.k = v.k AND n.i = v.i + 1)
+SELECT 'C'||CAST(k AS VARCHAR) card_num, p account_num, t effective_from,
+       coalesce(nt, CASE WHEN k%17=0 THEN TIMESTAMP '2024-01-31 02:38:00' END) - INTERVAL 1 SECOND effective_to, 'N' delete_flg
+FROM w
+UNION ALL
+SELECT 'C'||CAST(k AS VARCHAR), p, TIMESTAMP '2024-01-31 02:38:00', NULL, 'Y' FROM w WHERE nt IS NULL AND k%17=0"""
+
+QUARANTINE_ROWS = f"""WITH {FIXTURES}, {LONG_AMOUNTS},
+rough AS (SELECT CASE WHEN r.event_id%67<>0 THEN CAST(r.event_id AS VARCHAR) END transaction_id,
+                 CASE WHEN r.event_id%73=0 THEN '31.02.2024' WHEN r.event_id%71=0 THEN ' ' ELSE CAST(e.ts AS VARCHAR) END
+                   transaction_date, r.amount
+          FROM raw r JOIN events e ON e.event_id = r.event_id),
+judged AS (SELECT *, CASE WHEN transaction_id IS NULL THEN 'null_key' WHEN trim(transaction_date) = '' THEN 'null_time'
+                          WHEN TRY_CAST(transaction_date AS TIMESTAMP) IS NULL THEN 'unreadable_time'
+                          WHEN amount IS NOT NULL AND TRY_CAST(replace(amount, ',', '.') AS DECIMAL(38,10)) IS NULL
+                            THEN 'unreadable_amount'
+                          WHEN length(rtrim(split_part(amount, ',', 2), '0')) > 10 THEN 'rounded_amount' END reason FROM rough)
+SELECT 'transactions' source, reason, transaction_id, transaction_date, amount, CAST(NULL AS VARCHAR) account,
+       CAST(NULL AS VARCHAR) entry_dt FROM judged WHERE reason IS NOT NULL
+UNION ALL
+SELECT 'cards', 'null_key', NULL, NULL, NULL, 'A'||CAST(c_custkey AS VARCHAR), NULL FROM customer WHERE c_custkey%19=0
+UNION ALL
+SELECT 'blacklist', 'null_key', NULL, NULL, NULL, NULL, CAST(entry_dt AS VARCHAR) FROM fx_blacklist WHERE day(entry_dt)%4=0"""
+
+REPORT_DISTINCT = (f"WITH {FIXTURES}, fx_tx_two AS (SELECT * FROM fx_tx_all UNION ALL SELECT * FROM fx_tx_all), "
+                   f"{_rules('fx_tx_two', '', '3 days', REPORT_DT)}, {_sequential_report('', None)} "
+                   f"SELECT DISTINCT {COLS} FROM report")
+
+# The previous snapshot again after the current one: what was gone opens again, what was new is gone.
+SCD2_REOPEN = f"""WITH {SNAP},
+moments AS (SELECT TIMESTAMP '2024-01-01 00:00:00' t0, TIMESTAMP '2024-01-02 02:38:00' t1, TIMESTAMP '2024-01-31 02:38:00' t2),
+r AS (SELECT k, pa a, pb b, t0 effective_from, CASE WHEN NOT hc OR diff THEN t1 - INTERVAL 1 SECOND END effective_to,
+             'N' delete_flg FROM j, moments WHERE hp
+      UNION ALL SELECT k, ca, cb, t1, t2 - INTERVAL 1 SECOND, 'N' FROM j, moments WHERE hc AND (NOT hp OR diff)
+      UNION ALL SELECT k, pa, pb, t1, t2 - INTERVAL 1 SECOND, 'Y' FROM j, moments WHERE hp AND NOT hc
+      UNION ALL SELECT k, pa, pb, t2, NULL, 'N' FROM j, moments WHERE hp AND (NOT hc OR diff)
+      UNION ALL SELECT k, ca, cb, t2, NULL, 'Y' FROM j, moments WHERE NOT hp AND hc)
+SELECT * FROM r"""
+
 ORACLE_SQL: dict[str, str] = {
     "fraud_report": FRAUD_REPORT,
     "report_next_day": REPORT_NEXT_DAY,
@@ -360,6 +407,18 @@ ORACLE_SQL: dict[str, str] = {
     "daily_run": DAILY_RUN,
     "report_incremental": REPORT_INCREMENTAL,
     "daily_run_cards": DAILY_RUN_CARDS,
+    "daily_run_changes": DAILY_RUN_CHANGES,
+    "quarantine_rows": QUARANTINE_ROWS,
+    "append_unique": f"""WITH {FIXTURES}
+        SELECT trans_id, trans_date, card_num, oper_type, CAST(amt AS DECIMAL(38,10)) amt, oper_result, terminal
+        FROM fx_tx_all""",
+    "terminals_sheet": f"WITH {FIXTURES} SELECT terminal_id, terminal_type, terminal_city, terminal_address FROM fx_terminals",
+    "blacklist_sheet": f"WITH {FIXTURES} SELECT entry_dt, passport_num FROM fx_blacklist",
+    "transactions_pattern": f"""WITH {FIXTURES}
+        SELECT trans_id, date_trunc('second', trans_date) trans_date, card_num, oper_type, CAST(amt AS DECIMAL(38,10)) amt,
+               oper_result, terminal FROM fx_tx_all""",
+    "report_distinct": REPORT_DISTINCT,
+    "scd2_reopen": SCD2_REOPEN,
     "feed_pick": FEED_PICK,
     "blacklist_append": f"""WITH {FIXTURES}
         SELECT passport_num, min(entry_dt) entry_dt FROM fx_blacklist b
