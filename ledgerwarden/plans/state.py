@@ -27,6 +27,7 @@ import json
 import uuid
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -199,11 +200,16 @@ class Warehouse:
         return told if told and told.get("run_id") == run_id and ("tables" in told or "changes" in told) else None
 
     def _json(self, path) -> dict | None:
+        """The JSON object in a file; None where there is no file or it is broken (other read errors are raised)."""
         if not self._fs.exists(path):
             return None
         stream = self._fs.open(path)
         try:
             text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        except Py4JJavaError as e:
+            if e.java_exception.getClass().getSimpleName() != "ChecksumException":
+                raise
+            return None
         finally:
             stream.close()
         try:
