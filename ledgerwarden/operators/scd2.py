@@ -101,8 +101,12 @@ def _row_sql(keys, tracked, src: str, eff_from: str, eff_to: str, flag: str) ->
                        + [("effective_from", eff_from), ("effective_to", eff_to), ("delete_flg", flag)])
 
 
-def _emit_sql(g: DataFrame, rows: list[str]) -> DataFrame:
-    return g.selectExpr(f"inline(filter(array({', '.join(rows)}), x -> x IS NOT NULL))")
+def _emit_sql(g: DataFrame, rows: list[str], refused: str | None = None) -> DataFrame:
+    """The rows of each group; ``refused`` (an empty row) stands for each row of a refused group."""
+    kept = f"filter(array({', '.join(rows)}), x -> x IS NOT NULL)"
+    if refused is None:
+        return g.selectExpr(f"inline({kept})")
+    return g.selectExpr("_part", "_row", f"inline(CASE WHEN _row IS NULL THEN {kept} ELSE array_repeat({refused}, CAST(_n AS INT)) END)")
 
 
 def _key_cols(hist: DataFrame, keys: list[str]) -> list[str]:
@@ -174,16 +178,23 @@ def scd2_merge_snapshot(hist: DataFrame, snapshot: DataFrame, keys: list[str], t
 
 def scd2_cdc_delta(hist: DataFrame, changes: DataFrame, keys: list[str], tracked: list[str],
                    change_ts: str = "mod_dt", live_keys: DataFrame | None = None, run_ts=None,
-                   unit="1 second", reopen: bool = False) -> DataFrame:
+                   unit="1 second", reopen: bool = False, whole: bool = False) -> DataFrame:
     """Rows to write for a change batch plus the source's live key list.
 
+    ``whole``: ``changes`` has a row for every live key, without a change time
+    where it has not changed (``extract.source_changes``); its refused rows, if any, pass through with
+    ``_part`` and ``_row``.
+
     Per key the latest change in the batch applies (ties: larger values);
     a change not newer than the open version is ignored (replays are no-ops).
     Keys of the history missing from ``live_keys`` are closed at
     ``run_ts - unit`` and get a ``Y`` marker from ``run_ts``.
     """
-    if live_keys is not None and run_ts is None:
+    if (whole or live_keys is not None) and run_ts is None:
         raise ValueError("deletes need run_ts")
+    extra = [c for c in ("_part", "_row") if whole and c in changes.columns]
+    used = f"{_not_null_sql(keys)}" + ("" if whole else f" AND `{change_ts}` IS NOT NULL") + (" OR _row IS NOT NULL" if extra else "")
+    changed = f"`{change_ts}` IS NOT NULL" + (" AND _row IS NULL" if extra else "")
     _, opened = split_history(hist)
     sch = {f.name: f.dataType for f in hist.schema.fields}
     o_fields = tracked + ["effective_from", "delete_flg"]
@@ -193,17 +204,19 @@ def scd2_cdc_delta(hist: DataFrame, changes: DataFrame, keys: list[str], tracked
                            + [(c, f"CAST(`{c}` AS {sch[c].simpleString()})") for c in tracked])
     parts = [
         opened.selectExpr(*[f"`{k}`" for k in keys], _struct_sql([(c, f"`{c}`") for c in o_fields]) + " AS o",
-                          f"CAST(NULL AS {c_ddl}) AS c", "CAST(NULL AS BOOLEAN) AS live"),
-        changes.where(f"{_not_null_sql(keys)} AND `{change_ts}` IS NOT NULL").selectExpr(
-            *_key_cols(hist, keys), f"CAST(NULL AS {o_ddl}) AS o", c_struct + " AS c",
-            "CAST(NULL AS BOOLEAN) AS live"),
+                          f"CAST(NULL AS {c_ddl}) AS c", "CAST(NULL AS BOOLEAN) AS live",
+                          *[f"CAST(NULL AS STRING) AS {x}" for x in extra]),
+        changes.where(used).selectExpr(
+            *_key_cols(hist, keys), f"CAST(NULL AS {o_ddl}) AS o", f"CASE WHEN {changed} THEN {c_struct} END AS c",
+            f"CAST({'true' if whole else 'NULL'} AS BOOLEAN) AS live", *extra),
     ]
     if live_keys is not None:
         parts.append(live_keys.where(_not_null_sql(keys)).selectExpr(
             *_key_cols(hist, keys), f"CAST(NULL AS {o_ddl}) AS o", f"CAST(NULL AS {c_ddl}) AS c",
             "true AS live"))
     u = reduce(DataFrame.unionByName, parts)
-    g = u.groupBy(*keys).agg(F.max("o").alias("o"), F.max("c").alias("c"), F.max("live").alias("live"))
+    counted = [F.max("_part").alias("_part"), F.count(F.lit(1)).alias("_n")] if extra else []
+    g = u.groupBy(*keys, *extra[1:]).agg(F.max("o").alias("o"), F.max("c").alias("c"), F.max("live").alias("live"), *counted)
     # per-key state, then the rows it expands to
     g = g.selectExpr(
         "*",
@@ -215,7 +228,7 @@ def scd2_cdc_delta(hist: DataFrame, changes: DataFrame, keys: list[str], tracked
         "*", "(NOT has_o AND has_c) AS is_new",
         f"(o_live AND has_c AND {_diff_sql('o', 'c', tracked)}) AS chg",
         f"({'true' if reopen else 'false'} AND o_del AND has_c) AS revive")
-    live = "true" if live_keys is None else "coalesce(live, false)"
+    live = "true" if live_keys is None and not whole else "coalesce(live, false)"
     g = g.selectExpr(
         "*", "(is_new OR chg OR revive) AS takes_c",
         f"(NOT {live} AND (has_o OR is_new) AND "
@@ -234,7 +247,8 @@ def scd2_cdc_delta(hist: DataFrame, changes: DataFrame, keys: list[str], tracked
                f"WHEN has_o THEN {row('o', 'o.effective_from', end, 'o.delete_flg')} END")
     marker = (f"CASE WHEN del AND takes_c THEN {row('c', run, FF_SQL, y)} "
               f"WHEN del THEN {row('o', run, FF_SQL, y)} END")
-    return _emit_sql(g, [closed_old, current, marker])
+    empty = _struct_sql([(c, f"CAST(NULL AS {sch[c].simpleString()})") for c in [*keys, *tracked, *SCD2]]) if extra else None
+    return _emit_sql(g, [closed_old, current, marker], empty)
 
 
 def scd2_merge(hist: DataFrame, changes: DataFrame, keys: list[str], tracked: list[str],

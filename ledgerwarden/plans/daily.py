@@ -27,7 +27,7 @@ from ledgerwarden.schemas import (
     REPORT,
     TRANSACTIONS_FACT,
 )
-from ledgerwarden.sources.extract import extract_increment, live_keys
+from ledgerwarden.sources.extract import extract_increment, live_keys, source_changes
 
 CDC_SOURCES = {
     "cards": ["card_num", "account"],
@@ -116,13 +116,16 @@ def run_day(wh: Warehouse, feeds: DayFeeds, run_ts: dt.datetime,
         wm = dt.datetime.fromisoformat(prev.watermarks[name])
         # D6 without an extra job: max(mod_dt) is observed while the merge is written.
         seen = Observation(f"watermark_{name}")
-        changes = _dim_rows(name, extract_increment(src, wm, cols)).observe(
-            seen, F.max("mod_dt").alias("max_mod_dt"))
-        keys = _dim_rows(name, live_keys(src, [cols[0]]))
-        opened = wh.open_rows(prev, name, spec["hist"])
-        merge = scd2_merge_log if opt.every_change else scd2_cdc_delta
-        delta = merge(opened, changes, spec["key"], spec["tracked"], "mod_dt", keys, run_ts)
-        refused = refused_changes(src, [cols[0]], wm, name) if opt.quarantine else None
+        opened, top = wh.open_rows(prev, name, spec["hist"]), F.max("mod_dt").alias("max_mod_dt")
+        refused = None
+        if opt.every_change:
+            changes = _dim_rows(name, extract_increment(src, wm, cols)).observe(seen, top)
+            keys = _dim_rows(name, live_keys(src, [cols[0]]))
+            delta = scd2_merge_log(opened, changes, spec["key"], spec["tracked"], "mod_dt", keys, run_ts)
+            refused = refused_changes(src, [cols[0]], wm, name) if opt.quarantine else None
+        else:                               # one pass over the source gives changes, live keys and refused rows
+            changes = _dim_rows(name, source_changes(src, [cols[0]], cols, wm, opt.quarantine)).observe(seen, top)
+            delta = scd2_cdc_delta(opened, changes, spec["key"], spec["tracked"], "mod_dt", run_ts=run_ts, whole=True)
         wh.write_history_delta(m, name, delta, refused)
         new_wm = seen.get.get("max_mod_dt") or wm
         m.watermarks[name] = new_wm.isoformat(sep=" ")

@@ -328,6 +328,9 @@ class Warehouse:
         """One job writes the closed and the open rows of a merge, and the rows refused, into the run's folder."""
         path = f"{self.root}/{name}/{m.folder()}"
         part = F.when(is_open(), F.lit("current")).otherwise(F.lit("closed"))
+        if PART in delta.columns:           # with refused rows of the merge's own
+            delta = delta.withColumn("_source", F.when(F.col("_row").isNotNull(), F.lit(name)))
+            part = F.coalesce(F.col(PART), part)
         rows = delta.withColumn(PART, part)
         if refused is not None:
             rows = rows.unionByName(refused, allowMissingColumns=True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,30 @@ def extract_increment(src: DataFrame, watermark, columns: list[str], update_dt:
     return out
 
 
+def source_changes(src: DataFrame, keys: list[str], columns: list[str], watermark, keep_refused: bool = True,
+                   update_dt: str = "update_dt", create_dt: str = "create_dt") -> DataFrame:
+    """S1 and S2 from one pass over the source: every row with a key is a live key, its columns and ``mod_dt``
+    are NULL where it was not modified after ``watermark`` (so the shuffle moves little more than the keys).
+
+    With ``keep_refused`` rows no merge can use come as well, with ``_part`` (the reason) and
+    ``_row`` (the row as JSON) set and keys NULL: those without any modification time, and modified ones
+    without a key.
+    """
+    at = mod_time(update_dt, create_dt)
+    fresh = at > typed_lit(watermark, src.schema[create_dt].dataType)
+    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    fields = [F.when(keyed, F.col(c)).alias(c) if c in keys else F.when(keyed & fresh, F.col(c)).alias(c) for c in columns]
+    if not keep_refused:
+        return src.where(keyed).select(*fields, F.when(fresh, at).alias("mod_dt"))
+    reason = F.when(at.isNull(), F.lit("null_time")).when(~keyed & fresh, F.lit("null_key"))
+    whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in src.columns]), {"ignoreNullFields": "false"})
+    nothing = F.lit(None).cast("string")
+    use = F.when(keyed, F.struct(*fields, F.when(fresh, at).alias("mod_dt"), nothing.alias("_part"), nothing.alias("_row")))
+    none = [F.lit(None).cast(src.schema[c].dataType).alias(c) for c in columns]
+    refused = F.when(reason.isNotNull(), F.struct(*none, at.alias("mod_dt"), reason.alias("_part"), whole.alias("_row")))
+    return src.select(F.explode(F.filter(F.array(use, refused), lambda r: r.isNotNull())).alias("r")).select("r.*")
+
+
 def live_keys(src: DataFrame, keys: list[str], rename: dict[str, str] | None = None) -> DataFrame:
     """Every key present at the source (deletes are keys missing here)."""
     out = src.select(*keys)

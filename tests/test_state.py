@@ -206,3 +206,24 @@ def test_only_folders_that_may_hold_a_key_are_read(spark, scratch):
     assert sorted((r.trans_id or "" for r in new.collect())) == ["", "5", "x777"]
     plainly = run_day(wh, DayFeeds(transactions=batch(spark, ["800000"])), TS(2024, 3, 2))          # without a filter
     assert len(keyfilters.folders_with(wh, plainly, "transactions", batch(spark, ["5000000"]))) == 1
+
+
+def test_one_scan_of_a_source_gives_changes_live_keys_and_refused_rows(spark, scratch):
+    from ledgerwarden.operators.scd2 import scd2_cdc_delta
+    from ledgerwarden.sources.extract import source_changes
+    rows = spark.createDataFrame([("1", "A1", TS(2024, 1, 1), None), ("2", "A2", TS(2024, 1, 1), TS(2024, 1, 9)), ("3", "A3", None, None),
+                                  (None, "A4", TS(2024, 1, 9), None), (None, "A4", TS(2024, 1, 9), None), (None, "A5", TS(2024, 1, 1), None),
+                                  ("6", "A6", TS(2024, 1, 8), None)],
+                                 "card_num string, account_num string, create_dt timestamp_ntz, update_dt timestamp_ntz")
+    rows.write.parquet(f"{scratch}/src")
+    src = spark.read.parquet(f"{scratch}/src")
+    hist = spark.createDataFrame([(k, f"old{k}", TS(2024, 1, 2), TS(9999, 12, 31), "N") for k in ("1", "2", "3", "4")], CARDS_HIST)
+    changes = source_changes(src, ["card_num"], ["card_num", "account_num"], TS(2024, 1, 5))
+    delta = scd2_cdc_delta(hist, changes, ["card_num"], ["account_num"], run_ts=TS(2024, 1, 10), whole=True)
+    got = [(r["_part"], r.card_num, r.account_num, r.delete_flg) for r in delta.collect()]
+    assert sorted(got, key=str) == sorted([
+        (None, "1", "old1", "N"), (None, "2", "old2", "N"), (None, "2", "A2", "N"), (None, "3", "old3", "N"),
+        (None, "4", "old4", "N"), (None, "4", "old4", "Y"), (None, "6", "A6", "N"),
+        ("null_time", None, None, None), ("null_key", None, None, None), ("null_key", None, None, None)], key=str)
+    assert delta.select("*")._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    assert src.count() == 7 and source_changes(src, ["card_num"], ["card_num"], TS(2024, 1, 5), False).count() == 4
