@@ -16,8 +16,8 @@ shard's rows are cut by length into bands, none with a row shorter than
 ``BAND`` times its longest, each with a forest of its own. Bands are searched
 from the longest down; one is left out for a query only where no row of it can
 reach the k-th score found so far (|q| times the band's longest row).
-Enough means the share ``CANDIDATES`` of the band (and MIN_CANDIDATES rows, so
-smaller bands are ranked wholly): neighbours of nearly random vectors, as here,
+Enough means the share ``CANDIDATES`` of the band, and ``PER_NEIGHBOUR`` rows for each neighbour
+wanted: neighbours of nearly random vectors, as here,
 share few bits, so the share needed for recall 0.9 is large; set it lower for
 data with real clusters.
 
@@ -44,7 +44,7 @@ from .common import ship, stage
 BITS, TREES = 64, 24
 SHARD_ROWS, BLOCK_QUERIES = 8192, 1024
 CANDIDATES = 0.6
-MIN_CANDIDATES = 1024
+PER_NEIGHBOUR = 8
 #: The shortest row of a band is at least this share of its longest.
 BAND = 0.8
 SEED = 5
@@ -152,7 +152,7 @@ class BandedForest:
             open_ = np.flatnonzero(~(lengths * top * (1 + 1e-9) < edge))     # an equal score may have a smaller id
             if not len(open_):
                 break
-            least = max(MIN_CANDIDATES, 8 * k, int(np.ceil(share * len(forest.ids))))
+            least = max(PER_NEIGHBOUR * k, int(np.ceil(share * len(forest.ids))))
             ranges = forest.ranges(marks[:, open_], least) if least < len(forest.ids) else []
             for i, j in enumerate(open_.tolist()):
                 new, s = forest.nearest(int(ids[j]), queries[j], forest.candidates(ranges, i, least), k)

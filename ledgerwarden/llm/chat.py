@@ -136,8 +136,15 @@ class Registry:
         return mark, m.name, [{"role": r, "text": x} for r, x in m.read(record)]
 
 
+def _no_clash(df: DataFrame, results: list[str]) -> None:
+    clash = {c.lower() for c in df.columns} & set(results)
+    if clash:
+        raise ValueError(f"columns are named like results: {sorted(clash)}")
+
+
 def canonical_turns(records: DataFrame, column: str = "record", mappings: list[Mapping] | None = None) -> DataFrame:
-    """``records`` with schema_hash, layout and turns (role, text) from its JSON ``column``."""
+    """``records`` with schema_hash, layout and turns (role, text) from its JSON ``column``; columns of these names are refused."""
+    _no_clash(records, ["schema_hash", "layout", "turns"])
     ship(records.sparkSession)
     chosen = list(mappings or MAPPINGS)
     at = records.columns.index(column)
@@ -170,7 +177,9 @@ def _restored(text: str) -> str:
 
 
 def format_turns(df: DataFrame, learn: str = "assistant") -> DataFrame:
-    """``df`` (with turns) with formatted (text) and loss_spans (start from 0, length; code points)."""
+    """``df`` (with turns) with formatted (text) and loss_spans (start from 0, length; code points); columns of
+    these names are refused."""
+    _no_clash(df, ["formatted", "loss_spans"])
     pieces = (f"transform(turns, t -> named_struct('head', concat('{OPEN}', {_escaped('t.role', True)}, '\\n'), "
               f"'body', {_escaped('t.text')}, 'learn', coalesce(t.role, '') = '{learn}'))")
     close = "</turn>\\n"

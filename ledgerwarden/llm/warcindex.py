@@ -40,6 +40,8 @@ BLOCK_LINES = 2000
 ARCHIVE_BYTES = 1 << 28
 MIN_REVISIT_BYTES = 0
 #: Ranges of an archive that are this near are read at once.
+#: Archive bytes that a reading task gets, searches of a searching one.
+READ_BYTES, SEARCHES = 4 << 20, 20_000
 GAP = 1 << 16
 _DATE = "2024-01-01T00:00:00Z"      # a record needs one; pages carry none
 
@@ -297,7 +299,8 @@ def lookup(keys: DataFrame, index: DataFrame) -> DataFrame:
             yield _lines_batch(rows)
 
     pairs = stage(keys.distinct().mapInArrow(spread, "key string, i int"), "searches")
-    dealt = pairs.repartitionByRange("i", "key").sortWithinPartitions("i", "key")
+    n = max(1, -(-pairs.count() // SEARCHES))
+    dealt = pairs.repartitionByRange(n, "i", "key").sortWithinPartitions("i", "key")
     return stage(dealt.mapInArrow(search, LINES), "captures")
 
 
@@ -338,9 +341,14 @@ def _read_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def read_records(captures: DataFrame) -> DataFrame:
-    """The records at ``captures`` (file, at, size), by range reads in the order of each archive."""
+    """The records at ``captures`` (file, at, size), by range reads in the order of each archive.
+
+    As many tasks as the records' own bytes ask for (``READ_BYTES`` a task), not the pointers' few.
+    """
     ship(captures.sparkSession)
-    where = captures.select("file", "at", "size").repartitionByRange("file", "at").sortWithinPartitions("file", "at")
+    total = captures.agg(F.sum("size")).first()[0] or 0
+    where = captures.select("file", "at", "size").repartitionByRange(max(1, -(-total // READ_BYTES)), "file", "at")
+    where = where.sortWithinPartitions("file", "at")
     return where.mapInArrow(_read_records, RECORDS)
 
 

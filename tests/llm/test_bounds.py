@@ -5,7 +5,7 @@ import random
 import pytest
 from llm_helpers import make_docs, no_docs, odd_docs  # noqa: F401
 
-from ledgerwarden.llm import langid, mixing, quality
+from ledgerwarden.llm import ann, chat, langid, mixing, quality, warcindex
 
 
 def test_repeated_rows_of_a_labelled_id_are_one_holdout(spark):
@@ -87,3 +87,48 @@ def test_clashing_names_pass_through(spark, odd_docs, no_docs):
         assert langid.predict(wide, model, wide.columns).count() == wide.count()
     with pytest.raises(ValueError):
         langid.predict(odd_docs.withColumnRenamed("h", "score"), model, ["doc_id", "score"])
+
+
+def test_chat_refuses_columns_named_like_its_results(spark):
+    records = spark.createDataFrame([(1, '{"prompt": "a", "response": "b"}', "x")], "conv_id long, record string, extra string")
+    turns = chat.canonical_turns(records)
+    assert chat.format_turns(turns).count() == 1
+    for name in ("turns", "layout", "Schema_Hash"):
+        with pytest.raises(ValueError):
+            chat.canonical_turns(records.withColumnRenamed("extra", name))
+    for name in ("formatted", "loss_spans"):
+        with pytest.raises(ValueError):
+            chat.format_turns(turns.withColumnRenamed("extra", name))
+
+
+@pytest.mark.parametrize("n", [170, 500, 2100])
+def test_the_forest_is_searched_at_every_size(n):
+    import numpy as np
+    rng = np.random.default_rng(0)
+    x = rng.standard_normal((n, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    forest = ann.BandedForest(np.arange(n), x)
+    asked = []
+    inner = ann.PrefixForest.candidates
+    ann.PrefixForest.candidates = lambda self, *a: asked.append(inner(self, *a)) or asked[-1]
+    try:
+        out = forest.search(np.arange(100), x[:100], 20, ann.CANDIDATES)
+    finally:
+        ann.PrefixForest.candidates = inner
+    hit = 0
+    for i, (got, _) in enumerate(out):
+        s = x @ x[i]
+        s[i] = -9
+        hit += len(set(np.argsort(-s)[:20].tolist()) & set(got.tolist()))
+    assert hit >= 0.9 * 2000
+    assert n < 300 or np.mean([len(a) for a in asked]) < 0.95 * n           # not the whole band
+
+
+def test_records_are_read_by_their_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warcindex, "READ_BYTES", 40_000)
+    pages = spark.range(300).selectExpr("id page_id", "concat('http://host', id % 7, '.org/', id) url", "repeat(uuid(), 2000) html")
+    index = warcindex.write_archives(pages.repartition(2))
+    found = warcindex.lookup(warcindex.url_keys(pages), index)
+    got = warcindex.read_records(found)
+    assert got.rdd.getNumPartitions() == -(-found.agg({"size": "sum"}).first()[0] // warcindex.READ_BYTES) > 1
+    assert got.select("page_id").distinct().count() == 300
