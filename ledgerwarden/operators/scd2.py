@@ -30,7 +30,6 @@ from pyspark.sql import types as T
 
 from ledgerwarden.functions.columns import far_future, interval_seconds, is_open, ntz_lit, time_bucket
 from ledgerwarden.operators.sequence import BUCKET, asof_carry
-from ledgerwarden.operators.sizing import broadcast_if_small
 from ledgerwarden.schemas import FAR_FUTURE, FLAG_DELETED, FLAG_LIVE
 
 SCD2 = ["effective_from", "effective_to", "delete_flg"]
@@ -367,24 +366,37 @@ def scd2_from_log(log: DataFrame, keys: list[str], tracked: list[str], ts: str,
                     end.cast("timestamp_ntz").alias("effective_to"), F.lit(FLAG_LIVE).alias("delete_flg"))
 
 
+#: Snapshot dates that are numbered on the driver (270 years of days); more are numbered by a window.
+MAX_DATES = 100_000
+
+
+def _numbered_dates(dates: DataFrame) -> DataFrame:
+    """(_sts, _i, _next_sts, _n): the distinct dates numbered from 1, broadcast behind their count."""
+    distinct = dates.where("_sts IS NOT NULL").distinct()
+    known = sorted(r["_sts"] for r in distinct.limit(MAX_DATES + 1).collect())
+    if len(known) <= MAX_DATES:
+        rows = [(d, i, known[i] if i < len(known) else None, len(known)) for i, d in enumerate(known, 1)]
+        return F.broadcast(dates.sparkSession.createDataFrame(
+            rows, "_sts timestamp_ntz, _i int, _next_sts timestamp_ntz, _n long"))
+    wd = Window.orderBy("_sts")
+    return distinct.select("_sts", F.row_number().over(wd).alias("_i"), F.lead("_sts").over(wd).alias("_next_sts"),
+                           F.count(F.lit(1)).over(Window.partitionBy()).alias("_n"))
+
+
 def scd2_from_snapshots(snapshots: DataFrame, keys: list[str], tracked: list[str], snap_ts: str,
                         unit="1 second") -> DataFrame:
     """O3 over a series of full snapshots (what running O2 once per snapshot gives).
 
-    Snapshots are numbered 1..n (one row per snapshot date, broadcast back);
+    Snapshots are numbered 1..n (one row per snapshot date, broadcast back); the
+    rows are read once, and their date column alone once before;
     a key is kept up to its first gap (a deleted key stays deleted), opens a
     version on change, and gets a ``Y`` marker at the snapshot after its last
     appearance when that is not the last snapshot. Rows per key are at most
     the number of snapshots, so a window per key is bounded.
     """
-    dates = snapshots.select(F.col(snap_ts).cast("timestamp_ntz").alias("_sts")).distinct()
-    wd = Window.orderBy("_sts")
-    numbered = dates.select("_sts", F.row_number().over(wd).alias("_i"),
-                            F.lead("_sts").over(wd).alias("_next_sts"),
-                            F.count(F.lit(1)).over(Window.partitionBy()).alias("_n"))
     x = (snapshots.where(_not_null(keys))
          .select(*keys, *tracked, F.col(snap_ts).cast("timestamp_ntz").alias("_sts"))
-         .join(broadcast_if_small(numbered), "_sts"))
+         .join(_numbered_dates(snapshots.select(F.col(snap_ts).cast("timestamp_ntz").alias("_sts"))), "_sts"))
     w = Window.partitionBy(*keys).orderBy("_i")
     prev = F.struct(*[F.lag(c).over(w).alias(c) for c in tracked])
     x = x.select("*", F.lag("_i").over(w).alias("_pi"), F.lead("_i").over(w).alias("_ni"),

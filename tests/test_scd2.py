@@ -124,3 +124,13 @@ def test_snapshot_series_equals_repeated_merges(spark):
         return sorted(tuple(x) for x in df.select("o_custkey", "p", "effective_from", "effective_to",
                                                   "delete_flg").collect())
     assert r(one_job) == r(hist)
+
+
+def test_more_dates_than_the_driver_numbers(spark, monkeypatch):
+    from ledgerwarden.operators import scd2 as m
+    snaps = spark.range(300).select((F.col("id") % 7).cast("string").alias("k"), (F.col("id") % 3).cast("string").alias("a"),
+                                    F.expr("timestampadd(DAY, CAST(id div 11 AS INT), TIMESTAMP_NTZ'2024-01-01 00:00:00')").alias("t"))
+    snaps = snaps.groupBy("k", "t").agg(F.max("a").alias("a"))
+    few = sorted(map(str, m.scd2_from_snapshots(snaps, ["k"], ["a"], "t").collect()))
+    monkeypatch.setattr(m, "MAX_DATES", 5)
+    assert sorted(map(str, m.scd2_from_snapshots(snaps, ["k"], ["a"], "t").collect())) == few != []
