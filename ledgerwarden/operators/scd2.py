@@ -28,8 +28,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerwarden.functions.columns import far_future, interval_seconds, is_open, ntz_lit, time_bucket
-from ledgerwarden.operators.sequence import BUCKET, asof_carry
+from ledgerwarden.functions.columns import epoch_micros, far_future, interval_seconds, is_open, ntz_lit, time_bucket
+from ledgerwarden.operators.sequence import BUCKET, asof_carry, hot_cells, split_cells
 from ledgerwarden.schemas import FAR_FUTURE, FLAG_DELETED, FLAG_LIVE
 
 SCD2 = ["effective_from", "effective_to", "delete_flg"]
@@ -324,7 +324,8 @@ def scd2_from_log(log: DataFrame, keys: list[str], tracked: list[str], ts: str,
     ``effective_to`` is the next version's start minus ``unit``.
 
     The rows are shuffled once, by key and ``bucket``-wide time bucket, so a
-    key with a huge log is spread over many tasks. Inside a bucket only two
+    key with a huge log is spread over many tasks; a bucket with very many rows of a key is split
+    by time at sampled quantiles (``sequence.hot_cells``). Inside a bucket only two
     versions depend on other buckets: the one its first row may open and its
     last one's end. They come from a summary of one row per key and bucket
     (built where the rows are, then windowed per key); all other versions are
@@ -333,7 +334,8 @@ def scd2_from_log(log: DataFrame, keys: list[str], tracked: list[str], ts: str,
     order = [ts] + list(tiebreak or [])
     bk = time_bucket(ts, log.schema[ts].dataType, interval_seconds(bucket))
     d = (log.where(_not_null(keys) & F.col(ts).isNotNull())
-         .select(*keys, *tracked, *order, bk.alias(BUCKET)).repartition(*keys, BUCKET))
+         .select(*keys, *tracked, *order, bk.alias(BUCKET), epoch_micros(ts, log.schema[ts].dataType).alias("_us")))
+    d = split_cells(d, hot_cells(d.select(*keys, BUCKET, "_us"), keys), keys).repartition(*keys, BUCKET)
     rec = F.struct(*[F.col(c) for c in order + tracked])
 
     def differs(a: str, b: str) -> Column:

@@ -28,7 +28,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerwarden.functions.columns import interval_seconds, time_bucket
+from ledgerwarden.functions.columns import epoch_micros, interval_seconds, time_bucket
+from ledgerwarden.operators.sizing import broadcast_if_small
 
 BAND = "_band"
 GHOST = "_ghost"
@@ -109,6 +110,37 @@ def neighbors(df: DataFrame, keys: list[str], order: list[str], payload: list[st
     return j.drop(*[c for c in ("_prev_last", "_next_first") if c in j.columns])
 
 
+#: Rows that a (key, bucket) cell may hold before it is split by time; the share of rows that finds such cells.
+HOT_ROWS, SAMPLE = 2_000_000, 0.01
+_SUB = 1 << 16
+
+
+def hot_cells(rows: DataFrame, keys: list[str], hot_rows: int | None = None, sample: float | None = None) -> DataFrame | None:
+    """(keys, bucket, _points): split times of the cells of ``rows`` (keys, bucket, _us) with more than ``hot_rows``.
+
+    Cells and their quantiles are estimated from a seeded sample; they decide
+    where rows are put, never which rows there are. None where no cell is
+    hot. At most one cell in ``hot_rows`` rows comes out.
+    """
+    hot, part = hot_rows or HOT_ROWS, sample or SAMPLE
+    some = rows.where("_us IS NOT NULL").sample(fraction=part, seed=11) if part < 1 else rows.where("_us IS NOT NULL")
+    cells = some.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_c"), F.percentile_approx(
+        "_us", F.array(*[F.lit(i / 64) for i in range(1, 64)]), 1000).alias("_q")).where(F.col("_c") * (1 / part) > hot)
+    step = F.greatest(F.lit(1), (64 * hot * part / F.col("_c")).cast("int"))       # so many 64ths of the rows make a part
+    points = cells.withColumn("_step", step).select(
+        *keys, BUCKET, F.expr("array_distinct(filter(_q, (q, i) -> (i + 1) % _step = 0))").alias("_points"))
+    return None if points.isEmpty() else points
+
+
+def split_cells(df: DataFrame, cells: DataFrame | None, keys: list[str]) -> DataFrame:
+    """``df`` with its bucket refined by the split times (still rising with the time), without ``_us``."""
+    if cells is None:
+        return df.drop("_us")
+    at = F.coalesce(F.size(F.filter("_points", lambda p: p <= F.col("_us"))), F.lit(0))
+    return (df.join(broadcast_if_small(cells), [*keys, BUCKET], "left")
+            .withColumn(BUCKET, F.col(BUCKET) * _SUB + F.when(F.col("_points").isNull(), 0).otherwise(at)).drop("_points", "_us"))
+
+
 def asof_carry(events: DataFrame, versions: DataFrame, keys: list[str], t: str,
                version_from: str, version_order: list[str], version_payload: list[str],
                bucket_seconds: float) -> DataFrame:
@@ -119,7 +151,8 @@ def asof_carry(events: DataFrame, versions: DataFrame, keys: list[str], t: str,
     event columns plus ``_ver`` (struct of from, order, payload) or NULL.
     Linear: events and versions are sorted together per ``(key, bucket)``;
     the version in force at a bucket start comes from a per-bucket summary
-    carried forward per key -- no pair of rows is ever formed.
+    carried forward per key -- no pair of rows is ever formed. Buckets of a
+    key with very many events are split by time (``hot_cells``).
     """
     ev_cols = [c for c in events.columns if c not in keys]
     tdt = events.schema[t].dataType
@@ -130,12 +163,15 @@ def asof_carry(events: DataFrame, versions: DataFrame, keys: list[str], t: str,
     etype = events.select(F.struct(*[F.col(c) for c in ev_cols]).alias("e")).schema["e"].dataType
     v = versions.select(*keys, F.col(version_from).cast(tdt).alias("_t"), F.lit(0).alias("_side"),
                         time_bucket(version_from, vdt, bucket_seconds).alias(BUCKET),
-                        vrec.alias("_v"), F.lit(None).cast(etype).alias("_e"))
+                        vrec.alias("_v"), F.lit(None).cast(etype).alias("_e"), epoch_micros(version_from, vdt).alias("_us"))
     e = events.select(*keys, F.col(t).alias("_t"), F.lit(1).alias("_side"),
                       time_bucket(t, tdt, bucket_seconds).alias(BUCKET),
-                      F.lit(None).cast(vtype).alias("_v"), F.struct(*[F.col(c) for c in ev_cols]).alias("_e"))
+                      F.lit(None).cast(vtype).alias("_v"), F.struct(*[F.col(c) for c in ev_cols]).alias("_e"),
+                      epoch_micros(t, tdt).alias("_us"))
     not_null = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, BUCKET]])
     v, e = v.where(not_null), e.where(not_null)
+    cells = hot_cells(e.select(*keys, BUCKET, "_us"), keys)
+    v, e = split_cells(v, cells, keys), split_cells(e, cells, keys)
     u = v.unionByName(e).repartition(*keys, BUCKET)   # the one big shuffle, read once
     # Bucket summary from the same shuffle: the latest version of each bucket. It uses every column of the
     # shuffled rows, so that pruning leaves both readers alike: one exchange, its inputs computed once.

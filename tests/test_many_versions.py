@@ -42,3 +42,37 @@ def test_a_key_with_many_versions_forms_no_pairs(spark):
     joins = [x for x in plan.split("\n") if "Join" in x]
     assert len(joins) == 2 and not any("_valid" in x for x in joins)
     assert all((r.t - T0) // dt.timedelta(hours=1) == r.n for r in got.collect()) and got.count() > 17_000
+
+
+def hot_log(spark, n=9000):
+    """A third of the rows are one key's, on one day; the others are spread over keys and a year."""
+    return spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 97).cast("string")).alias("k"),
+        F.pmod(F.hash("id"), F.lit(3)).cast("string").alias("a"), F.col("id").alias("n"),
+        F.when(F.col("id") % 3 == 0, F.expr("timestampadd(SECOND, CAST(id * 9 AS INT), TIMESTAMP_NTZ'2024-03-05 00:00:00')"))
+        .otherwise(F.expr("timestampadd(MINUTE, CAST(pmod(hash(id, 5), 500000) AS INT), TIMESTAMP_NTZ'2024-01-01 00:00:00')")).alias("t"))
+
+
+def test_a_hot_day_of_one_key_is_split_and_rows_stay(spark, monkeypatch):
+    from ledgerwarden.operators import scd2, sequence
+    log = hot_log(spark)
+
+    def history():
+        return scd2.scd2_from_log(log, ["k"], ["a"], "t", ["n"])
+
+    def as_of():
+        return scd2.scd2_as_of(log.select("k", "n", F.col("t").alias("at")), whole, ["k"], "at", ["a"])
+
+    whole = history().cache()
+    want, looked = sorted(map(str, whole.collect())), sorted(map(str, as_of().collect()))
+    monkeypatch.setattr(sequence, "HOT_ROWS", 200)
+    monkeypatch.setattr(sequence, "SAMPLE", 0.5)
+    cells = sequence.hot_cells(log.select("k", F.lit(1).alias(sequence.BUCKET), F.expr("unix_micros(CAST(t AS TIMESTAMP))").alias("_us")), ["k"])
+    points = {r.k: r["_points"] for r in cells.collect()}
+    assert set(points) == {"hot"} and 12 <= len(points["hot"]) <= 63 and points["hot"] == sorted(points["hot"])
+    split = sequence.split_cells(log.select("k", F.lit(1).alias(sequence.BUCKET), F.expr("unix_micros(CAST(t AS TIMESTAMP))").alias("_us")),
+                                 cells, ["k"]).where("k = 'hot'").groupBy(sequence.BUCKET).count().collect()
+    assert len(split) > 12 and max(r["count"] for r in split) < 400
+    assert sorted(map(str, history().collect())) == want and sorted(map(str, as_of().collect())) == looked
+    monkeypatch.setattr(sequence, "HOT_ROWS", 10 ** 9)
+    assert sequence.hot_cells(log.select("k", F.lit(1).alias(sequence.BUCKET), F.lit(1).alias("_us")), ["k"]) is None
