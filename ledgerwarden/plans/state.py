@@ -414,6 +414,17 @@ def next_manifest(prev: Manifest, run_ts: dt.datetime) -> Manifest:
                     base=prev.tables, ledger=prev.ledger)
 
 
+def _refilter(wh: Warehouse, m: Manifest, name: str, schema: T.StructType, old: set[str]) -> None:
+    """One key filter for the new folder instead of those of the old ones, where they had any."""
+    from ledgerwarden.plans.keyfilters import FILTERS, write_filter
+
+    entries = m.tables.get(FILTERS, {}).get("parts", [])
+    gone = [e for e in entries if json.loads(e)["fact"] in old]
+    if gone:
+        m.tables[FILTERS]["parts"] = [e for e in entries if e not in gone]
+        write_filter(wh, m, name, schema)
+
+
 def compact(wh: Warehouse, name: str, schema: T.StructType, target_files: int | None = None) -> Manifest:
     """Rewrite a table's per-run folders into one, published as a new run.
 
@@ -435,5 +446,6 @@ def compact(wh: Warehouse, name: str, schema: T.StructType, target_files: int |
         path = f"{wh.root}/{name}/{m.folder()}{suffix}"
         wh._write(rows, "" if suffix else name, path)
         t[field_name] = [path]
+        _refilter(wh, m, name, schema, set(folders))
     wh.publish(m)
     return m

@@ -120,7 +120,7 @@ def run_on_arrival(spark: SparkSession, source_dir: str, wh, feeds_for=None,
         own = sorted((r for r in fresh if r.business_date == day), key=lambda r: r.path)
         late = day in ran
         feeds = feeds_for(day) if feeds_for and not late else DayFeeds()
-        feeds.transactions_raw = rows_of(own)
+        feeds.transactions, feeds.transactions_raw = None, rows_of(own)
         feeds.files = [r.path for r in own]
         feeds.dates = {r.path: day for r in own}
         last = wh.latest().run_ts

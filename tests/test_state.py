@@ -227,3 +227,16 @@ def test_one_scan_of_a_source_gives_changes_live_keys_and_refused_rows(spark, sc
         ("null_time", None, None, None), ("null_key", None, None, None), ("null_key", None, None, None)], key=str)
     assert delta.select("*")._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
     assert src.count() == 7 and source_changes(src, ["card_num"], ["card_num"], TS(2024, 1, 5), False).count() == 4
+
+
+def test_compaction_keeps_key_filters(spark, scratch):
+    from ledgerwarden.plans.state import compact
+    wh, opt = Warehouse(spark, scratch), RunOptions(unique_transactions=True)
+    for i, keys in enumerate((["1", "2"], ["5", "6"])):
+        run_day(wh, DayFeeds(transactions=batch(spark, keys)), TS(2024, 2, 1 + i), opt)
+    m = compact(wh, "transactions", TRANSACTIONS_FACT)
+    assert len(wh.latest().tables[keyfilters.FILTERS]["parts"]) == 1
+    assert keyfilters.folders_with(wh, m, "transactions", batch(spark, ["3"])) == []
+    assert keyfilters.folders_with(wh, m, "transactions", batch(spark, ["3", "6"])) == m.tables["transactions"]["parts"]
+    after = run_day(wh, DayFeeds(transactions=batch(spark, ["6", "7"])), TS(2024, 3, 1), opt)
+    assert sorted(r.trans_id for r in wh.fact(after, "transactions", TRANSACTIONS_FACT).collect()) == ["1", "2", "5", "6", "7"]
