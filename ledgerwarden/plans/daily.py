@@ -114,20 +114,22 @@ def run_day(wh: Warehouse, feeds: DayFeeds, run_ts: dt.datetime,
             continue
         spec = DIMENSIONS[name]
         wm = dt.datetime.fromisoformat(prev.watermarks[name])
-        # D6 without an extra job: max(mod_dt) is observed while the merge is written.
-        seen = Observation(f"watermark_{name}")
         opened, top = wh.open_rows(prev, name, spec["hist"]), F.max("mod_dt").alias("max_mod_dt")
-        refused = None
         if opt.every_change:
-            changes = _dim_rows(name, extract_increment(src, wm, cols)).observe(seen, top)
+            changes = _dim_rows(name, extract_increment(src, wm, cols))
             keys = _dim_rows(name, live_keys(src, [cols[0]]))
+            latest = changes.agg(top).first()[0]        # not observed: the merge samples the changes in a job of its own
             delta = scd2_merge_log(opened, changes, spec["key"], spec["tracked"], "mod_dt", keys, run_ts)
-            refused = refused_changes(src, [cols[0]], wm, name) if opt.quarantine else None
-        else:                               # one pass over the source gives changes, live keys and refused rows
+            wh.write_history_delta(m, name, delta, refused_changes(src, [cols[0]], wm, name) if opt.quarantine else None)
+        else:
+            # One pass over the source gives changes, live keys and refused rows. D6 without an extra job:
+            # max(mod_dt) is observed while the merge is written.
+            seen = Observation(f"watermark_{name}")
             changes = _dim_rows(name, source_changes(src, [cols[0]], cols, wm, opt.quarantine)).observe(seen, top)
             delta = scd2_cdc_delta(opened, changes, spec["key"], spec["tracked"], "mod_dt", run_ts=run_ts, whole=True)
-        wh.write_history_delta(m, name, delta, refused)
-        new_wm = seen.get.get("max_mod_dt") or wm
+            wh.write_history_delta(m, name, delta)
+            latest = seen.get.get("max_mod_dt")
+        new_wm = latest or wm
         m.watermarks[name] = new_wm.isoformat(sep=" ")
 
     if feeds.terminals is not None:
