@@ -20,7 +20,7 @@ from ledgerwarden.operators.report import fraud_report
 from ledgerwarden.operators.scd2 import scd2_cdc_delta, scd2_merge_log, scd2_snapshot_delta
 from ledgerwarden.plans.incremental import append_index, in_days, report_scope
 from ledgerwarden.plans.keyfilters import append_unseen, write_filter
-from ledgerwarden.plans.state import DAY, LOADED, PART, Manifest, Warehouse, next_manifest
+from ledgerwarden.plans.state import DAY, LOADED, PART, Manifest, Warehouse, next_manifest, observed
 from ledgerwarden.schemas import (
     BLACKLIST_FACT,
     DIMENSIONS,
@@ -128,7 +128,7 @@ def run_day(wh: Warehouse, feeds: DayFeeds, run_ts: dt.datetime,
             changes = _dim_rows(name, source_changes(src, [cols[0]], cols, wm, opt.quarantine)).observe(seen, top)
             delta = scd2_cdc_delta(opened, changes, spec["key"], spec["tracked"], "mod_dt", run_ts=run_ts, whole=True)
             wh.write_history_delta(m, name, delta)
-            latest = seen.get.get("max_mod_dt")
+            latest = observed(seen).get("max_mod_dt")
         new_wm = latest or wm
         m.watermarks[name] = new_wm.isoformat(sep=" ")
 

@@ -132,6 +132,16 @@ class Manifest:
                         **({"old_files": told["consumed_files"]} if "consumed_files" in told else {}))
 
 
+def observed(seen: Observation) -> dict:
+    """The metrics of a finished observation; none where the plan turned out empty and observed nothing."""
+    try:
+        return seen.get
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getName() != "java.lang.AssertionError":
+            raise
+        return {}
+
+
 class Warehouse:
     """Tables under ``root``; state = the newest manifest."""
 
@@ -382,7 +392,7 @@ class Warehouse:
         """Put the counts of this attempt's writes into the manifest."""
         for attempt, name, seen in self._seen:
             if attempt == m.attempt:
-                m.counts[name] = {k: v for k, v in seen.get.items() if v}
+                m.counts[name] = {k: v for k, v in observed(seen).items() if v}
         self._seen = [x for x in self._seen if x[0] != m.attempt]
 
     def _part_names(self, path: str) -> set[str]:

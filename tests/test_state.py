@@ -240,3 +240,14 @@ def test_compaction_keeps_key_filters(spark, scratch):
     assert keyfilters.folders_with(wh, m, "transactions", batch(spark, ["3", "6"])) == m.tables["transactions"]["parts"]
     after = run_day(wh, DayFeeds(transactions=batch(spark, ["6", "7"])), TS(2024, 3, 1), opt)
     assert sorted(r.trans_id for r in wh.fact(after, "transactions", TRANSACTIONS_FACT).collect()) == ["1", "2", "5", "6", "7"]
+
+
+def test_a_run_of_empty_feeds(spark, scratch):
+    wh = Warehouse(spark, scratch)
+    cards = with_audit(spark.createDataFrame([], "card_num string, account string"))
+    bl = spark.createDataFrame([], "passport_num string, entry_dt date")
+    raw = spark.createDataFrame([], TRANSACTIONS_RAW)
+    for i, opt in enumerate((RunOptions(), RunOptions(null_safe_report=True, unique_transactions=True), RunOptions(every_change=True))):
+        m = run_day(wh, DayFeeds(cards=cards, blacklist=bl, transactions_raw=raw), TS(2024, 1, 7 + i), opt)
+        assert m.run_id == i + 1 and not any(m.counts.values())
+    assert wh.fact(m, "transactions", TRANSACTIONS_FACT).count() == 0 and wh.rejected(m).count() == 0
