@@ -6,10 +6,11 @@ those into words ``[^\\x20\\x09]+``; everything is counted per language (null:
 times; the rest follows from exact counts:
 
 1. every word's occurrences, counted per task and summed;
-2. a table of saturating counters, one for each hash of a pair or triple of
-   frequent words: a phrase whose counter stays below ``least`` is too rare;
-3. the phrases that pass these tests and whose parts do (Apriori), each once:
-   no frequent phrase is lost, some rare ones come along;
+2. hashes of the pairs of frequent words, each with its occurrences in a task
+   up to ``least``: a hash whose sum stays below ``least`` is no frequent pair;
+3. the pairs that pass, and the triples of two such pairs, each once a task with
+   its occurrences up to ``least``; a candidate's sum reaches ``least`` (Apriori: no
+   frequent phrase is lost, since each of its parts is as frequent);
 4. double-array tries of the candidates (``word_trie``) in blocks of at most
    ``BLOCK`` phrases: each block is broadcast, all text positions advance
    through it together, level by level, the accepting states are counted by
@@ -21,9 +22,8 @@ inside a triple with at least ``COVER`` percent of its occurrences is
 dropped. Each language's first ``top`` phrases stay, by score, occurrences
 and bytes of the phrase.
 
-What is broadcast: a bit table of frequent words (at most 2^WORD_BITS[1] bits)
-and of counters (2^COUNTER_BITS[1] bits), and one block's trie. All tests by
-bits err only towards more candidates. Words are told apart by 64-bit hashes
+What is broadcast: bit tables of the frequent words and pairs (at most 2^BITS[1] bits
+each) and the tries of ``TRIES`` blocks. Tests by bits err only towards more rows to sum. Words are told apart by 64-bit hashes
 of language and word.
 
 Odd input: a null text has no words; a null language and a language called
@@ -41,14 +41,14 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, mix64, run_hashes, ship, stage
 from .textparts import Part, runs_of, text_parts
-from .word_trie import WordTrie, build
+from .word_trie import Alphabet, WordTrie, build
 
 LEAST, WORDS, TOP, COVER = 10, 3, 2000, 50
-#: Phrases in a trie; bits of the word table and of the counter table (least, most).
-BLOCK = 1 << 19
-WORD_BITS, COUNTER_BITS = (16, 28), (16, 27)
-#: Counters that travel as one row; entries a task keeps before it merges or lets go of them.
-SEGMENT, KEPT = 1 << 16, 1 << 21
+#: Phrases in a trie, tries broadcast together; bits of a bit table (least, most).
+BLOCK, TRIES = 1 << 18, 8
+BITS = (16, 28)
+#: Bits of a table that travel as one row; entries a task keeps before it merges or lets go of them.
+SEGMENT, KEPT = 1 << 13, 1 << 19
 #: Rows of a lookup table that may be broadcast (words, pairs or dictionary entries of some tens of bytes).
 SMALL = 500_000
 #: Parts of a language that are ranked apart before its ranking.
@@ -84,18 +84,19 @@ class Stream:
         last = broken[-1] if len(raw) else 0
         before[:] = self.symbols[-(WORDS - 1):][self.piece[-(WORDS - 1):] == last].tolist() if part.rows == 1 else []
 
-    def hashes(self, words: np.ndarray | None = None):
+    def hashes(self, words: np.ndarray | None = None, lengths: tuple = (2, 3)):
         """(length, index of the last word, hash) of the pairs and triples that end here, of marked words alone."""
         s, piece = self.symbols, self.piece
         ok = np.ones(len(s), bool) if words is None else words
         with np.errstate(over="ignore"):
             pair = mix64(s[:-1] * _PAIR + s[1:])
             two = (piece[1:] == piece[:-1]) & ok[1:] & ok[:-1]
-            triple = mix64(pair[:-1] * _TRIPLE + s[2:])
-        three = two[1:] & two[:-1]
+            triple = mix64(pair[:-1] * _TRIPLE + s[2:]) if 3 in lengths else pair[:0]
+        three = two[1:] & two[:-1] if 3 in lengths else two[:0]
         for k, found, h in ((2, two, pair), (3, three, triple)):
-            end = np.flatnonzero(found) + k - 1
-            yield k, end, h[end - k + 1]
+            if k in lengths:
+                end = np.flatnonzero(found) + k - 1
+                yield k, end, h[end - k + 1]
 
 
 def _streams(batch: pa.RecordBatch):
@@ -114,21 +115,37 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.uint64).view(np.int64))
 
 
-# --- 1: words --------------------------------------------------------------------
+# --- 1 and 2: words and pairs ---------------------------------------------------------
 
-def _count_words(batches):
-    """(symbol, occurrences, language) rows; symbol null: all words of a language."""
-    kept: list[tuple[np.ndarray, np.ndarray]] = []
-    size = 0
+class Tally:
+    """Occurrences of 64-bit values in a task, let go of in rows (symbol, f, null) when they are too many to keep."""
+
+    def __init__(self, cap: int | None = None):
+        self.cap, self.kept, self.size = cap, [], 0
+
+    def add(self, values: np.ndarray) -> pa.RecordBatch | None:
+        self.kept.append(np.unique(values, return_counts=True))
+        self.size += len(self.kept[-1][0])
+        if self.size <= 2 * KEPT:
+            return None
+        self.kept = [self._merged()]
+        self.size = len(self.kept[0][0])
+        return self.rows() if self.size > KEPT else None
 
-    def merged():
-        symbols, which = np.unique(np.concatenate([k for k, _ in kept]), return_inverse=True)
-        return symbols, np.bincount(which, np.concatenate([n for _, n in kept])).astype(np.int64)
+    def _merged(self) -> tuple[np.ndarray, np.ndarray]:
+        symbols, which = np.unique(np.concatenate([k for k, _ in self.kept]), return_inverse=True)
+        return symbols, np.bincount(which, np.concatenate([n for _, n in self.kept])).astype(np.int64)
 
-    def rows(symbols, counts):
-        return pa.record_batch([_signed(symbols), pa.array(counts), pa.nulls(len(counts), pa.string())],
-                               names=["symbol", "f", "lang"])
+    def rows(self) -> pa.RecordBatch:
+        symbols, counts = self._merged() if self.kept else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        self.kept, self.size = [], 0
+        counts = counts if self.cap is None else np.minimum(counts, self.cap)
+        return pa.record_batch([_signed(symbols), pa.array(counts), pa.nulls(len(counts), pa.string())], names=["symbol", "f", "lang"])
 
+
+def _count_words(batches):
+    """(symbol, occurrences, null) rows, and (null, occurrences of all words, language)."""
+    tally = Tally()
     for batch in batches:
         totals = np.zeros(batch.num_rows, np.int64)
         before: list = []
@@ -137,19 +154,27 @@ def _count_words(batches):
             s = Stream(part, language, before)
             own = np.searchsorted(part.offsets, s.starts, side="right") - 1
             totals[part.first:part.first + part.rows] += np.bincount(own, minlength=part.rows)
-            kept.append(np.unique(s.symbols[s.kept:], return_counts=True))
-            size += len(kept[-1][0])
-            if size > 2 * KEPT:
-                kept = [merged()]
-                size = len(kept[0][0])
-                if size > KEPT:
-                    yield rows(*kept.pop())
-                    size = 0
+            out = tally.add(s.symbols[s.kept:])
+            if out is not None:
+                yield out
         per = pa.table({"lang": batch.column("lang"), "f": totals}).group_by("lang").aggregate([("f", "sum")])
         yield pa.record_batch([pa.nulls(per.num_rows, pa.int64()), per["f_sum"].combine_chunks().cast(pa.int64()),
                                per["lang"].combine_chunks().cast(pa.string())], names=["symbol", "f", "lang"])
-    if kept:
-        yield rows(*merged())
+    yield tally.rows()
+
+
+def _count_pairs(words, bits: int, least: int):
+    """(hash of a pair of frequent words, its occurrences in the task up to ``least``) rows."""
+    def count(batches):
+        tally = Tally(least)
+        for batch in batches:
+            for s in _streams(batch):
+                for _, end, h in s.hashes(_bit(words.value, s.symbols, bits), (2,)):
+                    out = tally.add(h[end >= s.kept])
+                    if out is not None:
+                        yield out.select(["symbol", "f"])
+        yield tally.rows().select(["symbol", "f"])
+    return count
 
 
 def _bit_segments(of, batches):
@@ -182,8 +207,7 @@ def _fold(rows: DataFrame, of, bits: int) -> np.ndarray:
     def folded(batches):
         yield from _bit_segments(of, batches)
 
-    segments = max((1 << bits) // SEGMENT, 1)
-    dealt = rows.repartition(min(segments, 1024), "segment").sortWithinPartitions("segment")
+    dealt = rows.repartition("segment").sortWithinPartitions("segment")
     table = np.zeros(max((1 << bits) // 8, 1), np.uint8)
     got = dealt.mapInArrow(folded, "segment long, bits binary").toArrow()
     for segment, data in zip(got["segment"].to_pylist(), got["bits"].to_pylist()):
@@ -193,58 +217,28 @@ def _fold(rows: DataFrame, of, bits: int) -> np.ndarray:
 
 
 def _marked(state, data):
-    """Bits of the places (two-byte offsets within the segment) that occur."""
+    """Bits of the places (offsets within the segment) that occur."""
     state = np.zeros(SEGMENT, bool) if state is None else state
     if data is not None:
         state[data.to_numpy(zero_copy_only=False)] = True
     return state
 
 
-def word_bits(frequent: DataFrame, n: int) -> tuple[np.ndarray, int]:
-    """(table, its bits): the frequent words' symbols, some 2^7 bits for each word up to the greatest table."""
-    bits = int(np.clip(n.bit_length() + 7, *WORD_BITS))
+def bit_table(frequent: DataFrame, n: int) -> tuple[np.ndarray, int]:
+    """(table, its bits): ``n`` symbols, some 2^7 bits for each of them up to the greatest table."""
+    bits = int(np.clip(n.bit_length() + 7, *BITS))
     at = f"shiftrightunsigned(symbol, {64 - bits})"
-    rows = frequent.selectExpr(f"shiftright({at}, 16) AS segment", f"CAST({at} & {SEGMENT - 1} AS INT) AS data")
+    rows = frequent.selectExpr(f"{at} div {SEGMENT} AS segment", f"CAST({at} & {SEGMENT - 1} AS INT) AS data")
     return _fold(rows, _marked, bits), bits
 
 
-# --- 2: counters -------------------------------------------------------------------
-
-def _count_hashes(words, word_bits_, bits, least):
-    def count(batches):
-        table = np.zeros(1 << bits, np.uint8)
-        for batch in batches:
-            for s in _streams(batch):
-                for _, end, h in s.hashes(_bit(words.value, s.symbols, word_bits_)):
-                    at, n = np.unique(h[end >= s.kept] >> np.uint64(64 - bits), return_counts=True)
-                    at = at.astype(np.int64)
-                    table[at] = np.minimum(table[at] + n, least)
-        for a in range(0, max(len(table) // SEGMENT, 1), 32):       # as many rows at a time as make 2 MB
-            some = [(i, table[i * SEGMENT:(i + 1) * SEGMENT]) for i in range(a, min(a + 32, max(len(table) // SEGMENT, 1)))]
-            some = [(i, x) for i, x in some if x.any()]
-            yield pa.record_batch([pa.array([i for i, _ in some], pa.int64()), pa.array([x.tobytes() for _, x in some], pa.binary())],
-                                  names=["segment", "data"])
-    return count
-
-
-def _summed(least):
-    def add(state, data):
-        if data is None:
-            return state >= least
-        total = np.zeros(SEGMENT, np.int64) if state is None else state
-        for x in data.to_pylist():
-            total[:len(x)] += np.frombuffer(x, np.uint8)
-        return total
-    return add
-
-
 # --- 3: candidates ------------------------------------------------------------------
 
-def _find_candidates(words, word_bits_, counters, bits):
-    """Rows (a, b, c, null, null): candidates, c 0 for pairs; and (symbol, 0, 0, lang, word): their words."""
+def _find_candidates(words, word_bits: int, pairs, pair_bits: int, least: int):
+    """Rows (a, b, c, n, null, null): phrases, c 0 for pairs; and (symbol, 0, 0, 0, lang, word): their words."""
     def find(batches):
         known = np.zeros(0, np.uint64)
-        kept: list[tuple[np.ndarray, np.ndarray]] = []
+        kept: list[tuple] = []
         size = 0
         for batch in batches:
             language = mix64(batch.column("language").to_numpy(zero_copy_only=False).astype(np.uint64))
@@ -255,39 +249,40 @@ def _find_candidates(words, word_bits_, counters, bits):
                 if part.rows == 1:
                     named[-(WORDS - 1):] = True                 # the part that follows may need them
                 pair = np.zeros(len(s.symbols) + 1, bool)
-                for k, end, h in s.hashes(_bit(words.value, s.symbols, word_bits_)):
-                    often = _bit(counters.value, h, bits)
+                for k, end, h in s.hashes(_bit(words.value, s.symbols, word_bits)):
                     if k == 2:
+                        often = _bit(pairs.value, h, pair_bits)
                         pair[end[often]] = True
                     else:
-                        often &= pair[end - 1] & pair[end]
+                        often = pair[end - 1] & pair[end]
                     often &= end >= s.kept
-                    end, h = end[often], h[often]
-                    h, first = np.unique(h, return_index=True)
+                    end = end[often]
+                    h, first, n = np.unique(h[often], return_index=True, return_counts=True)
                     end = end[first]
                     found = np.zeros((len(end), WORDS), np.uint64)
                     for i in range(k):
                         found[:, i] = s.symbols[end - (k - 1) + i]
                         named[end - (k - 1) + i] = True
-                    kept.append((h, found))
+                    kept.append((h, found, n))
                     size += len(h)
                 if size > 2 * KEPT:
                     kept = [_distinct(kept)]
                     size = len(kept[0][0])
                     if size > KEPT:
-                        yield _candidate_rows(kept.pop()[1])
+                        yield _candidate_rows(*kept.pop()[1:], least)
                         size = 0
                 new, known = _new_words(s, named, known)
                 if len(new):
                     yield _word_rows(s, part, new, batch.column("lang"))
         if kept:
-            yield _candidate_rows(_distinct(kept)[1])
+            yield _candidate_rows(*_distinct(kept)[1:], least)
     return find
 
 
 def _distinct(kept):
-    h, first = np.unique(np.concatenate([h for h, _ in kept]), return_index=True)
-    return h, np.concatenate([f for _, f in kept])[first]
+    h, first, which = np.unique(np.concatenate([k[0] for k in kept]), return_index=True, return_inverse=True)
+    n = np.bincount(which, np.concatenate([k[2] for k in kept])).astype(np.int64)
+    return h, np.concatenate([k[1] for k in kept])[first], n
 
 
 def _new_words(s: Stream, named: np.ndarray, known: np.ndarray):
@@ -298,26 +293,26 @@ def _new_words(s: Stream, named: np.ndarray, known: np.ndarray):
     return own[first[fresh]], np.union1d(known, symbols)
 
 
-_FOUND = ["a", "b", "c", "lang", "word"]
+_FOUND = ["a", "b", "c", "n", "lang", "word"]
 
 
-def _candidate_rows(found: np.ndarray) -> pa.RecordBatch:
+def _candidate_rows(found: np.ndarray, n: np.ndarray, least: int) -> pa.RecordBatch:
     nothing = pa.nulls(len(found), pa.string())
-    return pa.record_batch([*(_signed(found[:, i]) for i in range(WORDS)), nothing, nothing], names=_FOUND)
+    return pa.record_batch([*(_signed(found[:, i]) for i in range(WORDS)), pa.array(np.minimum(n, least)), nothing, nothing], names=_FOUND)
 
 
 def _word_rows(s: Stream, part: Part, which: np.ndarray, lang: pa.Array) -> pa.RecordBatch:
     row = part.first + np.searchsorted(part.offsets, s.starts[which], side="right") - 1
     text = [s.raw[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(s.starts[which], s.ends[which])]
     zero = pa.array(np.zeros(len(which), np.int64))
-    return pa.record_batch([_signed(s.symbols[s.kept:][which]), zero, zero, lang.take(pa.array(row)).cast(pa.string()),
+    return pa.record_batch([_signed(s.symbols[s.kept:][which]), zero, zero, zero, lang.take(pa.array(row)).cast(pa.string()),
                             pa.array(text, pa.string())], names=_FOUND)
 
 
 # --- 4: tries -----------------------------------------------------------------------
 
 _TRIE = "block int, state long, a long, b long, c long, part string, data binary"
-_PARTS = {"symbols": np.uint64, "numbers": np.int32, "base": np.int64, "check": np.int64, "accepts": bool, "radix": np.int64}
+_PARTS = {"symbols": np.uint64, "numbers": np.int32, "base": np.int32, "check": np.int32, "accepts": bool, "radix": np.int64}
 
 
 def _build_block(table: pa.Table) -> pa.Table:
@@ -341,12 +336,13 @@ def _load_trie(rows) -> WordTrie:
 
 def _count_phrases(shared):
     def count(batches):
-        tries = shared.value
+        tries, alphabet = shared.value
         counts = {b: np.zeros(len(t.check), np.int64) for b, t in tries.items()}
         for batch in batches:
             for s in _streams(batch):
+                places = alphabet.places(s.symbols)
                 for b, trie in tries.items():
-                    for level, end, state in trie.advance(s.symbols, s.piece, WORDS):
+                    for level, end, state in trie.advance(alphabet.numbers[b][places], s.piece, WORDS):
                         if level > 1:
                             counts[b] += np.bincount(state[end >= s.kept], minlength=len(trie.check))
         for b, trie in tries.items():
@@ -356,7 +352,7 @@ def _count_phrases(shared):
     return count
 
 
-def count_candidates(rows: DataFrame, candidates: DataFrame, n: int, least: int, tries: int = 4) -> DataFrame:
+def count_candidates(rows: DataFrame, candidates: DataFrame, n: int, least: int, tries: int = TRIES) -> DataFrame:
     """(a, b, c, f): the candidates' occurrences in all texts, from ``least`` on; ``tries`` blocks for each reading."""
     spark = rows.sparkSession
     blocks = -(-n // BLOCK)
@@ -364,9 +360,10 @@ def count_candidates(rows: DataFrame, candidates: DataFrame, n: int, least: int,
                   .groupBy("block").applyInArrow(_build_block, _TRIE), "tries")
     counted = None
     for first in range(0, blocks, tries):
-        arrays = built.where(F.col("part").isNotNull() & F.col("block").between(first, first + tries - 1)).collect()
+        arrays = (built.where(F.col("part").isNotNull() & F.col("block").between(first, first + tries - 1))
+                  .select("block", "part", "data").toArrow().to_pylist())
         here = {b: _load_trie([r for r in arrays if r["block"] == b]) for b in sorted({r["block"] for r in arrays})}
-        shared = spark.sparkContext.broadcast(here)                  # at most ``tries`` times BLOCK phrases
+        shared = spark.sparkContext.broadcast((here, Alphabet(here)))        # at most ``tries`` times BLOCK phrases
         part = stage(rows.mapInArrow(_count_phrases(shared), "block int, state long, n long"), "phrase-counts")
         shared.unpersist()
         counted = part if counted is None else counted.unionAll(part)
@@ -387,17 +384,19 @@ def mine(docs: DataFrame, least: int = LEAST, top: int = TOP, cover: int = COVER
     totals = seen.where("symbol IS NULL").groupBy("lang").agg(F.sum("f").alias("n"))
     frequent = stage(seen.where("symbol IS NOT NULL").groupBy("symbol").agg(F.sum("f").alias("f"))
                      .where(F.col("f") >= least), "frequent-words")
-    n_words, all_words = frequent.count(), totals.agg(F.sum("n")).first()[0] or 0
+    n_words = frequent.count()
     if not n_words:
         return spark.createDataFrame([], _RESULT)
-    marks, marks_bits = word_bits(frequent, n_words)
-    words = spark.sparkContext.broadcast(marks)
-    bits = int(np.clip(int(all_words).bit_length() - 1, *COUNTER_BITS))
-    counts = stage(rows.mapInArrow(_count_hashes(words, marks_bits, bits, least), "segment long, data binary"), "counters")
-    counters = spark.sparkContext.broadcast(_fold(counts, _summed(least), bits))
-    found = stage(rows.mapInArrow(_find_candidates(words, marks_bits, counters, bits),
-                                  "a long, b long, c long, lang string, word string"), "found")
-    candidates = stage(found.where("word IS NULL").select("a", "b", "c").distinct(), "candidates")
+    table, word_bits = bit_table(frequent, n_words)
+    words = spark.sparkContext.broadcast(table)
+    pairs = stage(rows.mapInArrow(_count_pairs(words, word_bits, least), "symbol long, f long")
+                  .groupBy("symbol").agg(F.sum("f").alias("f")).where(F.col("f") >= least).select("symbol"), "frequent-pairs")
+    table, pair_bits = bit_table(pairs, pairs.count())
+    marks = spark.sparkContext.broadcast(table)
+    found = stage(rows.mapInArrow(_find_candidates(words, word_bits, marks, pair_bits, least),
+                                  "a long, b long, c long, n long, lang string, word string"), "found")
+    candidates = stage(found.where("word IS NULL").groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
+                       .where(F.col("n") >= least).select("a", "b", "c"), "candidates")
     n = candidates.count()
     if not n:
         return spark.createDataFrame([], _RESULT)

@@ -16,6 +16,8 @@ import numpy as np
 #: Place tests per search window; windows tried before children go behind all that is placed; share taken at which
 #: searches begin behind a window.
 WINDOW_TESTS, WINDOWS, FULL = 1 << 13, 6, 0.9
+#: Parents of up to so many children are placed together, by drawing places for all at once so many times.
+FEW, DRAWS = 16, 24
 #: ``check`` of a free place, and of the root.
 FREE, ROOT = -1, -2
 
@@ -31,20 +33,21 @@ class WordTrie:
 
     def _step(self, state: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(which states go on, where to)."""
-        to = self.base[state] + digit
+        to = self.base[state].astype(np.int64) + digit
         on = (to > 0) & (to < len(self.check))
         on[on] = self.check[to[on]] == state[on]
         return on, to[on]
 
-    def advance(self, symbols: np.ndarray, piece: np.ndarray, levels: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(level, last word of each live state, state) after every word: the states of all positions step together."""
-        at = np.minimum(np.searchsorted(self.symbols, symbols), len(self.symbols) - 1)
-        number = np.where(self.symbols[at] == symbols, self.numbers[at], -1)
+    def advance(self, number: np.ndarray, piece: np.ndarray, levels: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(level, last word of each live state, state) after every word: the states of all positions step together.
+
+        ``number`` holds the words' numbers in the trie's alphabet, -1 for others (``Alphabet``).
+        """
         end = np.flatnonzero(number >= 0)
         state = np.zeros(len(end), np.int64)
         for level in range(1, levels + 1):
             if level > 1:
-                inside = end + 1 < len(symbols)
+                inside = end + 1 < len(number)
                 end, state = end[inside] + 1, state[inside]
                 step = (piece[end] == piece[end - 1]) & (number[end] >= 0)
                 end, state = end[step], state[step]
@@ -54,6 +57,22 @@ class WordTrie:
             yield level, end, state
 
 
+class Alphabet:
+    """The symbols of several tries together: a text's symbols are looked up once for all of them."""
+
+    def __init__(self, tries: dict[int, WordTrie]):
+        self.symbols = np.unique(np.concatenate([t.symbols for t in tries.values()]))
+        self.numbers = {}
+        for b, t in tries.items():
+            own = np.full(len(self.symbols) + 1, -1, np.int32)          # the last place: no word of any trie
+            own[np.searchsorted(self.symbols, t.symbols)] = t.numbers
+            self.numbers[b] = own
+
+    def places(self, symbols: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.symbols, symbols), len(self.symbols) - 1)
+        return np.where(self.symbols[at] == symbols, at, len(self.symbols))
+
+
 def build(phrases: np.ndarray) -> tuple[WordTrie, np.ndarray]:
     """The trie of distinct phrases (rows of symbols, 0 behind the last), and the state that accepts each."""
     real = phrases > 0
@@ -98,13 +117,12 @@ class _Places:
         sizes = np.diff(np.r_[heads, len(parents)])
         self.start = 1
         for i in np.argsort(-sizes, kind="stable"):
-            if sizes[i] < 2:
+            if sizes[i] <= FEW:
                 break
-            own = digits[heads[i]:heads[i] + sizes[i]]
-            base = self._fit(own)
-            self.base[parents[heads[i]]] = base
-            self.check[base + own] = parents[heads[i]]
-            self.top = max(self.top, base + int(own[-1]) + 1)
+            self._place(parents, digits, heads[i], sizes[i])
+        for k in range(min(FEW, int(sizes.max(initial=0))), 1, -1):
+            for head in self._drawn(parents, digits, heads[sizes == k], k):
+                self._place(parents, digits, head, k)
         single = heads[sizes == 1]
         if len(single):
             self._room(self.top + len(single))
@@ -114,6 +132,36 @@ class _Places:
             self.top = max(self.top, int(free[-1]) + 1)
         return self.base[parents] + digits
 
+    def _place(self, parents: np.ndarray, digits: np.ndarray, head: int, size: int) -> None:
+        own = digits[head:head + size]
+        base = self._fit(own)
+        self.base[parents[head]] = base
+        self.check[base + own] = parents[head]
+        self.top = max(self.top, base + int(own[-1]) + 1)
+
+    def _drawn(self, parents: np.ndarray, digits: np.ndarray, heads: np.ndarray, k: int) -> np.ndarray:
+        """Place parents of k children at free places drawn for all of them, as far as draws do not meet; who is left."""
+        rng = np.random.default_rng(k)
+        for _ in range(DRAWS):
+            if not len(heads):
+                break
+            own = digits[heads[:, None] + np.arange(k)]
+            shift = own - own[:, :1]
+            limit = self.top + len(heads) * k // 2
+            self._room(limit + int(shift.max()) + 1)
+            first = rng.choice(np.flatnonzero(self.check[1:limit] == FREE) + 1, len(heads))
+            at = first[:, None] + shift
+            fits = (self.check[at] == FREE).all(1)
+            claim = np.full(len(self.check), -1, np.int64)
+            claim[at[fits]] = np.flatnonzero(fits)[:, None]
+            fits &= (claim[at] == np.arange(len(heads))[:, None]).all(1)
+            if fits.any():
+                self.check[at[fits]] = parents[heads[fits]][:, None]
+                self.base[parents[heads[fits]]] = first[fits] - own[fits, 0]
+                self.top = max(self.top, int(at[fits].max()) + 1)
+            heads = heads[~fits]
+        return heads
+
     def _fit(self, digits: np.ndarray) -> int:
         """A base with all of the children's places free."""
         shift = digits - digits[0]
@@ -133,4 +181,4 @@ class _Places:
         return int(self.top - digits[0])
 
     def arrays(self) -> tuple[np.ndarray, np.ndarray]:
-        return self.base[:self.top].copy(), self.check[:self.top].copy()
+        return self.base[:self.top].astype(np.int32), self.check[:self.top].astype(np.int32)

@@ -18,7 +18,7 @@ from ledgerwarden.llm.common import mix64, run_hashes, table
 from ledgerwarden.llm.oracle_sql import ORACLE_SQL
 from ledgerwarden.llm.radix_tree import insert
 from ledgerwarden.llm.textparts import text_parts
-from ledgerwarden.llm.word_trie import build
+from ledgerwarden.llm.word_trie import Alphabet, build
 
 CONV = "conv_id long, turn long, role string, text string, key string, h long, own string, opener long"
 
@@ -256,7 +256,8 @@ def test_word_trie_counts():
     some = sorted(n, key=lambda p: (-n[p], p))[:4000] + [(5, 6, 0), (int(text[0]), 5, 6)]
     trie, state = build(np.array(some, np.uint64))
     got = np.zeros(len(trie.check), np.int64)
-    for _, _, at in trie.advance(text, piece, 3):
+    alphabet = Alphabet({0: trie})
+    for _, _, at in trie.advance(alphabet.numbers[0][alphabet.places(text)], piece, 3):
         got += np.bincount(at, minlength=len(got))
     assert len(set(state.tolist())) == len(some) and trie.accepts.sum() == len(some)
     assert got[state].tolist() == [n[p] for p in some]
