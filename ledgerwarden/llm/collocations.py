@@ -49,6 +49,8 @@ BLOCK, TRIES = 1 << 18, 8
 BITS = (16, 28)
 #: Bits of a table that travel as one row; entries a task keeps before it merges or lets go of them.
 SEGMENT, KEPT = 1 << 13, 1 << 19
+#: Counting tasks for each core of the cluster: the fewer, the fewer rows are summed.
+TASKS_PER_CORE = 2
 #: Rows of a lookup table that may be broadcast (words, pairs or dictionary entries of some tens of bytes).
 SMALL = 500_000
 #: Parts of a language that are ranked apart before its ranking.
@@ -358,13 +360,14 @@ def count_candidates(rows: DataFrame, candidates: DataFrame, n: int, least: int,
     blocks = -(-n // BLOCK)
     built = stage(candidates.selectExpr(f"CAST(pmod(xxhash64(a, b, c), {blocks}) AS INT) AS block", "a", "b", "c")
                   .groupBy("block").applyInArrow(_build_block, _TRIE), "tries")
+    few = rows.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)     # a task sends a row for each phrase it met
     counted = None
     for first in range(0, blocks, tries):
         arrays = (built.where(F.col("part").isNotNull() & F.col("block").between(first, first + tries - 1))
                   .select("block", "part", "data").toArrow().to_pylist())
         here = {b: _load_trie([r for r in arrays if r["block"] == b]) for b in sorted({r["block"] for r in arrays})}
         shared = spark.sparkContext.broadcast((here, Alphabet(here)))        # at most ``tries`` times BLOCK phrases
-        part = stage(rows.mapInArrow(_count_phrases(shared), "block int, state long, n long"), "phrase-counts")
+        part = stage(few.mapInArrow(_count_phrases(shared), "block int, state long, n long"), "phrase-counts")
         shared.unpersist()
         counted = part if counted is None else counted.unionAll(part)
     sums = counted.groupBy("block", "state").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
