@@ -8,9 +8,12 @@ times; the rest follows from exact counts:
 1. every word's occurrences, counted per task and summed;
 2. hashes of the pairs of frequent words, each with its occurrences in a task
    up to ``least``: a hash whose sum stays below ``least`` is no frequent pair;
-3. the pairs that pass, and the triples of two such pairs, each once a task with
-   its occurrences up to ``least``; a candidate's sum reaches ``least`` (Apriori: no
-   frequent phrase is lost, since each of its parts is as frequent);
+   then hashes of the triples of two frequent pairs (Apriori: no frequent phrase
+   is lost, since each of its parts is as frequent). They travel cut to some 5
+   bits more than their count needs, sorted, as steps of one or two bytes;
+   phrases that share a cut hash are summed together, which errs towards more;
+3. the words of the pairs and triples whose hash passed, once a task as far as it
+   remembers: the candidates;
 4. double-array tries of the candidates (``word_trie``) in blocks of at most
    ``BLOCK`` phrases: each block is broadcast, all text positions advance
    through it together, level by level, the accepting states are counted by
@@ -22,7 +25,7 @@ inside a triple with at least ``COVER`` percent of its occurrences is
 dropped. Each language's first ``top`` phrases stay, by score, occurrences
 and bytes of the phrase.
 
-What is broadcast: bit tables of the frequent words and pairs (at most 2^BITS[1] bits
+What is broadcast: bit tables of the frequent words, pairs and triples (at most 2^BITS[1] bits
 each) and the tries of ``TRIES`` blocks. Tests by bits err only towards more rows to sum. Words are told apart by 64-bit hashes
 of language and word.
 
@@ -49,6 +52,10 @@ BLOCK, TRIES = 1 << 18, 8
 BITS = (16, 28)
 #: Bits of a table that travel as one row; entries a task keeps before it merges or lets go of them.
 SEGMENT, KEPT = 1 << 13, 1 << 19
+#: Bits of a cut hash beyond those of the words' number; words for a group of hashes, and the most groups (bits).
+SPARE, GROUP, GROUPS = 5, 17, 12
+#: Places for the phrases that a task remembers to have sent (bits).
+SENT = 23
 #: Counting tasks for each core of the cluster: the fewer, the fewer rows are summed.
 TASKS_PER_CORE = 2
 #: Rows of a lookup table that may be broadcast (words, pairs or dictionary entries of some tens of bytes).
@@ -120,29 +127,36 @@ def _signed(x: np.ndarray) -> pa.Array:
 # --- 1 and 2: words and pairs ---------------------------------------------------------
 
 class Tally:
-    """Occurrences of 64-bit values in a task, let go of in rows (symbol, f, null) when they are too many to keep."""
+    """Occurrences of 64-bit values in a task, let go of as (ascending values, occurrences) when they are too many to keep."""
 
     def __init__(self, cap: int | None = None):
         self.cap, self.kept, self.size = cap, [], 0
 
-    def add(self, values: np.ndarray) -> pa.RecordBatch | None:
+    def add(self, values: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         self.kept.append(np.unique(values, return_counts=True))
         self.size += len(self.kept[-1][0])
         if self.size <= 2 * KEPT:
-            return None
+            return []
         self.kept = [self._merged()]
         self.size = len(self.kept[0][0])
-        return self.rows() if self.size > KEPT else None
+        return self.rest() if self.size > KEPT else []
 
     def _merged(self) -> tuple[np.ndarray, np.ndarray]:
-        symbols, which = np.unique(np.concatenate([k for k, _ in self.kept]), return_inverse=True)
-        return symbols, np.bincount(which, np.concatenate([n for _, n in self.kept])).astype(np.int64)
+        return _summed(np.concatenate([k for k, _ in self.kept]), np.concatenate([n for _, n in self.kept]))
 
-    def rows(self) -> pa.RecordBatch:
-        symbols, counts = self._merged() if self.kept else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    def rest(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        if not self.size:
+            return []
+        values, counts = self._merged()
         self.kept, self.size = [], 0
-        counts = counts if self.cap is None else np.minimum(counts, self.cap)
-        return pa.record_batch([_signed(symbols), pa.array(counts), pa.nulls(len(counts), pa.string())], names=["symbol", "f", "lang"])
+        return [(values, counts if self.cap is None else np.minimum(counts, self.cap))]
+
+
+def _summed(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(values)
+    values = values[order]
+    heads = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
+    return values[heads], np.add.reduceat(counts[order].astype(np.int64), heads)
 
 
 def _count_words(batches):
@@ -156,29 +170,94 @@ def _count_words(batches):
             s = Stream(part, language, before)
             own = np.searchsorted(part.offsets, s.starts, side="right") - 1
             totals[part.first:part.first + part.rows] += np.bincount(own, minlength=part.rows)
-            out = tally.add(s.symbols[s.kept:])
-            if out is not None:
-                yield out
+            yield from (_symbol_rows(*out) for out in tally.add(s.symbols[s.kept:]))
         per = pa.table({"lang": batch.column("lang"), "f": totals}).group_by("lang").aggregate([("f", "sum")])
         yield pa.record_batch([pa.nulls(per.num_rows, pa.int64()), per["f_sum"].combine_chunks().cast(pa.int64()),
                                per["lang"].combine_chunks().cast(pa.string())], names=["symbol", "f", "lang"])
-    yield tally.rows()
+    yield from (_symbol_rows(*out) for out in tally.rest())
+
+
+def _symbol_rows(symbols: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch([_signed(symbols), pa.array(counts), pa.nulls(len(counts), pa.string())], names=["symbol", "f", "lang"])
 
 
-def _count_pairs(words, bits: int, least: int):
-    """(hash of a pair of frequent words, its occurrences in the task up to ``least``) rows."""
+def _likely(s: Stream, words, pairs=None, triples=None):
+    """(length, index of the last word, hash) of the part's own pairs of marked words and triples of two marked pairs.
+
+    Each of ``words``, ``pairs`` and ``triples`` is a bit table and its bits; without one nothing is refused, and
+    there are triples only of marked pairs.
+    """
+    pair = np.zeros(len(s.symbols) + 1, bool)
+    for k, end, h in s.hashes(_bit(words[0], s.symbols, words[1]), (2, 3) if pairs else (2,)):
+        on = pair[end - 1] & pair[end] if k == 3 else np.ones(len(end), bool)
+        marks = pairs if k == 2 else triples
+        if marks:
+            on[on] = _bit(marks[0], h[on], marks[1])
+        end, h = end[on], h[on]
+        if k == 2:
+            pair[end] = True
+        own = end >= s.kept
+        yield k, end[own], h[own]
+
+
+def _count_hashes(length: int, tables, bits: int, groups: int, least: int):
+    """Rows (group, n, steps, counts): the cut hashes of likely phrases, each with its occurrences in the task up to ``least``."""
     def count(batches):
         tally = Tally(least)
+        marks = [(t.value, b) for t, b in tables]
         for batch in batches:
             for s in _streams(batch):
-                for _, end, h in s.hashes(_bit(words.value, s.symbols, bits), (2,)):
-                    out = tally.add(h[end >= s.kept])
-                    if out is not None:
-                        yield out.select(["symbol", "f"])
-        yield tally.rows().select(["symbol", "f"])
+                for k, _, h in _likely(s, *marks):
+                    if k == length:
+                        yield from (_packed(*out, bits - groups) for out in tally.add(h >> np.uint64(64 - bits)))
+        yield from (_packed(*out, bits - groups) for out in tally.rest())
     return count
 
 
+def _packed(values: np.ndarray, counts: np.ndarray, low: int) -> pa.RecordBatch:
+    """Ascending values as one row for each value of the bits above ``low``: steps and counts in the smallest types."""
+    group = (values >> np.uint64(low)).astype(np.int64)
+    runs = list(_runs(group))
+    steps = np.diff(values, prepend=np.uint64(0))
+    heads = np.array([a for a, _ in runs])
+    steps[heads] = values[heads] & np.uint64((1 << low) - 1)
+
+    def small(x):
+        return x.astype(np.min_scalar_type(int(x.max()))).tobytes()
+
+    return pa.record_batch([pa.array(group[heads], pa.int32()), pa.array([b - a for a, b in runs], pa.int32()),
+                            pa.array([small(steps[a:b]) for a, b in runs], pa.binary()),
+                            pa.array([small(counts[a:b].astype(np.uint64)) for a, b in runs], pa.binary())],
+                           names=["group", "n", "steps", "counts"])
+
+
+def _unpacked(data: list[bytes], n: list[int]) -> list[np.ndarray]:
+    return [np.frombuffer(d, f"u{len(d) // k}").astype(np.uint64) for d, k in zip(data, n)]
+
+
+def _often(low: int, bits: int, least: int):
+    """The hashes of one group, zeros behind their cut, that occur ``least`` times."""
+    def often(table: pa.Table) -> pa.Table:
+        n = table["n"].to_pylist()
+        values, f = _summed(np.concatenate([np.cumsum(x) for x in _unpacked(table["steps"].to_pylist(), n)]),
+                            np.concatenate(_unpacked(table["counts"].to_pylist(), n)))
+        found = values[f >= least] + np.uint64(table["group"][0].as_py() << low)
+        return pa.table({"symbol": _signed(found << np.uint64(64 - bits))})
+    return often
+
+
+def frequent_hashes(rows: DataFrame, length: int, tables, n_words: int, least: int) -> DataFrame:
+    """symbol: cut hashes of the phrases of ``length`` words that pass ``tables`` and may occur ``least`` times."""
+    bits, groups = cut_bits(n_words), int(np.clip(n_words.bit_length() - GROUP, 0, GROUPS))
+    return stage(rows.mapInArrow(_count_hashes(length, tables, bits, groups, least), "group int, n int, steps binary, counts binary")
+                 .groupBy("group").applyInArrow(_often(bits - groups, bits, least), "symbol long"), f"frequent-{length}")
+
+
+def cut_bits(n_words: int) -> int:
+    """Bits of a cut hash: not fewer than any bit table has, and few phrases share one."""
+    return int(np.clip(n_words.bit_length() + SPARE, BITS[1], 63))
+
+
 def _bit_segments(of, batches):
     """Rows (segment, ...) sorted by segment, folded by ``of`` into one row of packed bits for each segment."""
     now, state = None, None
@@ -236,12 +315,27 @@ def bit_table(frequent: DataFrame, n: int) -> tuple[np.ndarray, int]:
 
 # --- 3: candidates ------------------------------------------------------------------
 
-def _find_candidates(words, word_bits: int, pairs, pair_bits: int, least: int):
-    """Rows (a, b, c, n, null, null): phrases, c 0 for pairs; and (symbol, 0, 0, 0, lang, word): their words."""
+class Sent:
+    """Values a task remembers, one for each place; the first stays, others of its place are taken for new each time."""
+
+    def __init__(self, n: int):
+        self.bits = min(n.bit_length() + 2, SENT)
+        self.values = np.zeros(1 << self.bits, np.uint64)
+
+    def fresh(self, values: np.ndarray) -> np.ndarray:
+        """Which of the distinct values are not remembered yet."""
+        at = (values >> np.uint64(64 - self.bits)).astype(np.int64)
+        new = (self.values[at] != values) | (values == 0)
+        empty = new & (self.values[at] == 0)
+        self.values[at[empty]] = values[empty]
+        return new
+
+
+def _find_candidates(tables, bits: int, n: int, n_words: int):
+    """Rows (cut hash, a, b, c, null, null): phrases, c 0 for pairs; and (null, symbol, 0, 0, lang, word): their words."""
     def find(batches):
-        known = np.zeros(0, np.uint64)
-        kept: list[tuple] = []
-        size = 0
+        sent, told = Sent(n), Sent(n_words)
+        marks = [(t.value, b) for t, b in tables]
         for batch in batches:
             language = mix64(batch.column("language").to_numpy(zero_copy_only=False).astype(np.uint64))
             before: list = []
@@ -250,65 +344,39 @@ def _find_candidates(words, word_bits: int, pairs, pair_bits: int, least: int):
                 named = np.zeros(len(s.symbols), bool)
                 if part.rows == 1:
                     named[-(WORDS - 1):] = True                 # the part that follows may need them
-                pair = np.zeros(len(s.symbols) + 1, bool)
-                for k, end, h in s.hashes(_bit(words.value, s.symbols, word_bits)):
-                    if k == 2:
-                        often = _bit(pairs.value, h, pair_bits)
-                        pair[end[often]] = True
-                    else:
-                        often = pair[end - 1] & pair[end]
-                    often &= end >= s.kept
-                    end = end[often]
-                    h, first, n = np.unique(h[often], return_index=True, return_counts=True)
-                    end = end[first]
+                for k, end, h in _likely(s, *marks):
+                    for i in range(k):
+                        named[end - i] = True
+                    h, first = np.unique(h, return_index=True)
+                    new = sent.fresh(h)
+                    end = end[first[new]]
                     found = np.zeros((len(end), WORDS), np.uint64)
                     for i in range(k):
                         found[:, i] = s.symbols[end - (k - 1) + i]
-                        named[end - (k - 1) + i] = True
-                    kept.append((h, found, n))
-                    size += len(h)
-                if size > 2 * KEPT:
-                    kept = [_distinct(kept)]
-                    size = len(kept[0][0])
-                    if size > KEPT:
-                        yield _candidate_rows(*kept.pop()[1:], least)
-                        size = 0
-                new, known = _new_words(s, named, known)
+                    yield _candidate_rows(h[new] >> np.uint64(64 - bits) << np.uint64(64 - bits), found)
+                own = np.flatnonzero(named[s.kept:])
+                symbols, first = np.unique(s.symbols[s.kept:][own], return_index=True)
+                new = own[first[told.fresh(symbols)]]
                 if len(new):
                     yield _word_rows(s, part, new, batch.column("lang"))
-        if kept:
-            yield _candidate_rows(*_distinct(kept)[1:], least)
     return find
 
 
-def _distinct(kept):
-    h, first, which = np.unique(np.concatenate([k[0] for k in kept]), return_index=True, return_inverse=True)
-    n = np.bincount(which, np.concatenate([k[2] for k in kept])).astype(np.int64)
-    return h, np.concatenate([k[1] for k in kept])[first], n
-
-
-def _new_words(s: Stream, named: np.ndarray, known: np.ndarray):
-    """(indices of words of this part not known yet, the known symbols with them)."""
-    own = np.flatnonzero(named[s.kept:])
-    symbols, first = np.unique(s.symbols[s.kept:][own], return_index=True)
-    fresh = ~np.isin(symbols, known, assume_unique=True)
-    return own[first[fresh]], np.union1d(known, symbols)
-
+_FOUND = "symbol long, a long, b long, c long, lang string, word string"
+_COLUMNS = [c.split()[0] for c in _FOUND.split(", ")]
 
-_FOUND = ["a", "b", "c", "n", "lang", "word"]
 
-
-def _candidate_rows(found: np.ndarray, n: np.ndarray, least: int) -> pa.RecordBatch:
+def _candidate_rows(h: np.ndarray, found: np.ndarray) -> pa.RecordBatch:
     nothing = pa.nulls(len(found), pa.string())
-    return pa.record_batch([*(_signed(found[:, i]) for i in range(WORDS)), pa.array(np.minimum(n, least)), nothing, nothing], names=_FOUND)
+    return pa.record_batch([_signed(h), *(_signed(found[:, i]) for i in range(WORDS)), nothing, nothing], names=_COLUMNS)
 
 
 def _word_rows(s: Stream, part: Part, which: np.ndarray, lang: pa.Array) -> pa.RecordBatch:
     row = part.first + np.searchsorted(part.offsets, s.starts[which], side="right") - 1
     text = [s.raw[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(s.starts[which], s.ends[which])]
     zero = pa.array(np.zeros(len(which), np.int64))
-    return pa.record_batch([_signed(s.symbols[s.kept:][which]), zero, zero, zero, lang.take(pa.array(row)).cast(pa.string()),
-                            pa.array(text, pa.string())], names=_FOUND)
+    return pa.record_batch([pa.nulls(len(which), pa.int64()), _signed(s.symbols[s.kept:][which]), zero, zero,
+                            lang.take(pa.array(row)).cast(pa.string()), pa.array(text, pa.string())], names=_COLUMNS)
 
 
 # --- 4: tries -----------------------------------------------------------------------
@@ -360,21 +428,26 @@ def count_candidates(rows: DataFrame, candidates: DataFrame, n: int, least: int,
     blocks = -(-n // BLOCK)
     built = stage(candidates.selectExpr(f"CAST(pmod(xxhash64(a, b, c), {blocks}) AS INT) AS block", "a", "b", "c")
                   .groupBy("block").applyInArrow(_build_block, _TRIE), "tries")
-    few = rows.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)     # a task sends a row for each phrase it met
+    few = _few(rows)
     counted = None
     for first in range(0, blocks, tries):
         arrays = (built.where(F.col("part").isNotNull() & F.col("block").between(first, first + tries - 1))
                   .select("block", "part", "data").toArrow().to_pylist())
         here = {b: _load_trie([r for r in arrays if r["block"] == b]) for b in sorted({r["block"] for r in arrays})}
         shared = spark.sparkContext.broadcast((here, Alphabet(here)))        # at most ``tries`` times BLOCK phrases
-        part = stage(few.mapInArrow(_count_phrases(shared), "block int, state long, n long"), "phrase-counts")
+        part = stage(few.mapInArrow(_count_phrases(shared), "block int, state long, n long")
+                     .groupBy("block", "state").agg(F.sum("n").alias("f")).where(F.col("f") >= least), "phrase-counts")
         shared.unpersist()
         counted = part if counted is None else counted.unionAll(part)
-    sums = counted.groupBy("block", "state").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    return stage(sums.join(built.where("part IS NULL").select("block", "state", "a", "b", "c"), ["block", "state"])
+    return stage(counted.join(built.where("part IS NULL").select("block", "state", "a", "b", "c"), ["block", "state"])
                  .select("a", "b", "c", "f"), "phrases")
 
 
+def _few(rows: DataFrame) -> DataFrame:
+    """In few tasks, where a task sends a row for each phrase it met."""
+    return rows.coalesce(TASKS_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism)
+
+
 # --- the whole -----------------------------------------------------------------------
 
 def mine(docs: DataFrame, least: int = LEAST, top: int = TOP, cover: int = COVER) -> DataFrame:
@@ -383,30 +456,30 @@ def mine(docs: DataFrame, least: int = LEAST, top: int = TOP, cover: int = COVER
     ship(spark)
     rows = docs.selectExpr("coalesce(CAST(lang AS STRING), 'und') AS lang",
                            "xxhash64(coalesce(CAST(lang AS STRING), 'und')) AS language", "text")
-    seen = stage(rows.mapInArrow(_count_words, "symbol long, f long, lang string"), "word-counts")
-    totals = seen.where("symbol IS NULL").groupBy("lang").agg(F.sum("f").alias("n"))
-    frequent = stage(seen.where("symbol IS NOT NULL").groupBy("symbol").agg(F.sum("f").alias("f"))
-                     .where(F.col("f") >= least), "frequent-words")
+    seen = stage(rows.mapInArrow(_count_words, "symbol long, f long, lang string").groupBy("symbol", "lang")
+                 .agg(F.sum("f").alias("f")).where((F.col("f") >= least) | F.col("symbol").isNull()), "word-counts")
+    totals = seen.where("symbol IS NULL").selectExpr("lang", "f AS n")
+    frequent = seen.where("symbol IS NOT NULL").select("symbol", "f")
     n_words = frequent.count()
     if not n_words:
         return spark.createDataFrame([], _RESULT)
-    table, word_bits = bit_table(frequent, n_words)
-    words = spark.sparkContext.broadcast(table)
-    pairs = stage(rows.mapInArrow(_count_pairs(words, word_bits, least), "symbol long, f long")
-                  .groupBy("symbol").agg(F.sum("f").alias("f")).where(F.col("f") >= least).select("symbol"), "frequent-pairs")
-    table, pair_bits = bit_table(pairs, pairs.count())
-    marks = spark.sparkContext.broadcast(table)
-    found = stage(rows.mapInArrow(_find_candidates(words, word_bits, marks, pair_bits, least),
-                                  "a long, b long, c long, n long, lang string, word string"), "found")
-    candidates = stage(found.where("word IS NULL").groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
-                       .where(F.col("n") >= least).select("a", "b", "c"), "candidates")
+    total = totals.agg(F.sum("n")).first()[0]
+    tables, sizes, often = [], [], []
+    for length in range(1, WORDS + 1):
+        often.append(frequent.select("symbol") if length == 1 else frequent_hashes(rows, length, tuple(tables), total, least))
+        sizes.append(often[-1].count())
+        table, bits = bit_table(often[-1], sizes[-1])
+        tables.append((spark.sparkContext.broadcast(table), bits))
+    found = stage(_few(rows).mapInArrow(_find_candidates(tables, cut_bits(total), sum(sizes[1:]), n_words), _FOUND)
+                  .distinct(), "found")
+    candidates = stage(found.where("b <> 0").join(often[1].unionAll(often[2]), "symbol", "left_semi").select("a", "b", "c"), "candidates")
     n = candidates.count()
     if not n:
         return spark.createDataFrame([], _RESULT)
     phrases = count_candidates(rows, candidates, n, least)
-    scored = _scores(phrases, frequent, n_words)
-    names = stage(found.where("word IS NOT NULL").groupBy("a").agg(F.min("lang").alias("lang"), F.min("word").alias("word")), "names")
-    return _ranked(_uncovered(scored, cover), names, totals, top)
+    scored = _scores(phrases, _uncovered(phrases, cover), frequent, n_words)
+    names = stage(found.where("b = 0").groupBy("a").agg(F.min("lang").alias("lang"), F.min("word").alias("word")), "names")
+    return _ranked(scored, names, totals, top)
 
 
 def _lookup(table: DataFrame, n: int) -> DataFrame:
@@ -414,8 +487,8 @@ def _lookup(table: DataFrame, n: int) -> DataFrame:
     return F.broadcast(table) if n <= SMALL else table
 
 
-def _scores(phrases: DataFrame, frequent: DataFrame, n_words: int) -> DataFrame:
-    """(a, b, c, f, l, r, score) at the weakest cut."""
+def _scores(phrases: DataFrame, kept: DataFrame, frequent: DataFrame, n_words: int) -> DataFrame:
+    """(a, b, c, f, l, r, score) of those kept, at the weakest cut; all phrases are needed for the parts."""
     word = _lookup(frequent.selectExpr("symbol", "f AS word_f"), n_words)
     pairs = phrases.where("c = 0")
     pair = _lookup(pairs.selectExpr("a AS pa", "b AS pb", "f AS pair_f"), pairs.count())
@@ -430,7 +503,7 @@ def _scores(phrases: DataFrame, frequent: DataFrame, n_words: int) -> DataFrame:
         return (f"named_struct('score', CAST((CAST(f AS DECIMAL(16,0)) * CAST(f AS DECIMAL(16,0)) * CAST(1000000 AS DECIMAL(7,0))) "
                 f"div (CAST({l} AS DECIMAL(16,0)) * CAST({r} AS DECIMAL(16,0))) AS LONG), 'k', {{k}}, 'l', {l}, 'r', {r})")
 
-    two = with_word(with_word(pairs, "a", "first"), "b", "second").withColumn("cut", F.expr(cut("first", "second").format(k=1)))
+    two = with_word(with_word(kept.where("c = 0"), "a", "first"), "b", "second").withColumn("cut", F.expr(cut("first", "second").format(k=1)))
     three = phrases.where("c <> 0")
     three = with_word(with_word(with_pair(with_pair(three, "a", "b", "front"), "b", "c", "back"), "a", "first"), "c", "second")
     three = three.withColumn("cut", F.expr(f"least({cut('first', 'back').format(k=1)}, {cut('front', 'second').format(k=2)})"))
@@ -438,13 +511,13 @@ def _scores(phrases: DataFrame, frequent: DataFrame, n_words: int) -> DataFrame:
     return two.select(*columns).unionAll(three.select(*columns))
 
 
-def _uncovered(scored: DataFrame, cover: int) -> DataFrame:
+def _uncovered(phrases: DataFrame, cover: int) -> DataFrame:
     """Without the pairs that a triple covers."""
-    triples = scored.where("c <> 0")
+    triples = phrases.where("c <> 0")
     most = (triples.selectExpr("a AS ta", "b AS tb", "f AS tf").unionAll(triples.selectExpr("b", "c", "f"))
             .groupBy("ta", "tb").agg(F.max("tf").alias("tf")))
-    kept = (scored.where("c = 0").join(most, (F.col("a") == F.col("ta")) & (F.col("b") == F.col("tb")), "left")
-            .where(F.col("tf").isNull() | (100 * F.col("tf") < cover * F.col("f"))).select(scored.columns))
+    kept = (phrases.where("c = 0").join(most, (F.col("a") == F.col("ta")) & (F.col("b") == F.col("tb")), "left")
+            .where(F.col("tf").isNull() | (100 * F.col("tf") < cover * F.col("f"))).select(phrases.columns))
     return kept.unionAll(triples)
 
 

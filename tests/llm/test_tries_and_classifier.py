@@ -278,6 +278,65 @@ def test_phrases_against_brute_force(spark, odd_docs, monkeypatch):
     assert phrases(odd_docs, least=2) == brute_phrases(odd, 2, 2000)
 
 
+def test_rare_triples_of_frequent_pairs_do_not_travel(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(" ".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(500)), lang) for lang in ("en", "fr") for _ in range(50)]
+    made, stage = {}, collocations.stage
+
+    def counted(df, label):
+        out = stage(df, label)
+        made[label] = made.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(collocations, "stage", counted)
+    df = make_docs(spark, [(i, t, lang) for i, (t, lang) in enumerate(rows)]).repartition(4)
+    least, f = 12, Counter()
+    for text, lang in rows:
+        w = text.split()
+        f.update((lang, *w[i:i + k]) for k in (1, 2, 3) for i in range(len(w) - k + 1))
+    often = sum(n >= least for n in f.values())
+    assert sum(len(k) == 4 for k in f) > 10 * often                     # nearly all triples are rare, nearly no pair is
+    assert phrases(df, least=least) == brute_phrases(rows, least, 2000)
+    assert made["found"] <= 1.2 * often
+
+
+def test_phrases_with_cut_hashes_that_meet(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(" ".join(f"w{int(rng.paretovariate(0.6)) % 3000}" for _ in range(300)), rng.choice(["en", None])) for _ in range(80)]
+    df = make_docs(spark, [(i, t, lang) for i, (t, lang) in enumerate(rows)]).repartition(3)
+    monkeypatch.setattr(collocations, "BITS", (8, 8))                  # tables that refuse little
+    monkeypatch.setattr(collocations, "SPARE", -4)                     # far fewer cut hashes than phrases
+    monkeypatch.setattr(collocations, "GROUP", 10)                     # many groups
+    assert phrases(df, least=3) == brute_phrases(rows, 3, 2000)
+
+
+def test_cut_hashes_are_packed_and_summed(monkeypatch):
+    monkeypatch.setattr(collocations, "KEPT", 100)                     # let go of often
+    rng = np.random.default_rng(3)
+    values = np.concatenate([(rng.zipf(1.4, 4000) % 5000).astype(np.uint64) << np.uint64(17), np.array([0, (1 << 30) - 1] * 7, np.uint64)])
+    for low, cap in ((30, 9), (22, 9), (25, 100_000)):
+        tally = collocations.Tally(cap)
+        sent = [collocations._packed(*out, low) for part in np.array_split(values, 40) for out in tally.add(part)]
+        sent += [collocations._packed(*out, low) for out in tally.rest()]
+        assert len(sent) > 1 and not tally.rest()
+        every = pa.Table.from_batches(sent)
+        found = []
+        for g in set(every["group"].to_pylist()):
+            group = every.filter(pa.compute.equal(every["group"], g))
+            found += collocations._often(low, 30, 9)(group)["symbol"].to_numpy().view(np.uint64).tolist()
+        want, n = np.unique(values, return_counts=True)
+        assert sorted(found) == [int(x) << 34 for x in want[n >= 9].tolist()]
+
+
+def test_what_a_task_remembers_to_have_sent():
+    sent = collocations.Sent(3)                                         # 16 places
+    values = np.array([0, 1, 2, 1 << 60, 5 << 60], np.uint64)
+    assert sent.fresh(values).all()
+    again = sent.fresh(values)
+    assert not again[3:].any() and again[:3].sum() >= 2                 # a place keeps one; what it lost is sent again
+    assert sent.fresh(np.array([7 << 60], np.uint64)).all()
+
+
 def test_phrases_of_nothing(spark, no_docs):
     assert phrases(no_docs) == []
     assert phrases(make_docs(spark, [(1, "one two"), (2, None)])) == []
