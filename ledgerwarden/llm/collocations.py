@@ -1,4 +1,4 @@
-"""Phrase collocation mining with broadcast double-array tries of Apriori-safe candidates.
+"""Phrase collocation mining with double-array tries of Apriori-safe candidates.
 
 Texts are lower-cased (A-Z), split at ``[.,;:!?\\x0A-\\x0D]`` into pieces and
 those into words ``[^\\x20\\x09]+``; everything is counted per language (null:
@@ -12,12 +12,14 @@ times; the rest follows from exact counts:
    is lost, since each of its parts is as frequent). They travel cut to some 5
    bits more than their count needs, sorted, as steps of one or two bytes;
    phrases that share a cut hash are summed together, which errs towards more;
-3. the words of the pairs and triples whose hash passed, once a task as far as it
-   remembers: the candidates;
-4. double-array tries of the candidates (``word_trie``) in blocks of at most
-   ``BLOCK`` phrases: each block is broadcast, all text positions advance
-   through it together, level by level, the accepting states are counted by
-   ``bincount`` and the tasks' counts summed.
+3. the pairs and triples whose hash passed are the candidates. Each text position
+   is dealt to the block of the candidates that can end there, by the hash of its
+   last two words, with up to three words; equal positions of a task travel once,
+   with their number; the words' texts travel besides;
+4. a double-array trie (``word_trie``) of each block's candidates, some ``BLOCK``
+   phrases, written from their last word: all positions of the block advance
+   through it together, level by level, and the states that they reach are
+   counted by ``bincount``.
 
 The score of a phrase with ``a`` occurrences is floor(1000000 a a / (l r)) at
 its weakest cut into a first part with ``l`` and a rest with ``r``. A pair
@@ -25,8 +27,9 @@ inside a triple with at least ``COVER`` percent of its occurrences is
 dropped. Each language's first ``top`` phrases stay, by score, occurrences
 and bytes of the phrase.
 
-What is broadcast: bit tables of the frequent words, pairs and triples (at most 2^BITS[1] bits
-each) and the tries of ``TRIES`` blocks. Tests by bits err only towards more rows to sum. Words are told apart by 64-bit hashes
+The texts are read four times, whatever their size: for words, pairs, triples and
+positions. What is broadcast: bit tables of the frequent words, pairs and triples (at most 2^BITS[1] bits
+each). Tests by bits err only towards more rows to sum. Words are told apart by 64-bit hashes
 of language and word.
 
 Odd input: a null text has no words; a null language and a language called
@@ -44,18 +47,19 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, mix64, run_hashes, ship, stage
 from .textparts import Part, runs_of, text_parts
-from .word_trie import Alphabet, WordTrie, build
+from .word_trie import Alphabet, build
 
 LEAST, WORDS, TOP, COVER = 10, 3, 2000, 50
-#: Phrases in a trie, tries broadcast together; bits of a bit table (least, most).
-BLOCK, TRIES = 1 << 18, 8
+#: Phrases in a trie, about; positions that advance through it together, that travel in one Arrow batch; bits of a bit
+#: table (least, most).
+BLOCK, STEPPED, DEALT = 1 << 16, 1 << 18, 1 << 17
 BITS = (16, 28)
 #: Bits of a table that travel as one row; entries a task keeps before it merges or lets go of them.
 SEGMENT, KEPT = 1 << 13, 1 << 19
 #: Bits of a cut hash beyond those of the words' number; words for a group of hashes, and the most groups (bits).
 SPARE, GROUP, GROUPS = 5, 17, 12
-#: Places for the phrases that a task remembers to have sent (bits).
-SENT = 23
+#: Places for the words that a task remembers to have sent (bits).
+SENT = 22
 #: Counting tasks for each core of the cluster: the fewer, the fewer rows are summed.
 TASKS_PER_CORE = 2
 #: Rows of a lookup table that may be broadcast (words, pairs or dictionary entries of some tens of bytes).
@@ -63,10 +67,13 @@ SMALL = 500_000
 #: Parts of a language that are ranked apart before its ranking.
 SALTS = 64
 
-_KIND = np.ones(256, np.uint8)
-_KIND[[0x20, 0x09, *b".,;:!?", *range(0x0A, 0x0E)]] = 0
-_BREAK = np.zeros(256, bool)
-_BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
+#: Bytes of words, blanks, and breaks between pieces.
+_KIND = np.ones(256, np.int8)
+_KIND[[0x20, 0x09]] = 0
+_KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = -1
+#: The first 0 to 8 bytes of eight; bytes above which a word is hashed as a run.
+_FIRST, LONG = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64), 64
+_SIZE, _EIGHT = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9FB21C651E98DF25)
 _PAIR, _TRIPLE = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _RESULT = "lang string, rank long, phrase string, a long, l long, r long, n long, score long"
 
@@ -77,15 +84,16 @@ class Stream:
     """The word symbols of one part, behind up to two of the text's part before that are still in its piece."""
 
     def __init__(self, part: Part, language: np.ndarray, before: list):
-        raw = LOWER[part.raw]
-        self.starts, self.ends = runs_of(_KIND[raw], part.offsets)
-        self.raw = raw
-        row = np.searchsorted(part.offsets, self.starts, side="right") - 1
-        broken = np.cumsum(_BREAK[raw])
+        padded = np.zeros(len(part.raw) + 8, np.uint8)
+        self.raw = raw = np.take(LOWER, part.raw, out=padded[:len(part.raw)])
+        kind = np.take(_KIND, raw)
+        self.starts, self.ends = runs_of(kind, part.offsets)
+        row = np.repeat(np.arange(part.rows), np.diff(np.searchsorted(self.starts, part.offsets)))
+        broken = np.cumsum(kind < 0, dtype=np.int32)
         if not part.follows:
             before.clear()
         self.kept = len(before)
-        own = run_hashes(raw, self.starts, self.ends)
+        own = _word_hashes(padded, self.starts, self.ends)
         with np.errstate(over="ignore"):
             own = np.maximum(mix64(own ^ language[part.first + row]), np.uint64(1))      # 0 stands for "no word"
         self.symbols = np.concatenate([np.array(before, np.uint64), own])
@@ -108,6 +116,22 @@ class Stream:
                 yield k, end, h[end - k + 1]
 
 
+def _word_hashes(padded: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word, eight bytes at a time; eight bytes at least follow the last word."""
+    sizes = ends - starts
+    eights = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
+    with np.errstate(over="ignore"):
+        h = mix64((eights[starts] & _FIRST[np.minimum(sizes, 8)]) ^ (sizes.astype(np.uint64) * _SIZE))
+        for at in range(8, LONG, 8):
+            more = np.flatnonzero(sizes > at)
+            if not len(more):
+                break
+            h[more] = mix64(h[more] * _EIGHT + (eights[starts[more] + at] & _FIRST[np.minimum(sizes[more] - at, 8)]))
+    long = sizes > LONG
+    h[long] = run_hashes(padded, starts[long], ends[long])
+    return h
+
+
 def _streams(batch: pa.RecordBatch):
     language = mix64(batch.column("language").to_numpy(zero_copy_only=False).astype(np.uint64))
     before: list = []
@@ -132,31 +156,38 @@ class Tally:
     def __init__(self, cap: int | None = None):
         self.cap, self.kept, self.size = cap, [], 0
 
-    def add(self, values: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        self.kept.append(np.unique(values, return_counts=True))
+    def add(self, *values: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+        self.kept.append(self._counted(*values))
         self.size += len(self.kept[-1][0])
-        if self.size <= 2 * KEPT:
+        if self.size <= 2 * self._most():
             return []
         self.kept = [self._merged()]
         self.size = len(self.kept[0][0])
-        return self.rest() if self.size > KEPT else []
+        return self.rest() if self.size > self._most() else []
+
+    def _most(self) -> int:
+        return KEPT
+
+    def _counted(self, values: np.ndarray) -> tuple[np.ndarray, ...]:
+        return np.unique(values, return_counts=True)
 
-    def _merged(self) -> tuple[np.ndarray, np.ndarray]:
-        return _summed(np.concatenate([k for k, _ in self.kept]), np.concatenate([n for _, n in self.kept]))
+    def _merged(self) -> tuple[np.ndarray, ...]:
+        return self.kept[0] if len(self.kept) == 1 else _summed(*(np.concatenate(x) for x in zip(*self.kept)))
 
-    def rest(self) -> list[tuple[np.ndarray, np.ndarray]]:
+    def rest(self) -> list[tuple[np.ndarray, ...]]:
         if not self.size:
             return []
-        values, counts = self._merged()
-        self.kept, self.size = [], 0
-        return [(values, counts if self.cap is None else np.minimum(counts, self.cap))]
+        out, self.kept, self.size = self._merged(), [], 0
+        return [out if self.cap is None else (out[0], np.minimum(out[1], self.cap))]
 
 
-def _summed(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _summed(values: np.ndarray, counts: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Ascending distinct values, the sums of their counts, and what stands beside one of each."""
     order = np.argsort(values)
     values = values[order]
-    heads = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
-    return values[heads], np.add.reduceat(counts[order].astype(np.int64), heads)
+    heads = np.flatnonzero(np.r_[True, values[1:] != values[:-1]][:len(values)])
+    sums = np.add.reduceat(counts[order].astype(np.int64), heads) if len(heads) else np.zeros(0, np.int64)
+    return values[heads], sums, *(x[order[heads]] for x in more)
 
 
 def _count_words(batches):
@@ -222,15 +253,16 @@ def _packed(values: np.ndarray, counts: np.ndarray, low: int) -> pa.RecordBatch:
     heads = np.array([a for a, _ in runs])
     steps[heads] = values[heads] & np.uint64((1 << low) - 1)
 
-    def small(x):
-        return x.astype(np.min_scalar_type(int(x.max()))).tobytes()
-
     return pa.record_batch([pa.array(group[heads], pa.int32()), pa.array([b - a for a, b in runs], pa.int32()),
-                            pa.array([small(steps[a:b]) for a, b in runs], pa.binary()),
-                            pa.array([small(counts[a:b].astype(np.uint64)) for a, b in runs], pa.binary())],
+                            pa.array([_small(steps[a:b]) for a, b in runs], pa.binary()),
+                            pa.array([_small(counts[a:b].astype(np.uint64)) for a, b in runs], pa.binary())],
                            names=["group", "n", "steps", "counts"])
 
 
+def _small(x: np.ndarray) -> bytes:
+    return x.astype(np.min_scalar_type(int(x.max()))).tobytes()
+
+
 def _unpacked(data: list[bytes], n: list[int]) -> list[np.ndarray]:
     return [np.frombuffer(d, f"u{len(d) // k}").astype(np.uint64) for d, k in zip(data, n)]
 
@@ -305,15 +337,15 @@ def _marked(state, data):
     return state
 
 
-def bit_table(frequent: DataFrame, n: int) -> tuple[np.ndarray, int]:
-    """(table, its bits): ``n`` symbols, some 2^7 bits for each of them up to the greatest table."""
-    bits = int(np.clip(n.bit_length() + 7, *BITS))
+def bit_table(frequent: DataFrame, n: int, each: int = 7) -> tuple[np.ndarray, int]:
+    """(table, its bits): ``n`` symbols, some 2^each bits for each of them up to the greatest table."""
+    bits = int(np.clip(n.bit_length() + each, *BITS))
     at = f"shiftrightunsigned(symbol, {64 - bits})"
     rows = frequent.selectExpr(f"{at} div {SEGMENT} AS segment", f"CAST({at} & {SEGMENT - 1} AS INT) AS data")
     return _fold(rows, _marked, bits), bits
 
 
-# --- 3: candidates ------------------------------------------------------------------
+# --- 3: candidates and the positions where they may end ------------------------------
 
 class Sent:
     """Values a task remembers, one for each place; the first stays, others of its place are taken for new each time."""
@@ -331,10 +363,24 @@ class Sent:
         return new
 
 
-def _find_candidates(tables, bits: int, n: int, n_words: int):
-    """Rows (cut hash, a, b, c, null, null): phrases, c 0 for pairs; and (null, symbol, 0, 0, lang, word): their words."""
+class Windows(Tally):
+    """Occurrences of positions in a task, by the hash of the longest phrase there, with its words, the last one first."""
+
+    def _most(self) -> int:
+        return KEPT // 2                                        # each has its words besides
+
+    def _counted(self, values: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, ...]:
+        return _summed(values, np.ones(len(values), np.int64), words)
+
+
+_FOUND = "block int, n int, symbols binary, places binary, counts binary, symbol long, lang string, word string"
+_COLUMNS, _PACKED = [c.split()[0] for c in _FOUND.split(", ")], (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+
+
+def _find_windows(tables, blocks: int, n_words: int):
+    """Rows (block, n, symbols, places, counts): positions where likely phrases end; and (block, nulls, symbol, lang, word): words."""
     def find(batches):
-        sent, told = Sent(n), Sent(n_words)
+        windows, told = Windows(), Sent(n_words)
         marks = [(t.value, b) for t, b in tables]
         for batch in batches:
             language = mix64(batch.column("language").to_numpy(zero_copy_only=False).astype(np.uint64))
@@ -344,103 +390,130 @@ def _find_candidates(tables, bits: int, n: int, n_words: int):
                 named = np.zeros(len(s.symbols), bool)
                 if part.rows == 1:
                     named[-(WORDS - 1):] = True                 # the part that follows may need them
-                for k, end, h in _likely(s, *marks):
+                key, size = np.zeros(len(s.symbols), np.uint64), np.zeros(len(s.symbols), np.int8)
+                for k, end, h in _likely(s, *marks):            # triples come behind the pairs in them
+                    key[end], size[end] = h, k
                     for i in range(k):
                         named[end - i] = True
-                    h, first = np.unique(h, return_index=True)
-                    new = sent.fresh(h)
-                    end = end[first[new]]
-                    found = np.zeros((len(end), WORDS), np.uint64)
-                    for i in range(k):
-                        found[:, i] = s.symbols[end - (k - 1) + i]
-                    yield _candidate_rows(h[new] >> np.uint64(64 - bits) << np.uint64(64 - bits), found)
+                end = np.flatnonzero(size)
+                words = np.zeros((len(end), WORDS), np.uint64)
+                for i in range(WORDS):
+                    on = size[end] > i
+                    words[on, i] = s.symbols[end[on] - i]
+                for out in windows.add(key[end], words):
+                    yield from _window_rows(*out, blocks)
                 own = np.flatnonzero(named[s.kept:])
                 symbols, first = np.unique(s.symbols[s.kept:][own], return_index=True)
                 new = own[first[told.fresh(symbols)]]
                 if len(new):
-                    yield _word_rows(s, part, new, batch.column("lang"))
+                    yield _word_rows(s, part, new, batch.column("lang"), blocks)
+        for out in windows.rest():
+            yield from _window_rows(*out, blocks)
     return find
 
 
-_FOUND = "symbol long, a long, b long, c long, lang string, word string"
-_COLUMNS = [c.split()[0] for c in _FOUND.split(", ")]
+def _block_of(hashes: np.ndarray, blocks: int) -> np.ndarray:
+    return ((hashes >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int32)
 
 
-def _candidate_rows(h: np.ndarray, found: np.ndarray) -> pa.RecordBatch:
-    nothing = pa.nulls(len(found), pa.string())
-    return pa.record_batch([_signed(h), *(_signed(found[:, i]) for i in range(WORDS)), nothing, nothing], names=_COLUMNS)
+def _window_rows(_, counts: np.ndarray, words: np.ndarray, blocks: int):
+    """One row for each block of the last two words: its distinct symbols, and the places of its words among them, column by column."""
+    with np.errstate(over="ignore"):
+        block = _block_of(mix64(words[:, 1] * _PAIR + words[:, 0]), blocks)
+    order = np.argsort(block, kind="stable")
+    block = block[order]
+    rows, held = [], 0
+    for a, b in _runs(block):
+        symbols, places = np.unique(words[order[a:b]].T, return_inverse=True)
+        rows.append((int(block[a]), b - a, symbols.tobytes(), _small(places.ravel()), _small(counts[order[a:b]])))
+        held += b - a
+        if held >= DEALT or b == len(block):
+            blank = pa.nulls(len(rows), pa.string())
+            yield pa.record_batch([*(pa.array(x, t) for x, t in zip(zip(*rows), _PACKED)), pa.nulls(len(rows), pa.int64()), blank, blank],
+                                  names=_COLUMNS)
+            rows, held = [], 0
 
 
-def _word_rows(s: Stream, part: Part, which: np.ndarray, lang: pa.Array) -> pa.RecordBatch:
+def _word_rows(s: Stream, part: Part, which: np.ndarray, lang: pa.Array, blocks: int) -> pa.RecordBatch:
     row = part.first + np.searchsorted(part.offsets, s.starts[which], side="right") - 1
     text = [s.raw[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(s.starts[which], s.ends[which])]
-    zero = pa.array(np.zeros(len(which), np.int64))
-    return pa.record_batch([pa.nulls(len(which), pa.int64()), _signed(s.symbols[s.kept:][which]), zero, zero,
+    symbols, blank = s.symbols[s.kept:][which], pa.nulls(len(which), pa.binary())
+    return pa.record_batch([pa.array(_block_of(symbols, blocks)), pa.nulls(len(which), pa.int32()), blank, blank, blank, _signed(symbols),
                             lang.take(pa.array(row)).cast(pa.string()), pa.array(text, pa.string())], names=_COLUMNS)
 
 
 # --- 4: tries -----------------------------------------------------------------------
 
-_TRIE = "block int, state long, a long, b long, c long, part string, data binary"
-_PARTS = {"symbols": np.uint64, "numbers": np.int32, "base": np.int32, "check": np.int32, "accepts": bool, "radix": np.int64}
-
-
-def _build_block(table: pa.Table) -> pa.Table:
-    """The rows of one block as the state of each phrase, and the arrays of its trie."""
-    rows = table.sort_by([("a", "ascending"), ("b", "ascending"), ("c", "ascending")])
-    phrases = np.stack([rows[x].to_numpy().view(np.uint64) for x in "abc"], 1)
-    trie, state = build(phrases)
-    block, n = rows["block"][0].as_py(), len(phrases)
-    arrays = [np.atleast_1d(np.asarray(getattr(trie, p))).astype(t).tobytes() for p, t in _PARTS.items()]
-    blank, m = [None] * n, len(arrays)
-    columns = [pa.array([block] * (n + m), pa.int32()), pa.array([*state.tolist(), *[None] * m], pa.int64()),
-               *(pa.array([*rows[x].to_pylist(), *[None] * m], pa.int64()) for x in "abc"),
-               pa.array([*blank, *_PARTS], pa.string()), pa.array([*blank, *arrays], pa.binary())]
-    return pa.table(columns, names=[c.split()[0] for c in _TRIE.split(", ")])
-
-
-def _load_trie(rows) -> WordTrie:
-    got = {r["part"]: np.frombuffer(r["data"], _PARTS[r["part"]]) for r in rows}
-    return WordTrie(got["symbols"], got["numbers"].astype(np.int64), int(got["radix"][0]), got["base"], got["check"], got["accepts"])
-
-
-def _count_phrases(shared):
-    def count(batches):
-        tries, alphabet = shared.value
-        counts = {b: np.zeros(len(t.check), np.int64) for b, t in tries.items()}
-        for batch in batches:
-            for s in _streams(batch):
-                places = alphabet.places(s.symbols)
-                for b, trie in tries.items():
-                    for level, end, state in trie.advance(alphabet.numbers[b][places], s.piece, WORDS):
-                        if level > 1:
-                            counts[b] += np.bincount(state[end >= s.kept], minlength=len(trie.check))
-        for b, trie in tries.items():
-            state = np.flatnonzero(trie.accepts & (counts[b] > 0))
-            yield pa.record_batch([pa.array(np.full(len(state), b, np.int32)), pa.array(state), pa.array(counts[b][state])],
-                                  names=["block", "state", "n"])
+_COUNTED = pa.schema([*((x, pa.int64()) for x in ("a", "b", "c", "f", "symbol")), ("lang", pa.string()), ("word", pa.string())])
+
+
+def _count_block(least: int):
+    """The candidates of one block that occur ``least`` times, c 0 for pairs; and its words, each once; nulls elsewhere."""
+    def count(table: pa.Table) -> pa.Table:
+        phrases, f = _walked(table, least)
+        last, middle, first = phrases.T
+        pair = first == 0
+        told = table.filter(table["symbol"].is_valid())
+        symbols, one = np.unique(told["symbol"].to_numpy(), return_index=True)
+        told, n = told.take(pa.array(one)), len(one)
+        return pa.concat_tables([
+            pa.table([_signed(np.where(pair, middle, first)), _signed(np.where(pair, last, middle)), _signed(np.where(pair, 0, last)),
+                      pa.array(f), *(pa.nulls(len(f), t) for t in _COUNTED.types[4:])], schema=_COUNTED),
+            pa.table([*(pa.nulls(n, t) for t in _COUNTED.types[:4]), pa.array(symbols),
+                      *(told[x].cast(pa.string()) for x in ("lang", "word"))], schema=_COUNTED)])
     return count
 
 
-def count_candidates(rows: DataFrame, candidates: DataFrame, n: int, least: int, tries: int = TRIES) -> DataFrame:
-    """(a, b, c, f): the candidates' occurrences in all texts, from ``least`` on; ``tries`` blocks for each reading."""
-    spark = rows.sparkSession
+def _dealt(table: pa.Table):
+    """(words, occurrences) of a block's positions, the last word first, ``STEPPED`` at a time or as many as one row has."""
+    words, counts, held = [], [], 0
+    for batch in table.to_batches():
+        for i in np.flatnonzero(batch.column("n").is_valid().to_numpy(zero_copy_only=False)).tolist():
+            n, (symbols, places, times) = batch.column("n")[i].as_py(), (batch.column(x)[i].as_buffer() for x in ("symbols", "places", "counts"))
+            if held and held + n > STEPPED:
+                yield np.concatenate(words, 1).T, np.concatenate(counts)
+                words, counts, held = [], [], 0
+            words.append(np.frombuffer(symbols, np.uint64)[_unpacked([places], [WORDS * n])[0].reshape(WORDS, n).astype(np.int64)])
+            counts += _unpacked([times], [n])
+            held += n
+    if held:
+        yield np.concatenate(words, 1).T, np.concatenate(counts)
+
+
+def _walked(table: pa.Table, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(phrases, occurrences) from ``least`` on: a block's positions walk a trie of all phrases that end there."""
+    distinct = np.zeros((0, WORDS), np.uint64)
+    for words, _ in _dealt(table):
+        distinct = _distinct_rows(np.concatenate([distinct, words]))
+    pairs = _distinct_rows(distinct * np.array([1] * (WORDS - 1) + [0], np.uint64))
+    phrases = np.concatenate([pairs, distinct[distinct[:, -1] > 0]])
+    if not len(phrases):
+        return phrases, np.zeros(0, np.int64)
+    trie, state = build(phrases)
+    alphabet = Alphabet({0: trie})
+    f = np.zeros(len(trie.check), np.int64)
+    for words, n in _dealt(table):
+        number = alphabet.numbers[0][alphabet.places(words.ravel())]
+        times, first = n.astype(np.float64), np.arange(0, words.size, WORDS)        # whole numbers, summed exactly
+        for level, end, reached in trie.advance(number, np.repeat(np.arange(len(words)), WORDS), WORDS, first):
+            if level > 1:
+                f += np.bincount(reached, times[end // WORDS], len(f)).astype(np.int64)
+    f = f[state]
+    return phrases[f >= least], f[f >= least]
+
+
+def _distinct_rows(rows: np.ndarray) -> np.ndarray:
+    order = np.lexsort(rows.T)
+    rows = rows[order]
+    return rows[np.r_[True, (rows[1:] != rows[:-1]).any(1)][:len(rows)]]
+
+
+def count_candidates(rows: DataFrame, tables, n: int, n_words: int, least: int) -> DataFrame:
+    """(a, b, c, f, null, null, null): the candidates' occurrences in all texts, from ``least`` on; (nulls, symbol, lang, word): words."""
     blocks = -(-n // BLOCK)
-    built = stage(candidates.selectExpr(f"CAST(pmod(xxhash64(a, b, c), {blocks}) AS INT) AS block", "a", "b", "c")
-                  .groupBy("block").applyInArrow(_build_block, _TRIE), "tries")
-    few = _few(rows)
-    counted = None
-    for first in range(0, blocks, tries):
-        arrays = (built.where(F.col("part").isNotNull() & F.col("block").between(first, first + tries - 1))
-                  .select("block", "part", "data").toArrow().to_pylist())
-        here = {b: _load_trie([r for r in arrays if r["block"] == b]) for b in sorted({r["block"] for r in arrays})}
-        shared = spark.sparkContext.broadcast((here, Alphabet(here)))        # at most ``tries`` times BLOCK phrases
-        part = stage(few.mapInArrow(_count_phrases(shared), "block int, state long, n long")
-                     .groupBy("block", "state").agg(F.sum("n").alias("f")).where(F.col("f") >= least), "phrase-counts")
-        shared.unpersist()
-        counted = part if counted is None else counted.unionAll(part)
-    return stage(counted.join(built.where("part IS NULL").select("block", "state", "a", "b", "c"), ["block", "state"])
-                 .select("a", "b", "c", "f"), "phrases")
+    return stage(_few(rows).mapInArrow(_find_windows(tables, blocks, n_words), _FOUND)
+                 .groupBy("block").applyInArrow(_count_block(least), "a long, b long, c long, f long, symbol long, lang string, word string"),
+                 "found")
 
 
 def _few(rows: DataFrame) -> DataFrame:
@@ -464,22 +537,18 @@ def mine(docs: DataFrame, least: int = LEAST, top: int = TOP, cover: int = COVER
     if not n_words:
         return spark.createDataFrame([], _RESULT)
     total = totals.agg(F.sum("n")).first()[0]
-    tables, sizes, often = [], [], []
+    tables, sizes = [], []
     for length in range(1, WORDS + 1):
-        often.append(frequent.select("symbol") if length == 1 else frequent_hashes(rows, length, tuple(tables), total, least))
-        sizes.append(often[-1].count())
-        table, bits = bit_table(often[-1], sizes[-1])
+        often = frequent.select("symbol") if length == 1 else frequent_hashes(rows, length, tuple(tables), total, least)
+        sizes.append(often.count())
+        table, bits = bit_table(often, sizes[-1], 5 if length == 1 else 7)      # few texts have many rare words
         tables.append((spark.sparkContext.broadcast(table), bits))
-    found = stage(_few(rows).mapInArrow(_find_candidates(tables, cut_bits(total), sum(sizes[1:]), n_words), _FOUND)
-                  .distinct(), "found")
-    candidates = stage(found.where("b <> 0").join(often[1].unionAll(often[2]), "symbol", "left_semi").select("a", "b", "c"), "candidates")
-    n = candidates.count()
-    if not n:
+    if not sizes[1]:
         return spark.createDataFrame([], _RESULT)
-    phrases = count_candidates(rows, candidates, n, least)
+    counted = count_candidates(rows, tables, sum(sizes[1:]), n_words, least)
+    phrases = counted.where("symbol IS NULL").select("a", "b", "c", "f")
     scored = _scores(phrases, _uncovered(phrases, cover), frequent, n_words)
-    names = stage(found.where("b = 0").groupBy("a").agg(F.min("lang").alias("lang"), F.min("word").alias("word")), "names")
-    return _ranked(scored, names, totals, top)
+    return _ranked(scored, counted.where("symbol IS NOT NULL").selectExpr("symbol AS a", "lang", "word"), totals, top)
 
 
 def _lookup(table: DataFrame, n: int) -> DataFrame:

@@ -38,12 +38,14 @@ class WordTrie:
         on[on] = self.check[to[on]] == state[on]
         return on, to[on]
 
-    def advance(self, number: np.ndarray, piece: np.ndarray, levels: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    def advance(self, number: np.ndarray, piece: np.ndarray, levels: int,
+                first: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(level, last word of each live state, state) after every word: the states of all positions step together.
 
-        ``number`` holds the words' numbers in the trie's alphabet, -1 for others (``Alphabet``).
+        ``number`` holds the words' numbers in the trie's alphabet, -1 for others (``Alphabet``); only the positions
+        ``first`` begin, if given.
         """
-        end = np.flatnonzero(number >= 0)
+        end = np.flatnonzero(number >= 0) if first is None else first[number[first] >= 0]
         state = np.zeros(len(end), np.int64)
         for level in range(1, levels + 1):
             if level > 1:

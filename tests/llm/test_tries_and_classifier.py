@@ -357,3 +357,55 @@ def test_phrases_across_parts():
         return n
 
     assert grams(10) == grams(25) == grams(10_000)
+
+
+def test_phrases_in_four_readings_whatever_the_number_of_blocks(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(" ".join(rng.choice("abcdefghijklmnopqrst") for _ in range(400)), lang) for lang in ("en", "fr", None) for _ in range(40)]
+    df = make_docs(spark, [(i, t, lang) for i, (t, lang) in enumerate(rows)]).repartition(3)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    for block in (1 << 30, 25):                                         # one trie, more than a hundred
+        monkeypatch.setattr(collocations, "BLOCK", block)
+        seen.value = 0
+        assert phrases(df.mapInArrow(counted, df.schema), least=3) == brute_phrases(rows, 3, 2000)
+        assert seen.value == 4 * len(rows)                              # words, pairs, triples, positions
+
+
+def test_a_block_counts_its_positions(monkeypatch):
+    monkeypatch.setattr(collocations, "STEPPED", 50)                    # several steps
+    monkeypatch.setattr(collocations, "KEPT", 200)                      # let go of often
+    monkeypatch.setattr(collocations, "DEALT", 30)
+    rng = np.random.default_rng(8)
+    words = rng.integers(1, 9, (6000, 3)).astype(np.uint64) << np.uint64(40)
+    words[rng.random(6000) < 0.4, 2] = 0
+    key = words @ np.array([1, 11, 121], np.uint64)
+    windows = collocations.Windows()
+    dealt = [b for part in np.array_split(np.arange(6000), 30) for out in windows.add(key[part], words[part])
+             for b in collocations._window_rows(*out, 7)]
+    dealt += [b for out in windows.rest() for b in collocations._window_rows(*out, 7)]
+    want = Counter()
+    for last, middle, first in words.tolist():
+        want[middle, last, 0] += 1
+        if first:
+            want[first, middle, last] += 1
+    every, got = pa.Table.from_batches(dealt), Counter()
+    assert len(dealt) > 7 and 1 < len(set(every["block"].to_pylist())) <= 7
+    for g in set(every["block"].to_pylist()):
+        for r in collocations._count_block(20)(every.filter(pa.compute.equal(every["block"], g))).to_pylist():
+            assert (r["a"], r["b"], r["c"]) not in got and r["symbol"] is None
+            got[r["a"], r["b"], r["c"]] = r["f"]
+    assert got == {p: n for p, n in want.items() if n >= 20}
+
+
+def test_words_of_any_length_have_hashes_of_their_own():
+    words = sorted({(c * n)[:n] for c in ("a", "b", "ab", "a\0", "\0") for n in (1, 2, 7, 8, 9, 15, 16, 17, 63, 64, 65, 72, 200)})
+    col = pa.array([" ".join(words), " ".join(reversed(words))])
+    (part,) = text_parts(col)
+    s = collocations.Stream(part, np.zeros(2, np.uint64), [])
+    assert len(set(s.symbols.tolist())) == len(words) and s.symbols[:len(words)].tolist() == s.symbols[len(words):][::-1].tolist()
