@@ -40,9 +40,12 @@ and lang are read, so other columns may have any name.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER, mix64, run_hashes, ship, stage
@@ -62,6 +65,8 @@ SPARE, GROUP, GROUPS = 5, 17, 12
 SENT = 22
 #: Counting tasks for each core of the cluster: the fewer, the fewer rows are summed.
 TASKS_PER_CORE = 2
+#: Texts in an Arrow batch at most; an executor holds several batches for each of its tasks, in the JVM and in Python.
+BATCH = 2000
 #: Rows of a lookup table that may be broadcast (words, pairs or dictionary entries of some tens of bytes).
 SMALL = 500_000
 #: Parts of a language that are ranked apart before its ranking.
@@ -525,6 +530,24 @@ def _few(rows: DataFrame) -> DataFrame:
 
 def mine(docs: DataFrame, least: int = LEAST, top: int = TOP, cover: int = COVER) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's first ``top`` phrases."""
+    with _small_batches(docs.sparkSession):
+        return _mined(docs, least, top, cover)
+
+
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches of at most ``BATCH`` texts; the session's own setting stands again afterwards."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own, now = spark.conf.get(key, None), int(spark.conf.get(key))
+    spark.conf.set(key, str(min(now, BATCH) if now > 0 else BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if own is None else spark.conf.set(key, own)
+
+
+def _mined(docs: DataFrame, least: int, top: int, cover: int) -> DataFrame:
+    """As ``mine``; all readings of the texts happen here."""
     spark = docs.sparkSession
     ship(spark)
     rows = docs.selectExpr("coalesce(CAST(lang AS STRING), 'und') AS lang",

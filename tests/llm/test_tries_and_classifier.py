@@ -409,3 +409,19 @@ def test_words_of_any_length_have_hashes_of_their_own():
     (part,) = text_parts(col)
     s = collocations.Stream(part, np.zeros(2, np.uint64), [])
     assert len(set(s.symbols.tolist())) == len(words) and s.symbols[:len(words)].tolist() == s.symbols[len(words):][::-1].tolist()
+
+
+def test_phrases_of_small_batches_leave_the_setting(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = [("a b c. a b", "en")] * 9
+    df, own = make_docs(spark, [(i, t, lang) for i, (t, lang) in enumerate(rows)]).coalesce(1), spark.conf.get(key)
+    longest = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            longest.add(int(batch.num_rows > 2))
+            yield batch
+
+    monkeypatch.setattr(collocations, "BATCH", 2)
+    assert phrases(df.mapInArrow(counted, df.schema), least=2) == brute_phrases(rows, 2, 2000)
+    assert longest.value == 0 and spark.conf.get(key) == own
